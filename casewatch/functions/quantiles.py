@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,53 +20,47 @@ def value_counts_of(df: DataFrame, by: list[str], value: str) -> DataFrame:
     return df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))
 
 
+_QUANTILES = """
+    WITH buckets AS (
+        SELECT {by} floor({value}) AS bucket, sum(n) AS inside FROM {{counts}} GROUP BY {by} floor({value})
+    ), placed AS (
+        SELECT *, sum(inside) OVER ({group} ORDER BY bucket) AS upto, sum(inside) OVER ({group}) AS total FROM buckets
+    ), wanted AS (
+        SELECT *, (total - 1) * p AS place
+        FROM placed LATERAL VIEW explode(map({probs})) AS name, p
+    ), targets AS (
+        SELECT {by} bucket, upto - inside AS before, name, side, place - floor(place) AS frac, rank
+        FROM wanted LATERAL VIEW explode(map('lo', floor(place), 'hi', ceil(place))) AS side, rank
+        WHERE upto - inside <= rank AND rank < upto
+    ), inside AS (
+        SELECT {c_by} c.{value} AS v, c.n, t.name, t.side, t.frac, t.rank,
+               t.before + sum(c.n) OVER (PARTITION BY {c_by} t.bucket, t.name, t.side ORDER BY c.{value}) AS upto
+        FROM {{counts}} c JOIN targets t ON {on} floor(c.{value}) = t.bucket
+    )
+    SELECT {by} {picks} FROM inside WHERE upto - n <= rank AND rank < upto {grouping}
+"""
+
+
 def weighted_quantiles(counts: DataFrame, by: list[str], value: str, probs: Mapping[str, float]) -> DataFrame:
     """Linear-interpolation quantiles of a ``by..., value, n`` table, one row per group.
 
     ``probs`` maps result column names to probabilities.
     """
-    bucket = F.floor(F.col(value)).alias("_bucket")
-    over_group = Window.partitionBy(*(by or [F.lit(0)]))
-    buckets = (
-        counts.groupBy(*by, bucket)
-        .agg(F.sum("n").alias("_in"))
-        .withColumn("_upto", F.sum("_in").over(over_group.orderBy("_bucket")))
-        .withColumn("_all", F.sum("_in").over(over_group))
+    def pick(name: str) -> str:
+        at = {side: f"max(CASE WHEN name = '{name}' AND side = '{side}' THEN v END)" for side in ("lo", "hi")}
+        return f"{at['lo']} + ({at['hi']} - {at['lo']}) * max(CASE WHEN name = '{name}' THEN frac END) AS {name}"
+
+    query = _QUANTILES.format(
+        by="".join(f"{c}, " for c in by),
+        c_by="".join(f"c.{c}, " for c in by),
+        on="".join(f"c.{c} <=> t.{c} AND " for c in by),
+        group=f"PARTITION BY {', '.join(by) or '0'}",
+        grouping=f"GROUP BY {', '.join(by)}" if by else "",
+        value=value,
+        probs=", ".join(f"'{name}', {float(p)}D" for name, p in probs.items()),
+        picks=", ".join(pick(name) for name in probs),
     )
-
-    def ranks(name: str, p: float) -> list[Column]:
-        place = F.lit(p) * (F.col("_all") - 1)
-        return [
-            F.struct(F.lit(name).alias("_name"), F.lit(side).alias("_side"), rank.cast("long").alias("_rank"),
-                     (place - F.floor(place)).alias("_frac"))
-            for side, rank in (("lo", F.floor(place)), ("hi", F.ceil(place)))
-        ]
-
-    wanted = F.array(*[r for name, p in probs.items() for r in ranks(name, p)])
-    before = F.col("_upto") - F.col("_in")
-    targets = (
-        buckets.select(*by, "_bucket", "_upto", before.alias("_before"), F.explode(wanted).alias("_want"))
-        .select(*by, "_bucket", "_upto", "_before", "_want.*")
-        .filter((F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_upto")))
-        .drop("_upto")
-    )
-    inside = Window.partitionBy(*by, "_bucket", "_name", "_side").orderBy(value)
-    running = F.col("_before") + F.sum("n").over(inside)
-    found = (
-        counts.withColumn("_bucket", F.floor(F.col(value)))
-        .join(targets, [*by, "_bucket"])
-        .withColumn("_end", running)
-        .filter((F.col("_end") - F.col("n") <= F.col("_rank")) & (F.col("_rank") < F.col("_end")))
-    )
-
-    def interpolated(name: str) -> Column:
-        def at(side: str) -> Column:
-            return F.max(F.when((F.col("_name") == name) & (F.col("_side") == side), F.col(value)))
-
-        frac = F.max(F.when(F.col("_name") == name, F.col("_frac")))
-        return (at("lo") + (at("hi") - at("lo")) * frac).alias(name)
-
-    return found.groupBy(*by).agg(*[interpolated(name) for name in probs])
+    return counts.sparkSession.sql(query, counts=counts)
 
 
 def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: Mapping[str, float]) -> DataFrame:

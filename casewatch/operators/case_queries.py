@@ -2,6 +2,9 @@
 
 Each is one filter - group - aggregate pass: counts and means combine before the shuffle,
 so an institution with a third of all cases costs no more than any other group.
+
+Results carry no order unless a limit needs one: a global sort is a sampling job and a
+shuffle more. ``in_display_order`` sorts a result where it is shown.
 """
 
 from __future__ import annotations
@@ -15,6 +18,29 @@ from casewatch.functions.columns import age_days, count_status, growth_percent,
 
 ROWS = "*"
 
+# How each result is listed: column, and whether it falls.
+DISPLAY_ORDER = {
+    "top_banks_yoy": [("total_volume", True), ("bank_name", False)],
+    "category_trends": [("quarter_label", False), ("category_name", False)],
+    "resolution_efficiency": [("efficiency_rank", False), ("bank_name", False)],
+    "state_heatmap": [("state", False), ("complaint_count", True), ("category_name", False)],
+    "pendency_aging": [("total_pending", True), ("bank_name", False)],
+    "rising_categories": [("qoq_growth_pct", True), ("category_name", False)],
+    "monthly_trend": [("month_start", False)],
+    "value_counts": [("complaint_count", True), ("value", False)],
+    "quarter_category_volumes": [("quarter_label", False), ("category_name", False)],
+    "state_volume": [("complaint_count", True), ("state", False)],
+    "category_monthly": [("year", False), ("month", False)],
+    "mis_bank": [("total_complaints", True), ("bank_name", False)],
+    "category_breakdown": [("category_name", False), ("complaint_count", True), ("subcategory_name", False)],
+    "mis_geo": [("complaint_count", True), ("state", False)],
+    "risk_scores": [("risk_score", True), ("bank_name", False)],
+}
+
+
+def in_display_order(result: DataFrame, name: str) -> DataFrame:
+    return result.orderBy(*[F.col(c).desc_nulls_last() if falls else F.col(c).asc_nulls_last() for c, falls in DISPLAY_ORDER[name]])
+
 
 def top_banks_yoy(wide: DataFrame, prev: int = 2023, curr: int = 2024, k: int = 10) -> DataFrame:
     """The k institutions with most cases, and their change between two years."""
@@ -38,7 +64,6 @@ def category_trends(wide: DataFrame) -> DataFrame:
     return (
         wide.groupBy("category_name", "year", "quarter")
         .agg(F.count(ROWS).alias("complaint_count"))
-        .orderBy("year", "quarter", "category_name")
         .select("category_name", quarter_label().alias("quarter_label"), "complaint_count")
     )
 
@@ -66,16 +91,11 @@ def resolution_efficiency(wide: DataFrame) -> DataFrame:
             F.round("avg_days", 1).alias("avg_resolution_days"),
             F.rank().over(speed).alias("efficiency_rank"),
         )
-        .orderBy(F.col("avg_resolution_days").asc_nulls_last(), "bank_name")
     )
 
 
 def state_heatmap(wide: DataFrame) -> DataFrame:
-    return (
-        wide.groupBy("state", "category_name")
-        .agg(F.count(ROWS).alias("complaint_count"))
-        .orderBy("state", F.desc("complaint_count"), "category_name")
-    )
+    return wide.groupBy("state", "category_name").agg(F.count(ROWS).alias("complaint_count"))
 
 
 def heatmap_pivot(wide: DataFrame, categories: Sequence[str]) -> DataFrame:
@@ -94,7 +114,6 @@ def pendency_aging(wide: DataFrame, ref_date: str = "2024-12-31", cuts: Sequence
             F.count(ROWS).alias("total_pending"),
             *[F.count_if(age > cut).alias(f"pending_{cut}_days") for cut in cuts],
         )
-        .orderBy(F.desc("total_pending"), "bank_name")
     )
 
 
@@ -121,9 +140,8 @@ def rising_categories(
         )
         .filter((before > 0) & (growth > min_growth))
         .withColumn("qoq_growth_pct", F.round(growth * 100, 2))
-        .orderBy(F.desc("qoq_growth_pct"), "category_name")
     )
-    return rising if k is None else rising.limit(k)
+    return rising if k is None else rising.orderBy(F.desc("qoq_growth_pct"), "category_name").limit(k)
 
 
 def kpi_cards(wide: DataFrame, years: Sequence[int], bank_types: Sequence[str] | None = None) -> DataFrame:
@@ -146,15 +164,13 @@ def kpi_cards(wide: DataFrame, years: Sequence[int], bank_types: Sequence[str] |
 
 
 def monthly_trend(wide: DataFrame) -> DataFrame:
-    return wide.groupBy(F.trunc("date", "MM").alias("month_start")).agg(F.count(ROWS).alias("complaint_count")).orderBy("month_start")
+    return wide.groupBy(F.trunc("date", "MM").alias("month_start")).agg(F.count(ROWS).alias("complaint_count"))
 
 
 def value_counts(wide: DataFrame, column: str, k: int | None = None) -> DataFrame:
-    """Counts per value, most frequent first, value as tie-break."""
-    counts = (
-        wide.groupBy(F.col(column).alias("value")).agg(F.count(ROWS).alias("complaint_count")).orderBy(F.desc("complaint_count"), "value")
-    )
-    return counts if k is None else counts.limit(k)
+    """Counts per value, or the k most frequent ones (value as tie-break)."""
+    counts = wide.groupBy(F.col(column).alias("value")).agg(F.count(ROWS).alias("complaint_count"))
+    return counts if k is None else counts.orderBy(F.desc("complaint_count"), "value").limit(k)
 
 
 def value_counts_of_all(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -203,11 +219,7 @@ def text_search(df: DataFrame, pattern: str, column: str = "text", literal: bool
 
 
 def quarter_category_volumes(wide: DataFrame) -> DataFrame:
-    return (
-        wide.groupBy(quarter_label().alias("quarter_label"), "category_name")
-        .agg(F.count(ROWS).alias("complaint_count"))
-        .orderBy("quarter_label", "category_name")
-    )
+    return wide.groupBy(quarter_label().alias("quarter_label"), "category_name").agg(F.count(ROWS).alias("complaint_count"))
 
 
 def top_subcategories(wide: DataFrame, k: int = 8) -> DataFrame:
@@ -248,7 +260,6 @@ def category_monthly(wide: DataFrame, category: str = "Digital Banking Fraud") -
         .groupBy("year", "month")
         .agg(F.count(ROWS).alias("complaint_count"))
         .select("year", "month", F.make_date("year", "month", F.lit(1)).alias("month_start"), "complaint_count")
-        .orderBy("year", "month")
     )
 
 

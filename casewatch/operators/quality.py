@@ -56,23 +56,16 @@ def keep_window(raw: DataFrame, start: str = START, end: str = END) -> DataFrame
     )
 
 
-def _must_be_null() -> Column:
-    return (F.col("status") == "Pending") & F.col("resolution_days").isNotNull()
-
-
-def _must_be_positive() -> Column:
-    days = F.col("resolution_days")
-    return (F.col("status") == "Resolved") & (days.isNull() | (days <= 0))
+MUST_BE_NULL = "status = 'Pending' AND resolution_days IS NOT NULL"
+MUST_BE_POSITIVE = "status = 'Resolved' AND (resolution_days IS NULL OR resolution_days <= 0)"
 
 
 def _repaired(median: Column) -> Column:
-    return F.when(F.col("status") == "Pending", F.lit(None).cast("double")).when(
-        _must_be_positive(), median
-    ).otherwise(F.col("resolution_days"))
+    return F.when(F.expr("status = 'Pending'"), F.lit(None)).when(F.expr(MUST_BE_POSITIVE), median).otherwise(F.col("resolution_days"))
 
 
 def _usable_days(df: DataFrame) -> DataFrame:
-    return df.filter((F.col("status") != "Pending") & (F.col("resolution_days") > 0))
+    return df.filter("status <> 'Pending' AND resolution_days > 0")
 
 
 def _or_fallback(median: DataFrame, fallback_days: float) -> Column:
@@ -123,7 +116,7 @@ def dq_report(
     median = _or_fallback(
         weighted_quantiles(_usable_days(counts.filter("kept")), [], "resolution_days", {"median": 0.5}), fallback_days
     )
-    broken = F.col("kept") & (_must_be_null() | _must_be_positive())
+    broken = F.expr(f"kept AND (({MUST_BE_NULL}) OR ({MUST_BE_POSITIVE}))")
     repaired = counts.withColumn("center", median).withColumns(
         {"days": F.when(F.col("kept"), _repaired(F.col("center"))), "fixed": F.when(broken, F.col("n"))}
     )

@@ -27,7 +27,6 @@ def mis_bank(wide: DataFrame, high: float = 40, medium: float = 29) -> DataFrame
             "avg_resolution_days",
             F.when(days > high, "High").when(days > medium, "Medium").otherwise("Low").alias("risk_level"),
         )
-        .orderBy(F.desc("total_complaints"), "bank_name")
     )
 
 
@@ -37,7 +36,6 @@ def category_breakdown(wide: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("complaint_count"), count_status("Resolved").alias("resolved_count"))
         .withColumn("resolution_rate_pct", _rate("complaint_count"))
         .drop("resolved_count")
-        .orderBy("category_name", F.desc("complaint_count"), "subcategory_name")
     )
 
 
@@ -46,7 +44,6 @@ def mis_geo(wide: DataFrame) -> DataFrame:
         wide.groupBy("state")
         .agg(F.count("*").alias("complaint_count"), count_status("Resolved").alias("resolved_count"))
         .withColumn("resolution_rate_pct", _rate("complaint_count"))
-        .orderBy(F.desc("complaint_count"), "state")
     )
 
 

@@ -78,10 +78,18 @@ class SampleTables:
     def wide(self) -> DataFrame:
         return S.as_wide(self.cases)
 
+    def _kept(self, **parts: bool) -> DataFrame:
+        return S.as_wide(V.keep_window(V.fill_required(sample.raw_cases(self.spark, self.sf_dir, **parts)), **WINDOW))
+
     @cached_property
     def counted(self) -> DataFrame:
-        """The wide table for queries that do not read days: no median is needed."""
-        return S.as_wide(self.kept.drop("resolution_days"))
+        """The wide table for queries that do not read days: no repair is needed."""
+        return self._kept(days=False)
+
+    @cached_property
+    def plain(self) -> DataFrame:
+        """The wide table for queries that read neither days nor category: no order lines."""
+        return self._kept(days=False, category=False)
 
     @cached_property
     def banks(self) -> DataFrame:
@@ -196,7 +204,7 @@ def _statistics(t: SampleTables) -> DataFrame:
 
 
 def _forecast_rows(t: SampleTables) -> DataFrame:
-    series = G.monthly_series(t.counted, "bank_type")
+    series = G.monthly_series(t.plain, "bank_type")
     documents = FC.forecast_document(series, FC.compound_growth_forecast(series))
     return results.forecast_rows(documents)
 
@@ -278,27 +286,27 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "zscore_outliers": lambda t: V.zscore_outliers(t.cases),
     "calendar_parts": lambda t: V.calendar_parts(t.table("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date"))),
     "dup_keys": lambda t: V.dup_keys(t.table("lineitem"), ["l_orderkey", "l_linenumber"]),
-    "domain_violations": lambda t: V.domain_violations(t.counted, DOMAINS),
+    "domain_violations": lambda t: V.domain_violations(t.plain, DOMAINS),
     "fk_orphans": lambda t: V.fk_orphans(
         t.table("customer").select("c_custkey"), t.table("orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey"
     ),
     # queries
-    "top_banks_yoy": lambda t: Q.top_banks_yoy(t.counted, 1999, 2000),
+    "top_banks_yoy": lambda t: Q.top_banks_yoy(t.plain, 1999, 2000),
     "category_trends": lambda t: Q.category_trends(t.counted),
     "resolution_efficiency": lambda t: Q.resolution_efficiency(t.wide),
     "state_heatmap": lambda t: Q.state_heatmap(t.counted),
     "heatmap_pivot": lambda t: Q.heatmap_pivot(t.counted, CATEGORIES),
-    "pendency_aging": lambda t: Q.pendency_aging(t.counted, REF),
+    "pendency_aging": lambda t: Q.pendency_aging(t.plain, REF),
     "rising_categories": lambda t: Q.rising_categories(t.counted, **RISING),
     "kpi_cards": lambda t: Q.kpi_cards(t.wide, KPI_YEARS, ["ASIA", "EUROPE"]),
-    "monthly_trend": lambda t: Q.monthly_trend(t.counted),
+    "monthly_trend": lambda t: Q.monthly_trend(t.plain),
     "value_counts": lambda t: Q.value_counts_of_all(t.counted, ["category_name", "channel", "customer_segment", "bank_name"]),
-    "status_share": lambda t: Q.value_share(t.counted),
+    "status_share": lambda t: Q.value_share(t.plain),
     "quarter_category_volumes": lambda t: Q.quarter_category_volumes(Q.drill_down(t.counted, bank="NATION_7", search="order .*1")),
     "top_subcategories": lambda t: Q.top_subcategories(t.counted),
-    "state_volume": lambda t: Q.state_volume(t.counted),
-    "top_state_trend": lambda t: Q.top_state_trend(t.counted),
-    "top_banks_typed": lambda t: Q.top_banks_typed(t.counted),
+    "state_volume": lambda t: Q.state_volume(t.plain),
+    "top_state_trend": lambda t: Q.top_state_trend(t.plain),
+    "top_banks_typed": lambda t: Q.top_banks_typed(t.plain),
     "category_monthly": lambda t: Q.category_monthly(t.counted, CATEGORY),
     "category_top_states": lambda t: Q.category_top_states(t.counted, CATEGORY),
     "text_search": lambda t: Q.text_search(t.table("documents").select("doc_id", "text"), SEARCH).select("doc_id"),
@@ -316,12 +324,12 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "welch_t": lambda t: A.welch_t(t.wide, **WELCH),
     "ols_days": lambda t: A.ols_days(t.wide, BASELINES),
     "ols_simple": lambda t: A.ols_simple(t.wide.filter("resolution_days IS NOT NULL"), "resolution_days", "month", "bank_type"),
-    "mann_kendall": lambda t: A.mann_kendall(A.monthly_count_series(t.counted, "bank_name")),
+    "mann_kendall": lambda t: A.mann_kendall(A.monthly_count_series(t.plain, "bank_name")),
     # series and forecasts
-    "monthly_series": lambda t: G.monthly_series(t.counted),
-    "series_arrays": lambda t: G.series_arrays(G.monthly_series(t.counted, "bank_name")),
-    "compound_growth_forecast": lambda t: FC.compound_growth_forecast(G.monthly_series(t.counted, "bank_name")),
-    "seasonal_forecast": lambda t: FC.seasonal_forecast(G.monthly_series(t.counted, "bank_name")),
+    "monthly_series": lambda t: G.monthly_series(t.plain),
+    "series_arrays": lambda t: G.series_arrays(G.monthly_series(t.plain, "bank_name")),
+    "compound_growth_forecast": lambda t: FC.compound_growth_forecast(G.monthly_series(t.plain, "bank_name")),
+    "seasonal_forecast": lambda t: FC.seasonal_forecast(G.monthly_series(t.plain, "bank_name")),
     # text classification
     "stratified_split": lambda t: t.split.select("doc_id", "label", "is_train"),
     "keyword_classify": lambda t: M.keyword_classify(t.table("documents"), "doc_id", "text"),
@@ -346,11 +354,11 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     # reports
     "mis_bank": lambda t: R.mis_bank(t.wide),
     "category_breakdown": lambda t: R.category_breakdown(t.counted),
-    "mis_geo": lambda t: R.mis_geo(t.counted),
+    "mis_geo": lambda t: R.mis_geo(t.plain),
     "mis_with_total": lambda t: R.with_summary_row(R.mis_bank(t.wide), "bank_name"),
     "report_headline": lambda t: R.report_headline(t.wide, *REPORT_MONTH),
     "report_top_categories": lambda t: R.report_top_categories(t.counted, *REPORT_MONTH),
-    "attention_banks": lambda t: R.attention_banks(t.counted, REF),
+    "attention_banks": lambda t: R.attention_banks(t.plain, REF),
     "report_tables": _report,
     "mis_tables": _mis,
     "run_pipeline": _pipeline,

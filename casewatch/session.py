@@ -15,6 +15,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",  # no Python stack capture per call
 }
 
 

@@ -6,66 +6,69 @@ pending cases, resolved cases without days), so that every cleaning rule fires.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WINDOW = {"start": "1995-01-01", "end": "2001-06-30"}
 REF_DATE = "2001-06-30"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def _status() -> Column:
-    slot = F.col("o_orderkey") % 100
-    return F.when(slot < 82, "Resolved").when(slot < 92, "Pending").otherwise("Escalated")
-
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
 
-def _days() -> Column:
-    base = F.date_diff("last_ship", "o_orderdate") % 220 + F.when(F.col("o_orderkey") % 67 == 0, 400).otherwise(0)
-    hidden = (F.col("status") == "Pending") & (F.col("o_orderkey") % 3 != 0)
-    return F.when(~hidden, base).cast("double")
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A sample table. Its schema is read from the file once per session, then reused, so
+    that defining a query starts no job."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
+
+
+_BASE = """
+    SELECT o_orderkey AS complaint_id, CAST(o_orderdate AS DATE) AS date, n_name AS bank_name, r_name AS bank_type,
+           concat('Order ', o_orderkey, ' of ', c_name) AS complaint_text,
+           concat('STATE_', o_custkey % 36) AS state, o_orderpriority AS channel,
+           CASE WHEN o_orderkey % 100 < 82 THEN 'Resolved' WHEN o_orderkey % 100 < 92 THEN 'Pending' ELSE 'Escalated' END AS status,
+           c_mktsegment AS customer_segment,
+           year(o_orderdate) AS year, month(o_orderdate) AS month, quarter(o_orderdate) AS quarter
+    FROM {orders}
+    JOIN {customer} ON o_custkey = c_custkey
+    JOIN {nation} ON c_nationkey = n_nationkey
+    JOIN {region} ON n_regionkey = r_regionkey
+"""
 
-def raw_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw case file (15 columns). Joins not needed by a query are pruned: the lines are
-    aggregated to one row per order, so Catalyst drops that left join when unused."""
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(F.min("l_partkey").alias("p_partkey"), F.max("l_shipdate").alias("last_ship"))
-    )
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
-    customer = table(spark, sf_dir, "customer").withColumnsRenamed({"c_custkey": "o_custkey", "c_nationkey": "n_nationkey"})
-    nation = table(spark, sf_dir, "nation").withColumnRenamed("n_regionkey", "r_regionkey")
-    date = F.col("o_orderdate").cast("date")
-    return (
-        table(spark, sf_dir, "orders")
-        .join(customer, "o_custkey")
-        .join(nation, "n_nationkey")
-        .join(table(spark, sf_dir, "region"), "r_regionkey")
-        .join(lines, "o_orderkey", "left")
-        .join(part, "p_partkey", "left")
-        .withColumn("status", _status())
-        .select(
-            F.col("o_orderkey").alias("complaint_id"),
-            date.alias("date"),
-            F.col("n_name").alias("bank_name"),
-            F.col("r_name").alias("bank_type"),
-            F.col("p_type").alias("complaint_category"),
-            F.concat("p_type", F.lit("/"), "p_brand").alias("complaint_subcategory"),
-            F.concat(F.lit("Order "), F.col("o_orderkey").cast("string"), F.lit(" of "), "c_name").alias("complaint_text"),
-            F.concat(F.lit("STATE_"), (F.col("o_custkey") % 36).cast("string")).alias("state"),
-            F.col("o_orderpriority").alias("channel"),
-            "status",
-            _days().alias("resolution_days"),
-            F.col("c_mktsegment").alias("customer_segment"),
-            F.year(date).alias("year"),
-            F.month(date).alias("month"),
-            F.quarter(date).alias("quarter"),
-        )
-    )
+_LINES = "SELECT l_orderkey, min(l_partkey) AS first_part, max(l_shipdate) AS last_ship FROM {lineitem} GROUP BY l_orderkey"
+
+_CATEGORY = "p_type AS complaint_category, concat(p_type, '/', p_brand) AS complaint_subcategory"
+
+_DAYS = """CASE WHEN status <> 'Pending' OR complaint_id % 3 = 0
+    THEN CAST(date_diff(last_ship, date) % 220 + IF(complaint_id % 67 = 0, 400, 0) AS DOUBLE) END AS resolution_days"""
+
+COLUMNS = [
+    "complaint_id", "date", "bank_name", "bank_type", "complaint_category", "complaint_subcategory", "complaint_text",
+    "state", "channel", "status", "resolution_days", "customer_segment", "year", "month", "quarter",
+]
+
+
+def raw_cases(spark: SparkSession, sf_dir: str, category: bool = True, days: bool = True) -> DataFrame:
+    """Raw case file. Category and days come from the order lines; without them the column
+    is left out and so is its join. (Catalyst would drop the joins by itself if Parquet
+    could declare that ``p_partkey`` is unique.)"""
+    dropped = ([] if category else ["complaint_category", "complaint_subcategory"]) + ([] if days else ["resolution_days"])
+    derived = ([_CATEGORY] if category else []) + ([_DAYS] if days else [])
+    query = f"SELECT base.*{''.join(', ' + d for d in derived)} FROM ({_BASE}) base"
+    names = ["orders", "customer", "nation", "region"]
+    if category or days:
+        query += f" LEFT JOIN ({_LINES}) ON complaint_id = l_orderkey"
+        names.append("lineitem")
+    if category:
+        query += " LEFT JOIN {part} ON first_part = p_partkey"
+        names.append("part")
+    frames = {name: table(spark, sf_dir, name) for name in names}
+    return spark.sql(query, **frames).select(*[c for c in COLUMNS if c not in dropped])
 
 
 def institutions(spark: SparkSession, sf_dir: str) -> DataFrame:

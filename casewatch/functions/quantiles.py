@@ -34,7 +34,8 @@ _QUANTILES = """
         WHERE upto - inside <= rank AND rank < upto
     ), inside AS (
         SELECT {c_by} c.{value} AS v, c.n, t.name, t.side, t.frac, t.rank,
-               t.before + sum(c.n) OVER (PARTITION BY {c_by} t.bucket, t.name, t.side ORDER BY c.{value}) AS upto
+               t.before + sum(c.n) OVER (PARTITION BY {c_by} t.bucket, t.name, t.side ORDER BY c.{value}
+                                        ROWS UNBOUNDED PRECEDING) AS upto
         FROM {{counts}} c JOIN targets t ON {on} floor(c.{value}) = t.bucket
     )
     SELECT {by} {picks} FROM inside WHERE upto - n <= rank AND rank < upto {grouping}
@@ -44,7 +45,7 @@ _QUANTILES = """
 def weighted_quantiles(counts: DataFrame, by: list[str], value: str, probs: Mapping[str, float]) -> DataFrame:
     """Linear-interpolation quantiles of a ``by..., value, n`` table, one row per group.
 
-    ``probs`` maps result column names to probabilities.
+    ``probs`` maps result column names to probabilities. A value may occur in several rows.
     """
     def pick(name: str) -> str:
         at = {side: f"max(CASE WHEN name = '{name}' AND side = '{side}' THEN v END)" for side in ("lo", "hi")}

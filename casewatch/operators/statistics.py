@@ -301,32 +301,37 @@ def monthly_count_series(wide: DataFrame, by: str) -> DataFrame:
 
 
 def statistics_document(descriptive: DataFrame, welch: DataFrame, ols: DataFrame, trend: DataFrame, by: str = "bank_type") -> DataFrame:
-    """The four results as one JSON text: one row per result part is gathered, never cases."""
+    """The four results as one JSON text.
 
-    def as_map(df: DataFrame, key: str, fields: list[str]) -> Column:
-        entries = F.sort_array(F.collect_list(F.struct(F.col(key).alias("key"), F.struct(*fields).alias("value"))))
-        return df.agg(F.map_from_entries(entries).alias("m")).scalar()
+    Each result becomes one row of JSON (one entry per group, term or series, never cases);
+    the four rows are then joined to one object.
+    """
+
+    def entries(key: str, fields: list[str]) -> Column:
+        pairs = F.collect_list(F.struct(F.col(key).alias("key"), F.struct(*fields).alias("value")))
+        return F.map_from_entries(F.sort_array(pairs))
+
+    def section(name: str, df: DataFrame, body: Column) -> DataFrame:
+        return df.select(F.lit(name).alias("name"), F.to_json(body).alias("body"))
 
     fit = ["r_squared", "adj_r_squared", "f_statistic", "f_pvalue"]
-    whole_fit = ols.agg(F.struct(*[F.max(c).alias(c) for c in fit]).alias("f")).scalar()
-    coefficients = as_map(ols, "variable", ["coefficient", "t_statistic", "p_value", "significant"])
-    tests = welch.select(
-        as_map(descriptive, by, ["mean", "median", "std", "skew", "count"]).alias("descriptive_statistics"),
-        F.struct("t_statistic", "p_value", "reject_null", "interpretation").alias("welch_t_test"),
-        whole_fit.alias("fit"),
-        coefficients.alias("coefficients"),
-        as_map(
-            trend, "series",
-            ["trend", "tau", "s_statistic", "z_score", "p_value", "reject_null", "interpretation", "monthly_counts"],
-        ).alias("mann_kendall_trend_test"),
-    )
-    return tests.select(
-        F.to_json(
-            F.struct(
-                "descriptive_statistics",
-                "welch_t_test",
-                F.struct(*[F.col(f"fit.{c}").alias(c) for c in fit], "coefficients").alias("ols_regression"),
-                "mann_kendall_trend_test",
-            )
-        ).alias("document")
+    trend_fields = ["trend", "tau", "s_statistic", "z_score", "p_value", "reject_null", "interpretation", "monthly_counts"]
+    parts = [
+        section(
+            "descriptive_statistics",
+            descriptive.agg(entries(by, ["mean", "median", "std", "skew", "count"]).alias("m")), F.col("m"),
+        ),
+        section("welch_t_test", welch, F.struct("t_statistic", "p_value", "reject_null", "interpretation")),
+        section(
+            "ols_regression",
+            ols.agg(*[F.max(c).alias(c) for c in fit],
+                    entries("variable", ["coefficient", "t_statistic", "p_value", "significant"]).alias("coefficients")),
+            F.struct(*fit, "coefficients"),
+        ),
+        section("mann_kendall_trend_test", trend.agg(entries("series", trend_fields).alias("m")), F.col("m")),
+    ]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    member = F.concat(F.lit('"'), "name", F.lit('":'), "body")
+    return rows.agg(
+        F.concat(F.lit("{"), F.array_join(F.sort_array(F.collect_list(member)), ","), F.lit("}")).alias("document")
     )

@@ -51,8 +51,8 @@ def monthly_series(cases: DataFrame, by: str | None = None, drop_partial_months:
         F.count("*").alias("n"), F.max("date").alias("newest")
     )
     if drop_partial_months:
-        newest = F.max("month_end").over(Window.partitionBy("series"))
-        counted = counted.filter((F.col("month_end") < newest) | (F.col("newest") == F.col("month_end")))
+        last = F.max("month_end").over(Window.partitionBy("series"))
+        counted = counted.withColumn("last", last).filter("month_end < last OR newest = month_end")
     step = F.expr("interval 1 month")
     first, last = F.trunc(F.min("month_end"), "MM"), F.trunc(F.max("month_end"), "MM")
     spine = counted.groupBy("series").agg(F.sequence(first, last, step).alias("months")).select(

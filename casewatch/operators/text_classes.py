@@ -37,12 +37,13 @@ def stratified_split(df: DataFrame, label: str, key: str, test: float = 0.2, see
         .withColumn("_n", F.sum("_in").over(over_class))
         .withColumn("_quota", F.col("_n") - F.floor(F.col("_n") * (1 - test) + 1e-9))
     )
-    edge = buckets.filter((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_in") < F.col("_quota"))).select(
-        label, "_bucket", (F.col("_quota") - F.col("_upto") + F.col("_in")).alias("_take")
+    edge = buckets.filter("_upto >= _quota AND _upto - _in < _quota").select(
+        F.col(label).alias("_edge_class"), F.col("_bucket").alias("_edge"), F.expr("_quota - _upto + _in").alias("_take")
     )
+    at_edge = (F.col("_bucket") == F.col("_edge")) & F.col(label).eqNullSafe(F.col("_edge_class"))
     in_bucket = Window.partitionBy(label, "_bucket").orderBy("_order")
     threshold = (
-        hashed.join(edge, [label, "_bucket"])
+        hashed.join(edge, at_edge)
         .withColumn("_at", F.row_number().over(in_bucket))
         .filter(F.col("_at") == F.col("_take"))
         .select(F.col(label).alias("_class"), F.col("_order").alias("_last_test"))
@@ -63,10 +64,12 @@ def train_classifier(
     vocab: int = 500,
     C: float = 1.0,
     max_iter: int = 1000,
+    tol: float = 1e-4,
 ) -> PipelineModel:
     """Multinomial logistic regression on TF-IDF of the text and the one-hot channel.
 
     The returned model scores frames without a label column; an unseen channel counts as none.
+    ``train`` is read several times: hand over a stored table.
     """
     tfidf = fit_tfidf(train, text, vocab)
     channels = StringIndexer(inputCol=channel, outputCol="channel_index", handleInvalid="keep", stringOrderType="alphabetAsc").fit(train)
@@ -83,6 +86,7 @@ def train_classifier(
         regParam=1.0 / (C * train.count()),
         standardization=False,
         maxIter=max_iter,
+        tol=tol,
     ).fit(ready)
     names = IndexToString(inputCol="prediction", outputCol="predicted_category", labels=labels.labels)
     return PipelineModel([*features.stages, regression, names])

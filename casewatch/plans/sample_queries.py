@@ -137,7 +137,8 @@ class SampleTables:
         key = (self.spark.sparkContext.applicationId, self.sf_dir)
         if key not in _MODELS:
             path = new_table_path(self.spark, "classifier")
-            M.train_classifier(self.train, "text", "channel", "label").write().save(path)
+            train = self.round_trip(self.train, "train")
+            M.train_classifier(train, "text", "channel", "label").write().save(path)
             _MODELS[key] = path
         return PipelineModel.load(_MODELS[key])
 

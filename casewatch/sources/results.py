@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 STATISTICS = """
@@ -36,26 +36,29 @@ def risk_rows(documents: DataFrame) -> DataFrame:
 
 
 def statistics_rows(documents: DataFrame) -> DataFrame:
-    """``section, item, metric, value`` rows of the numeric results."""
-    d = documents.select(F.from_json("document", STATISTICS).alias("d")).select("d.*")
+    """``section, item, metric, value`` rows of the numeric results; a document is parsed once."""
 
-    def melted(section: str, item, source, metrics: list[str]):
-        rows = F.array(*[F.struct(F.lit(m).alias("metric"), source[m].cast("double").alias("value")) for m in metrics])
-        return lambda df: df.select(F.lit(section).alias("section"), item.alias("item"), F.inline(rows))
+    def metrics(section: str, item: Column, source: Column, names: list[str]) -> Column:
+        return F.array(
+            *[
+                F.struct(F.lit(section).alias("section"), item.alias("item"), F.lit(n).alias("metric"),
+                         source[n].cast("double").alias("value"))
+                for n in names
+            ]
+        )
 
-    item, value = F.col("key"), F.col("value")
-    descriptive = melted("descriptive_statistics", item, value, ["mean", "median", "std", "skew", "count"])(
-        d.select(F.explode("descriptive_statistics"))
-    )
-    welch = melted("welch_t_test", F.lit("test"), F.col("welch_t_test"), ["t_statistic", "p_value"])(d)
-    fit = melted("ols_regression", F.lit("model"), F.col("ols_regression"), ["r_squared", "adj_r_squared", "f_statistic", "f_pvalue"])(d)
-    coefficients = melted("ols_coefficients", item, value, ["coefficient", "t_statistic", "p_value"])(
-        d.select(F.explode("ols_regression.coefficients"))
-    )
-    trend = melted("mann_kendall_trend_test", item, value, ["tau", "s_statistic", "z_score", "p_value"])(
-        d.select(F.explode("mann_kendall_trend_test"))
+    def of_map(section: str, entries: Column, names: list[str]) -> Column:
+        return F.flatten(F.transform(F.map_entries(entries), lambda e: metrics(section, e["key"], e["value"], names)))
+
+    fit = ["r_squared", "adj_r_squared", "f_statistic", "f_pvalue"]
+    rows = F.concat(
+        of_map("descriptive_statistics", F.col("descriptive_statistics"), ["mean", "median", "std", "skew", "count"]),
+        metrics("welch_t_test", F.lit("test"), F.col("welch_t_test"), ["t_statistic", "p_value"]),
+        metrics("ols_regression", F.lit("model"), F.col("ols_regression"), fit),
+        of_map("ols_coefficients", F.col("ols_regression.coefficients"), ["coefficient", "t_statistic", "p_value"]),
+        of_map("mann_kendall_trend_test", F.col("mann_kendall_trend_test"), ["tau", "s_statistic", "z_score", "p_value"]),
     )
-    return descriptive.unionByName(welch).unionByName(fit).unionByName(coefficients).unionByName(trend)
+    return documents.select(F.from_json("document", STATISTICS).alias("d")).select("d.*").select(F.inline(rows))
 
 
 def forecast_rows(documents: DataFrame) -> DataFrame:

@@ -219,7 +219,7 @@ itself they them their theirs themselves what which who whom this that these tho
 having do does did doing a an the and but if or because as until while of at by for with about against between into through during
 before after above below to from up down in out on off over under again further then once here there when where why how all any
 both each few more most other some such no nor not only own same so than too very s t can will just don should now could would
-cannot""".split()
+cannot ought""".split()
 
 _TFIDF = """, tokens AS (
   SELECT id, list_filter(regexp_extract_all(lower(body), '[\\p{L}\\p{N}_]{2,}'), lambda w: NOT list_contains([""" + ", ".join(

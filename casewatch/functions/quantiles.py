@@ -22,7 +22,7 @@ def value_counts_of(df: DataFrame, by: list[str], value: str) -> DataFrame:
 
 _QUANTILES = """
     WITH buckets AS (
-        SELECT {by} floor({value}) AS bucket, sum(n) AS inside FROM {{counts}} GROUP BY {by} floor({value})
+        SELECT {by} floor({value}) AS bucket, sum(n) AS inside FROM {{counts}} WHERE {value} IS NOT NULL GROUP BY {by} floor({value})
     ), placed AS (
         SELECT *, sum(inside) OVER ({group} ORDER BY bucket) AS upto, sum(inside) OVER ({group}) AS total FROM buckets
     ), wanted AS (

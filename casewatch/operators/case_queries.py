@@ -233,14 +233,18 @@ def state_volume(wide: DataFrame) -> DataFrame:
 def top_state_trend(wide: DataFrame, k: int = 5) -> DataFrame:
     """Monthly counts of the k states with most cases.
 
-    The months are counted once per state; the top states are picked from those counts, so
-    the cases are read once.
+    Each state's months are kept beside its total as one array (an entry per calendar
+    month), so the cases are read once.
     """
     monthly = wide.groupBy("state", "year", "month").agg(F.count(ROWS).alias("complaint_count"))
-    top = monthly.groupBy("state").agg(F.sum("complaint_count").alias("total")).orderBy(F.desc("total"), "state").limit(k)
-    return monthly.join(top, "state", "left_semi").select(
-        "state", F.make_date("year", "month", F.lit(1)).alias("month_start"), "complaint_count"
+    months = F.collect_list(F.struct(F.make_date("year", "month", F.lit(1)).alias("month_start"), "complaint_count"))
+    top = (
+        monthly.groupBy("state")
+        .agg(F.sum("complaint_count").alias("total"), months.alias("months"))
+        .orderBy(F.desc("total"), "state")
+        .limit(k)
     )
+    return top.select("state", F.inline("months"))
 
 
 def top_banks_typed(wide: DataFrame, k: int = 10) -> DataFrame:

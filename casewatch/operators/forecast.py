@@ -6,37 +6,58 @@ from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casewatch.fixed_values import FORECAST_STATUS
-from casewatch.schemas import FORECAST
 
+_STEPS = T.ArrayType(T.StructType([T.StructField(name, T.DoubleType()) for name in ("f", "lower", "upper")]))
 
-def compound_growth_forecast(series: DataFrame, steps: int = 6, band: float = 0.15) -> DataFrame:
-    """Last value grown by the mean monthly change, with a proportional band.
 
-    A change from 0 is undefined and left out of the mean.
+def _by_series(series: DataFrame) -> DataFrame:
+    """One row per series: its values in time order, last month, last value, mean change.
+
+    A series has one entry per calendar month. A change from 0 is undefined and left out.
     """
-    in_time = Window.partitionBy("series").orderBy("month_end")
-    change = F.try_divide(F.col("value"), F.lag("value").over(in_time)) - 1
-    last = series.withColumn("change", change).groupBy("series").agg(
-        F.coalesce(F.avg("change"), F.lit(0.0)).alias("growth"),
-        F.max_by("value", "month_end").alias("last_value"),
-        F.max("month_end").alias("last_month"),
+    points = F.sort_array(F.collect_list(F.struct("month_end", "value")))
+    return series.groupBy("series").agg(points.alias("p")).selectExpr(
+        "series",
+        "transform(p, x -> x.value) AS x",
+        "element_at(p, -1).month_end AS last_month",
+        "element_at(p, -1).value AS last_value",
+        """coalesce(aggregate(
+            filter(zip_with(slice(p, 2, size(p)), slice(p, 1, size(p) - 1), (b, a) -> try_divide(b.value, a.value) - 1), c -> c IS NOT NULL),
+            named_struct('s', 0D, 'n', 0), (acc, c) -> named_struct('s', acc.s + c, 'n', acc.n + 1), acc -> try_divide(acc.s, acc.n)
+        ), 0D) AS growth""",
     )
-    ahead = last.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(steps))))
-    forecast = F.col("last_value") * F.pow(1 + F.col("growth"), F.col("step"))
-    return ahead.withColumn("f", forecast).select(
+
+
+def _rows_of(ahead: DataFrame) -> DataFrame:
+    """``series, last_month, steps ARRAY<STRUCT<f, lower, upper>>, status`` as forecast rows."""
+    return ahead.select("series", "last_month", "status", F.posexplode("steps").alias("at", "s")).select(
         "series",
-        F.last_day(F.add_months("last_month", F.col("step"))).alias("forecast_date"),
-        F.bround("f", 2).alias("forecast_value"),
-        F.bround(F.col("f") * (1 - band), 2).alias("lower"),
-        F.bround(F.col("f") * (1 + band), 2).alias("upper"),
-        F.lit(FORECAST_STATUS["fallback"]).alias("status"),
+        F.last_day(F.add_months("last_month", F.col("at") + 1)).alias("forecast_date"),
+        F.bround("s.f", 2).alias("forecast_value"),
+        F.bround("s.lower", 2).alias("lower"),
+        F.bround("s.upper", 2).alias("upper"),
+        "status",
     )
 
 
+def _compound(steps: int, band: float) -> Column:
+    value = "last_value * pow(1 + growth, i)"
+    return F.expr(
+        f"transform(sequence(1, {int(steps)}), i -> named_struct('f', {value}, 'lower', {value} * {1 - band}D, 'upper', {value} * {1 + band}D))"
+    )
+
+
+def compound_growth_forecast(series: DataFrame, steps: int = 6, band: float = 0.15) -> DataFrame:
+    """Last value grown by the mean monthly change, with a proportional band."""
+    status = F.lit(FORECAST_STATUS["fallback"]).alias("status")
+    return _rows_of(_by_series(series).select("series", "last_month", _compound(steps, band).alias("steps"), status))
+
+
 # --- seasonal model ---------------------------------------------------------------------------
 
 
@@ -105,43 +126,37 @@ def _project(x: np.ndarray, steps: int, period: int, level: float) -> tuple[np.n
     return np.array(path[-steps:]), half
 
 
-def seasonal_forecast(series: DataFrame, steps: int = 6, period: int = 12, level: float = 0.95) -> DataFrame:
+def seasonal_forecast(series: DataFrame, steps: int = 6, period: int = 12, level: float = 0.95, band: float = 0.15) -> DataFrame:
     """Seasonal ARIMA (1,1,1)x(1,1,0,period) forecast per series, floored at 0.
 
-    Each series is one group of a grouped Arrow map: one row per calendar month, so a group
-    is small by nature and thousands of series fit in parallel. Series too short for the
-    model (or on which it fails) get ``compound_growth_forecast``. Estimation is conditional
-    least squares, not exact likelihood.
+    A series is one row holding its months, and an Arrow-batched function fits batches of
+    such rows, so thousands of series fit in parallel. Series too short for the model (or
+    on which it fails) get the compound-growth forecast, computed on the same row.
+    Estimation is conditional least squares, not exact likelihood.
     """
     needed = 2 * period + 3
 
-    def fit(points: pd.DataFrame) -> pd.DataFrame:
-        points = points.sort_values("month_end")
-        x = points["value"].to_numpy(float)
+    def fitted(x: np.ndarray) -> list[dict] | None:
+        if len(x) < needed:
+            return None
         try:
             mean, half = _project(x, steps, period, level)
         except (np.linalg.LinAlgError, FloatingPointError, ValueError):
-            return pd.DataFrame(columns=FORECAST.fieldNames())
+            return None
         if not (np.isfinite(mean).all() and np.isfinite(half).all()):
-            return pd.DataFrame(columns=FORECAST.fieldNames())
-        last = pd.Timestamp(points["month_end"].iloc[-1])
-        bounds = [np.maximum(v, 0.0).round(2) for v in (mean, mean - half, mean + half)]
-        return pd.DataFrame(
-            {
-                "series": points["series"].iloc[0],
-                "forecast_date": [(last + pd.offsets.MonthEnd(i)).date() for i in range(1, steps + 1)],
-                "forecast_value": bounds[0], "lower": bounds[1], "upper": bounds[2],
-                "status": FORECAST_STATUS["fitted"],
-            }
-        )
-
-    keyed = series.withColumn("_n", F.count("*").over(Window.partitionBy("series")))
-    fitted = keyed.filter(F.col("_n") >= needed).drop("_n").groupBy("series").applyInPandas(fit, FORECAST)
-    both = fitted.unionByName(compound_growth_forecast(series, steps))
-    # A fitted series also has fallback rows; keep the fitted ones.
-    per_series = Window.partitionBy("series")
-    has_fit = F.max((F.col("status") == FORECAST_STATUS["fitted"]).cast("int")).over(per_series) == 1
-    return both.withColumn("_fit", has_fit).filter(~F.col("_fit") | (F.col("status") == FORECAST_STATUS["fitted"])).drop("_fit")
+            return None
+        return [
+            {"f": max(m, 0.0), "lower": max(m - h, 0.0), "upper": max(m + h, 0.0)} for m, h in zip(mean.tolist(), half.tolist())
+        ]
+
+    @F.pandas_udf(_STEPS)
+    def fit(xs: pd.Series) -> pd.Series:
+        return xs.map(lambda x: fitted(np.asarray(x, dtype=float)))
+
+    both = _by_series(series).withColumns({"fit": fit("x"), "compound": _compound(steps, band)})
+    has_fit = F.col("fit").isNotNull()
+    status = F.when(has_fit, FORECAST_STATUS["fitted"]).otherwise(FORECAST_STATUS["fallback"])
+    return _rows_of(both.select("series", "last_month", F.coalesce("fit", "compound").alias("steps"), status.alias("status")))
 
 
 def forecast_document(series: DataFrame, forecast: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casewatch.functions.columns import percent
-from casewatch.functions.quantiles import exact_quantiles, weighted_quantiles
+from casewatch.functions.quantiles import exact_quantiles
 from casewatch.schemas import REQUIRED_COLUMNS
 
 START, END = "2020-01-01", "2024-12-31"
@@ -56,8 +56,8 @@ def keep_window(raw: DataFrame, start: str = START, end: str = END) -> DataFrame
     )
 
 
-MUST_BE_NULL = "status = 'Pending' AND resolution_days IS NOT NULL"
-MUST_BE_POSITIVE = "status = 'Resolved' AND (resolution_days IS NULL OR resolution_days <= 0)"
+MUST_BE_NULL = "(status = 'Pending' AND resolution_days IS NOT NULL)"
+MUST_BE_POSITIVE = "(status = 'Resolved' AND (resolution_days IS NULL OR resolution_days <= 0))"
 
 
 def _repaired(median: Column) -> Column:
@@ -104,53 +104,52 @@ def dq_report(
 ) -> DataFrame:
     """One row of data-quality metrics.
 
-    The raw file is read once, into a count per (kept?, status, days). Median, mean,
-    deviation and outliers are then derived from those counts, which stay small however
-    many cases there are, instead of passing over the cases again for each of them.
+    All columns are read once, for the counters and the moments of the days that need no
+    repair. The repaired days all equal the median, so mean and deviation after repair
+    follow from those moments. Median and outliers are two more passes over date, status
+    and days only.
     """
-    date, status = parsed_date(raw), F.coalesce("status", F.lit(fill))
-    counts = raw.groupBy(
-        in_window(date, start, end).alias("kept"), status.alias("status"), "resolution_days"
-    ).agg(F.count("*").alias("n"), F.sum(_null_cells(REQUIRED_COLUMNS)).alias("null_cells"))
-
+    days = raw.select(
+        in_window(parsed_date(raw), start, end).alias("kept"), F.coalesce("status", F.lit(fill)).alias("status"), "resolution_days",
+        _null_cells(REQUIRED_COLUMNS).alias("null_cells"),
+    ).withColumns({"hidden": F.expr(f"kept AND {MUST_BE_NULL}"), "broken": F.expr(f"kept AND {MUST_BE_POSITIVE}")})
+    sound = F.expr("CASE WHEN kept AND NOT broken AND status <> 'Pending' THEN resolution_days END")
     median = _or_fallback(
-        weighted_quantiles(_usable_days(counts.filter("kept")), [], "resolution_days", {"median": 0.5}), fallback_days
-    )
-    broken = F.expr(f"kept AND (({MUST_BE_NULL}) OR ({MUST_BE_POSITIVE}))")
-    repaired = counts.withColumn("center", median).withColumns(
-        {"days": F.when(F.col("kept"), _repaired(F.col("center"))), "fixed": F.when(broken, F.col("n"))}
+        exact_quantiles(_usable_days(days.filter("kept")), [], "resolution_days", {"median": 0.5}), fallback_days
     )
-    # Moments around the median, so that large counts do not cancel.
-    off = F.col("days") - F.col("center")
-    size, first = F.sum(F.when(off.isNotNull(), F.col("n"))), F.sum(off * F.col("n"))
-    variance = F.try_divide(F.sum(off * off * F.col("n")) - first * first / size, (size - 1).cast("double"))
-    moments = repaired.agg(
-        F.struct((F.first("center") + first / size).alias("mean"), F.sqrt(variance).alias("std")).alias("m")
-    ).scalar()
-    far = F.abs(F.try_divide(F.col("days") - F.col("m.mean"), F.col("m.std"))) > z
-    totals = repaired.withColumn("m", moments).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_records_ingested"),
-        F.coalesce(F.sum(F.when(F.col("kept"), F.col("n"))), F.lit(0)).alias("total_records_processed"),
-        F.coalesce(F.sum(F.when(~F.col("kept"), F.col("n"))), F.lit(0)).alias("invalid_dates_dropped"),
-        F.coalesce(F.sum("fixed"), F.lit(0)).alias("invalid_resolution_days_fixed"),
-        F.coalesce(F.sum(F.when(far, F.col("n"))), F.lit(0)).alias("resolution_days_outliers_flagged"),
+    counters = days.agg(
+        F.count("*").alias("rows"),
+        F.count_if("kept").alias("kept"),
+        F.count_if(F.col("hidden") | F.col("broken")).alias("fixed"),
         F.coalesce(F.sum("null_cells"), F.lit(0)).alias("null_cells"),
+        F.count_if("broken").cast("double").alias("b"),
+        F.count(sound).cast("double").alias("g"),
+        F.coalesce(F.avg(sound), F.lit(0.0)).alias("avg_g"),
+        F.coalesce(F.var_pop(sound), F.lit(0.0)).alias("var_g"),
+    )
+    # Pooled moments of g sound values and b values at the median.
+    pooled = counters.withColumn("median", median).selectExpr(
+        "*", "try_divide(g * avg_g + b * median, g + b) AS mean",
+        "sqrt(try_divide(g * var_g + try_divide(g * b, g + b) * pow(avg_g - median, 2), g + b - 1)) AS std",
     )
+    measured = pooled.select(F.struct("*")).scalar()  # one row; evaluated once for both uses
+    value = F.expr("CASE WHEN broken THEN m.median WHEN kept AND status <> 'Pending' THEN resolution_days END")
+    far = F.abs(F.try_divide(value - F.col("m.mean"), F.col("m.std"))) > z
+    outliers = days.withColumn("m", measured).agg(F.count_if(far).alias("outliers"))
 
     def share(part: Column, whole: Column) -> Column:
         return F.bround(F.coalesce(percent(part, whole), F.lit(0.0)), 4)
 
-    invalid = F.col("invalid_dates_dropped") + F.col("invalid_resolution_days_fixed")
-    processed = F.col("total_records_processed")
-    return totals.select(
-        "total_records_ingested",
-        "total_records_processed",
-        "invalid_dates_dropped",
-        "invalid_resolution_days_fixed",
-        "resolution_days_outliers_flagged",
-        share(F.col("null_cells"), processed * len(REQUIRED_COLUMNS)).alias("overall_null_percentage"),
-        share(F.col("resolution_days_outliers_flagged"), processed).alias("outlier_percentage"),
-        share(invalid, F.col("total_records_ingested")).alias("invalid_records_percentage"),
+    dropped = F.col("rows") - F.col("kept")
+    return outliers.withColumn("m", measured).select("outliers", "m.*").select(
+        F.col("rows").alias("total_records_ingested"),
+        F.col("kept").alias("total_records_processed"),
+        dropped.alias("invalid_dates_dropped"),
+        F.col("fixed").alias("invalid_resolution_days_fixed"),
+        F.col("outliers").alias("resolution_days_outliers_flagged"),
+        share(F.col("null_cells"), F.col("kept") * len(REQUIRED_COLUMNS)).alias("overall_null_percentage"),
+        share(F.col("outliers"), F.col("kept")).alias("outlier_percentage"),
+        share(dropped + F.col("fixed"), F.col("rows")).alias("invalid_records_percentage"),
     )
 
 

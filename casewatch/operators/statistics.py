@@ -32,8 +32,8 @@ def descriptive_stats(wide: DataFrame, by: str = "bank_type") -> DataFrame:
         F.skewness(DAYS).alias("_skew"),
         F.count(DAYS).alias("count"),
     )
-    medians = exact_quantiles(closed, [by], DAYS, {"_median": 0.5})
-    return moments.join(medians, by).select(
+    medians = exact_quantiles(closed, [by], DAYS, {"_median": 0.5}).withColumnRenamed(by, "_by")
+    return moments.join(medians, F.col(by).eqNullSafe(F.col("_by"))).select(
         by,
         F.bround("_mean", 2).alias("mean"),
         F.bround("_median", 2).alias("median"),
@@ -106,27 +106,27 @@ _COEF_SCHEMA = "variable string, coefficient double, std_error double, n bigint,
 
 
 def _solve(gram: pd.DataFrame) -> pd.DataFrame:
-    """Solve one normal-equation system: rows are (i, j, n, sum of y, size and spread of y)."""
+    """Solve one normal-equation system, given as rows (i, j, n, sum_y, sum_yy)."""
     terms = sorted(gram["i"].unique(), key=lambda v: (v != INTERCEPT, v))
-    if INTERCEPT not in terms or len(terms) > MAX_TERMS:
-        raise ValueError(f"{len(terms)} model terms; at most {MAX_TERMS} with an intercept are supported")
+    if len(terms) > MAX_TERMS:
+        raise ValueError(f"{len(terms)} model terms; at most {MAX_TERMS} are supported")
     at = {term: i for i, term in enumerate(terms)}
     xx = np.zeros((len(terms), len(terms)))
     xx[gram["i"].map(at), gram["j"].map(at)] = gram["n"]
-    xy = np.zeros(len(terms))
-    diagonal = gram[gram["i"] == gram["j"]]
-    xy[diagonal["i"].map(at)] = diagonal["sum_y"]
-    n, spread = int(gram["size"].iloc[0]), float(gram["spread"].iloc[0])
     if np.linalg.matrix_rank(xx) < len(terms):
         raise ValueError("predictor levels are collinear; merge or drop a level")
+    diagonal = gram[gram["i"] == gram["j"]].set_index("i").loc[terms]
+    n, center = xx[0, 0], diagonal["sum_y"].iloc[0] / xx[0, 0]
+    xy = diagonal["sum_y"].to_numpy() - center * xx[0]  # y is centred
+    spread = diagonal["sum_yy"].iloc[0] - n * center**2
     beta = np.linalg.solve(xx, xy)
-    # y is centred, so its spread is the total sum of squares.
     residual = max(spread - float(beta @ xy), 0.0)
-    error = np.sqrt(np.diag(np.linalg.inv(xx)) * residual / (n - len(terms))) if n > len(terms) else np.full(len(terms), np.nan)
-    beta[0] += float(gram["center"].iloc[0])
+    free = n - len(terms)
+    error = np.sqrt(np.diag(np.linalg.inv(xx)) * residual / free) if free > 0 else np.full(len(terms), np.nan)
+    beta[0] += center
     return pd.DataFrame(
         {
-            "variable": terms, "coefficient": beta, "std_error": error, "n": n, "k": len(terms) - 1,
+            "variable": terms, "coefficient": beta, "std_error": error, "n": int(n), "k": len(terms) - 1,
             "r_squared": 1.0 - residual / spread if spread > 0 else np.nan,
         }
     )
@@ -136,43 +136,36 @@ def ols_days(wide: DataFrame, baselines: Mapping[str, str] = OLS_BASELINES, alph
     """Treatment-coded regression of days on categorical predictors.
 
     With only categorical predictors the design matrix has one distinct row per combination
-    of levels. Cases are therefore aggregated to combinations (map-side combined), whose
-    cross-products give the normal equations: one entry per pair of levels, independent of
-    the number of cases. Solving that small matrix is the only Python step.
+    of levels. Cases are therefore aggregated once to combinations (map-side combined),
+    whose cross-products give the normal equations: one entry per pair of levels,
+    independent of the number of cases. Solving that small matrix is the only Python step.
 
     One row per term, each with the model's fit. A baseline that no case has is an error.
     """
-    closed = wide.filter(F.col(DAYS).isNotNull())
-    predictors = list(baselines)
-    whole = closed.agg(
-        F.struct(
-            F.avg(DAYS).alias("center"),
-            (F.var_pop(DAYS) * F.count(DAYS)).alias("spread"),
-            F.count(DAYS).alias("size"),
-            *[F.max((F.col(c) == level).cast("int")).alias(f"has_{c}") for c, level in baselines.items()],
-        )
-    ).scalar()
     cells = (
-        closed.groupBy(*predictors)
-        .agg(F.count("*").alias("n"), F.sum(DAYS).alias("raw_sum"))
-        .withColumn("m", whole)
-        .withColumn("sum_y", F.col("raw_sum") - F.col("n") * F.col("m.center"))
+        wide.filter(F.col(DAYS).isNotNull())
+        .groupBy(*baselines)
+        .agg(F.count("*").alias("n"), F.sum(DAYS).alias("sum_y"), F.sum(F.col(DAYS) * F.col(DAYS)).alias("sum_yy"))
     )
+    has = {f"has_{c}": (F.col(c) == level).cast("int") for c, level in baselines.items()}
     terms = F.array_compact(
         F.array(
             F.lit(INTERCEPT),
             *[F.when(F.col(c) != level, F.concat(F.lit(labels.get(c, f"{c}: ")), F.col(c).cast("string"))) for c, level in baselines.items()],
         )
     )
-    missing = F.concat_ws(", ", *[F.when(F.col(f"m.has_{c}") == 0, F.lit(f"{c}={level}")) for c, level in baselines.items()])
-    checked = F.when(missing == "", F.col("m.size")).otherwise(F.raise_error(F.concat(F.lit("no case has the baseline "), missing)).cast("long"))
+    missing = F.concat_ws(", ", *[F.when(F.col(f"has_{c}") == 0, F.lit(f"{c}={level}")) for c, level in baselines.items()])
+    checked = F.when((F.col("i") != INTERCEPT) | (F.col("j") != INTERCEPT) | (missing == ""), F.col("n")).otherwise(
+        F.raise_error(F.concat(F.lit("no case has the baseline "), missing)).cast("double")
+    )
     gram = (
-        cells.withColumn("terms", terms)
-        .select(F.explode("terms").alias("i"), "terms", "n", "sum_y", "m")
-        .select("i", F.explode("terms").alias("j"), "n", "sum_y", "m")
-        .groupBy("i", "j", "m")
-        .agg(F.sum("n").cast("double").alias("n"), F.sum("sum_y").alias("sum_y"))
-        .select("i", "j", "n", "sum_y", F.col("m.center").alias("center"), F.col("m.spread").alias("spread"), checked.alias("size"))
+        cells.withColumns({"terms": terms, **has})
+        .withColumn("i", F.explode("terms"))
+        .withColumn("j", F.explode("terms"))
+        .groupBy("i", "j")
+        .agg(F.sum("n").cast("double").alias("n"), F.sum("sum_y").alias("sum_y"), F.sum("sum_yy").alias("sum_yy"),
+             *[F.max(c).alias(c) for c in has])
+        .select("i", "j", checked.alias("n"), "sum_y", "sum_yy")
     )
     solved = gram.groupBy().applyInPandas(_solve, _COEF_SCHEMA)
     freedom = (F.col("n") - F.col("k") - 1).cast("double")

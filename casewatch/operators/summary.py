@@ -55,11 +55,14 @@ def monthly_series(cases: DataFrame, by: str | None = None, drop_partial_months:
         counted = counted.withColumn("last", last).filter("month_end < last OR newest = month_end")
     step = F.expr("interval 1 month")
     first, last = F.trunc(F.min("month_end"), "MM"), F.trunc(F.max("month_end"), "MM")
-    spine = counted.groupBy("series").agg(F.sequence(first, last, step).alias("months")).select(
-        "series", F.explode("months").alias("month")
-    ).select("series", F.last_day("month").alias("month_end"))
-    return spine.join(counted, ["series", "month_end"], "left").select(
-        "series", "month_end", F.coalesce("n", F.lit(0)).cast("double").alias("value")
+    # Counts become one map per series (an entry per calendar month), read by the month spine.
+    found = F.map_from_entries(F.collect_list(F.struct("month_end", "n")))
+    return (
+        counted.groupBy("series")
+        .agg(F.sequence(first, last, step).alias("months"), found.alias("found"))
+        .select("series", "found", F.explode("months").alias("month"))
+        .select("series", F.last_day("month").alias("month_end"), "found")
+        .select("series", "month_end", F.coalesce(F.col("found")[F.col("month_end")], F.lit(0)).cast("double").alias("value"))
     )
 
 

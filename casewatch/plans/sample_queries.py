@@ -91,6 +91,12 @@ class SampleTables:
         """The wide table for queries that read neither days nor category: no order lines."""
         return self._kept(days=False, category=False)
 
+    @cached_property
+    def timed(self) -> DataFrame:
+        """The wide table for queries that read days but no category."""
+        raw = sample.raw_cases(self.spark, self.sf_dir, category=False)
+        return S.as_wide(V.clean_cases(raw, **WINDOW))
+
     @cached_property
     def banks(self) -> DataFrame:
         return sample.institutions(self.spark, self.sf_dir)
@@ -277,7 +283,7 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "results_json": _statistics,
     "flatten_results_json": lambda t: results.statistics_rows(_statistics(t)),
     "flatten_forecast_json": _forecast_rows,
-    "flatten_risk_json": lambda t: results.risk_rows(results.risk_document(K.risk_scores(t.wide, **RISK_RULES))),
+    "flatten_risk_json": lambda t: results.risk_rows(results.risk_document(K.risk_scores(t.timed, **RISK_RULES))),
     # validation and cleaning
     "null_profile": lambda t: V.null_profile(t.raw),
     "date_window": lambda t: V.date_window(t.raw, **WINDOW),
@@ -294,12 +300,12 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     # queries
     "top_banks_yoy": lambda t: Q.top_banks_yoy(t.plain, 1999, 2000),
     "category_trends": lambda t: Q.category_trends(t.counted),
-    "resolution_efficiency": lambda t: Q.resolution_efficiency(t.wide),
+    "resolution_efficiency": lambda t: Q.resolution_efficiency(t.timed),
     "state_heatmap": lambda t: Q.state_heatmap(t.counted),
     "heatmap_pivot": lambda t: Q.heatmap_pivot(t.counted, CATEGORIES),
     "pendency_aging": lambda t: Q.pendency_aging(t.plain, REF),
     "rising_categories": lambda t: Q.rising_categories(t.counted, **RISING),
-    "kpi_cards": lambda t: Q.kpi_cards(t.wide, KPI_YEARS, ["ASIA", "EUROPE"]),
+    "kpi_cards": lambda t: Q.kpi_cards(t.timed, KPI_YEARS, ["ASIA", "EUROPE"]),
     "monthly_trend": lambda t: Q.monthly_trend(t.plain),
     "value_counts": lambda t: Q.value_counts_of_all(t.counted, ["category_name", "channel", "customer_segment", "bank_name"]),
     "status_share": lambda t: Q.value_share(t.plain),
@@ -317,14 +323,14 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "policy_flags": lambda t: t.flags,
     "flag_register": lambda t: FL.flag_register(t.flags, t.banks),
     "flag_sample": lambda t: FL.flag_sample(t.flags, t.banks),
-    "risk_scores": lambda t: K.risk_scores(t.wide, **RISK_RULES),
+    "risk_scores": lambda t: K.risk_scores(t.timed, **RISK_RULES),
     # statistics
-    "descriptive_stats": lambda t: A.descriptive_stats(t.wide),
-    "box_summary": lambda t: A.box_summary(t.wide),
-    "overall_mean": lambda t: A.overall_mean(t.wide),
-    "welch_t": lambda t: A.welch_t(t.wide, **WELCH),
+    "descriptive_stats": lambda t: A.descriptive_stats(t.timed),
+    "box_summary": lambda t: A.box_summary(t.timed),
+    "overall_mean": lambda t: A.overall_mean(t.timed),
+    "welch_t": lambda t: A.welch_t(t.timed, **WELCH),
     "ols_days": lambda t: A.ols_days(t.wide, BASELINES),
-    "ols_simple": lambda t: A.ols_simple(t.wide.filter("resolution_days IS NOT NULL"), "resolution_days", "month", "bank_type"),
+    "ols_simple": lambda t: A.ols_simple(t.timed.filter("resolution_days IS NOT NULL"), "resolution_days", "month", "bank_type"),
     "mann_kendall": lambda t: A.mann_kendall(A.monthly_count_series(t.plain, "bank_name")),
     # series and forecasts
     "monthly_series": lambda t: G.monthly_series(t.plain),
@@ -353,11 +359,11 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "question_routes": _routes,
     "route_lines": _route_lines,
     # reports
-    "mis_bank": lambda t: R.mis_bank(t.wide),
+    "mis_bank": lambda t: R.mis_bank(t.timed),
     "category_breakdown": lambda t: R.category_breakdown(t.counted),
     "mis_geo": lambda t: R.mis_geo(t.plain),
-    "mis_with_total": lambda t: R.with_summary_row(R.mis_bank(t.wide), "bank_name"),
-    "report_headline": lambda t: R.report_headline(t.wide, *REPORT_MONTH),
+    "mis_with_total": lambda t: R.with_summary_row(R.mis_bank(t.timed), "bank_name"),
+    "report_headline": lambda t: R.report_headline(t.timed, *REPORT_MONTH),
     "report_top_categories": lambda t: R.report_top_categories(t.counted, *REPORT_MONTH),
     "attention_banks": lambda t: R.attention_banks(t.plain, REF),
     "report_tables": _report,

@@ -89,15 +89,6 @@ POLICY_FLAGS = _struct(
     ("severity", _S, False),
 )
 
-FORECAST = _struct(
-    ("series", _S, False),
-    ("forecast_date", _DATE, False),
-    ("forecast_value", _D, True),
-    ("lower", _D, True),
-    ("upper", _D, True),
-    ("status", _S, False),
-)
-
 KEYS = {
     "banks": [["bank_id"], ["bank_name"], ["license_number"]],
     "categories": [["subcategory_id"], ["subcategory_name"]],

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from casewatch.functions.columns import percent
 from casewatch.functions.quantiles import exact_quantiles
 from casewatch.schemas import REQUIRED_COLUMNS
+from casewatch.sources.files import stored
 
 START, END = "2020-01-01", "2024-12-31"
 
@@ -77,12 +78,13 @@ def repair_days(cases: DataFrame, fallback_days: float = 30, group_col: str | No
 
     The median is the global one over positive days of non-pending cases. It enters the
     row pass as a scalar subquery, so the row pass itself shuffles nothing. With
-    ``group_col`` the median of the row's group is used instead (join on few rows).
+    ``group_col`` the median of the row's group is used instead; the medians are stored
+    first, so that the join knows how few they are and need not shuffle the cases.
     """
     if group_col is None:
         median = exact_quantiles(_usable_days(cases), [], "resolution_days", {"median": 0.5})
         return cases.withColumn("resolution_days", _repaired(_or_fallback(median, fallback_days)))
-    medians = exact_quantiles(_usable_days(cases), [group_col], "resolution_days", {"_median": 0.5})
+    medians = stored(exact_quantiles(_usable_days(cases), [group_col], "resolution_days", {"_median": 0.5}), "medians")
     fixed = _repaired(F.coalesce("_median", F.lit(float(fallback_days))))
     return cases.join(medians, group_col, "left").withColumn("resolution_days", fixed).select(*cases.columns)
 

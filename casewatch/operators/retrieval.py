@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,7 @@ from casewatch.fixed_values import (
     SUMMARY_TEXT,
 )
 from casewatch.functions.columns import contains_any, fill_template, first_match, number_text, percent
+from casewatch.sources.files import stored
 
 # --- narratives -------------------------------------------------------------------------------
 
@@ -157,8 +158,6 @@ def _knn_by_blocks(questions, docs, k, exclude_self, per_question_block, per_doc
 
 def _rank_hits(local: DataFrame, k: int) -> DataFrame:
     """The k best of all tasks' candidates per question, in rank order."""
-    from pyspark.sql import Window
-
     near_first = Window.partitionBy("question_id").orderBy("distance", "doc_id")
     return (
         local.withColumn("rank", F.row_number().over(near_first))
@@ -171,14 +170,19 @@ def _rank_hits(local: DataFrame, k: int) -> DataFrame:
 
 
 def retrieval_context(hits: DataFrame, corpus: DataFrame, separator: str = "\n\n") -> DataFrame:
-    """``question_id, context, sources``: the hit texts in rank order (k rows per question)."""
+    """``question_id, context, sources``: the hit texts in rank order (k rows per question).
+
+    The hits are stored first, so that picking their texts reads the corpus in place if the
+    hits are few, instead of shuffling it.
+    """
 
     def known(key: str) -> Column:
         return F.coalesce(F.col("metadata")[key], F.lit("N/A")).alias(key)
 
     source = F.struct(F.col("page_content").alias("content"), known("bank_name"), known("year"), known("source"))
     ranked = F.array_sort(F.collect_list(F.struct("rank", source.alias("hit"))))
-    gathered = hits.join(corpus.select("doc_id", "page_content", "metadata"), "doc_id").groupBy("question_id").agg(ranked.alias("r"))
+    few = stored(hits.select("question_id", "doc_id", "rank"), "hits")
+    gathered = few.join(corpus.select("doc_id", "page_content", "metadata"), "doc_id").groupBy("question_id").agg(ranked.alias("r"))
     return gathered.select(
         "question_id",
         F.array_join(F.transform("r", lambda x: x["hit"]["content"]), separator).alias("context"),

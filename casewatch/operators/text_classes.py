@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from casewatch.fixed_values import KEYWORD_DEFAULT, KEYWORD_RULES
 from casewatch.functions.columns import contains_any, first_match
 from casewatch.operators.text_features import fit_tfidf
+from casewatch.sources.files import stored
 
 SPLIT_DIGITS = 4  # leading hash digits that form a bucket: 65,536 buckets per class
 
@@ -25,6 +26,9 @@ def stratified_split(df: DataFrame, label: str, key: str, test: float = 0.2, see
     test rows. A class is never sorted as a whole: hash buckets are counted, the bucket in
     which the quota runs out is found from the counts, and only that bucket is ordered. The
     resulting threshold, one row per class, is joined back to the rows.
+
+    The two per-class tables are stored first. Their size is then known, so the rows, hot
+    class or not, are joined in place instead of being shuffled by class.
     """
     digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"-{seed}")))
     order = F.concat(digest, F.lit("/"), F.col(key).cast("string"))
@@ -40,6 +44,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test: float = 0.2, see
     edge = buckets.filter("_upto >= _quota AND _upto - _in < _quota").select(
         F.col(label).alias("_edge_class"), F.col("_bucket").alias("_edge"), F.expr("_quota - _upto + _in").alias("_take")
     )
+    edge = stored(edge, "split-edge")
     at_edge = (F.col("_bucket") == F.col("_edge")) & F.col(label).eqNullSafe(F.col("_edge_class"))
     in_bucket = Window.partitionBy(label, "_bucket").orderBy("_order")
     threshold = (
@@ -48,6 +53,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test: float = 0.2, see
         .filter(F.col("_at") == F.col("_take"))
         .select(F.col(label).alias("_class"), F.col("_order").alias("_last_test"))
     )
+    threshold = stored(threshold, "split-threshold")
     is_train = F.coalesce(order > F.col("_last_test"), F.lit(True))
     return (
         df.join(threshold, F.col(label).eqNullSafe(F.col("_class")), "left")

@@ -143,7 +143,7 @@ class SampleTables:
         key = (self.spark.sparkContext.applicationId, self.sf_dir)
         if key not in _MODELS:
             path = new_table_path(self.spark, "classifier")
-            train = self.round_trip(self.train, "train")
+            train = files.stored(self.train, "train")
             M.train_classifier(train, "text", "channel", "label").write().save(path)
             _MODELS[key] = path
         return PipelineModel.load(_MODELS[key])
@@ -154,11 +154,6 @@ class SampleTables:
         text = F.concat(F.lit("Which months had the highest complaint growth for "), "bank_name", F.lit("?"))
         return self.banks.select(F.col("bank_id").alias("question_id"), text.alias("question"))
 
-    def round_trip(self, df: DataFrame, name: str) -> DataFrame:
-        path = new_table_path(self.spark, name)
-        files.write_table(df, path)
-        return files.read_table(self.spark, path, df.schema)
-
 
 _MODELS: dict[tuple[str, str], str] = {}
 
@@ -189,7 +184,7 @@ def _document_corpus(t: SampleTables) -> DataFrame:
 
 
 def _narrative_search(t: SampleTables) -> DataFrame:
-    docs = t.round_trip(t.narratives, "narratives")
+    docs = files.stored(t.narratives, "narratives")
     model = fit_tfidf(docs, "page_content", 128)
     corpus = embed(model, docs)
     asked = embed(model, t.questions.withColumnRenamed("question", "page_content")).select("question_id", "embedding")
@@ -198,12 +193,12 @@ def _narrative_search(t: SampleTables) -> DataFrame:
 
 
 def _embedded_corpus(t: SampleTables) -> DataFrame:
-    docs = t.round_trip(t.narratives, "narratives")
+    docs = files.stored(t.narratives, "narratives")
     return tfidf_weights(fit_tfidf(docs, "page_content", 128), docs, "doc_id")
 
 
 def _statistics(t: SampleTables) -> DataFrame:
-    wide = t.round_trip(t.wide, "wide")
+    wide = files.stored(t.wide, "wide")
     return A.statistics_document(
         A.descriptive_stats(wide), A.welch_t(wide, **WELCH), A.ols_days(wide, BASELINES),
         A.mann_kendall(A.monthly_count_series(wide, "category_name")),
@@ -238,7 +233,7 @@ def _pipeline(t: SampleTables) -> DataFrame:
 
 def _report(t: SampleTables) -> DataFrame:
     """The report bundle in long form: ``table_name, row_json``."""
-    wide = t.round_trip(t.wide, "wide")
+    wide = files.stored(t.wide, "wide")
     forecast = FC.compound_growth_forecast(G.monthly_series(wide, "bank_type"))
     parts = [
         df.select(F.lit(name).alias("table_name"), F.to_json(F.struct(*df.columns)).alias("row_json"))
@@ -252,7 +247,7 @@ def _report(t: SampleTables) -> DataFrame:
 
 def _mis(t: SampleTables) -> DataFrame:
     """The management bundle in long form, with presentation headers."""
-    wide = t.round_trip(t.wide, "wide")
+    wide = files.stored(t.wide, "wide")
     parts = []
     for name, df in R.mis_tables(wide).items():
         shown = R.with_headers(df)
@@ -275,7 +270,7 @@ def _route_lines(t: SampleTables) -> DataFrame:
 QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     # sources and sinks
     "read_cases_csv": _csv_round_trip,
-    "write_table": lambda t: t.round_trip(t.cases, "cases"),
+    "write_table": lambda t: files.stored(t.cases, "cases"),
     "dim_institution": lambda t: t.banks,
     "dim_category": lambda t: t.categories,
     "load_fact": lambda t: t.fact,
@@ -350,7 +345,7 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     # narratives and retrieval
     "summary_narratives": lambda t: N.summary_narratives(t.summary, t.banks),
     "flag_narratives": lambda t: N.flag_narratives(t.flags, t.banks),
-    "corpus_table": lambda t: t.round_trip(t.narratives, "corpus"),
+    "corpus_table": lambda t: files.stored(t.narratives, "corpus"),
     "embed_corpus": _embedded_corpus,
     "knn_topk": _knn,
     "knn_topk_blocks": lambda t: _knn(t, questions_per_pass=100, docs_per_block=150),

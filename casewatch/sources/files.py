@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casewatch.schemas import RAW_CASES
+from casewatch.session import new_table_path
 
 CORRUPT = "_corrupt_record"
 
@@ -56,6 +57,18 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written below the shared folder and read back.
+
+    Runs the plan now, cuts the lineage, and gives Spark the true size: a join with the
+    result is a broadcast one if it fits ``autoBroadcastJoinThreshold`` and a shuffled one
+    with skew handling if not.
+    """
+    path = new_table_path(df.sparkSession, name)
+    write_table(df, path)
+    return read_table(df.sparkSession, path, df.schema)
+
+
 def write_documents_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Sink for frames with a ``document`` column of JSON text: one document per line."""
     df.select("document").write.mode(mode).text(path)

@@ -461,3 +461,25 @@ ORACLE: dict[str, str] = {
     "attention_banks": _CASES + """SELECT bank_name, count(*) AS total_pending, count(*) FILTER (date_diff('day', date, DATE '2001-06-30') > 60) AS pending_gt_60
         FROM wide WHERE status = 'Pending' GROUP BY 1 HAVING pending_gt_60 > 0 ORDER BY pending_gt_60 DESC, bank_name LIMIT 5""",
 }
+
+
+def _melted(section: str, item: str, metrics: str, query: str) -> str:
+    """``section, item, metric, value`` rows of the given columns of a query."""
+    casts = ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in metrics.split())
+    return (
+        f"SELECT '{section}' AS section, item, metric, value FROM (SELECT {item} AS item, {casts} FROM ({query})) "
+        f"UNPIVOT (value FOR metric IN ({', '.join(metrics.split())}))"
+    )
+
+
+_CATEGORY_TREND = ORACLE["mann_kendall"].replace("SELECT bank_name AS series", "SELECT complaint_category AS series")
+
+ORACLE["flatten_results_json"] = " UNION ALL ".join(
+    [
+        _melted("descriptive_statistics", "bank_type", "mean median std skew count", ORACLE["descriptive_stats"]),
+        _melted("welch_t_test", "'test'", "t_statistic p_value", ORACLE["welch_t"]),
+        _melted("ols_regression", "'model'", "r_squared adj_r_squared f_statistic f_pvalue", ORACLE["ols_days"] + " LIMIT 1"),
+        _melted("ols_coefficients", "variable", "coefficient t_statistic p_value", ORACLE["ols_days"]),
+        _melted("mann_kendall_trend_test", "series", "tau s_statistic z_score p_value", _CATEGORY_TREND),
+    ]
+)

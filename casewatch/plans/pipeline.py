@@ -14,6 +14,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casewatch.fixed_values import CHANNELS, SEGMENTS, STATUSES
 from casewatch.operators import case_queries as Q
 from casewatch.operators import flags as FL
 from casewatch.operators import forecast as FC
@@ -44,7 +45,9 @@ class Settings:
     ref_date: str = "2024-12-31"
     report_month: tuple[int, int] = (2024, 12)
     series_by: str | None = None
-    domains: Mapping[str, list[str]] | None = None
+    domains: Mapping[str, list[str]] = field(
+        default_factory=lambda: {"channel": CHANNELS, "status": STATUSES, "customer_segment": SEGMENTS}
+    )
     train: bool = True
 
 
@@ -60,7 +63,7 @@ def report_tables(wide: DataFrame, forecast: DataFrame, settings: Settings) -> d
     }
 
 
-def violations(fact: DataFrame, banks: DataFrame, categories: DataFrame, domains: Mapping[str, list[str]] | None) -> DataFrame:
+def violations(fact: DataFrame, banks: DataFrame, categories: DataFrame, domains: Mapping[str, list[str]]) -> DataFrame:
     """``check_name, key_value, record_count`` of all broken keys, references and domains."""
 
     def shaped(df: DataFrame, check: str, *keys: str) -> DataFrame:

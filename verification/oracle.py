@@ -139,8 +139,8 @@ _FORECAST = """, change AS (
 # Two-sided tail of Student's t by Simpson's rule: ``tests`` has name, t, df.
 _T_TAIL = """, grid AS (SELECT i, CASE WHEN i IN (0, 4000) THEN 1.0 WHEN i % 2 = 1 THEN 4.0 ELSE 2.0 END AS w FROM generate_series(0, 4000) r(i)
 ), tails AS (
-  SELECT name, 1 - 2 * sum(w * exp(lgamma((df + 1) / 2) - lgamma(df / 2) - 0.5 * ln(df * pi())
-             - (df + 1) / 2 * ln(1 + pow(i * abs(t) / 4000, 2) / df))) * abs(t) / 4000 / 3 AS p_value
+  SELECT name, greatest(0.0, 1 - 2 * sum(w * exp(lgamma((df + 1) / 2) - lgamma(df / 2) - 0.5 * ln(df * pi())
+             - (df + 1) / 2 * ln(1 + pow(i * abs(t) / 4000, 2) / df))) * abs(t) / 4000 / 3) AS p_value
   FROM tests, grid GROUP BY name, t, df
 )"""
 
@@ -183,8 +183,8 @@ _OLS = """, y AS (SELECT bank_type, channel, category_name, resolution_days AS y
 
 _F_TAIL = """, model AS (SELECT any_value(r2 / k / ((1 - r2) / df)) AS f, any_value(k) AS d1, any_value(df) AS d2 FROM tests
 ), f_tail AS (
-  SELECT f, 1 - sum(w * CASE WHEN i = 0 THEN 0.0 ELSE exp(lgamma((d1 + d2) / 2) - lgamma(d1 / 2) - lgamma(d2 / 2) + d1 / 2 * ln(d1 / d2)
-       + (d1 / 2 - 1) * ln(i * f / 4000) - (d1 + d2) / 2 * ln(1 + d1 / d2 * i * f / 4000)) END) * f / 4000 / 3 AS f_pvalue
+  SELECT f, greatest(0.0, 1 - sum(w * CASE WHEN i = 0 THEN 0.0 ELSE exp(lgamma((d1 + d2) / 2) - lgamma(d1 / 2) - lgamma(d2 / 2) + d1 / 2 * ln(d1 / d2)
+       + (d1 / 2 - 1) * ln(i * f / 4000) - (d1 + d2) / 2 * ln(1 + d1 / d2 * i * f / 4000)) END) * f / 4000 / 3) AS f_pvalue
   FROM model, grid GROUP BY f, d1, d2
 )"""
 
@@ -199,7 +199,7 @@ _MK = """, m AS (SELECT bank_name AS series, last_day(date) AS month_end, count(
   FROM sized JOIN sums USING (series)
 ), grid AS (SELECT i, CASE WHEN i IN (0, 2000) THEN 1.0 WHEN i % 2 = 1 THEN 4.0 ELSE 2.0 END AS w FROM generate_series(0, 2000) r(i)
 ), tail AS (
-  SELECT series, 1 - 2 * sum(w * exp(-pow(i * abs(z) / 2000, 2) / 2)) * abs(z) / 2000 / 3 / sqrt(2 * pi()) AS p FROM scored, grid GROUP BY series, z
+  SELECT series, greatest(0.0, 1 - 2 * sum(w * exp(-pow(i * abs(z) / 2000, 2) / 2)) * abs(z) / 2000 / 3 / sqrt(2 * pi())) AS p FROM scored, grid GROUP BY series, z
 ), named AS (
   SELECT scored.*, p, CASE WHEN p < 0.05 AND s > 0 THEN 'Statistically Significant Upward Trend'
                            WHEN p < 0.05 AND s < 0 THEN 'Statistically Significant Downward Trend'

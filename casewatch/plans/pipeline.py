@@ -121,6 +121,8 @@ def run(
     def clean() -> None:
         save("cases", V.clean_cases(raw, **settings.window))
         save("dq_report", V.dq_report(raw, **settings.window))
+        lines = V.dq_report_text(table("dq_report")).orderBy("line_no").select("line")  # eight lines
+        lines.coalesce(1).write.mode("overwrite").text(path("dq_report_text"))
         save("null_profile", V.null_profile(raw))
 
     def load() -> None:

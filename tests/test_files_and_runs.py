@@ -64,10 +64,12 @@ def test_a_cluster_without_a_shared_dir_is_an_error():
 def test_run_writes_every_table(spark, sf_dir):
     t = P.SampleTables(spark, sf_dir)
     out = new_table_path(spark, "run")
-    log = pipeline.run(spark, t.raw, t.banks, t.categories, out, P._settings()).collect()
+    settings = P._settings()
+    settings.train = True
+    log = pipeline.run(spark, t.raw, t.banks, t.categories, out, settings).collect()
     assert all(r.status == "ok" for r in log), log
     names = set(os.listdir(out.removeprefix("file:")))
-    assert {"cases", "dq_report", "null_profile", "banks", "categories", "complaints", "violations", "monthly_summary", "policy_flags",
+    assert {"cases", "dq_report", "dq_report_text", "split", "classifier", "classification_report", "null_profile", "banks", "categories", "complaints", "violations", "monthly_summary", "policy_flags",
             "statistics", "forecast", "forecast_documents", "risk_scores", "risk_documents", "narratives", "corpus", "embedder",
             "report_headline", "report_rising_categories", "mis_bank_performance", "mis_geographic_analysis"} <= names
     found = spark.read.parquet(f"{out}/violations")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from casewatch.llm import packing
+from casewatch.llm import chat, packing
 
 QUERIES = {
     "op9_packing": packing.op9,
+    "op10_chat_formatting": chat.op10,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_chat_formatting": chat.OP10_SQL,
+}

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from casewatch.llm import chat, packing
+from casewatch.llm import chat, decontam, packing
 
 QUERIES = {
+    "op4_decontamination": decontam.op4,
     "op9_packing": packing.op9,
     "op10_chat_formatting": chat.op10,
 }
 
 ORACLE: dict[str, str] = {
+    "op4_decontamination": decontam.OP4_SQL,
     "op10_chat_formatting": chat.OP10_SQL,
 }

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from casewatch.llm import chat, decontam, packing
+from casewatch.llm import chat, decontam, langid, packing
 
 QUERIES = {
     "op4_decontamination": decontam.op4,
+    "op8_language_id": langid.op8,
     "op9_packing": packing.op9,
     "op10_chat_formatting": chat.op10,
 }

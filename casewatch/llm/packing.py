@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from itertools import filterfalse
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 class WordTokenizer:
-    """Ids of whole texts, remembering those of words.
+    """Ids of whole texts, remembering those of words after a space.
 
     The byte-level pre-tokeniser never joins what stands before a single space between two
     other visible characters with what follows it, so a text may be cut there. Texts with
@@ -43,35 +44,48 @@ class WordTokenizer:
     def __init__(self, path: str):
         import re
 
+        import numpy as np
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known: dict[str, bytes] = {}
         self.irregular = re.compile(r" \s|\s ")
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True  # tokens that begin with a space
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         import numpy as np
 
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, words: list[str], together: int = 2000) -> None:
+        """Ids of words after a space; many are encoded as one text and told apart by their spaces."""
+        import numpy as np
+
+        for a in range(0, len(words), together):
+            part = words[a : a + together]
+            ids = np.array(self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False).ids, dtype="<u4")
+            data, cuts = ids.tobytes(), (4 * np.flatnonzero(self.opens[ids])).tolist()
+            self.known.update(zip(part, [data[x:y] for x, y in zip(cuts, [*cuts[1:], len(data)])], strict=True))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        cut, whole = {}, []
-        for i, text in enumerate(texts):
+        heads, rests, missing = [], [], set()
+        for text in texts:
             if self.irregular.search(text) or text[:1].isspace() or text[-1:].isspace():
-                whole.append(i)
+                head, rest = text, ()
             else:
                 head, *rest = text.split(" ")
-                cut[i] = [head, *map(" ".__add__, rest)]
-        missing = list(set().union(*cut.values()) - self.known.keys())
-        self.known.update(zip(missing, self._encode(missing)))
-        out = dict(zip(whole, self._encode([texts[i] for i in whole])))
-        for i, words in cut.items():
-            out[i] = b"".join(map(self.known.__getitem__, words))
-        return [out[i] for i in range(len(texts))]
+                missing.update(filterfalse(self.known.__contains__, rest))
+            heads.append(head)
+            rests.append(rest)
+        self._learn(list(missing))
+        known = self.known.__getitem__
+        return [head + b"".join(map(known, rest)) for head, rest in zip(self._encode(heads), rests)]
 
 
 def _batches(texts: list[str], most: int = 1 << 22) -> Iterator[tuple[int, list[str]]]:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from casewatch.llm import chat, decontam, langid, packing
+from casewatch.llm import chat, decontam, langid, packing, quality
 
 QUERIES = {
     "op4_decontamination": decontam.op4,
+    "op5_quality_rules": quality.op5,
     "op8_language_id": langid.op8,
     "op9_packing": packing.op9,
     "op10_chat_formatting": chat.op10,
@@ -13,5 +14,6 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op4_decontamination": decontam.OP4_SQL,
+    "op5_quality_rules": quality.OP5_SQL,
     "op10_chat_formatting": chat.OP10_SQL,
 }

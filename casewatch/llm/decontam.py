@@ -24,7 +24,7 @@ WINDOW = 13
 #: Tokens laid out in one segment, unless a single text is longer.
 SEGMENT = 1 << 21
 #: Words of phrases that go to the tasks at a time.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Between two documents of a segment; a phrase never reaches across.
 GAP = 64
 
@@ -207,7 +207,8 @@ def search(index: DataFrame, phrases: Iterator[tuple[str, tuple[bytes, ...]]], s
     spark, found = index.sparkSession, None
     for block in blocks(phrases):
         vocabulary = spark.createDataFrame([(bytearray(t),) for t in sorted({t for p in block for t in p})], "term binary")
-        needed = index.join(vocabulary, "term", "left_semi").unionByName(index.filter(F.col("term").isNull()))
+        # A block has a bounded number of words, so its vocabulary may go to every task.
+        needed = index.join(F.broadcast(vocabulary), "term", "left_semi").unionByName(index.filter(F.col("term").isNull()))
         needed = needed.select("segment", "term", "offsets", "lengths")
         part = needed.groupBy("segment").applyInPandas(_matched(block, slop), FOUND)
         found = part if found is None else found.unionByName(part)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from casewatch.llm.common import fold, materialised, table, text_of
+from casewatch.llm.common import fold, stored, table, text_of
 
 ORDER = 4
 HASH_BITS = 20
@@ -131,7 +131,7 @@ def _counted(batches):
 def count_ngrams(rows: DataFrame) -> DataFrame:
     """(lang, held, key, n) over rows of (lang, held, text)."""
     parts = rows.mapInArrow(_counted, COUNTS)
-    return materialised(parts.groupBy("lang", "held", "key").agg(F.sum("n").alias("n")), "ngrams")[0]
+    return stored(parts.groupBy("lang", "held", "key").agg(F.sum("n").alias("n")), "ngrams")
 
 
 def kneser_ney(counts: DataFrame) -> list[DataFrame]:
@@ -157,7 +157,7 @@ def kneser_ney(counts: DataFrame) -> list[DataFrame]:
             lower = done[-1].select("lang", F.col("key").alias("suffix"), F.col("p").alias("lower_p"))
             p = grams.withColumn("suffix", F.col("key").bitwiseAND(F.lit((1 << 16 * (m - 1)) - 1))).join(lower, ["lang", "suffix"])
             p = p.withColumn("p", F.col("own") + F.col("passed") * F.col("lower_p"))
-        done.append(p.select("lang", "key", "p", "context", "passed", "kinds"))
+        done.append(stored(p.select("lang", "key", "p", "context", "passed", "kinds"), f"order{m}"))  # else each order would repeat the lower ones
     return done
 
 
@@ -299,7 +299,7 @@ def calibrate(model: dict, rows: DataFrame) -> dict:
     judged = rows.select("lang", "text").mapInArrow(
         _calibration(spark.sparkContext.broadcast(model)), "lang int, size int, bits50 long, right boolean, loss array<double>, score array<double>"
     )
-    judged, _ = materialised(judged, "calibration")
+    judged = stored(judged, "calibration")
     losses = judged.groupBy("size").agg(*[F.sum(F.get("loss", F.lit(i))).alias(str(i)) for i in range(len(SHARPNESS))]).collect()
     best = {r["size"]: min(range(len(SHARPNESS)), key=lambda i: r[str(i)]) for r in losses}
     limits = {}

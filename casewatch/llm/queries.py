@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from casewatch.llm import chat, decontam, langid, packing, quality
+from casewatch.llm import chat, decontam, hmm, langid, packing, quality
 
 QUERIES = {
+    "op2_lm_scoring": hmm.op2,
     "op4_decontamination": decontam.op4,
     "op5_quality_rules": quality.op5,
     "op8_language_id": langid.op8,

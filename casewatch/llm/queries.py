@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from casewatch.llm import chat, decontam, hmm, langid, packing, quality
+from casewatch.llm import chat, decontam, hmm, langid, packing, quality, secrets
 
 QUERIES = {
     "op2_lm_scoring": hmm.op2,
     "op4_decontamination": decontam.op4,
     "op5_quality_rules": quality.op5,
+    "op7_secret_scan": secrets.op7,
     "op8_language_id": langid.op8,
     "op9_packing": packing.op9,
     "op10_chat_formatting": chat.op10,
@@ -16,5 +17,6 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op4_decontamination": decontam.OP4_SQL,
     "op5_quality_rules": quality.OP5_SQL,
+    "op7_secret_scan": secrets.OP7_SQL,
     "op10_chat_formatting": chat.OP10_SQL,
 }

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from casewatch.llm import chat, decontam, hmm, langid, packing, quality, secrets
+from casewatch.llm import chat, decontam, hmm, langid, packing, quality, secrets, urls
 
 QUERIES = {
     "op2_lm_scoring": hmm.op2,
     "op4_decontamination": decontam.op4,
     "op5_quality_rules": quality.op5,
+    "op6_url_filters": urls.op6,
     "op7_secret_scan": secrets.op7,
     "op8_language_id": langid.op8,
     "op9_packing": packing.op9,

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from casewatch.llm import chat, decontam, hmm, langid, packing, quality, secrets, urls
+from casewatch.llm import chat, decontam, hmm, langid, ngram_join, packing, quality, secrets, urls
 
 QUERIES = {
     "op2_lm_scoring": hmm.op2,
+    "op3_ngram_join": ngram_join.op3,
     "op4_decontamination": decontam.op4,
     "op5_quality_rules": quality.op5,
     "op6_url_filters": urls.op6,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_ngram_join": ngram_join.OP3_SQL,
     "op4_decontamination": decontam.OP4_SQL,
     "op5_quality_rules": quality.OP5_SQL,
     "op7_secret_scan": secrets.OP7_SQL,

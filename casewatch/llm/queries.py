@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from casewatch.llm import chat, decontam, hmm, langid, ngram_join, packing, quality, secrets, urls
+from casewatch.llm import chat, decontam, hmm, langid, line_dedup, ngram_join, packing, quality, secrets, urls
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1,
     "op2_lm_scoring": hmm.op2,
     "op3_ngram_join": ngram_join.op3,
     "op4_decontamination": decontam.op4,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_line_dedup": line_dedup.OP1_SQL,
     "op3_ngram_join": ngram_join.OP3_SQL,
     "op4_decontamination": decontam.OP4_SQL,
     "op5_quality_rules": quality.OP5_SQL,

@@ -312,7 +312,10 @@ def links(lists: DataFrame, whole: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, n_shingles, class_id (smallest id of equal sets), component_id, for each row of ``docs``."""
+    """doc_id, text_key, n_shingles, class_id (smallest id of equal sets), component_id, component, for each row of ``docs``.
+
+    ``component`` numbers the components, also those without an id; null for empty sets.
+    """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_key"), text_of().alias("text"))
     common = spark.sparkContext.broadcast(frequent_shingles(texts))
@@ -331,18 +334,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ids = classes.select("n", "f1", "f2", "class_id", F.col("r.uid").alias("rep")).join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     ids = ids.withColumn("root", F.coalesce("root", "rep"))
     least = ids.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    ids = stored(ids.join(least, "root").select("n", "f1", "f2", "class_id", "component_id"), "components")
+    ids = stored(ids.join(least, "root").select("n", "f1", "f2", F.col("root").alias("component"), "class_id", "component_id"), "components")
     joined = sets.drop("head").join(ids, ["n", "f1", "f2"], "left")
     own = F.col("n") == 0
     return joined.select(
         "doc_id", "text_key", F.col("n").cast("long").alias("n_shingles"),
         F.when(own, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(own, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "component",
     )
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key", "component")
 
 
 OP3_SQL = f"""

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from casewatch.session import new_table_path
 from casewatch.sources.files import read_table, stored, write_table
 
-__all__ = ["drop_table", "fold", "materialised", "read_table", "stored", "table", "text_of", "write_table"]
+__all__ = ["drop_table", "fold", "materialised", "most_frequent", "read_table", "spread_sample", "stored", "table", "text_of", "write_table"]
 
 #: Java form of "runs of characters other than ASCII white space".
 WORD = r"[^\x20\x09-\x0D]+"
@@ -41,5 +40,21 @@ def drop_table(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """Rows with the highest ``n``, down to a level at which there are not more than ``most``.
+
+    Levels are sixteenths of powers of two, so the driver sees a small histogram and no task sorts all rows.
+    """
+    level = F.floor(F.log2("n") * 16)
+    at, total = None, 0
+    for r in counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("level")).collect():
+        total += r["k"]
+        if total > most:
+            break
+        at = r["level"]
+    return counts.filter(F.lit(False) if at is None else level >= at)
+
+
+def spread_sample(rows: DataFrame, key: Column, n: int, most: int) -> DataFrame:
+    """About ``most`` of ``n`` rows, chosen by a hash of ``key``; all rows if there are not more."""
+    return rows if n <= most else rows.filter(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.lit(int(most / n * (1 << 30))))

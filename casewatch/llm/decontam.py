@@ -186,12 +186,11 @@ def _matched(block, slop: int):
             new[1:] = begin[1:] + doc[1:] * (1 << 40) > reach[:-1]
             first = np.flatnonzero(new)
             last = np.append(first[1:], len(doc)) - 1
-            out.append(pd.DataFrame({"doc": doc[first], "item_id": item, "start": begin[first], "stop": reach[last] - doc[last] * (1 << 40)}))
+            out.append((doc[first], np.full(len(first), item, object), begin[first], reach[last] - doc[last] * (1 << 40)))
         if not out:
             return pd.DataFrame({"segment": [], "doc": [], "item_id": [], "start": [], "stop": []})
-        all_found = pd.concat(out)
-        all_found.insert(0, "segment", rows["segment"].iloc[0])
-        return all_found
+        doc, item_ids, start, stop = map(np.concatenate, zip(*out))
+        return pd.DataFrame({"segment": rows["segment"].iloc[0], "doc": doc, "item_id": pd.Series(item_ids, dtype=object), "start": start, "stop": stop})
 
     return run
 

@@ -21,12 +21,12 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casewatch.llm.common import fold, stored, table, text_of
+from casewatch.llm.common import fold, most_frequent, spread_sample, stored, table, text_of
 
 STATES, OWN, SHAPES, DICTIONARY = 8, 8192, 256, 131072
 CLASSES = OWN + 1 + SHAPES
 END = OWN
-#: Training: whole passes, passes over the sample, texts in it, tokens in a chunk.
+#: Training: whole passes, passes over the sample, about how many texts it has, tokens in a chunk.
 PASSES, FIRST_PASSES, SAMPLE, CHUNK = 3, 20, 512, 512
 #: Tokens handled together by a task.
 BATCH = 1 << 19
@@ -87,7 +87,7 @@ class Words:
     def __init__(self, counts: DataFrame):
         import numpy as np
 
-        top = counts.orderBy(F.desc("n"), "token").limit(DICTIONARY).toPandas()
+        top = most_frequent(counts, DICTIONARY).toPandas().sort_values(["n", "token"], ascending=[False, True], ignore_index=True)
         totals = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
         self.n_tokens, self.n_words = int(totals[0] or 0), int(totals[1])
         per_shape = counts.filter(F.length("token") > 0).groupBy("shape").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()
@@ -295,7 +295,7 @@ def train(sequences: DataFrame) -> dict:
 
     spark = sequences.sparkSession
     rows = sequences.filter(~F.col("held_out"))
-    sample = rows.orderBy(F.xxhash64("classes"), "uid").limit(SAMPLE).select("classes").toPandas()["classes"]
+    sample = spread_sample(rows, F.col("uid"), rows.count(), SAMPLE).select("classes").toPandas()["classes"]
     model = beginning([np.frombuffer(bytes(s), "<u2") for s in sample])
     columns = [f"s{i}" for i in range(STATES)]
     tasks = 2 * spark.sparkContext.defaultParallelism  # each hands on one table of counts, however many rows it has

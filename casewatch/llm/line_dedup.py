@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casewatch.llm.common import drop_table, materialised, stored, table
 
@@ -76,7 +77,9 @@ def stretches(rows: DataFrame, min_words: int) -> DataFrame:
 def _windows(min_words: int):
     """First line and number of lines of each run that just reaches ``min_words`` words, from or up to some line."""
 
-    @F.pandas_udf("array<struct<first:int,size:int>>")
+    run = T.StructType([T.StructField("first", T.IntegerType()), T.StructField("size", T.IntegerType())])
+
+    @F.pandas_udf(T.ArrayType(run))
     def windows(words):
         import numpy as np
         import pandas as pd
@@ -92,7 +95,6 @@ def _windows(min_words: int):
 
         return pd.Series([of(np.asarray(row)) for row in words])
 
-    # noinspection PyTypeChecker
     return windows
 
 
@@ -137,7 +139,7 @@ def later_copies(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return placed.join(earliest, ["size", "a", "b"]).filter("place > earliest").select("uid", "first", "size")
 
 
-@F.pandas_udf("struct<text:string,n_deleted:int>")
+@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n_deleted", T.IntegerType())]))
 def _without(texts, spans):
     import pandas as pd
 

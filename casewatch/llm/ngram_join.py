@@ -22,7 +22,7 @@ from math import comb
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casewatch.llm.common import drop_table, materialised, stored, table, text_of
+from casewatch.llm.common import drop_table, materialised, most_frequent, stored, table, text_of
 from casewatch.llm.components import components
 
 WORDS, PERCENT = 5, 80
@@ -149,8 +149,8 @@ def frequent_shingles(texts: DataFrame):
     They only decide the order of shingles, and any order gives the same links.
     """
     found = texts.select("text").mapInArrow(_frequent, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    top = found.orderBy(F.desc("n"), "h").limit(FREQUENT).toPandas()
-    return top["h"].to_numpy(dtype="int64")[::-1].copy()
+    top = most_frequent(stored(found, "frequent"), FREQUENT).toPandas().sort_values(["n", "h"])
+    return top["h"].to_numpy(dtype="int64").copy()
 
 
 SETS = "uid long, doc_id long, text_key long, n int, f1 long, f2 long, head binary"
@@ -242,13 +242,13 @@ def _near(pairs: DataFrame) -> DataFrame:
     return pairs.filter(fits).select(F.least("uid", "other.uid").alias("a"), F.greatest("uid", "other.uid").alias("b")).distinct()
 
 
-ENTRY = F.struct("uid", "root", "n", "room")
+ENTRY = ("uid", "root", "n", "room")
 
 
 def star_pairs(lists: DataFrame, turn: int) -> DataFrame:
     """Each member of a list with one member of it in another component, chosen anew each turn."""
     order = F.xxhash64("uid", F.lit(turn))
-    centres = lists.groupBy("h").agg(F.min_by(ENTRY, order).alias("other"), F.min("root").alias("low"), F.max("root").alias("high"))
+    centres = lists.groupBy("h").agg(F.min_by(F.struct(*ENTRY), order).alias("other"), F.min("root").alias("low"), F.max("root").alias("high"))
     centres = centres.filter("low <> high").select("h", "other")
     return _near(lists.join(centres, "h").filter(F.col("root") != F.col("other.root")))
 
@@ -258,7 +258,7 @@ def rest_pairs(lists: DataFrame) -> DataFrame:
     sizes = lists.groupBy("h", "root").agg(F.count(F.lit(1)).alias("k"))
     largest = sizes.groupBy("h").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count(F.lit(1)).alias("kinds"))
     mixed = lists.join(largest.filter("kinds > 1").select("h", "main"), "h")
-    outside = mixed.filter("root <> main").select("h", ENTRY.alias("other"))
+    outside = mixed.filter("root <> main").select("h", F.struct(*ENTRY).alias("other"))
     apart = (F.col("root") != F.col("other.root")) & ((F.col("root") == F.col("main")) | (F.col("uid") < F.col("other.uid")))
     return _near(mixed.join(outside, "h").filter(apart))
 

@@ -19,11 +19,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casewatch.llm.common import stored, table
+from casewatch.llm.common import spread_sample, stored, table
 
 ALLOW, BLOCK = "allow", "block"
 RULES = ((ALLOW, "com/"), (BLOCK, "example.com/en/"), (ALLOW, "www.example.com/en/"), (BLOCK, "net/es/"), (BLOCK, "net/fr/"))
-#: Labelled URLs that the trees learn from at most; trees, and levels of each.
+#: Labelled URLs that the trees learn from, about, at most; trees, and levels of each.
 SAMPLE, TREES, LEVELS = 50_000, 20, 4
 #: Labelled URLs of undecided verdict that each suffix is taken to have besides its own.
 PRIOR = 20.0
@@ -127,7 +127,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFra
     labelled = labelled.withColumn("weight", F.when(F.col("label") == 1, n / (2 * blocked)).otherwise(n / (2 * (n - blocked))))
     known = rates(labelled)
     vector = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
-    sample = stored(with_rates(labelled.orderBy(F.xxhash64("url"), "url").limit(SAMPLE), known).select(*FEATURES, "label", "weight"), "labelled")
+    sample = stored(with_rates(spread_sample(labelled, F.col("url"), n, SAMPLE), known).select(*FEATURES, "label", "weight"), "labelled")
     trees = GBTClassifier(featuresCol="_features", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=LEVELS, seed=1)
     model = trees.fit(vector.transform(sample))
     # Kept columns travel in a struct, so that they may have any names.

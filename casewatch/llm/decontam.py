@@ -187,10 +187,9 @@ def _matched(block, slop: int):
             first = np.flatnonzero(new)
             last = np.append(first[1:], len(doc)) - 1
             out.append((doc[first], np.full(len(first), item, object), begin[first], reach[last] - doc[last] * (1 << 40)))
-        if not out:
-            return pd.DataFrame({"segment": [], "doc": [], "item_id": [], "start": [], "stop": []})
-        doc, item_ids, start, stop = map(np.concatenate, zip(*out))
-        return pd.DataFrame({"segment": rows["segment"].iloc[0], "doc": doc, "item_id": pd.Series(item_ids, dtype=object), "start": start, "stop": stop})
+        doc, item_ids, start, stop = map(np.concatenate, zip((np.zeros(0, int), np.zeros(0, object), np.zeros(0, int), np.zeros(0, int)), *out))
+        segment = np.full(len(doc), rows["segment"].iloc[0])
+        return pd.DataFrame({"segment": segment, "doc": doc, "item_id": pd.Series(item_ids, dtype=object), "start": start, "stop": stop})
 
     return run
 

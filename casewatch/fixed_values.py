@@ -6,7 +6,6 @@ Nothing here is computed. Thresholds are the defaults of the functions that use
 from __future__ import annotations
 
 # --- fixed values: domains -------------------------------------------------------------
-BANK_TYPES = ["Public Sector", "Private Sector", "Small Finance Bank"]
 CHANNELS = ["Online", "Branch", "Phone", "Email", "Ombudsman Portal"]
 STATUSES = ["Resolved", "Pending", "Escalated"]
 SEGMENTS = ["Retail", "MSME", "Corporate"]
@@ -113,16 +112,10 @@ TREND_TEXT = (
 )
 TREND_SHORT_TEXT = "Insufficient data to establish monthly trend."
 
-ANSWER_HEADER = "[Local Synthesis Mode - No Gemini API Key Active]"
-ANSWER_INTRO = (
-    "{header}\nBased on the top {k} database chunks matching '{question}', "
-    "here is the synthesized supervisory review:\n\n"
-)
-ANSWER_CLOSING = (
-    "\n\n*Policy implication: Reviewing agencies should cross-reference this information "
-    "with standard monthly reports. To run the full Gemini Flash model, please provide a valid "
-    "API key in the sidebar.*"
-)
+# Own wording.
+ANSWER_HEADER = "Answer assembled from stored narratives."
+ANSWER_INTRO = "{header}\nThe {k} narratives nearest to '{question}':\n\n"
+ANSWER_CLOSING = "\n\nCompare these with the monthly tables before acting on them."
 ROUTE_LINES = {
     "growth": "- In year {year} month {month}, {bank_name} had {total_complaints} complaints, "
               "growing by {complaint_growth_pct}% MoM.",

@@ -2,7 +2,7 @@
 
 Values are first counted (``group, value -> n``), which combines on the map side, so a
 group with a third of all rows costs no more than its number of distinct values. The
-wanted rank is then located among whole-number buckets, and only the bucket that holds it
+wanted rank is then located among buckets of equal width, and only the bucket that holds it
 is looked at value by value. The largest thing one task orders is therefore the list of
 buckets of a group, or the distinct values within one bucket.
 """
@@ -17,51 +17,65 @@ from pyspark.sql import functions as F
 
 def value_counts_of(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """``by..., value, n`` over the non-null values."""
-    return df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))
+    return df.filter(F.col(_quoted(value)).isNotNull()).groupBy(*[_quoted(c) for c in [*by, value]]).agg(F.count("*").alias("n"))
 
 
+BUCKETS = 4096  # of equal width, from the least to the greatest value of a group
+
 _QUANTILES = """
-    WITH buckets AS (
-        SELECT {by} floor({value}) AS bucket, sum(n) AS inside FROM {{counts}} WHERE {value} IS NOT NULL GROUP BY {by} floor({value})
+    WITH spans AS (
+        SELECT {by} min(_v) AS _low, greatest((max(_v) - min(_v)) / {buckets}, 1e-300D) AS _width FROM {{counts}} GROUP BY {by} 1 - 1
+    ), cells AS (
+        SELECT {c_by} c._v, c._n, floor((c._v - s._low) / s._width) AS _bucket FROM {{counts}} c JOIN spans s ON {span_on} true
+    ), buckets AS (
+        SELECT {by} _bucket, sum(_n) AS _inside FROM cells GROUP BY {by} _bucket
     ), placed AS (
-        SELECT *, sum(inside) OVER ({group} ORDER BY bucket) AS upto, sum(inside) OVER ({group}) AS total FROM buckets
+        SELECT *, sum(_inside) OVER ({group} ORDER BY _bucket) AS _upto, sum(_inside) OVER ({group}) AS _total FROM buckets
     ), wanted AS (
-        SELECT *, (total - 1) * p AS place
-        FROM placed LATERAL VIEW explode(map({probs})) AS name, p
+        SELECT *, (_total - 1) * _p AS _place
+        FROM placed LATERAL VIEW explode(map({probs})) AS _name, _p
     ), targets AS (
-        SELECT {by} bucket, upto - inside AS before, name, side, place - floor(place) AS frac, rank
-        FROM wanted LATERAL VIEW explode(map('lo', floor(place), 'hi', ceil(place))) AS side, rank
-        WHERE upto - inside <= rank AND rank < upto
+        SELECT {by} _bucket, _upto - _inside AS _before, _name, _side, _place - floor(_place) AS _frac, _rank
+        FROM wanted LATERAL VIEW explode(map('lo', floor(_place), 'hi', ceil(_place))) AS _side, _rank
+        WHERE _upto - _inside <= _rank AND _rank < _upto
     ), inside AS (
-        SELECT {c_by} c.{value} AS v, c.n, t.name, t.side, t.frac, t.rank,
-               t.before + sum(c.n) OVER (PARTITION BY {c_by} t.bucket, t.name, t.side ORDER BY c.{value}
-                                        ROWS UNBOUNDED PRECEDING) AS upto
-        FROM {{counts}} c JOIN targets t ON {on} floor(c.{value}) = t.bucket
+        SELECT {c_by} c._v, c._n, t._name, t._side, t._frac, t._rank,
+               t._before + sum(c._n) OVER (PARTITION BY {c_by} t._bucket, t._name, t._side ORDER BY c._v
+                                        ROWS UNBOUNDED PRECEDING) AS _upto
+        FROM cells c JOIN targets t ON {on} c._bucket = t._bucket
     )
-    SELECT {by} {picks} FROM inside WHERE upto - n <= rank AND rank < upto {grouping}
+    SELECT {by} {picks} FROM inside WHERE _upto - _n <= _rank AND _rank < _upto {grouping}
 """
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def weighted_quantiles(counts: DataFrame, by: list[str], value: str, probs: Mapping[str, float]) -> DataFrame:
     """Linear-interpolation quantiles of a ``by..., value, n`` table, one row per group.
 
     ``probs`` maps result column names to probabilities. A value may occur in several rows.
     """
     def pick(name: str) -> str:
-        at = {side: f"max(CASE WHEN name = '{name}' AND side = '{side}' THEN v END)" for side in ("lo", "hi")}
-        return f"{at['lo']} + ({at['hi']} - {at['lo']}) * max(CASE WHEN name = '{name}' THEN frac END) AS {name}"
+        text = name.replace("'", "\\'")
+        at = {side: f"max(CASE WHEN _name = '{text}' AND _side = '{side}' THEN _v END)" for side in ("lo", "hi")}
+        return f"{at['lo']} + ({at['hi']} - {at['lo']}) * max(CASE WHEN _name = '{text}' THEN _frac END) AS {_quoted(name)}"
 
+    keys = [_quoted(c) for c in by]
     query = _QUANTILES.format(
-        by="".join(f"{c}, " for c in by),
-        c_by="".join(f"c.{c}, " for c in by),
-        on="".join(f"c.{c} <=> t.{c} AND " for c in by),
-        group=f"PARTITION BY {', '.join(by) or '0'}",
-        grouping=f"GROUP BY {', '.join(by)}" if by else "",
-        value=value,
-        probs=", ".join(f"'{name}', {float(p)}D" for name, p in probs.items()),
+        by="".join(f"{c}, " for c in keys),
+        c_by="".join(f"c.{c}, " for c in keys),
+        on="".join(f"c.{c} <=> t.{c} AND " for c in keys),
+        span_on="".join(f"c.{c} <=> s.{c} AND " for c in keys),
+        group=f"PARTITION BY {', '.join(keys) or '0'}",
+        grouping=f"GROUP BY {', '.join(keys)}" if keys else "",
+        buckets=BUCKETS,
+        probs=", ".join("'" + name.replace("'", "\\'") + f"', {float(p)}D" for name, p in probs.items()),
         picks=", ".join(pick(name) for name in probs),
     )
-    return counts.sparkSession.sql(query, counts=counts)
+    known = counts.select(*[F.col(c) for c in keys], F.col(_quoted(value)).cast("double").alias("_v"), F.col("n").alias("_n")).filter("_v IS NOT NULL")
+    return counts.sparkSession.sql(query, counts=known)
 
 
 def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: Mapping[str, float]) -> DataFrame:

@@ -99,9 +99,12 @@ def state_heatmap(wide: DataFrame) -> DataFrame:
 
 
 def heatmap_pivot(wide: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """State by category counts as columns, 0 where there is none. The column list is given,
-    so no extra pass is needed to find it."""
-    return wide.groupBy("state").pivot("category_name", list(categories)).agg(F.count(F.lit(1))).fillna(0)
+    """State by category counts as columns, 0 where there is none; ``other`` counts all further categories.
+
+    The column list is given, so no extra pass is needed to find it.
+    """
+    named = F.when(F.col("category_name").isin(list(categories)), F.col("category_name")).otherwise(F.lit("other"))
+    return wide.withColumn("_named", named).groupBy("state").pivot("_named", [*categories, "other"]).agg(F.count(F.lit(1))).fillna(0)
 
 
 def pendency_aging(wide: DataFrame, ref_date: str = "2024-12-31", cuts: Sequence[int] = (30, 60, 90)) -> DataFrame:
@@ -193,9 +196,9 @@ def value_counts_of_all(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def value_share(wide: DataFrame, column: str = "status") -> DataFrame:
     """Share of each value in percent; the total is taken over the counted values."""
-    everything = Window.partitionBy(F.lit(0))
     counts = wide.groupBy(column).agg(F.count(ROWS).alias("complaint_count"))
-    return counts.select(column, percent(F.col("complaint_count"), F.sum("complaint_count").over(everything)).alias("share_pct"))
+    total = counts.agg(F.sum("complaint_count")).scalar()
+    return counts.select(column, percent(F.col("complaint_count"), total).alias("share_pct"))
 
 
 def drill_down(

@@ -130,18 +130,14 @@ def seasonal_forecast(series: DataFrame, steps: int = 6, period: int = 12, level
     """Seasonal ARIMA (1,1,1)x(1,1,0,period) forecast per series, floored at 0.
 
     A series is one row holding its months, and an Arrow-batched function fits batches of
-    such rows, so thousands of series fit in parallel. Series too short for the model (or
-    on which it fails) get the compound-growth forecast, computed on the same row.
+    such rows, so thousands of series fit in parallel. Series on which the model fails,
+    as on those without a month to compare, get the compound-growth forecast, computed on the same row.
     Estimation is conditional least squares, not exact likelihood.
     """
-    needed = 2 * period + 3
-
     def fitted(x: np.ndarray) -> list[dict] | None:
-        if len(x) < needed:
-            return None
         try:
             mean, half = _project(x, steps, period, level)
-        except (np.linalg.LinAlgError, FloatingPointError, ValueError):
+        except (np.linalg.LinAlgError, FloatingPointError, ValueError, IndexError):  # IndexError: no month is left to fit
             return None
         if not (np.isfinite(mean).all() and np.isfinite(half).all()):
             return None

@@ -73,40 +73,49 @@ def narrative_corpus(summary: DataFrame, flags: DataFrame, institutions: DataFra
 
 # --- nearest neighbours -------------------------------------------------------------------------
 
-QUESTIONS_PER_PASS = 4096  # questions sent to every task; beyond this, blocks are joined
+QUESTIONS_PER_BLOCK = 4096
 DOCS_PER_BLOCK = 20_000
+TOGETHER = 256  # questions multiplied with a block of documents at a time
 
 
-def _best(question_ids, questions, doc_ids, docs, k: int, same: bool) -> pd.DataFrame:
-    """The k nearest of these documents for each question, exact, ties by id."""
-    out = []
-    for qid, q in zip(question_ids, questions):
-        gap = docs - q
-        distance = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+def _best(question_ids: np.ndarray, questions: np.ndarray, doc_ids: np.ndarray, docs: np.ndarray, k: int, same: bool) -> pd.DataFrame:
+    """The k nearest of these documents for each question, exact, ties by id.
+
+    Squared distances come from one matrix product per group of questions; what it leaves within
+    rounding of the k-th is measured again directly. Vectors with a value that is not finite have no distance.
+    """
+    fine_docs, fine = np.isfinite(docs).all(axis=1), np.isfinite(questions).all(axis=1)
+    doc_ids, docs, question_ids, questions = doc_ids[fine_docs], docs[fine_docs], question_ids[fine], questions[fine]
+    out: list[tuple] = []
+    size = np.einsum("ij,ij->i", docs, docs)
+    for begin in range(0, len(questions) if len(docs) else 0, TOGETHER):
+        part = questions[begin : begin + TOGETHER]
+        own = np.einsum("ij,ij->i", part, part)
+        square = own[:, None] + size - 2 * part @ docs.T
         if same:
-            distance = np.where(doc_ids == qid, np.inf, distance)
-        if len(distance) > k:
-            edge = np.partition(distance, k - 1)[k - 1]
-            near = np.flatnonzero(distance <= edge)
-        else:
-            near = np.arange(len(distance))
-        near = near[np.isfinite(distance[near])]
-        near = near[np.lexsort((doc_ids[near], distance[near]))][:k]
-        out.append(pd.DataFrame({"question_id": qid, "doc_id": doc_ids[near], "distance": distance[near]}))
-    return pd.concat(out) if out else pd.DataFrame({"question_id": [], "doc_id": [], "distance": []})
+            square[doc_ids == question_ids[begin : begin + TOGETHER, None]] = np.inf
+        slack = 1e-12 * docs.shape[1] * (own + size.max())
+        edge = (np.partition(square, k - 1, axis=1)[:, k - 1] if square.shape[1] > k else square.max(axis=1)) + slack
+        for row in range(len(part)):
+            near = np.flatnonzero((square[row] <= edge[row]) & np.isfinite(square[row]))
+            gap = docs[near] - part[row]
+            distance = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+            order = np.lexsort((doc_ids[near], distance))[:k]
+            out.append((np.full(len(order), question_ids[begin + row]), doc_ids[near[order]], distance[order]))
+    if not out:
+        return pd.DataFrame({"question_id": question_ids[:0], "doc_id": doc_ids[:0], "distance": np.zeros(0)})
+    ids, hits, distances = map(np.concatenate, zip(*out))
+    return pd.DataFrame({"question_id": ids, "doc_id": hits, "distance": distances})
 
 
 def knn_topk(questions: DataFrame, corpus: DataFrame, k: int = 5, exclude_self: bool = False,
-             questions_per_pass: int = QUESTIONS_PER_PASS, docs_per_block: int = DOCS_PER_BLOCK) -> DataFrame:
+             questions_per_block: int = QUESTIONS_PER_BLOCK, docs_per_block: int = DOCS_PER_BLOCK) -> DataFrame:
     """The k nearest documents (L2) of every question: ``question_id, doc_id, rank, distance``.
 
     ``questions`` has ``question_id, embedding``; ``corpus`` has ``doc_id, embedding``. The
-    result is exact. Every task keeps only its own k best per question, so pairs are never
-    written out or shuffled.
-
-    Up to ``questions_per_pass`` questions are sent to the tasks, and the corpus is read in
-    place without a shuffle. More questions than that are cut into blocks and joined with
-    blocks of the corpus; both kinds of block have a bounded size.
+    result is exact. Questions and documents are cut into blocks of a bounded size, at every number of them, and each
+    block of questions meets each block of documents: at most k hits of a question leave such a pair.
+    Vectors that are null or hold a value that is not finite are neighbours of nothing.
     """
     known = questions.select("question_id", F.col("embedding").cast("array<double>").alias("embedding")).filter(F.col("embedding").isNotNull())
     docs = corpus.select("doc_id", F.col("embedding").cast("array<double>").alias("embedding")).filter(F.col("embedding").isNotNull())
@@ -117,19 +126,7 @@ def knn_topk(questions: DataFrame, corpus: DataFrame, k: int = 5, exclude_self:
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    first = known.limit(questions_per_pass + 1).collect()
-    if len(first) <= questions_per_pass:
-        ids, vectors = [r["question_id"] for r in first], [np.array(r["embedding"]) for r in first]
-
-        def scan(batches):
-            for batch in batches:
-                if len(batch):
-                    yield _best(ids, vectors, batch["doc_id"].to_numpy(), np.vstack(batch["embedding"]), k, exclude_self)
-
-        local = docs.mapInPandas(scan, schema)
-    else:
-        local = _knn_by_blocks(known, docs, k, exclude_self, questions_per_pass, docs_per_block, schema)
-    return _rank_hits(local, k)
+    return _rank_hits(_knn_by_blocks(known, docs, k, exclude_self, questions_per_block, docs_per_block, schema), k)
 
 
 def _block(key: str, per_block: int, frame: DataFrame) -> tuple[Column, Column]:
@@ -150,8 +147,8 @@ def _knn_by_blocks(questions, docs, k, exclude_self, per_question_block, per_doc
 
     def match(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
         if q.empty or d.empty:
-            return pd.DataFrame({f.name: [] for f in schema})
-        return _best(q["question_id"], [np.array(v) for v in q["embedding"]], d["doc_id"].to_numpy(), np.vstack(d["embedding"]), k, exclude_self)
+            return pd.DataFrame({"question_id": q["question_id"].iloc[:0], "doc_id": d["doc_id"].iloc[:0], "distance": np.zeros(0)})
+        return _best(q["question_id"].to_numpy(), np.vstack(q["embedding"]), d["doc_id"].to_numpy(), np.vstack(d["embedding"]), k, exclude_self)
 
     return left.groupBy("qb", "db").cogroup(right.groupBy("qb", "db")).applyInPandas(match, schema)
 

@@ -84,10 +84,14 @@ def load_fact(cases: DataFrame, institutions: DataFrame, categories: DataFrame)
 
 
 def wide_cases(fact: DataFrame, institutions: DataFrame, categories: DataFrame) -> DataFrame:
-    """The fact with names from both dimensions, at fact grain (join on subcategory)."""
+    """The fact with names from both dimensions, at fact grain (join on subcategory).
+
+    A case whose ids are null or unknown to a dimension keeps its row, with the names "Unknown".
+    """
     banks = unique_dimension(institutions.select("bank_id", "bank_name", "bank_type"), ["bank_id"])
     subs = unique_dimension(categories.select("subcategory_id", "category_name", "subcategory_name"), ["subcategory_id"])
-    return fact.join(banks, "bank_id").join(subs, "subcategory_id").select(
+    named = fact.join(banks, "bank_id", "left").join(subs, "subcategory_id", "left")
+    return named.fillna("Unknown", ["bank_name", "bank_type", "category_name", "subcategory_name"]).select(
         "complaint_id", "date", "complaint_text", "state", "channel", "status", "resolution_days",
         "customer_segment", "year", "month", "quarter", "bank_name", "bank_type", "category_name", "subcategory_name",
     )

@@ -100,7 +100,6 @@ def welch_t(wide: DataFrame, a: str = "Public Sector", b: str = "Private Sector"
 OLS_BASELINES = {"bank_type": "Private Sector", "channel": "Online", "category_name": "Other"}
 OLS_LABELS = {"bank_type": "Bank Type: ", "channel": "Channel: ", "category_name": "Category: "}
 INTERCEPT = "Intercept"
-MAX_TERMS = 4096
 
 _COEF_SCHEMA = "variable string, coefficient double, std_error double, n bigint, k int, r_squared double"
 
@@ -108,25 +107,23 @@ _COEF_SCHEMA = "variable string, coefficient double, std_error double, n bigint,
 def _solve(gram: pd.DataFrame) -> pd.DataFrame:
     """Solve one normal-equation system, given as rows (i, j, n, sum_y, sum_yy)."""
     terms = sorted(gram["i"].unique(), key=lambda v: (v != INTERCEPT, v))
-    if len(terms) > MAX_TERMS:
-        raise ValueError(f"{len(terms)} model terms; at most {MAX_TERMS} are supported")
     at = {term: i for i, term in enumerate(terms)}
     xx = np.zeros((len(terms), len(terms)))
     xx[gram["i"].map(at), gram["j"].map(at)] = gram["n"]
-    if np.linalg.matrix_rank(xx) < len(terms):
-        raise ValueError("predictor levels are collinear; merge or drop a level")
+    inverse = np.linalg.pinv(xx, hermitian=True)  # of collinear levels, the solution of least norm
+    rank = np.linalg.matrix_rank(xx, hermitian=True)
     diagonal = gram[gram["i"] == gram["j"]].set_index("i").loc[terms]
     n, center = xx[0, 0], diagonal["sum_y"].iloc[0] / xx[0, 0]
     xy = diagonal["sum_y"].to_numpy() - center * xx[0]  # y is centred
     spread = diagonal["sum_yy"].iloc[0] - n * center**2
-    beta = np.linalg.solve(xx, xy)
+    beta = inverse @ xy
     residual = max(spread - float(beta @ xy), 0.0)
-    free = n - len(terms)
-    error = np.sqrt(np.diag(np.linalg.inv(xx)) * residual / free) if free > 0 else np.full(len(terms), np.nan)
+    free = n - rank
+    error = np.sqrt(np.maximum(np.diag(inverse), 0.0) * residual / free) if free > 0 else np.full(len(terms), np.nan)
     beta[0] += center
     return pd.DataFrame(
         {
-            "variable": terms, "coefficient": beta, "std_error": error, "n": int(n), "k": len(terms) - 1,
+            "variable": terms, "coefficient": beta, "std_error": error, "n": int(n), "k": int(rank) - 1,
             "r_squared": 1.0 - residual / spread if spread > 0 else np.nan,
         }
     )

@@ -16,7 +16,8 @@ from casewatch.functions.columns import contains_any, first_match
 from casewatch.operators.text_features import fit_tfidf
 from casewatch.sources.files import stored
 
-SPLIT_DIGITS = 4  # leading hash digits that form a bucket: 65,536 buckets per class
+SPLIT_DIGITS = 4  # hash digits by which a bucket is cut at a time
+EDGE_ROWS = 100_000  # rows that one task may order
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test: float = 0.2, seed: int = 42) -> DataFrame:
@@ -24,32 +25,31 @@ def stratified_split(df: DataFrame, label: str, key: str, test: float = 0.2, see
 
     Rows are ordered by a seeded hash of their key, and the first ones of each class are the
     test rows. A class is never sorted as a whole: hash buckets are counted, the bucket in
-    which the quota runs out is found from the counts, and only that bucket is ordered. The
-    resulting threshold, one row per class, is joined back to the rows.
+    which the quota runs out is found from the counts, and that bucket is cut by further digits until it
+    is small; only then it is ordered. The resulting threshold, one row per class, is joined back to the rows.
 
     The two per-class tables are stored first. Their size is then known, so the rows, hot
     class or not, are joined in place instead of being shuffled by class.
     """
     digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"-{seed}")))
     order = F.concat(digest, F.lit("/"), F.col(key).cast("string"))
-    hashed = df.select(F.col(label), order.alias("_order"), F.substring(digest, 1, SPLIT_DIGITS).alias("_bucket"))
+    keys = df.select(F.col(label), order.alias("_order"))
     over_class = Window.partitionBy(label)
-    buckets = (
-        hashed.groupBy(label, "_bucket")
-        .agg(F.count("*").alias("_in"))
-        .withColumn("_upto", F.sum("_in").over(over_class.orderBy("_bucket")))
-        .withColumn("_n", F.sum("_in").over(over_class))
-        .withColumn("_quota", F.col("_n") - F.floor(F.col("_n") * (1 - test) + 1e-9))
-    )
-    edge = buckets.filter("_upto >= _quota AND _upto - _in < _quota").select(
-        F.col(label).alias("_edge_class"), F.col("_bucket").alias("_edge"), F.expr("_quota - _upto + _in").alias("_take")
-    )
-    edge = stored(edge, "split-edge")
-    at_edge = (F.col("_bucket") == F.col("_edge")) & F.col(label).eqNullSafe(F.col("_edge_class"))
-    in_bucket = Window.partitionBy(label, "_bucket").orderBy("_order")
+    sizes = keys.groupBy(label).agg(F.count("*").alias("_n"))
+    quota = (F.col("_n") - F.floor(F.col("_n") * (1 - test) + 1e-9)).alias("_take")
+    edge = stored(sizes.select(F.col(label).alias("_edge_class"), F.lit("").alias("_edge"), quota, F.col("_n").alias("_in")).filter("_take > 0"), "split-edge")
+    digits = 0
+    while True:
+        in_edge = F.col(label).eqNullSafe(F.col("_edge_class")) & (F.substring("_order", 1, digits) == F.col("_edge"))
+        inside = keys.join(edge, in_edge)
+        if digits >= 32 or (edge.agg(F.max("_in")).first()[0] or 0) <= EDGE_ROWS:
+            break
+        digits += SPLIT_DIGITS
+        buckets = inside.groupBy(label, F.substring("_order", 1, digits).alias("_bucket")).agg(F.count("*").alias("_in"), F.first("_take").alias("_take"))
+        buckets = buckets.withColumn("_upto", F.sum("_in").over(over_class.orderBy("_bucket"))).filter("_upto >= _take AND _upto - _in < _take")
+        edge = stored(buckets.select(F.col(label).alias("_edge_class"), F.col("_bucket").alias("_edge"), F.expr("_take - _upto + _in").alias("_take"), "_in"), "split-edge")
     threshold = (
-        hashed.join(edge, at_edge)
-        .withColumn("_at", F.row_number().over(in_bucket))
+        inside.withColumn("_at", F.row_number().over(over_class.orderBy("_order")))
         .filter(F.col("_at") == F.col("_take"))
         .select(F.col(label).alias("_class"), F.col("_order").alias("_last_test"))
     )
@@ -132,9 +132,10 @@ def confusion_counts(pred: DataFrame, label: str = "label", prediction: str = "p
 
 
 def confusion_matrix(pred: DataFrame, classes: Sequence[str], label: str = "label", prediction: str = "predicted_category") -> DataFrame:
-    """One row per actual class, one column per predicted class."""
-    counts = confusion_counts(pred, label, prediction)
-    return counts.groupBy("label").pivot("predicted", list(classes)).agg(F.sum("n")).fillna(0)
+    """One row per actual class, one column per predicted class; ``other`` counts all further predictions."""
+    named = F.when(F.col("predicted").isin(list(classes)), F.col("predicted")).otherwise(F.lit("other"))
+    counts = confusion_counts(pred, label, prediction).withColumn("_named", named)
+    return counts.groupBy("label").pivot("_named", [*classes, "other"]).agg(F.sum("n")).fillna(0)
 
 
 def _ratio(a: Column, b: Column) -> Column:

@@ -90,7 +90,6 @@ def tfidf_weights(model: PipelineModel, df: DataFrame, key: str, output: str = "
     names = F.array(*[F.lit(t) for t in vocabulary_of(model)])
     return (
         embed(model, df, output, "_v")
-        .select(key, F.posexplode("_v").alias("at", "weight"))
-        .filter("weight > 0")
-        .select(key, F.element_at(names, F.col("at") + 1).alias("term"), "weight")
+        .select(key, F.inline(F.filter(F.arrays_zip(names.alias("term"), F.col("_v").alias("weight")), lambda e: e["weight"] > 0)))
+        .toDF(key, "term", "weight")
     )

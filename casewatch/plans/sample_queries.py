@@ -44,7 +44,6 @@ KPI_YEARS = [1999, 2000]
 CATEGORY = "ECONOMY"
 CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD", "Unknown"]
 REPORT_MONTH = (2001, 6)
-LANGUAGES = ["de", "en", "es", "fr"]
 # Values allowed by the sample's own domain check; '5-LOW' and 'Escalated' are left out so
 # that the check has something to find.
 DOMAINS = {"channel": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"], "status": ["Resolved", "Pending"]}
@@ -222,7 +221,7 @@ def _stream(t: SampleTables) -> DataFrame:
 def _settings() -> pipeline.Settings:
     return pipeline.Settings(
         window=WINDOW, flags=FLAG_RULES, risk=RISK_RULES, welch=WELCH, baselines=BASELINES, rising=RISING,
-        ref_date=REF, report_month=REPORT_MONTH, series_by="bank_type", domains=DOMAINS, train=False,
+        ref_date=REF, report_month=REPORT_MONTH, series_by="bank_type", domains=DOMAINS,
     )
 
 
@@ -257,7 +256,7 @@ def _mis(t: SampleTables) -> DataFrame:
 
 def _routes(t: SampleTables) -> DataFrame:
     """Routes of questions read from the conversations, with the canned lines' texts."""
-    asked = t.table("conversations").select("conv_id", "turn", F.col("text").alias("question"))
+    asked = t.table("conversations").filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("question"))
     return N.route_questions(asked).select("conv_id", "turn", "route")
 
 
@@ -289,15 +288,14 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "calendar_parts": lambda t: V.calendar_parts(t.table("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date"))),
     "dup_keys": lambda t: V.dup_keys(t.table("lineitem"), ["l_orderkey", "l_linenumber"]),
     "domain_violations": lambda t: V.domain_violations(t.plain, DOMAINS),
-    "fk_orphans": lambda t: V.fk_orphans(
-        t.table("customer").select("c_custkey"), t.table("orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey"
-    ),
+    # Orders against the customers in credit, so that there is something to find.
+    "fk_orphans": lambda t: V.fk_orphans(t.table("orders").select("o_custkey"), t.table("customer").filter("c_acctbal > 0"), "o_custkey", "c_custkey"),
     # queries
     "top_banks_yoy": lambda t: Q.top_banks_yoy(t.plain, 1999, 2000),
     "category_trends": lambda t: Q.category_trends(t.counted),
     "resolution_efficiency": lambda t: Q.resolution_efficiency(t.timed),
     "state_heatmap": lambda t: Q.state_heatmap(t.counted),
-    "heatmap_pivot": lambda t: Q.heatmap_pivot(t.counted, CATEGORIES),
+    "heatmap_pivot": lambda t: Q.heatmap_pivot(t.counted, [c for c in CATEGORIES if c != "Unknown"]),
     "pendency_aging": lambda t: Q.pendency_aging(t.plain, REF),
     "rising_categories": lambda t: Q.rising_categories(t.counted, **RISING),
     "kpi_cards": lambda t: Q.kpi_cards(t.timed, KPI_YEARS, ["ASIA", "EUROPE"]),
@@ -336,7 +334,7 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "stratified_split": lambda t: t.split.select("doc_id", "label", "is_train"),
     "keyword_classify": lambda t: M.keyword_classify(t.table("documents"), "doc_id", "text"),
     "classification_report": lambda t: M.classification_report(_letter_prediction(t)),
-    "confusion_matrix": lambda t: M.confusion_matrix(_letter_prediction(t), LANGUAGES),
+    "confusion_matrix": lambda t: M.confusion_matrix(_letter_prediction(t), ["de", "en", "es"]),
     "tfidf_vectors": lambda t: tfidf_weights(fit_tfidf(t.documents, "text", 500), t.documents, "doc_id"),
     "train_classifier": lambda t: M.classification_report(M.score(t.model, t.held_out)),
     "score_classifier": lambda t: M.score(t.model, t.documents).select("doc_id", "label", "predicted_category", "confidence"),
@@ -348,7 +346,7 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "corpus_table": lambda t: files.stored(t.narratives, "corpus"),
     "embed_corpus": _embedded_corpus,
     "knn_topk": _knn,
-    "knn_topk_blocks": lambda t: _knn(t, questions_per_pass=100, docs_per_block=150),
+    "knn_topk_blocks": lambda t: _knn(t, questions_per_block=100, docs_per_block=150),
     "retrieval_context": lambda t: N.retrieval_context(_knn(t), _document_corpus(t)),
     "narrative_search": _narrative_search,
     "question_routes": _routes,

@@ -14,20 +14,27 @@ from casewatch.session import new_table_path
 CORRUPT = "_corrupt_record"
 
 
-def read_cases_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CASES) -> DataFrame:
-    """Case file with a header; a malformed line keeps its text in ``_corrupt_record``.
+def read_cases_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CASES, multi_line: bool = False) -> DataFrame:
+    """Case file with a header; a malformed record keeps its text in ``_corrupt_record``.
 
+    Quotes inside quoted texts are doubled. The records are parsed with all their columns and landed once as
+    Parquet, so that what counts as malformed does not depend on the columns a later query reads.
+
+    Texts with line breaks need ``multi_line``: each file is then read by one task, so such data should come in
+    many files. Without it a line whose quotes are not closed is malformed, as is one with too few or too many fields.
     A missing path fails when the frame is defined, as a file scan in Spark does.
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
-    return (
-        spark.read.schema(with_corrupt)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("multiLine", False)
-        .csv(path)
-    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "quote": '"', "escape": '"'}
+    if multi_line:
+        parsed = spark.read.schema(with_corrupt).options(header=True, multiLine=True, **options).csv(path)
+        return stored(parsed, "landed-csv")
+    header = ",".join(schema.fieldNames())
+    lines = spark.read.text(path).filter((F.trim("value") != "") & (F.replace("value", F.lit('"'), F.lit("")) != header))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    parsed = lines.select("value", (quotes % 2 == 1).alias("open"), F.from_csv("value", with_corrupt.simpleString()[7:-1].replace(":", " "), options).alias("r"))
+    fields = [F.when(~F.col("open"), F.col("r")[f.name]).alias(f.name) for f in schema.fields]
+    return stored(parsed.select(*fields, F.when(F.col("open"), F.col("value")).otherwise(F.col("r")[CORRUPT]).alias(CORRUPT)), "landed-csv")
 
 
 def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -37,18 +44,18 @@ def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def write_cases_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    """With a header; a text with a comma, quote or line break is quoted, its quotes doubled."""
+    df.write.mode(mode).options(header=True, quote='"', escape='"').csv(path)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
     """Parquet sink: ``overwrite`` for a full refresh, ``append`` for added rows.
 
-    With partition columns, rows are shuffled on them plus a spread column first: each
-    partition folder gets a few files, and a hot partition is written by several tasks.
+    With partition columns, rows are dealt out by them first, and Spark splits what is large and joins what is
+    small by size: each partition folder gets a few files, and a hot one is written by as many tasks as its size asks for.
     """
     if partition_by:
-        spread = F.pmod(F.xxhash64(*[c for c in df.columns if c not in partition_by]), F.lit(8))
-        df = df.repartition(*partition_by, spread)
+        df = df.hint("rebalance", *partition_by)
     df.write.mode(mode).partitionBy(*partition_by).parquet(path) if partition_by else df.write.mode(mode).parquet(path)
 
 

@@ -21,7 +21,7 @@ def test_csv_keeps_malformed_lines(spark, tmp_path):
     broken = "C3,2024-01-05,A,Public Sector,X,X1,t,S,Online,Resolved,many,Retail,2024,1,1"
     path = tmp_path / "cases.csv"
     path.write_text("\n".join([header, good, no_date, broken]) + "\n")
-    rows, corrupt = files.split_corrupt(files.read_cases_csv(spark, str(path)).cache())
+    rows, corrupt = files.split_corrupt(files.read_cases_csv(spark, str(path)))
     assert {r.complaint_id for r in rows.collect()} == {"C1", "C2"} and [r[0] for r in corrupt.collect()] == [broken]
     assert rows.filter("complaint_id = 'C1'").first().complaint_text == "text, quoted"
     assert V.clean_cases(rows).count() == 1
@@ -29,6 +29,27 @@ def test_csv_keeps_malformed_lines(spark, tmp_path):
         files.read_cases_csv(spark, str(tmp_path / "missing.csv")).count()
 
 
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_csv_round_trip_of_odd_texts(spark, tmp_path, multi_line):
+    texts = ['said "stop", then left', 'said "stop" loudly', '"', "", "a,b", "back\\slash", "tab\t end "] + ["line one\nline two"] * multi_line
+    cases = raw(spark, *[{"complaint_id": f"C{i}", "complaint_text": t} for i, t in enumerate(texts)])
+    files.write_cases_csv(cases, str(tmp_path / "cases"))
+    good, bad = files.split_corrupt(files.read_cases_csv(spark, str(tmp_path / "cases"), multi_line=multi_line))
+    assert bad.count() == 0
+    assert {r.complaint_id: (r.complaint_text or "").strip() for r in good.collect()} == {f"C{i}": t.strip() for i, t in enumerate(texts)}
+    assert good.select("state").count() == len(texts)
+
+
+def test_csv_reports_every_line_whatever_is_read(spark, tmp_path):
+    names = files.RAW_CASES.fieldNames()
+    whole = ",".join(["C1", "2024-01-05"] + ["x"] * 8 + ["12.0", "Retail", "2024", "1", "1"])
+    broken_text = whole.replace("x", '"line one', 1)
+    (tmp_path / "cases.csv").write_text("\n".join([",".join(names), whole, "C2,2024-01-05,short", broken_text, whole + ",more"]) + "\n")
+    good, bad = files.split_corrupt(files.read_cases_csv(spark, str(tmp_path / "cases.csv")))
+    assert good.count() == good.select("complaint_id").count() == 1
+    assert bad.count() == 3 and {r[0] for r in bad.collect()} == {"C2,2024-01-05,short", broken_text, whole + ",more"}
+
+
 def test_tables_overwrite_append_and_partitions(spark):
     df = raw(spark, {}, {"year": 2023}, {"year": 2023})
     path = new_table_path(spark, "t")

@@ -139,7 +139,8 @@ def test_load_fact_keeps_unknown_names(spark):
     assert (rows["C0"].bank_id, rows["C0"].category_id, rows["C0"].subcategory_id, rows["C0"].resolution_days) == (1, 1, 3, None)
     assert rows["C1"].bank_id is None and len(fact.columns) == 14
     wide = S.wide_cases(fact, S.institution_dimension(spark), S.category_dimension(spark))
-    assert wide.count() == 1 and wide.first().category_name == "Digital Banking Fraud"
+    named = {r["complaint_id"]: (r["bank_name"], r["category_name"]) for r in wide.collect()}
+    assert named == {"C0": ("SBI", "Digital Banking Fraud"), "C1": ("Unknown", "Unknown")}
 
 
 def test_derived_category_ids_are_dense(spark, sf_dir):

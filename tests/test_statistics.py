@@ -143,3 +143,19 @@ def test_box_and_mean(spark):
     r = A.box_summary(df).first()
     assert (r.minimum, r.q1, r["median"], r.q3, r.maximum) == (1.0, 2.0, 3.0, 4.0, 5.0)
     assert A.overall_mean(df).first().avg_resolution_days == 19.0
+
+
+@pytest.mark.parametrize("t, normal", [(0.1, 0.920344325445942), (2.0, 0.0455002638963584)])
+def test_tails_keep_their_digits_at_large_degrees_of_freedom(t, normal):
+    from casewatch.functions.tails import incomplete_beta
+
+    for df in (1e9, 1e12, 1e15):
+        assert abs(incomplete_beta(df / 2, 0.5, df / (df + t * t), t * t / (df + t * t)) - normal) < 1e-8
+
+
+def test_quantiles_of_close_values_and_odd_names(spark):
+    rows = [(f"g {i % 3}", 0.5 + i / 10_000) for i in range(1000)]
+    got = exact_quantiles(spark.createDataFrame(rows, ["bank type", "bucket"]), ["bank type"], "bucket", {"the median": 0.5, "q": 0.25}).collect()
+    for r in got:
+        values = sorted(v for g, v in rows if g == r["bank type"])
+        assert abs(r["the median"] - float(np.quantile(values, 0.5))) < 1e-12 and abs(r["q"] - float(np.quantile(values, 0.25))) < 1e-12

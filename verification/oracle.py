@@ -314,8 +314,8 @@ ORACLE: dict[str, str] = {
     "domain_violations": _CASES + """SELECT 'channel' AS column_name, channel AS value, count(*) AS record_count FROM cases
         WHERE channel NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED') GROUP BY 2
         UNION ALL SELECT 'status', status, count(*) FROM cases WHERE status NOT IN ('Resolved', 'Pending') GROUP BY 2""",
-    "fk_orphans": """SELECT c_custkey, count(*) AS record_count FROM customer
-        WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) GROUP BY 1""",
+    "fk_orphans": """SELECT o_custkey, count(*) AS record_count FROM orders
+        WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal > 0) GROUP BY 1""",
     "top_banks_yoy": _CASES + """SELECT bank_name, bank_type, count(*) FILTER (year = 1999) AS count_prev, count(*) FILTER (year = 2000) AS count_curr,
         count(*) AS total_volume, CASE WHEN count(*) FILTER (year = 1999) = 0 THEN 0.0 ELSE
           round((CAST(count(*) FILTER (year = 2000) AS DOUBLE) - count(*) FILTER (year = 1999)) / count(*) FILTER (year = 1999) * 100, 2) END AS yoy_change_pct
@@ -327,8 +327,8 @@ ORACLE: dict[str, str] = {
         CAST(rank() OVER (ORDER BY {_RESOLVED} ASC NULLS LAST) AS INTEGER) AS efficiency_rank FROM wide GROUP BY 1, 2""",
     "state_heatmap": _CASES + "SELECT state, category_name, count(*) AS complaint_count FROM wide GROUP BY 1, 2",
     "heatmap_pivot": _CASES + "SELECT state, "
-    + ", ".join(f"count(*) FILTER (category_name = '{c}') AS \"{c}\"" for c in "ECONOMY LARGE MEDIUM PROMO SMALL STANDARD Unknown".split())
-    + " FROM wide GROUP BY 1",
+    + ", ".join(f"count(*) FILTER (category_name = '{c}') AS \"{c}\"" for c in "ECONOMY LARGE MEDIUM PROMO SMALL STANDARD".split())
+    + ", count(*) FILTER (category_name NOT IN ('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD')) AS other FROM wide GROUP BY 1",
     "pendency_aging": _CASES + """SELECT bank_name, count(*) AS total_pending, """
     + ", ".join(f"count(*) FILTER (date_diff('day', date, DATE '2001-06-30') > {d}) AS pending_{d}_days" for d in (30, 60, 90))
     + " FROM wide WHERE status = 'Pending' GROUP BY 1",
@@ -426,7 +426,7 @@ ORACLE: dict[str, str] = {
           UNION ALL SELECT 'weighted avg', sum(p * support) / sum(support), sum(r * support) / sum(support), sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM f)
         SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM s""",
     "confusion_matrix": _with(_LETTER) + """SELECT label, count(*) FILTER (predicted = 'de') AS de, count(*) FILTER (predicted = 'en') AS en,
-        count(*) FILTER (predicted = 'es') AS es, count(*) FILTER (predicted = 'fr') AS fr FROM pred GROUP BY 1""",
+        count(*) FILTER (predicted = 'es') AS es, count(*) FILTER (predicted NOT IN ('de', 'en', 'es')) AS other FROM pred GROUP BY 1""",
     "tfidf_vectors": "WITH docs AS (SELECT doc_id AS id, text AS body FROM documents)" + _TFIDF.replace("{size}", "500"),
     "embed_corpus": _CORPUS.rstrip() + ", docs AS (SELECT doc_id AS id, page_content AS body FROM (SELECT * FROM texts UNION ALL SELECT * FROM flag_texts))"
     + _TFIDF.replace("{size}", "128"),
@@ -439,7 +439,7 @@ ORACLE: dict[str, str] = {
         CAST(to_json(list({'content': text, 'bank_name': lang, 'year': 'N/A', 'source': source} ORDER BY rank)) AS VARCHAR) AS sources
         FROM ranked JOIN documents d ON d.doc_id = ranked.doc_id GROUP BY 1""",
     "question_routes": """SELECT conv_id, turn, CASE WHEN contains(lower(text), 'growth') OR contains(lower(text), 'highest') THEN 'growth'
-        WHEN contains(lower(text), 'fraud') OR contains(lower(text), 'digital') THEN 'fraud_states' ELSE 'flags' END AS route FROM conversations""",
+        WHEN contains(lower(text), 'fraud') OR contains(lower(text), 'digital') THEN 'fraud_states' ELSE 'flags' END AS route FROM conversations WHERE role = 'user'""",
     "route_lines": _with(SUMMARY + _FLAGS_ONLY) + """SELECT 'growth' AS route, '- In year ' || year || ' month ' || month || ', ' || n_name || ' had ' || total_complaints
           || ' complaints, growing by ' || CAST(complaint_growth_pct AS VARCHAR) || '% MoM.' AS line
         FROM (SELECT * FROM summary WHERE complaint_growth_pct > 15 ORDER BY complaint_growth_pct DESC, bank_id, year, month LIMIT 3) JOIN nation ON bank_id = n_nationkey

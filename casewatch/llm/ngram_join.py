@@ -3,8 +3,9 @@
 A document's set are the hashes of its distinct 5-word shingles; equal sets form a class, and one
 representative of each goes on. Small (light) sets put down all subsets of the fixed sizes that two
 similar ones must share. Large (heavy) sets put down their prefix in one order of all shingles,
-frequent ones last: similar sets share one of its elements, so the inverted lists of these are scanned. The size
-boundary is where the two costs, summed over all sets, are least. Sets just below it do both.
+frequent ones last: similar sets share one of its elements, so the inverted lists of these are scanned. The prefix is a
+twentieth longer than that needs, so that similar sets share that many of its elements, and a set with fewer elements
+that occur elsewhere is out. The size boundary is where the two costs, summed over all sets, are least. Sets just below it do both.
 
 A list is not turned into all pairs. In star rounds each member is compared with one member of its list; what
 is linked by then is one component, and a last round compares the members of different components only. Each candidate pair
@@ -44,6 +45,11 @@ def prefix_length(n: int) -> int:
     return n - least_overlap(n) + 1
 
 
+def surplus(n: int) -> int:
+    """Elements that the longer prefixes of two similar sets share at least, if the smaller one has n elements."""
+    return n // 20 + 1
+
+
 def subset_sizes(n: int, boundary: int) -> list[int]:
     """Sizes of the subsets that a light set of n puts down: for each size of partner, the larger set's least overlap."""
     return sorted({least_overlap(m) for m in range(n, min(boundary, 100 * n // PERCENT) + 1)})
@@ -153,7 +159,7 @@ def frequent_shingles(texts: DataFrame):
     return top["h"].to_numpy(dtype="int64").copy()
 
 
-SETS = "uid long, doc_id long, text_key long, n int, f1 long, f2 long, head binary"
+SETS = "uid long, doc_id long, text_key long, n int, f1 long, f2 long, common_from int, head binary"
 
 
 def _sets(shared):
@@ -179,20 +185,28 @@ def _sets(shared):
                         if known.any():
                             head = np.concatenate([s[~known], s[known][np.argsort(by_hash[i[known]])]])
                     if n > LIGHT:
-                        head = head[: prefix_length(n)]
-                    rows.append((uid, n, int(s.sum(dtype=np.uint64).view(np.int64)), int(np.bitwise_xor.reduce(s * np.uint64(0x94D049BB133111EB)).view(np.int64)) if n else 0, head.tobytes()))
+                        head = head[: prefix_length(n) + surplus(n) - 1]
+                        common_from = len(head) - int(np.isin(head, ordered).sum())
+                    else:
+                        common_from = n
+                    rows.append((uid, n, int(s.sum(dtype=np.uint64).view(np.int64)), int(np.bitwise_xor.reduce(s * np.uint64(0x94D049BB133111EB)).view(np.int64)) if n else 0, common_from, head.tobytes()))
                     uid += 1
-                uids, n, f1, f2, heads = zip(*rows)
+                uids, n, f1, f2, common_from, heads = zip(*rows)
                 end = begin + len(part)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(uids, pa.int64()), pa.array(ids[begin:end], pa.int64()), pa.array(keys[begin:end], pa.int64()), pa.array(n, pa.int32()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(heads, pa.binary())],
-                    ["uid", "doc_id", "text_key", "n", "f1", "f2", "head"],
+                    [pa.array(uids, pa.int64()), pa.array(ids[begin:end], pa.int64()), pa.array(keys[begin:end], pa.int64()), pa.array(n, pa.int32()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(common_from, pa.int32()), pa.array(heads, pa.binary())],
+                    ["uid", "doc_id", "text_key", "n", "f1", "f2", "common_from", "head"],
                 )
 
     return run
 
 
+ENTRIES = "h long, uid long, n int, room int, common boolean"
+
+
 def _postings(boundary: int):
+    """Entries of the lists; ``common``: of a frequent shingle, which is known to occur elsewhere."""
+
     def run(batches):
         from itertools import combinations
 
@@ -201,38 +215,74 @@ def _postings(boundary: int):
 
         low = least_overlap(boundary + 1)
         for batch in batches:
-            hashes, uids, sizes, rooms = [], [], [], []
-            for uid, n, head in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            hashes, uids, sizes, rooms, common = [], [], [], [], []
+
+            def put(h, uid, n, room, known):
+                hashes.append(h)
+                uids.append(np.full(len(h), uid))
+                sizes.append(np.full(len(h), n))
+                rooms.append(room)
+                common.append(known)
+
+            for uid, n, common_from, head in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 values = np.frombuffer(head, np.uint64)
                 if n <= boundary:
                     inside = np.sort(values)
                     for c in subset_sizes(n, boundary):
                         chosen = np.array(list(combinations(range(n), c)))
                         h = _combined([inside[chosen[:, k]] for k in range(c)], c + 1000)
-                        hashes.append(h)
-                        uids.append(np.full(len(h), uid))
-                        sizes.append(np.full(len(h), n))
-                        rooms.append(np.full(len(h), n))
+                        put(h, uid, n, np.full(len(h), n), np.zeros(len(h), bool))
                 if n >= low:
-                    h = values[: prefix_length(n)]
-                    hashes.append(h)
-                    uids.append(np.full(len(h), uid))
-                    sizes.append(np.full(len(h), n))
-                    rooms.append(n - np.arange(len(h)))
+                    h = values[: prefix_length(n) + surplus(n) - 1]
+                    at = np.arange(len(h))
+                    put(h, uid, n, n - at, at >= common_from)
             if hashes:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(uids), pa.int64()), pa.array(np.concatenate(sizes).astype(np.int32)), pa.array(np.concatenate(rooms).astype(np.int32))],
-                    ["h", "uid", "n", "room"],
+                    [pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(uids), pa.int64()), pa.array(np.concatenate(sizes).astype(np.int32)), pa.array(np.concatenate(rooms).astype(np.int32)), pa.array(np.concatenate(common))],
+                    ["h", "uid", "n", "room", "common"],
                 )
 
     return run
 
 
+def _repeated(batches):
+    """Of rows sorted by their first column, those whose value the row before or after has too."""
+    import numpy as np
+    import pyarrow as pa
+
+    held = before = None  # the last row so far, and the value before it
+    for batch in batches:
+        if not len(batch):
+            continue
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        h = batch.column(0).to_numpy()
+        keep = np.zeros(len(h), bool)
+        keep[0] = before is not None and h[0] == before
+        keep[1:] = h[1:] == h[:-1]
+        keep[:-1] |= h[1:] == h[:-1]
+        yield batch.slice(0, len(h) - 1).filter(pa.array(keep[:-1]))
+        held = batch.slice(len(h) - 1)
+        before = h[-2] if len(h) > 1 else before
+    if held is not None and before is not None and held.column(0)[0].as_py() == before:
+        yield held
+
+
 def shared_lists(sets: DataFrame, boundary: int) -> DataFrame:
-    """Stored inverted lists (h, uid, n, room) of two members or more; room: overlap left from the element on."""
-    entries = sets.select("uid", "n", "head").mapInArrow(_postings(boundary), "h long, uid long, n int, room int")
-    shared = entries.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("h")
-    return stored(entries.join(shared, "h", "left_semi"), "lists")
+    """Stored inverted lists (h, uid, n, room) without sets that share too little; room: overlap left from the element on.
+
+    Entries of frequent shingles need no look at others; the rest are dealt out and sorted by shingle, and a scan that
+    holds two rows finds those with a neighbour.
+    """
+    entries = sets.select("uid", "n", "common_from", "head").mapInArrow(_postings(boundary), ENTRIES)
+    columns = ["h", "uid", "n", "room"]
+    alone = entries.filter("not common").select(*columns).repartition("h").sortWithinPartitions("h")
+    found = alone.mapInArrow(_repeated, "h long, uid long, n int, room int").unionByName(entries.filter("common").select(*columns))
+    found = stored(found, "shared")
+    needed = F.when(F.max("n") <= boundary, 1).otherwise(F.floor(F.ceil(F.max("n") * PERCENT / 100) / 20) + 1)
+    fit = found.groupBy("uid").agg(F.count(F.lit(1)).alias("k"), needed.alias("needed")).filter("k >= needed").select("uid")
+    first = F.col("room") >= F.ceil(F.col("n") * PERCENT / 100)  # one common element among the first is enough to meet
+    return stored(found.filter(first).join(fit, "uid", "left_semi"), "lists")
 
 
 def _near(pairs: DataFrame) -> DataFrame:
@@ -321,21 +371,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     common = spark.sparkContext.broadcast(frequent_shingles(texts))
     sets = stored(texts.mapInArrow(_sets(common), SETS), "sets")
     classes = stored(
-        sets.filter("n > 0").groupBy("n", "f1", "f2").agg(F.min(F.struct("uid", "text_key", "head", F.col("doc_id").alias("own"))).alias("r"), F.min("doc_id").alias("class_id")),
+        sets.filter("n > 0").groupBy("n", "f1", "f2").agg(F.min(F.struct("uid", "text_key", "common_from", "head", F.col("doc_id").alias("own"))).alias("r"), F.min("doc_id").alias("class_id")),
         "classes",
     )
-    each = classes.select(F.col("r.uid").alias("uid"), F.col("r.text_key").alias("text_key"), F.col("r.own").alias("doc_id"), "n", F.col("r.head").alias("head"))
+    each = classes.select(F.col("r.uid").alias("uid"), F.col("r.text_key").alias("text_key"), F.col("r.own").alias("doc_id"), "n", F.col("r.common_from").alias("common_from"), F.col("r.head").alias("head"))
     boundary = choose_boundary({r["n"]: r["k"] for r in each.groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect()})
     lists = shared_lists(each, boundary)
     wanted = each.join(lists.select("uid").distinct(), "uid", "left_semi").select("uid", F.col("doc_id").alias("d"), F.col("text_key").alias("t"))
     rows = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t"))).select("uid", "text")
-    whole = stored(rows.mapInArrow(_whole, "uid long, items binary").dropDuplicates(["uid"]), "whole")
+    whole = stored(rows.mapInArrow(_whole, "uid long, items binary"), "whole")
+    if whole.count() > wanted.count():  # rows that repeat an id and its text
+        whole = stored(whole.dropDuplicates(["uid"]), "whole")
     roots = links(lists, whole)
     ids = classes.select("n", "f1", "f2", "class_id", F.col("r.uid").alias("rep")).join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     ids = ids.withColumn("root", F.coalesce("root", "rep"))
     least = ids.groupBy("root").agg(F.min("class_id").alias("component_id"))
     ids = stored(ids.join(least, "root").select("n", "f1", "f2", F.col("root").alias("component"), "class_id", "component_id"), "components")
-    joined = sets.drop("head").join(ids, ["n", "f1", "f2"], "left")
+    joined = sets.drop("head", "common_from").join(ids, ["n", "f1", "f2"], "left")
     own = F.col("n") == 0
     return joined.select(
         "doc_id", "text_key", F.col("n").cast("long").alias("n_shingles"),

@@ -92,3 +92,23 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 200)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 100])
+def test_rows_with_a_neighbour_are_found_across_batches(size):
+    import pyarrow as pa
+
+    rng = random.Random(size)
+    for _ in range(50):
+        values = sorted(rng.randrange(12) for _ in range(rng.randrange(20)))
+        batches = [pa.RecordBatch.from_arrays([pa.array(values[i : i + size], pa.int64())], ["h"]) for i in range(0, len(values), size)]
+        got = [x for b in J._repeated(iter(batches)) for x in b.column(0).to_pylist()]
+        assert got == [v for v in values if values.count(v) > 1]
+
+
+def test_links_when_shingles_are_known_as_frequent(spark, monkeypatch):
+    monkeypatch.setattr(J, "OFTEN", 2)
+    rng = random.Random(9)
+    base, other = [f"w{i}" for i in range(90)], [f"v{i}" for i in range(90)]
+    rows = [(i, changed(rng, base, rng.randrange(4))) for i in range(25)] + [(50 + i, " ".join(base[:45] + other[i : i + 45])) for i in range(25)]
+    assert joined(spark, rows) == brute_force(rows)

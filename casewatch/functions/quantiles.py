@@ -2,7 +2,7 @@
 
 Values are first counted (``group, value -> n``), which combines on the map side, so a
 group with a third of all rows costs no more than its number of distinct values. The
-wanted rank is then located among buckets of equal width, and only the bucket that holds it
+wanted rank is then located among buckets of equal relative width, and only the bucket that holds it
 is looked at value by value. The largest thing one task orders is therefore the list of
 buckets of a group, or the distinct values within one bucket.
 """
@@ -20,15 +20,16 @@ def value_counts_of(df: DataFrame, by: list[str], value: str) -> DataFrame:
     return df.filter(F.col(_quoted(value)).isNotNull()).groupBy(*[_quoted(c) for c in [*by, value]]).agg(F.count("*").alias("n"))
 
 
-BUCKETS = 4096  # of equal width, from the least to the greatest value of a group
+STEPS = 4096  # buckets per doubling of a value: one is a fiftieth of a percent wide, whatever the unit
+_BEYOND = 5_000_000  # more than any bucket number, so that negative, zero and positive values keep their order
+
+_BUCKET = (
+    f"CASE WHEN _v > 0 THEN floor(log2(_v) * {STEPS}) + {_BEYOND} WHEN _v < 0 THEN -floor(log2(-_v) * {STEPS}) - {_BEYOND} ELSE 0 END"
+)
 
 _QUANTILES = """
-    WITH spans AS (
-        SELECT {by} min(_v) AS _low, greatest((max(_v) - min(_v)) / {buckets}, 1e-300D) AS _width FROM {{counts}} GROUP BY {by} 1 - 1
-    ), cells AS (
-        SELECT {c_by} c._v, c._n, floor((c._v - s._low) / s._width) AS _bucket FROM {{counts}} c JOIN spans s ON {span_on} true
-    ), buckets AS (
-        SELECT {by} _bucket, sum(_n) AS _inside FROM cells GROUP BY {by} _bucket
+    WITH buckets AS (
+        SELECT {by} {bucket} AS _bucket, sum(_n) AS _inside FROM {{counts}} GROUP BY {by} {bucket}
     ), placed AS (
         SELECT *, sum(_inside) OVER ({group} ORDER BY _bucket) AS _upto, sum(_inside) OVER ({group}) AS _total FROM buckets
     ), wanted AS (
@@ -42,7 +43,7 @@ _QUANTILES = """
         SELECT {c_by} c._v, c._n, t._name, t._side, t._frac, t._rank,
                t._before + sum(c._n) OVER (PARTITION BY {c_by} t._bucket, t._name, t._side ORDER BY c._v
                                         ROWS UNBOUNDED PRECEDING) AS _upto
-        FROM cells c JOIN targets t ON {on} c._bucket = t._bucket
+        FROM {{counts}} c JOIN targets t ON {on} {bucket} = t._bucket
     )
     SELECT {by} {picks} FROM inside WHERE _upto - _n <= _rank AND _rank < _upto {grouping}
 """
@@ -67,10 +68,9 @@ def weighted_quantiles(counts: DataFrame, by: list[str], value: str, probs: Mapp
         by="".join(f"{c}, " for c in keys),
         c_by="".join(f"c.{c}, " for c in keys),
         on="".join(f"c.{c} <=> t.{c} AND " for c in keys),
-        span_on="".join(f"c.{c} <=> s.{c} AND " for c in keys),
         group=f"PARTITION BY {', '.join(keys) or '0'}",
         grouping=f"GROUP BY {', '.join(keys)}" if keys else "",
-        buckets=BUCKETS,
+        bucket=_BUCKET,
         probs=", ".join("'" + name.replace("'", "\\'") + f"', {float(p)}D" for name, p in probs.items()),
         picks=", ".join(pick(name) for name in probs),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casewatch.functions.columns import percent
-from casewatch.functions.quantiles import exact_quantiles
+from casewatch.functions.quantiles import exact_quantiles, weighted_quantiles
 from casewatch.schemas import REQUIRED_COLUMNS
 from casewatch.sources.files import stored
 
@@ -106,44 +106,36 @@ def dq_report(
 ) -> DataFrame:
     """One row of data-quality metrics.
 
-    All columns are read once, for the counters and the moments of the days that need no
-    repair. The repaired days all equal the median, so mean and deviation after repair
-    follow from those moments. Median and outliers are two more passes over date, status
-    and days only.
+    Every figure follows from how often each outcome of the date check, status and number of days occurs, and from
+    the null cells there. These counts are gathered in one scan and stored; median, moments and outliers read only them.
     """
     days = raw.select(
         in_window(parsed_date(raw), start, end).alias("kept"), F.coalesce("status", F.lit(fill)).alias("status"), "resolution_days",
         _null_cells(REQUIRED_COLUMNS).alias("null_cells"),
-    ).withColumns({"hidden": F.expr(f"kept AND {MUST_BE_NULL}"), "broken": F.expr(f"kept AND {MUST_BE_POSITIVE}")})
-    sound = F.expr("CASE WHEN kept AND NOT broken AND status <> 'Pending' THEN resolution_days END")
-    median = _or_fallback(
-        exact_quantiles(_usable_days(days.filter("kept")), [], "resolution_days", {"median": 0.5}), fallback_days
     )
-    counters = days.agg(
-        F.count("*").alias("rows"),
-        F.count_if("kept").alias("kept"),
-        F.count_if(F.col("hidden") | F.col("broken")).alias("fixed"),
+    counts = stored(days.groupBy("kept", "status", "resolution_days").agg(F.count("*").alias("n"), F.sum("null_cells").alias("null_cells")), "day-counts")
+    median = _or_fallback(weighted_quantiles(_usable_days(counts.filter("kept")), [], "resolution_days", {"median": 0.5}), fallback_days)
+    repaired = counts.withColumn("median", median).withColumn("v", F.expr(
+        f"CASE WHEN kept AND {MUST_BE_POSITIVE} THEN median WHEN kept AND status <> 'Pending' THEN resolution_days END"
+    ))
+    known = repaired.filter("v IS NOT NULL")
+    mean = known.agg(F.try_divide(F.sum(F.col("n") * F.col("v")), F.sum("n"))).scalar()
+    std = known.withColumn("mean", mean).selectExpr("sqrt(try_divide(sum(n * pow(v - mean, 2)), sum(n) - 1)) AS std").scalar()
+    far = F.abs(F.try_divide(F.col("v") - F.col("mean"), F.col("std"))) > z
+    total = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+    measured = repaired.withColumns({"mean": mean, "std": std}).agg(
+        total(F.lit(True)).alias("rows"),
+        total(F.col("kept")).alias("kept"),
+        total(F.expr(f"kept AND ({MUST_BE_NULL} OR {MUST_BE_POSITIVE})")).alias("fixed"),
         F.coalesce(F.sum("null_cells"), F.lit(0)).alias("null_cells"),
-        F.count_if("broken").cast("double").alias("b"),
-        F.count(sound).cast("double").alias("g"),
-        F.coalesce(F.avg(sound), F.lit(0.0)).alias("avg_g"),
-        F.coalesce(F.var_pop(sound), F.lit(0.0)).alias("var_g"),
+        total(far).alias("outliers"),
     )
-    # Pooled moments of g sound values and b values at the median.
-    pooled = counters.withColumn("median", median).selectExpr(
-        "*", "try_divide(g * avg_g + b * median, g + b) AS mean",
-        "sqrt(try_divide(g * var_g + try_divide(g * b, g + b) * pow(avg_g - median, 2), g + b - 1)) AS std",
-    )
-    measured = pooled.select(F.struct("*")).scalar()  # one row; evaluated once for both uses
-    value = F.expr("CASE WHEN broken THEN m.median WHEN kept AND status <> 'Pending' THEN resolution_days END")
-    far = F.abs(F.try_divide(value - F.col("m.mean"), F.col("m.std"))) > z
-    outliers = days.withColumn("m", measured).agg(F.count_if(far).alias("outliers"))
 
     def share(part: Column, whole: Column) -> Column:
         return F.bround(F.coalesce(percent(part, whole), F.lit(0.0)), 4)
 
     dropped = F.col("rows") - F.col("kept")
-    return outliers.withColumn("m", measured).select("outliers", "m.*").select(
+    return measured.select(
         F.col("rows").alias("total_records_ingested"),
         F.col("kept").alias("total_records_processed"),
         dropped.alias("invalid_dates_dropped"),

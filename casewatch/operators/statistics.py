@@ -15,29 +15,31 @@ from pyspark.sql import functions as F
 
 from casewatch.fixed_values import TREND_LABELS, TREND_SHORT_TEXT, TREND_TEXT, WELCH_TEXTS
 from casewatch.functions.columns import fill_template, number_text
-from casewatch.functions.quantiles import exact_quantiles
+from casewatch.functions.quantiles import exact_quantiles, value_counts_of, weighted_quantiles
 from casewatch.functions.tails import f_upper, normal_two_sided, t_two_sided
 
 DAYS = "resolution_days"
 
 
 def descriptive_stats(wide: DataFrame, by: str = "bank_type") -> DataFrame:
-    """Mean, median, sample deviation, bias-corrected skewness and count of days per group."""
-    closed = wide.filter(F.col(DAYS).isNotNull())
-    n = F.col("count").cast("double")
-    unbiased = F.when(F.col("count") > 2, F.col("_skew") * F.sqrt(n * (n - 1)) / (n - 2))
-    moments = closed.groupBy(by).agg(
-        F.avg(DAYS).alias("_mean"),
-        F.stddev_samp(DAYS).alias("_std"),
-        F.skewness(DAYS).alias("_skew"),
-        F.count(DAYS).alias("count"),
+    """Mean, median, sample deviation, bias-corrected skewness and count of days per group.
+
+    All of them come from how often each value occurs, which is counted in one read.
+    """
+    values = value_counts_of(wide, [by], DAYS)
+    means = values.groupBy(by).agg(F.sum("n").alias("count"), (F.sum(F.col("n") * F.col(DAYS)) / F.sum("n")).alias("_mean")).withColumnRenamed(by, "_of")
+    gap, n = F.col(DAYS) - F.col("_mean"), F.col("count").cast("double")
+    centred = values.join(means, F.col(by).eqNullSafe(F.col("_of"))).groupBy(by, "count", "_mean").agg(
+        F.sum(F.col("n") * F.pow(gap, 2)).alias("_m2"), F.sum(F.col("n") * F.pow(gap, 3)).alias("_m3")
     )
-    medians = exact_quantiles(closed, [by], DAYS, {"_median": 0.5}).withColumnRenamed(by, "_by")
-    return moments.join(medians, F.col(by).eqNullSafe(F.col("_by"))).select(
+    skew = F.try_divide(F.sqrt(n) * F.col("_m3"), F.pow("_m2", 1.5))
+    unbiased = F.when(F.col("count") > 2, skew * F.sqrt(n * (n - 1)) / (n - 2))
+    medians = weighted_quantiles(values, [by], DAYS, {"_median": 0.5}).withColumnRenamed(by, "_by")
+    return centred.join(medians, F.col(by).eqNullSafe(F.col("_by"))).select(
         by,
         F.bround("_mean", 2).alias("mean"),
         F.bround("_median", 2).alias("median"),
-        F.bround("_std", 2).alias("std"),
+        F.bround(F.sqrt(F.try_divide(F.col("_m2"), n - 1)), 2).alias("std"),
         F.bround(unbiased, 2).alias("skew"),
         "count",
     )

@@ -49,6 +49,7 @@ class Settings:
         default_factory=lambda: {"channel": CHANNELS, "status": STATUSES, "customer_segment": SEGMENTS}
     )
     train: bool = True
+    classifier: dict = field(default_factory=dict)
 
 
 def report_tables(wide: DataFrame, forecast: DataFrame, settings: Settings) -> dict[str, DataFrame]:
@@ -63,25 +64,41 @@ def report_tables(wide: DataFrame, forecast: DataFrame, settings: Settings) -> d
     }
 
 
-def violations(fact: DataFrame, banks: DataFrame, categories: DataFrame, domains: Mapping[str, list[str]]) -> DataFrame:
-    """``check_name, key_value, record_count`` of all broken keys, references and domains."""
+def _shaped(df: DataFrame, check: str, *keys: str) -> DataFrame:
+    value = F.concat_ws(",", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    return df.select(F.lit(check).alias("check_name"), value.alias("key_value"), "record_count")
 
-    def shaped(df: DataFrame, check: str, *keys: str) -> DataFrame:
-        value = F.concat_ws(",", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
-        return df.select(F.lit(check).alias("check_name"), value.alias("key_value"), "record_count")
 
-    found = [shaped(V.dup_keys(df, keys), f"unique {name}({','.join(keys)})", *keys)
-             for name, df in (("banks", banks), ("categories", categories), ("complaints", fact)) for keys in KEYS[name]]
-    found.append(shaped(V.fk_orphans(fact, banks, "bank_id"), "reference bank_id", "bank_id"))
-    found.append(shaped(V.fk_orphans(fact, categories, "subcategory_id"), "reference subcategory_id", "subcategory_id"))
-    if domains:
-        found.append(shaped(V.domain_violations(fact, domains), "domain", "column_name", "value"))
-    out = found[0]
-    for df in found[1:]:
+def _together(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for df in frames[1:]:
         out = out.unionByName(df)
     return out
 
 
+def dimension_violations(banks: DataFrame, categories: DataFrame) -> DataFrame:
+    """``check_name, key_value, record_count`` of repeated dimension keys, which would stop the load."""
+    return _together([
+        _shaped(V.dup_keys(df, keys), f"unique {name}({','.join(keys)})", *keys)
+        for name, df in (("banks", banks), ("categories", categories)) for keys in KEYS[name]
+    ])
+
+
+def fact_violations(fact: DataFrame, banks: DataFrame, categories: DataFrame, domains: Mapping[str, list[str]]) -> DataFrame:
+    """The same columns for the fact's keys, references and domains."""
+    found = [_shaped(V.dup_keys(fact, keys), f"unique complaints({','.join(keys)})", *keys) for keys in KEYS["complaints"]]
+    found.append(_shaped(V.fk_orphans(fact, banks, "bank_id"), "reference bank_id", "bank_id"))
+    found.append(_shaped(V.fk_orphans(fact, categories, "subcategory_id"), "reference subcategory_id", "subcategory_id"))
+    if domains:
+        found.append(_shaped(V.domain_violations(fact, domains), "domain", "column_name", "value"))
+    return _together(found)
+
+
+def violations(fact: DataFrame, banks: DataFrame, categories: DataFrame, domains: Mapping[str, list[str]]) -> DataFrame:
+    """All broken keys, references and domains."""
+    return dimension_violations(banks, categories).unionByName(fact_violations(fact, banks, categories, domains))
+
+
 def run(
     spark: SparkSession, raw: DataFrame, institutions: DataFrame, categories: DataFrame, out: str, settings: Settings | None = None
 ) -> DataFrame:
@@ -113,23 +130,28 @@ def run(
         log.append((name, status, round(time.monotonic() - begin, 3)))
 
     def wide() -> DataFrame:
-        return S.wide_cases(table("complaints"), table("banks"), table("categories"))
+        return table("wide")
 
     def series() -> DataFrame:
         return G.monthly_series(wide(), settings.series_by)
 
     def clean() -> None:
-        save("cases", V.clean_cases(raw, **settings.window))
-        save("dq_report", V.dq_report(raw, **settings.window))
+        save("raw", raw)  # the incoming file is parsed once
+        landed = table("raw")
+        save("cases", V.clean_cases(landed, **settings.window))
+        save("dq_report", V.dq_report(landed, **settings.window))
         lines = V.dq_report_text(table("dq_report")).orderBy("line_no").select("line")  # eight lines
         lines.coalesce(1).write.mode("overwrite").text(path("dq_report_text"))
-        save("null_profile", V.null_profile(raw))
+        save("null_profile", V.null_profile(landed))
 
     def load() -> None:
         save("banks", institutions)
         save("categories", categories)
+        save("violations", dimension_violations(table("banks"), table("categories")))  # before a repeated key stops the load
         save("complaints", S.load_fact(table("cases"), table("banks"), table("categories")))
-        save("violations", violations(table("complaints"), table("banks"), table("categories"), settings.domains))
+        broken = fact_violations(table("complaints"), table("banks"), table("categories"), settings.domains)
+        write_table(broken, path("violations"), mode="append")
+        write_table(S.wide_cases(table("complaints"), table("banks"), table("categories")), path("wide"), partition_by=["year"])
 
     def aggregate() -> None:
         summary = G.monthly_summary(table("complaints"))
@@ -156,7 +178,7 @@ def run(
     def classify() -> None:
         save("split", M.stratified_split(table("cases"), "complaint_category", "complaint_id"))
         split = table("split")
-        model = M.train_classifier(split.filter("is_train"))
+        model = M.train_classifier(split.filter("is_train"), **settings.classifier)
         model.write().overwrite().save(path("classifier"))
         loaded = PipelineModel.load(path("classifier"))
         report = M.classification_report(M.score(loaded, split.filter("NOT is_train")), "complaint_category")

@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from functools import cached_property
 
@@ -221,13 +222,19 @@ def _stream(t: SampleTables) -> DataFrame:
 def _settings() -> pipeline.Settings:
     return pipeline.Settings(
         window=WINDOW, flags=FLAG_RULES, risk=RISK_RULES, welch=WELCH, baselines=BASELINES, rising=RISING,
-        ref_date=REF, report_month=REPORT_MONTH, series_by="bank_type", domains=DOMAINS,
+        ref_date=REF, report_month=REPORT_MONTH, series_by="bank_type", domains=DOMAINS, classifier={"max_iter": 50},
     )
 
 
 def _pipeline(t: SampleTables) -> DataFrame:
-    log = pipeline.run(t.spark, t.raw, t.banks, t.categories, new_table_path(t.spark, "run"), _settings())
-    return log.select("step", "status")
+    """Rows of the tables that a whole run, training included, leaves behind."""
+    out = new_table_path(t.spark, "run")
+    pipeline.run(t.spark, t.raw, t.banks, t.categories, out, _settings())
+    counts = [
+        files.read_table(t.spark, f"{out}/{name}").agg(F.lit(name).alias("table_name"), F.count("*").alias("record_count"))
+        for name in ("raw", "cases", "banks", "complaints", "wide", "split", "monthly_summary", "policy_flags", "risk_scores")
+    ]
+    return functools.reduce(DataFrame.unionByName, counts)
 
 
 def _report(t: SampleTables) -> DataFrame:

@@ -447,6 +447,10 @@ ORACLE: dict[str, str] = {
         FROM (SELECT state, count(*) AS n FROM wide WHERE category_name = 'ECONOMY' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3)
         UNION ALL SELECT 'flags', '- ' || n_name || ' flagged for ''' || flag_type || ''' (' || severity || ' severity): ' || flag_description
         FROM (SELECT * FROM flags ORDER BY bank_id, year, quarter, flag_type LIMIT 3) JOIN nation ON bank_id = n_nationkey""",
+    "run_pipeline": _with(SUMMARY + _FLAGS_ONLY) + "".join(
+        f"SELECT '{name}' AS table_name, count(*) AS record_count FROM {source} UNION ALL "
+        for name, source in (("raw", "raw"), ("cases", "cases"), ("complaints", "cases"), ("wide", "wide"), ("split", "cases"), ("monthly_summary", "summary"), ("policy_flags", "flags"))
+    ) + "SELECT 'banks', count(*) FROM nation UNION ALL SELECT 'risk_scores', count(DISTINCT bank_name) FROM wide",
     "mis_bank": _CASES + _MIS_BANK,
     "category_breakdown": _CASES + f"SELECT category_name, subcategory_name, count(*) AS complaint_count, round({_RATE}, 1) AS resolution_rate_pct FROM wide GROUP BY 1, 2",
     "mis_geo": _CASES + f"""SELECT state, count(*) AS complaint_count, count(*) FILTER (status = 'Resolved') AS resolved_count,

@@ -147,8 +147,9 @@ def kneser_ney(counts: DataFrame) -> list[DataFrame]:
             grams.withColumn("total", F.sum("n").over(w)).withColumn("kinds", F.count(F.lit(1)).over(w)).join(discount, "lang")
             .select("lang", "key", context.alias("context"), ((F.col("n") - F.col("d")) / F.col("total")).alias("own"), (F.col("d") * F.col("kinds") / F.col("total")).alias("passed"), "kinds")
         )
-        low = F.col("key").bitwiseAND(F.lit((1 << 16 * (m - 1)) - 1))
-        grams = grams.select("lang", low.alias("key")).groupBy("lang", "key").agg(F.count(F.lit(1)).alias("n"))
+        if m > 1:
+            low = F.col("key").bitwiseAND(F.lit((1 << 16 * (m - 1)) - 1))
+            grams = stored(grams.select("lang", low.alias("key")).groupBy("lang", "key").agg(F.count(F.lit(1)).alias("n")), f"grams{m - 1}")
     done = []
     for m, grams in enumerate(reversed(orders), 1):
         if m == 1:
@@ -175,8 +176,8 @@ def _slotted(batches):
     import pyarrow as pa
 
     for b in batches:
-        slots = slot(b.column(3).to_numpy(zero_copy_only=False).view(np.uint64))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(slots), b.column(4)], ["lang", "m", "what", "slot", "v"])
+        slots = slot(b.column(2).to_numpy(zero_copy_only=False).view(np.uint64))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(slots.astype(np.int32)), b.column(3)], ["lang", "what", "slot", "v"])
 
 
 def build_model(counts: DataFrame) -> dict:
@@ -186,31 +187,41 @@ def build_model(counts: DataFrame) -> dict:
     """
     import numpy as np
 
-    rows = None
+    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    model = {"langs": langs, "none": np.zeros(len(langs), np.float32)}
+    if not langs:
+        return model
+    number = F.array_position(F.array(*map(F.lit, langs)), F.col("lang")).cast("int") - 1
     for m, grams in enumerate(kneser_ney(counts), 1):
-        values = grams.select("lang", F.lit(m).alias("m"), F.lit("p").alias("what"), "key", F.log2("p").alias("v"))
-        passed = grams.groupBy("lang", F.col("context").alias("key")).agg(F.max(F.log2("passed")).alias("v"))
-        passed = passed.select("lang", F.lit(m).alias("m"), F.lit("passed").alias("what"), "key", "v")
-        part = values.unionByName(passed)
+        values = grams.select(number.alias("lang"), F.lit(0).alias("what"), "key", F.log2("p").alias("v"))
+        passed = grams.select(number.alias("lang"), F.lit(1).alias("what"), F.col("context").alias("key"), F.log2("passed").alias("v"))
+        rows = values.unionByName(passed).mapInArrow(_slotted, "lang int, what int, slot int, v double")
+        frame = rows.groupBy("lang", "what", "slot").agg(F.max("v").cast("float").alias("v")).toPandas()
+        for what, part in frame.groupby("what"):
+            keys, at = np.unique(part["slot"].to_numpy(), return_inverse=True)
+            matrix = np.full((len(keys), len(langs)), np.nan, np.float32)
+            matrix[at, part["lang"].to_numpy()] = part["v"].to_numpy()
+            model[m, "passed" if what else "p"] = keys.astype(np.int64), matrix
         if m == 1:
-            part = part.unionByName(grams.groupBy("lang").agg(F.max(-F.log2(F.col("kinds") + 1.0)).alias("v")).select("lang", F.lit(0).alias("m"), F.lit("p").alias("what"), F.lit(0).cast("long").alias("key"), "v"))
-        rows = part if rows is None else rows.unionByName(part)
-    rows = rows.mapInArrow(_slotted, "lang string, m int, what string, slot long, v double")
-    frame = rows.groupBy("lang", "m", "what", "slot").agg(F.max("v").cast("float").alias("v")).toPandas()
-    langs = sorted(frame["lang"].unique())
-    code = {lang: i for i, lang in enumerate(langs)}
-    model = {"langs": langs, "none": np.zeros(len(langs), np.float32)}
-    for (m, what), part in frame.groupby(["m", "what"]):
-        keys, at = np.unique(part["slot"].to_numpy(), return_inverse=True)
-        matrix = np.full((len(keys), len(langs)), np.nan, np.float32)
-        matrix[at, part["lang"].map(code).to_numpy()] = part["v"].to_numpy()
-        if m == 0:
-            model["none"] = matrix[0]
-        else:
-            model[int(m), what] = keys, matrix
+            for r in grams.groupBy(number.alias("lang")).agg(F.max("kinds").alias("kinds")).collect():
+                model["none"][r["lang"]] = -math.log2(r["kinds"] + 1)
     return model
 
 
+def part_of(model: dict, prefix: str) -> dict:
+    """The languages whose name begins with ``prefix``, without it."""
+    import numpy as np
+
+    at = [i for i, lang in enumerate(model["langs"]) if lang.startswith(prefix)]
+    out = {"langs": [model["langs"][i][len(prefix) :] for i in at], "none": model["none"][at]}
+    for key, value in model.items():
+        if isinstance(key, tuple):
+            keys, matrix = value
+            there = ~np.isnan(matrix[:, at]).all(axis=1)
+            out[key] = keys[there], matrix[there][:, at]
+    return out
+
+
 def found(model: dict, m: int, what: str, keys):
     """Values of the keys for all languages, NaN where there are none."""
     import numpy as np
@@ -357,8 +368,11 @@ def train(rows: DataFrame) -> tuple[dict, dict]:
     """Model and rejection rule from rows of (lang, held, text); ``held`` rows calibrate a model of the others."""
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "held", "text")
     counts = count_ngrams(rows)
-    rule = calibrate(build_model(counts.filter(~F.col("held")).drop("held")), rows.filter("held"))
-    return build_model(counts.groupBy("lang", "key").agg(F.sum("n").alias("n"))), rule
+    # Both models come from one pass over the types, as if the languages of each were different ones.
+    fitted = counts.filter(~F.col("held")).select(F.concat(F.lit("fit/"), "lang").alias("lang"), "key", "n")
+    whole = counts.groupBy("lang", "key").agg(F.sum("n").alias("n")).select(F.concat(F.lit("all/"), "lang").alias("lang"), "key", "n")
+    both = build_model(stored(fitted.unionByName(whole), "counts"))
+    return part_of(both, "all/"), calibrate(part_of(both, "fit/"), rows.filter("held"))
 
 
 def identify(docs: DataFrame, model: dict, rule: dict, text: str = "text") -> DataFrame:

@@ -178,17 +178,16 @@ def _sets(shared):
                 rows = []
                 for s in shingler.sets(part):
                     n = len(s)
-                    head = s
+                    head, own = s, n
                     if n and len(ordered):
                         i = np.minimum(np.searchsorted(ordered, s), len(ordered) - 1)
                         known = ordered[i] == s
                         if known.any():
                             head = np.concatenate([s[~known], s[known][np.argsort(by_hash[i[known]])]])
+                            own = n - int(known.sum())
                     if n > LIGHT:
                         head = head[: prefix_length(n) + surplus(n) - 1]
-                        common_from = len(head) - int(np.isin(head, ordered).sum())
-                    else:
-                        common_from = n
+                    common_from = min(own, len(head))
                     rows.append((uid, n, int(s.sum(dtype=np.uint64).view(np.int64)), int(np.bitwise_xor.reduce(s * np.uint64(0x94D049BB133111EB)).view(np.int64)) if n else 0, common_from, head.tobytes()))
                     uid += 1
                 uids, n, f1, f2, common_from, heads = zip(*rows)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from casewatch.session import new_table_path
 from casewatch.sources.files import read_table, stored, write_table
 
-__all__ = ["drop_table", "fold", "materialised", "most_frequent", "read_table", "spread_sample", "stored", "table", "text_of", "write_table"]
+__all__ = ["drop_table", "fold", "materialised", "most_frequent", "read_table", "spread_sample", "stored", "table", "text_of", "trimmed", "write_table"]
 
 #: Java form of "runs of characters other than ASCII white space".
 WORD = r"[^\x20\x09-\x0D]+"
@@ -58,3 +58,25 @@ def most_frequent(counts: DataFrame, most: int) -> DataFrame:
 def spread_sample(rows: DataFrame, key: Column, n: int, most: int) -> DataFrame:
     """About ``most`` of ``n`` rows, chosen by a hash of ``key``; all rows if there are not more."""
     return rows if n <= most else rows.filter(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.lit(int(most / n * (1 << 30))))
+
+
+def trimmed(work):
+    """The batch function, giving its memory back to the system when a task ends.
+
+    Python workers serve many tasks of different stages; what one has freed would else stay with the worker.
+    """
+
+    def run(batches):
+        import contextlib
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        yield from work(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only some C libraries have it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run

@@ -18,11 +18,11 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casewatch.llm.common import materialised, table, text_of
+from casewatch.llm.common import materialised, table, text_of, trimmed
 
 WINDOW = 13
 #: Tokens laid out in one segment, unless a single text is longer.
-SEGMENT = 1 << 21
+SEGMENT = 1 << 20
 #: Words of phrases that go to the tasks at a time.
 BLOCK = 1 << 18
 #: Between two documents of a segment; a phrase never reaches across.
@@ -113,7 +113,7 @@ def build_index(docs: DataFrame, segment_tokens: int = SEGMENT) -> DataFrame:
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_key"), text_of().alias("text")
     )
-    return materialised(texts.mapInArrow(_postings(segment_tokens), INDEX), "postings")[0]
+    return materialised(texts.mapInArrow(trimmed(_postings(segment_tokens)), INDEX), "postings")[0]
 
 
 def windows(items: DataFrame, size: int = WINDOW) -> Iterator[tuple[str, tuple[bytes, ...]]]:

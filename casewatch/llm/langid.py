@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from casewatch.llm.common import fold, stored, table, text_of
+from casewatch.llm.common import fold, stored, table, text_of, trimmed
 
 ORDER = 4
 HASH_BITS = 20
@@ -130,7 +130,7 @@ def _counted(batches):
 
 def count_ngrams(rows: DataFrame) -> DataFrame:
     """(lang, held, key, n) over rows of (lang, held, text)."""
-    parts = rows.mapInArrow(_counted, COUNTS)
+    parts = rows.mapInArrow(trimmed(_counted), COUNTS)
     return stored(parts.groupBy("lang", "held", "key").agg(F.sum("n").alias("n")), "ngrams")
 
 
@@ -308,7 +308,7 @@ def calibrate(model: dict, rows: DataFrame) -> dict:
     """Sharpness by length, cross-entropy limit by language, and least score, from labelled rows (lang, text)."""
     spark = rows.sparkSession
     judged = rows.select("lang", "text").mapInArrow(
-        _calibration(spark.sparkContext.broadcast(model)), "lang int, size int, bits50 long, right boolean, loss array<double>, score array<double>"
+        trimmed(_calibration(spark.sparkContext.broadcast(model))), "lang int, size int, bits50 long, right boolean, loss array<double>, score array<double>"
     )
     judged = stored(judged, "calibration")
     losses = judged.groupBy("size").agg(*[F.sum(F.get("loss", F.lit(i))).alias(str(i)) for i in range(len(SHARPNESS))]).collect()
@@ -380,7 +380,7 @@ def identify(docs: DataFrame, model: dict, rule: dict, text: str = "text") -> Da
     kept = docs.drop(*ADDED)
     schema = T.StructType([*kept.schema.fields, *T.StructType.fromDDL(", ".join(f"{k} {v}" for k, v in ADDED.items())).fields])
     shared = docs.sparkSession.sparkContext.broadcast((model, rule))
-    return kept.mapInArrow(_identified(shared, kept.columns.index(text), schema.names), schema)
+    return kept.mapInArrow(trimmed(_identified(shared, kept.columns.index(text), schema.names)), schema)
 
 
 def labelled(docs: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from math import comb
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casewatch.llm.common import drop_table, materialised, most_frequent, stored, table, text_of
+from casewatch.llm.common import drop_table, materialised, most_frequent, stored, table, text_of, trimmed
 from casewatch.llm.components import components
 
 WORDS, PERCENT = 5, 80
@@ -154,7 +154,7 @@ def frequent_shingles(texts: DataFrame):
 
     They only decide the order of shingles, and any order gives the same links.
     """
-    found = texts.select("text").mapInArrow(_frequent, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    found = texts.select("text").mapInArrow(trimmed(_frequent), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     top = most_frequent(stored(found, "frequent"), FREQUENT).toPandas().sort_values(["n", "h"])
     return top["h"].to_numpy(dtype="int64").copy()
 
@@ -273,7 +273,7 @@ def shared_lists(sets: DataFrame, boundary: int) -> DataFrame:
     Entries of frequent shingles need no look at others; the rest are dealt out and sorted by shingle, and a scan that
     holds two rows finds those with a neighbour.
     """
-    entries = sets.select("uid", "n", "common_from", "head").mapInArrow(_postings(boundary), ENTRIES)
+    entries = sets.select("uid", "n", "common_from", "head").mapInArrow(trimmed(_postings(boundary)), ENTRIES)
     columns = ["h", "uid", "n", "room"]
     alone = entries.filter("not common").select(*columns).repartition("h").sortWithinPartitions("h")
     found = alone.mapInArrow(_repeated, "h long, uid long, n int, room int").unionByName(entries.filter("common").select(*columns))
@@ -368,7 +368,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_key"), text_of().alias("text"))
     common = spark.sparkContext.broadcast(frequent_shingles(texts))
-    sets = stored(texts.mapInArrow(_sets(common), SETS), "sets")
+    sets = stored(texts.mapInArrow(trimmed(_sets(common)), SETS), "sets")
     classes = stored(
         sets.filter("n > 0").groupBy("n", "f1", "f2").agg(F.min(F.struct("uid", "text_key", "common_from", "head", F.col("doc_id").alias("own"))).alias("r"), F.min("doc_id").alias("class_id")),
         "classes",
@@ -378,7 +378,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     lists = shared_lists(each, boundary)
     wanted = each.join(lists.select("uid").distinct(), "uid", "left_semi").select("uid", F.col("doc_id").alias("d"), F.col("text_key").alias("t"))
     rows = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t"))).select("uid", "text")
-    whole = stored(rows.mapInArrow(_whole, "uid long, items binary"), "whole")
+    whole = stored(rows.mapInArrow(trimmed(_whole), "uid long, items binary"), "whole")
     if whole.count() > wanted.count():  # rows that repeat an id and its text
         whole = stored(whole.dropDuplicates(["uid"]), "whole")
     roots = links(lists, whole)

@@ -19,14 +19,14 @@ from itertools import filterfalse
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casewatch.llm.common import materialised, text_of
+from casewatch.llm.common import materialised, text_of, trimmed
 
 CAPACITY = 1024
 END_ID = 0
 #: Remainders that are packed together at most; bounds a task's memory.
 SHARD = 32768
 #: Different words whose ids a task remembers at a time.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Cost of a piece of n tokens: LINEAR * n + QUADRATIC * n * n.
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 
@@ -104,7 +104,7 @@ def _shown() -> list[tuple[int, int]]:
     return [(hidden.index(b) if b in hidden else 0, b) for b in range(256)]
 
 
-def _batches(texts: list[str], most: int = 1 << 22) -> Iterator[tuple[int, list[str]]]:
+def _batches(texts: list[str], most: int = 1 << 21) -> Iterator[tuple[int, list[str]]]:
     """Runs of texts of about ``most`` characters together."""
     begin, size = 0, 0
     for i, text in enumerate(texts):
@@ -215,7 +215,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAP
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     schema = PIECE + (", ids binary" if with_ids else "")
-    pieces, _ = materialised(texts.mapInArrow(_tokenised(tokenizer_path, capacity, with_ids), schema), "pieces")
+    pieces, _ = materialised(texts.mapInArrow(trimmed(_tokenised(tokenizer_path, capacity, with_ids)), schema), "pieces")
     shards = max(1, pieces.filter(F.col("length") < capacity).count() // SHARD)
     dealt = pieces.repartition(shards, F.xxhash64("doc_id", "start", "ids_crc32"))
     return dealt.mapInPandas(_packed(capacity), schema + ", sequence_id long, offset long")

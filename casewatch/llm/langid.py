@@ -8,7 +8,8 @@ order, with a column per language; hashes have ``HASH_BITS`` bits, which bounds
 A text gets the language of the lowest cross-entropy per character. Confidence is a softmax whose
 sharpness is fitted by text length on a part of the training rows with a model of the others. A text is
 rejected if it has no letter, its cross-entropy is above the limit of its language, or its
-confidence is below the level at which accepted texts are right often enough.
+confidence is below the level at which accepted texts are right often enough, measured by what the labels
+let a level reach: labels that are wrong at every score reject nothing.
 
 Cases: null texts and texts without letters are ``und`` with score 0; rows without language are not
 learned from; with no training rows all texts are ``und``; repeated rows count and are judged each;
@@ -34,8 +35,10 @@ BATCH = 1 << 19
 HELD = 1 << 21
 LENGTHS = (16, 64, 256)
 SHARPNESS = (1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)
-#: Least share of accepted texts that are right, share of a language's texts within its limit, and bits added to it.
+#: Least share of accepted texts that are right, of the share that is reachable, share of a language's texts within its limit, and bits added to it.
 PRECISION, WITHIN, MARGIN_BITS = 0.99, 0.999, 1.0
+#: Standard deviations that make a share of right texts sure.
+SURE = 3.0
 UNKNOWN = "und"
 
 COUNTS = "lang string, held boolean, key long, n long"
@@ -304,6 +307,26 @@ def _calibration(model):
     return run
 
 
+def least_score(cells: list[tuple[int, int, int]]) -> float:
+    """Lowest score from which on texts are right ``PRECISION`` times as often as is reachable.
+
+    ``cells`` has thousandths of score, rows and right rows. Wrong labels that do not depend on the score keep every
+    level below some share. Reachable is the share from that level on whose share is surely the highest (lower Wilson
+    bound of ``SURE`` deviations), so a few lucky rows do not count, and that level ends the search at the latest.
+    """
+    levels, n, right = [], 0, 0
+    for cell, k, r in sorted(cells, reverse=True):
+        n, right = n + k, right + r
+        share = right / n
+        bound = (share + SURE**2 / (2 * n) - SURE * math.sqrt(share * (1 - share) / n + SURE**2 / (4 * n * n))) / (1 + SURE**2 / n)
+        levels.append((cell, share, bound))
+    if not levels:
+        return 0.0
+    reachable = max(levels, key=lambda x: x[2])[1]
+    least = min(cell for cell, share, _ in levels if share >= PRECISION * reachable)
+    return least / 1000 if least != levels[-1][0] else 0.0
+
+
 def calibrate(model: dict, rows: DataFrame) -> dict:
     """Sharpness by length, cross-entropy limit by language, and least score, from labelled rows (lang, text)."""
     spark = rows.sparkSession
@@ -317,17 +340,11 @@ def calibrate(model: dict, rows: DataFrame) -> dict:
     for r in judged.groupBy("lang").agg(F.percentile(F.col("bits50"), F.lit(WITHIN)).alias("q")).collect():
         limits[r["lang"]] = r["q"] / 50 + MARGIN_BITS
     chosen = F.coalesce(*[F.when(F.col("size") == s, F.get("score", F.lit(i))) for s, i in best.items()], F.lit(1.0)) if best else F.lit(1.0)
-    cells = judged.groupBy(F.floor(chosen * 1000).alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("right").cast("long")).alias("r")).orderBy(F.desc("cell")).collect()
-    least, n, right = 0.0, 0, 0
-    for r in reversed(cells):  # lowest cells first: drop them while what is left is not right often enough
-        n, right = sum(c["n"] for c in cells if c["cell"] >= r["cell"]), sum(c["r"] for c in cells if c["cell"] >= r["cell"])
-        least = r["cell"] / 1000 if r["cell"] != cells[-1]["cell"] else 0.0
-        if right >= PRECISION * n:
-            break
+    cells = judged.groupBy(F.floor(chosen * 1000).alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("right").cast("long")).alias("r")).collect()
     return {
         "sharpness": [SHARPNESS[best.get(s, best.get(max(best, default=0), 2))] for s in range(len(LENGTHS) + 1)],
         "limits": [limits.get(i, math.inf) for i in range(len(model["langs"]))],
-        "least": least,
+        "least": least_score([(r["cell"], r["n"], r["r"]) for r in cells]),
     }
 
 

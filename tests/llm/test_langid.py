@@ -65,3 +65,42 @@ def test_counts_follow_the_rows(spark):
     texts = ["abc abc", "abd", None]
     counts = L.count_ngrams(spark.createDataFrame([("xx", False, t) for t in texts if t], "lang string, held boolean, text string"))
     assert counts.agg(F.sum("n")).first()[0] == sum(Counter(map(len, filter(None, texts))).elements())
+
+
+def noisy(rng, wrong, n=20_000):
+    """Cells of texts that are all recognised, with scores as a good model gives them and a share of wrong labels."""
+    cells = {}
+    for _ in range(n):
+        cell = int(1000 * (1 - rng.random() ** 4 / 2))
+        k, r = cells.get(cell, (0, 0))
+        cells[cell] = k + 1, r + (rng.random() >= wrong)
+    return [(cell, k, r) for cell, (k, r) in cells.items()]
+
+
+@pytest.mark.parametrize("wrong", [0.0, 0.02, 0.05, 0.33])
+def test_wrong_labels_at_every_score_reject_nothing(wrong):
+    for seed in range(5):
+        cells = noisy(random.Random(seed), wrong)
+        least = L.least_score(cells)
+        assert sum(k for cell, k, _ in cells if cell / 1000 >= least) >= 0.99 * 20_000
+
+
+def test_low_scores_that_are_wrong_more_often_are_rejected():
+    for wrong in (0.0, 0.03):
+        cells = [(cell, 100, round(100 * (1 - wrong) * (0.4 if cell < 700 else 1.0))) for cell in range(500, 1000)]
+        assert 0.6 < L.least_score(cells) <= 0.7
+    assert L.least_score([(400, 1000, 300), (999, 600, 600)]) == 0.999 and L.least_score([(999, 5, 3)]) == 0.0 and L.least_score([]) == 0.0
+
+
+def test_clean_documents_stay_when_labels_are_wrong(spark):
+    rng = random.Random(21)
+    langs = sorted(SYLLABLES)
+    rows = []
+    for i in range(1200):
+        true = langs[i % 3]
+        lang = rng.choice([x for x in langs if x != true]) if rng.random() < 0.04 else true
+        rows.append((lang, i % 4 == 0, text(rng, true, rng.randint(4, 40))))
+    model, rule = L.train(spark.createDataFrame(rows, "lang string, held boolean, text string"))
+    clean = spark.createDataFrame([(i, text(rng, langs[i % 3], 12)) for i in range(150)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in L.identify(clean, model, rule).collect()}
+    assert np.mean([r["accepted"] and r["lang_pred"] == langs[i % 3] for i, r in got.items()]) > 0.95

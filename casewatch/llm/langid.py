@@ -2,8 +2,8 @@
 
 Letters are lower-cased and all else is white space; a text's 4-grams of characters are counted per
 language over all training rows. Continuation counts, discounts and interpolated probabilities are
-aggregates and joins over the 4-gram types. The finished values lie in sorted hash arrays, one per
-order, with a column per language; hashes have ``HASH_BITS`` bits, which bounds what goes to the tasks.
+aggregates and joins over the 4-gram types. The finished values lie in arrays sorted by whole n-gram, one per
+order and language, so an n-gram that was not seen is never taken for another. They go to the tasks: 12 bytes a type.
 
 A text gets the language of the lowest cross-entropy per character. Confidence is a softmax whose
 sharpness is fitted by text length on a part of the training rows with a model of the others. A text is
@@ -28,7 +28,6 @@ from pyspark.sql.window import Window
 from casewatch.llm.common import fold, stored, table, text_of, trimmed
 
 ORDER = 4
-HASH_BITS = 20
 #: Characters of texts handled together.
 BATCH = 1 << 19
 #: n-gram types a task holds before it hands them on.
@@ -45,7 +44,7 @@ COUNTS = "lang string, held boolean, key long, n long"
 
 
 def letter_table():
-    """Code of each character after lower-casing; 32 for what is no letter, 0 for the mark between texts."""
+    """Code point of each character after lower-casing; 32 for what is no letter, 0 for the mark between texts."""
     import numpy as np
 
     out = np.full(0x110000, 32, np.uint64)
@@ -53,7 +52,7 @@ def letter_table():
         c = chr(i)
         if c.isalpha():
             low = c.lower()
-            out[i] = min(ord(low) if len(low) == 1 else i, 0xFFFF)
+            out[i] = ord(low) if len(low) == 1 else i
     out[0] = 0
     return out
 
@@ -61,12 +60,19 @@ def letter_table():
 def ngrams(texts: list[str], letters):
     """4-gram of each character, packed into 64 bits, and at which of them each text begins.
 
-    Runs of white space count once. Before a text stand marks, which are no characters themselves.
+    Runs of white space count once. Before a text stand marks, which are no characters themselves. Letters of U+10000
+    or more count as two characters, those of UTF-16, so each has n-grams of its own.
     """
     import numpy as np
 
     joined = "\0" + "\0".join(t.replace("\0", " ") for t in texts)
     codes = letters[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")]
+    high = codes > 0xFFFF
+    if high.any():
+        first = np.flatnonzero(high) + np.arange(high.sum())
+        codes = np.repeat(codes, 1 + high)
+        above = codes[first] - 0x10000
+        codes[first], codes[first + 1] = 0xD800 + (above >> 10), 0xDC00 + (above & 0x3FF)
     blank = codes == 32
     keep = np.ones(len(codes), bool)
     keep[1:] = ~(blank[1:] & (blank[:-1] | (codes[:-1] == 0)))
@@ -165,29 +171,8 @@ def kneser_ney(counts: DataFrame) -> list[DataFrame]:
     return done
 
 
-def slot(keys, bits: int = HASH_BITS):
-    """Hash of packed n-grams, also of Spark's: a product with a fixed odd number, its highest bits."""
-    import numpy as np
-
-    x = keys.astype(np.uint64)
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    return ((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - bits)).astype(np.int64)
-
-
-def _slotted(batches):
-    import numpy as np
-    import pyarrow as pa
-
-    for b in batches:
-        slots = slot(b.column(2).to_numpy(zero_copy_only=False).view(np.uint64))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(slots.astype(np.int32)), b.column(3)], ["lang", "what", "slot", "v"])
-
-
 def build_model(counts: DataFrame) -> dict:
-    """Sorted hash arrays of log2 probabilities and log2 weights passed on, for each order.
-
-    At most 2**HASH_BITS slots for each language, order and kind of value reach the driver.
-    """
+    """Arrays of log2 probabilities and log2 weights passed on, for each order and language, sorted by n-gram."""
     import numpy as np
 
     langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
@@ -196,15 +181,15 @@ def build_model(counts: DataFrame) -> dict:
         return model
     number = F.array_position(F.array(*map(F.lit, langs)), F.col("lang")).cast("int") - 1
     for m, grams in enumerate(kneser_ney(counts), 1):
-        values = grams.select(number.alias("lang"), F.lit(0).alias("what"), "key", F.log2("p").alias("v"))
-        passed = grams.select(number.alias("lang"), F.lit(1).alias("what"), F.col("context").alias("key"), F.log2("passed").alias("v"))
-        rows = values.unionByName(passed).mapInArrow(_slotted, "lang int, what int, slot int, v double")
-        frame = rows.groupBy("lang", "what", "slot").agg(F.max("v").cast("float").alias("v")).toPandas()
-        for what, part in frame.groupby("what"):
-            keys, at = np.unique(part["slot"].to_numpy(), return_inverse=True)
-            matrix = np.full((len(keys), len(langs)), np.nan, np.float32)
-            matrix[at, part["lang"].to_numpy()] = part["v"].to_numpy()
-            model[m, "passed" if what else "p"] = keys.astype(np.int64), matrix
+        values = grams.select(number.alias("lang"), "key", F.log2("p").cast("float").alias("v"))
+        passed = grams.groupBy(number.alias("lang"), F.col("context").alias("key")).agg(F.log2(F.max("passed")).cast("float").alias("v"))
+        for what, rows in (("p", values), ("passed", passed)):
+            got = rows.toArrow()
+            lang, key, v = (got.column(i).to_numpy() for i in range(3))
+            key = key.view(np.uint64)
+            order = np.lexsort((key, lang))
+            ends = np.searchsorted(lang[order], np.arange(len(langs) + 1))
+            model[m, what] = [(key[order[a:b]], v[order[a:b]]) for a, b in zip(ends, ends[1:])]
         if m == 1:
             for r in grams.groupBy(number.alias("lang")).agg(F.max("kinds").alias("kinds")).collect():
                 model["none"][r["lang"]] = -math.log2(r["kinds"] + 1)
@@ -213,29 +198,23 @@ def build_model(counts: DataFrame) -> dict:
 
 def part_of(model: dict, prefix: str) -> dict:
     """The languages whose name begins with ``prefix``, without it."""
-    import numpy as np
-
     at = [i for i, lang in enumerate(model["langs"]) if lang.startswith(prefix)]
-    out = {"langs": [model["langs"][i][len(prefix) :] for i in at], "none": model["none"][at]}
-    for key, value in model.items():
-        if isinstance(key, tuple):
-            keys, matrix = value
-            there = ~np.isnan(matrix[:, at]).all(axis=1)
-            out[key] = keys[there], matrix[there][:, at]
-    return out
+    kept = {"langs": [model["langs"][i][len(prefix) :] for i in at], "none": model["none"][at]}
+    return kept | {key: [value[i] for i in at] for key, value in model.items() if isinstance(key, tuple)}
 
 
 def found(model: dict, m: int, what: str, keys):
     """Values of the keys for all languages, NaN where there are none."""
     import numpy as np
 
-    have, matrix = model.get((m, what), (np.zeros(0, np.int64), None))
-    if not len(have):
-        return np.full((len(keys), len(model["langs"])), np.nan, np.float32)
-    slots = slot(keys)
-    i = np.minimum(np.searchsorted(have, slots), len(have) - 1)
-    out = matrix[i]
-    out[have[i] != slots] = np.nan
+    out = np.full((len(keys), len(model["langs"])), np.nan, np.float32)
+    order = np.argsort(keys)
+    keys = keys[order]
+    for column, (have, values) in enumerate(model.get((m, what), [])):
+        if len(have):
+            i = np.minimum(np.searchsorted(have, keys), len(have) - 1)
+            hit = have[i] == keys
+            out[order[hit], column] = values[i[hit]]
     return out
 
 

@@ -104,3 +104,29 @@ def test_clean_documents_stay_when_labels_are_wrong(spark):
     clean = spark.createDataFrame([(i, text(rng, langs[i % 3], 12)) for i in range(150)], "doc_id long, text string")
     got = {r["doc_id"]: r for r in L.identify(clean, model, rule).collect()}
     assert np.mean([r["accepted"] and r["lang_pred"] == langs[i % 3] for i, r in got.items()]) > 0.95
+
+
+def test_unseen_ngrams_are_not_found_in_a_large_model():
+    rng = np.random.default_rng(5)
+    have = np.unique(rng.integers(0, 1 << 63, 1_500_000, dtype=np.uint64))
+    model = {"langs": ["xx", "yy"], "none": np.zeros(2, np.float32), (4, "p"): [(have[::2], np.zeros(len(have[::2]), np.float32)), (have[:0], np.zeros(0, np.float32))]}
+    got = L.found(model, 4, "p", np.concatenate([have[1:20_001:2], have[0:20_000:2]]))
+    assert np.isnan(got[:10_000, 0]).all() and (got[10_000:, 0] == 0).all() and np.isnan(got[:, 1]).all()
+
+
+def test_the_model_holds_every_ngram_whole(spark):
+    counts = L.count_ngrams(spark.createDataFrame([("xx", False, "abac abad"), ("yy", False, "kaka")], "lang string, held boolean, text string")).drop("held")
+    model = L.build_model(counts)
+    for i, lang in enumerate(model["langs"]):
+        want = sorted(r["key"] for r in counts.filter(F.col("lang") == lang).collect())
+        assert model[4, "p"][i][0].tolist() == want
+
+
+def test_letters_above_the_basic_plane_differ():
+    letters = L.letter_table()
+    a, _ = L.ngrams(["\U00020000"], letters)
+    b, _ = L.ngrams(["\U00020001"], letters)
+    assert a.tolist() != b.tolist() and len(a) == len(b) == 2
+    upper, starts = L.ngrams(["\U00010400x", "", "y\U00010428"], letters)
+    lower, _ = L.ngrams(["\U00010428X", "", "y\U00010400"], letters)
+    assert upper.tolist() == lower.tolist() and starts.tolist() == [0, 3, 3]

@@ -8,6 +8,11 @@ divided by the number of all tests (Bonferroni). So with probability 1 - LEVEL a
 cutoffs keep the limit at once, whichever is chosen. Of the admitted ones that catch bad documents, the one with the
 best balance is taken, the most lenient among equals; without an admitted one the rule rejects nothing there.
 
+A document goes if any rule fails, so the rules of a stratum are then tested together by the same test of the good
+documents that the union rejects, at ``LEVEL`` divided by the number of all combinations of cutoffs that catch a bad
+document. That number does not depend on the good ones, so with probability 1 - LEVEL no stratum rejects ``LIMIT``
+of them or more, whatever was chosen. The rules of least balance are left out until the others pass.
+
 Cases: null and empty texts have no words and fail the base rule; repeated rows are judged each;
 several labels of a document count as one, good only if all are; labels without document or value count nothing;
 without labels there are no cutoffs. Strata are languages by length; a null language is a stratum.
@@ -159,7 +164,32 @@ def cutoffs(judged: DataFrame, labels: DataFrame, limit: float = LIMIT, level: f
     fine = cells.withColumn("tests", F.lit(cells.count()).cast("long")).mapInPandas(_admitted(limit, level), "stratum string, rule string, cutoff long, k long, n long, caught long, tests long")
     worth = F.col("caught") - WORTH * F.col("k")
     best = fine.filter(worth > 0).groupBy("stratum", "rule").agg(F.max(F.struct(worth.alias("worth"), F.col("cutoff"))).alias("b"))
-    return materialised(best.select("stratum", "rule", F.col("b.cutoff").alias("cutoff")), "cutoffs")[0]
+    best, _ = materialised(best.select("stratum", "rule", "b.worth", "b.cutoff"), "best")
+    return materialised(_together(known, cells, best, limit, level), "cutoffs")[0]
+
+
+def _leading(limit: float, level: float):
+    def run(frames):
+        for frame in frames:
+            passed = [[binomial_tail(k, n, limit) <= level for k in ks[:size]] for ks, n, size in zip(frame["ks"], frame["n"], frame["size"])]
+            yield frame[["stratum"]].assign(leading=[sum(fine) for fine in passed])  # a longer union rejects no fewer
+
+    return run
+
+
+def _together(known: DataFrame, cells: DataFrame, best: DataFrame, limit: float, level: float) -> DataFrame:
+    """stratum, rule, cutoff: of each stratum the rules of the best balance that keep the limit together."""
+    choices = cells.filter("caught > 0").groupBy("stratum", "rule").agg((F.count(F.lit(1)) + 1).alias("c")).groupBy("stratum").agg(F.product("c").alias("c"))
+    tests = choices.agg(F.sum(F.col("c") - 1)).first()[0] or 1
+    ranked = best.groupBy("stratum").agg(F.sort_array(F.collect_list(F.struct("worth", "rule", "cutoff")), asc=False).alias("ranked"))
+    figure = F.create_map(*[x for rule in RULES for x in (F.lit(rule), F.col(rule))])
+    first = F.array_position(F.transform("ranked", lambda r: F.element_at(figure, r["rule"]) >= r["cutoff"]), F.lit(True))
+    good = known.filter("good").join(ranked, "stratum").select("stratum", F.size("ranked").alias("size"), first.alias("first"))
+    unions = good.groupBy("stratum", "size").agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.sum(F.col("first").between(1, i + 1).cast("long")) for i in range(len(RULES))]).alias("ks")
+    )
+    leading = unions.mapInPandas(_leading(limit, level / tests), "stratum string, leading int")
+    return ranked.join(leading, "stratum").select("stratum", F.explode(F.slice("ranked", F.lit(1), F.col("leading"))).alias("r")).select("stratum", "r.rule", "r.cutoff")
 
 
 def judge(judged: DataFrame, chosen: DataFrame) -> DataFrame:

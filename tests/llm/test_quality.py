@@ -50,6 +50,17 @@ def test_cutoffs_need_enough_labels_and_keep_good_documents(spark):
     assert not kept[4000] and not kept[4001]
 
 
+def test_rules_keep_the_limit_together(spark):
+    shapes = {"plain": "w{}", "symbols": "w{}#", "long_words": "longlonglong{}", "capitals": "A{}B"}
+    texts = {k: " ".join(v.format(i) for i in range(30)) for k, v in shapes.items()}
+    made = [("plain", 1)] * 2925 + [(k, 1) for k in shapes if k != "plain" for _ in range(25)] + [(k, 0) for j, k in enumerate(shapes) if k != "plain" for _ in range(300 + 10 * j)]
+    judged = Q.features(spark.createDataFrame([(i, "en", texts[k], 0) for i, (k, _) in enumerate(made)], DOCS))
+    chosen = Q.cutoffs(judged, spark.createDataFrame([(i, q) for i, (_, q) in enumerate(made)], "doc_id long, quality int"))
+    assert [r["rule"] for r in chosen.collect()] == ["capitals"]  # each of three rules keeps the limit alone
+    kept = {r["doc_id"]: r["kept"] for r in Q.judge(judged, chosen).collect()}
+    assert sum(not kept[i] for i in range(3000)) < Q.LIMIT * 3000
+
+
 def test_empty_tables(spark):
     judged = Q.features(spark.createDataFrame([], DOCS))
     assert Q.judge(judged, Q.cutoffs(judged, spark.createDataFrame([], "doc_id long, quality int"))).count() == 0

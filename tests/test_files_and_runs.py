@@ -140,3 +140,7 @@ def test_query_matches_sql(spark, duck, sf_dir, name):
 
 def test_every_sql_has_its_query():
     assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
+
+
+def test_the_registered_run_trains_with_the_defaults():
+    assert P._settings().classifier == {}

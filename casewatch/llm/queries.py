@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from casewatch.llm import chat, decontam, hmm, langid, line_dedup, ngram_join, packing, quality, secrets, urls
+from casewatch.llm import chat, collocations, decontam, hmm, langid, line_dedup, ngram_join, packing, quality, secrets, urls
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_language_id": langid.op8,
     "op9_packing": packing.op9,
     "op10_chat_formatting": chat.op10,
+    "op11_collocations": collocations.op11,
 }
 
 ORACLE: dict[str, str] = {
@@ -24,4 +25,5 @@ ORACLE: dict[str, str] = {
     "op5_quality_rules": quality.OP5_SQL,
     "op7_secret_scan": secrets.OP7_SQL,
     "op10_chat_formatting": chat.OP10_SQL,
+    "op11_collocations": collocations.OP11_SQL,
 }

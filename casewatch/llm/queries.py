@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from casewatch.llm import chat, collocations, decontam, hmm, langid, line_dedup, ngram_join, packing, quality, secrets, urls
+from casewatch.llm import chat, collocations, decontam, hmm, langid, line_dedup, ngram_join, packing, prefix_trie, quality, secrets, urls
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_packing": packing.op9,
     "op10_chat_formatting": chat.op10,
     "op11_collocations": collocations.op11,
+    "op13_prefix_trie": prefix_trie.op13,
 }
 
 ORACLE: dict[str, str] = {
@@ -26,4 +27,5 @@ ORACLE: dict[str, str] = {
     "op7_secret_scan": secrets.OP7_SQL,
     "op10_chat_formatting": chat.OP10_SQL,
     "op11_collocations": collocations.OP11_SQL,
+    "op13_prefix_trie": prefix_trie.OP13_SQL,
 }

@@ -30,7 +30,7 @@ from casewatch.llm.common import drop_table, materialised, stored, table, text_o
 #: A candidate's least count; percentage of it that a longer phrase needs to cover it; ranks of a language.
 LEAST, COVERED, MOST = 10, 50, 2000
 #: Phrase occurrences that a hash partition has, about; words that a task holds at a time; bytes of a text cut at a time.
-MASS, HELD, SLICE = 1 << 22, 1 << 20, 1 << 20
+MASS, HELD, SLICE = 1 << 21, 1 << 19, 1 << 18
 #: Bits of the filter of the second pass, as a power of two.
 FILTER_BITS = 27
 HOT, SALTS = 4096, 64
@@ -74,7 +74,7 @@ class Held:
             yield
 
     def is_full(self) -> bool:
-        return self.size >= HELD or len(self.numbers) > 1 << 20
+        return self.size >= HELD or len(self.numbers) > 1 << 18
 
     def taken(self, open_lang: str | None):
         """(language, words as numbers, how many of them are new, hashes of words) of each language; starts anew.

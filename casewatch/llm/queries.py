@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from casewatch.llm import chat, collocations, decontam, hmm, langid, line_dedup, ngram_join, packing, prefix_trie, quality, secrets, urls
+from casewatch.llm import chat, collocations, decontam, hmm, langid, line_dedup, ngram_join, packing, prefix_trie, quality, secrets, toxicity, urls
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_packing": packing.op9,
     "op10_chat_formatting": chat.op10,
     "op11_collocations": collocations.op11,
+    "op12_toxicity": toxicity.op12,
     "op13_prefix_trie": prefix_trie.op13,
 }
 

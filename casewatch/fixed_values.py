@@ -112,10 +112,7 @@ TREND_TEXT = (
 )
 TREND_SHORT_TEXT = "Insufficient data to establish monthly trend."
 
-# Own wording.
-ANSWER_HEADER = "Answer assembled from stored narratives."
-ANSWER_INTRO = "{header}\nThe {k} narratives nearest to '{question}':\n\n"
-ANSWER_CLOSING = "\n\nCompare these with the monthly tables before acting on them."
+# Lines of the answer routes, forecast status, label of the total row.
 ROUTE_LINES = {
     "growth": "- In year {year} month {month}, {bank_name} had {total_complaints} complaints, "
               "growing by {complaint_growth_pct}% MoM.",
@@ -124,3 +121,8 @@ ROUTE_LINES = {
 }
 FORECAST_STATUS = {"fitted": "Success", "fallback": "Fallback (Moving Average)"}
 SUMMARY_ROW_LABEL = "Total / System Average"
+
+# Own wording.
+ANSWER_HEADER = "Answer assembled from stored narratives."
+ANSWER_INTRO = "{header}\nThe {k} narratives nearest to '{question}':\n\n"
+ANSWER_CLOSING = "\n\nCompare these with the monthly tables before acting on them."

@@ -7,9 +7,10 @@ frequent ones last: similar sets share one of its elements, so the inverted list
 twentieth longer than that needs, so that similar sets share that many of its elements, and a set with fewer elements
 that occur elsewhere is out. The size boundary is where the two costs, summed over all sets, are least. Sets just below it do both.
 
-A list is not turned into all pairs. In star rounds each member is compared with one member of its list; what
-is linked by then is one component, and a last round compares the members of different components only. Each candidate pair
-is verified on its whole sets. Thus every component is that of all links.
+A list is not turned into pairs. In star rounds each member is compared with one member of its list, its centre; what
+is linked by then is one component. At last, the members of lists with one centre that lie outside their largest component are compared
+with all others: cells of two blocks of bounded size are dealt out, and a task counts the elements that their whole sets share
+by products of matrices. Only links leave a cell, no more than there are components in it. Thus every component is that of all links.
 
 Cases: null texts and texts without words have empty sets and link with nothing; a text of fewer words
 than a shingle has one element; repeated rows are one class; rows without id have a null component unless
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 from math import comb
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casewatch.llm.common import drop_table, materialised, most_frequent, stored, table, text_of, trimmed
@@ -31,7 +32,8 @@ WORDS, PERCENT = 5, 80
 LIGHT = 16
 #: Shingles known as frequent at most, and how often one is found within a run of ``RUN`` shingles to be one.
 FREQUENT, OFTEN, RUN = 1 << 18, 6, 1 << 21
-ROUNDS = 2
+#: Sets on a side of a cell, and elements in them, about; words whose hashes a task remembers; characters of texts cut at a time.
+CELL_SETS, CELL_ELEMENTS, REMEMBERED, TOGETHER = 512, 1 << 20, 200_000, 1 << 20
 #: Cost of scanning a list entry, in entries put down.
 SCAN = 2.0
 
@@ -87,7 +89,7 @@ class Shingler:
     def sets(self, texts: list[str]) -> list:
         import numpy as np
 
-        if len(self.hashes) > 500_000:
+        if len(self.hashes) > REMEMBERED:
             self.hashes.clear()
         words = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
         lengths = np.array([len(w) for w in words], np.int64)
@@ -117,7 +119,7 @@ def _combined(columns: list, n: int):
     return h ^ (h >> np.uint64(29))
 
 
-def runs(texts: list[str], most: int = 1 << 21):
+def runs(texts: list[str], most: int = TOGETHER):
     begin, size = 0, 0
     for i, text in enumerate(texts):
         size += len(text)
@@ -284,32 +286,58 @@ def shared_lists(sets: DataFrame, boundary: int) -> DataFrame:
     return stored(found.filter(first).join(fit, "uid", "left_semi"), "lists")
 
 
-def _near(pairs: DataFrame) -> DataFrame:
-    """Pairs that sizes and places in the order still allow to be similar, each once."""
-    n, m = F.col("n"), F.col("other.n")
-    fits = (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & ((100 + PERCENT) * F.least("room", "other.room") >= PERCENT * (n + m))
-    return pairs.filter(fits).select(F.least("uid", "other.uid").alias("a"), F.greatest("uid", "other.uid").alias("b")).distinct()
+def _fits() -> Column:
+    """Whether sizes and places in the order still allow an entry and its list's centre to be similar."""
+    n, m = F.col("n"), F.col("centre.n")
+    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & ((100 + PERCENT) * F.least("room", "centre.room") >= PERCENT * (n + m))
 
 
-ENTRY = ("uid", "root", "n", "room")
+def mixed_lists(lists: DataFrame, turn: int) -> DataFrame:
+    """Entries of the lists that hold several components, with the list's centre: a member chosen anew each turn."""
+    centre = F.min_by(F.struct("uid", "root", "n", "room"), F.xxhash64("uid", F.lit(turn))).alias("centre")
+    several = lists.groupBy("h").agg(centre, F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    return lists.join(several.select("h", "centre"), "h")
 
 
-def star_pairs(lists: DataFrame, turn: int) -> DataFrame:
-    """Each member of a list with one member of it in another component, chosen anew each turn."""
-    order = F.xxhash64("uid", F.lit(turn))
-    centres = lists.groupBy("h").agg(F.min_by(F.struct(*ENTRY), order).alias("other"), F.min("root").alias("low"), F.max("root").alias("high"))
-    centres = centres.filter("low <> high").select("h", "other")
-    return _near(lists.join(centres, "h").filter(F.col("root") != F.col("other.root")))
+def _cuts(count: Column, elements: Column) -> Column:
+    """Number of parts for as many sets with as many elements in all."""
+    return F.ceil(F.greatest(count / CELL_SETS, elements / CELL_ELEMENTS)).cast("int")
 
 
-def rest_pairs(lists: DataFrame) -> DataFrame:
-    """All pairs of a list that lie in different components: those outside its largest one with all others."""
-    sizes = lists.groupBy("h", "root").agg(F.count(F.lit(1)).alias("k"))
-    largest = sizes.groupBy("h").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count(F.lit(1)).alias("kinds"))
-    mixed = lists.join(largest.filter("kinds > 1").select("h", "main"), "h")
-    outside = mixed.filter("root <> main").select("h", F.struct(*ENTRY).alias("other"))
-    apart = (F.col("root") != F.col("other.root")) & ((F.col("root") == F.col("main")) | (F.col("uid") < F.col("other.uid")))
-    return _near(mixed.join(outside, "h").filter(apart))
+def _part(parts: Column) -> Column:
+    return F.pmod(F.xxhash64("uid"), parts).cast("int")
+
+
+def _every(parts: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), parts - 1))
+
+
+CELL = ("bucket", "p", "q", "side", "uid", "root")
+
+
+def star_cells(mixed: DataFrame) -> DataFrame:
+    """Cells in which the centre (side 0) meets the members of its lists (side 1) that lie in other components."""
+    met = mixed.filter((F.col("root") != F.col("centre.root")) & _fits())
+    met = met.select(F.col("centre.uid").alias("bucket"), F.col("centre.root").alias("own"), "uid", "root", "n").distinct()
+    sizes = met.groupBy("bucket", "own").agg(_cuts(F.count(F.lit(1)), F.sum("n")).alias("parts"))
+    members = met.join(sizes.drop("own"), "bucket").select("bucket", F.lit(0).alias("p"), _part(F.col("parts")).alias("q"), F.lit(1).alias("side"), "uid", "root")
+    centres = sizes.select("bucket", F.lit(0).alias("p"), _every(F.col("parts")).alias("q"), F.lit(0).alias("side"), F.col("bucket").alias("uid"), F.col("own").alias("root"))
+    return members.unionByName(centres)
+
+
+def block_cells(mixed: DataFrame) -> DataFrame:
+    """Cells in which the members of lists with one centre that lie outside their largest component meet all members.
+
+    Lists with the same centre have mostly the same members, so these come together once and not once for each list.
+    """
+    members = stored(mixed.select(F.col("centre.uid").alias("bucket"), "uid", "root", "n").distinct(), "members")
+    sizes = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("m"))
+    largest = F.max(F.struct("k", "root", "m"))
+    parts = sizes.groupBy("bucket").agg(largest["root"].alias("main"), F.sum("k").alias("k"), F.sum("m").alias("m"), largest["k"].alias("k1"), largest["m"].alias("m1"))
+    parts = stored(parts.filter("k > k1").select("bucket", "main", _cuts(F.col("k") - F.col("k1"), F.col("m") - F.col("m1")).alias("ps"), _cuts(F.col("k"), F.col("m")).alias("qs")), "parts")
+    every = members.join(parts, "bucket")
+    outside = every.filter("root <> main").select("bucket", _part(F.col("ps")).alias("p"), _every(F.col("qs")).alias("q"), F.lit(0).alias("side"), "uid", "root")
+    return outside.unionByName(every.select("bucket", _every(F.col("ps")).alias("p"), _part(F.col("qs")).alias("q"), F.lit(1).alias("side"), "uid", "root"))
 
 
 def _whole(batches):
@@ -324,40 +352,115 @@ def _whole(batches):
             )
 
 
-def _similar(batches):
+def shared_elements(xs: list, ys: list):
+    """Matrix of the numbers of elements that the sorted sets xs and ys share."""
+    import numpy as np
+
+    lengths = np.array([len(y) for y in ys])
+    flat, rows = np.concatenate(ys), np.repeat(np.arange(len(ys)), lengths)
+    both = np.zeros((len(xs), len(ys)), np.float32)
+    if len(xs) <= 4:
+        for i, x in enumerate(xs):
+            at = np.minimum(np.searchsorted(x, flat), len(x) - 1)
+            both[i] = np.bincount(rows[x[at] == flat], minlength=len(ys))
+        return both
+    own, own_rows = np.concatenate(xs), np.repeat(np.arange(len(xs)), [len(x) for x in xs])
+    common = np.intersect1d(own, flat)
+
+    def places(values, owners):
+        at = np.minimum(np.searchsorted(common, values), max(0, len(common) - 1))
+        there = np.flatnonzero(common[at] == values) if len(common) else at[:0]
+        order = there[np.argsort(at[there], kind="stable")]
+        return at[order], owners[order]
+
+    (x_at, x_rows), (y_at, y_rows) = places(own, own_rows), places(flat, rows)
+    for begin in range(0, len(common), 4096):
+        def dense(at, owners, n):
+            a, b = np.searchsorted(at, [begin, begin + 4096])
+            out = np.zeros((n, min(4096, len(common) - begin)), np.float32)
+            out[owners[a:b], at[a:b] - begin] = 1
+            return out
+
+        both += dense(x_at, x_rows, len(xs)) @ dense(y_at, y_rows, len(ys)).T
+    return both
+
+
+def cell_links(xs: list[tuple], ys: list[tuple]) -> list[tuple[int, int]]:
+    """Links between sets (uid, root, elements) of two sides: enough to join all components that links join."""
+    import numpy as np
+
+    both = shared_elements([x[2] for x in xs], [y[2] for y in ys])
+    total = np.array([len(x[2]) for x in xs])[:, None] + np.array([len(y[2]) for y in ys])[None]
+    x_roots, y_roots = np.array([x[1] for x in xs]), np.array([y[1] for y in ys])
+    similar = (100 * both >= PERCENT * (total - both)) & (x_roots[:, None] != y_roots[None])
+    above: dict[int, int] = {}
+
+    def top(r):
+        while r in above:
+            r = above[r]
+        return r
+
+    found = []
+    for i in np.flatnonzero(similar.any(axis=1)).tolist():
+        at = np.flatnonzero(similar[i])
+        for j in at[np.unique(y_roots[at], return_index=True)[1]].tolist():
+            a, b = top(xs[i][1]), top(ys[j][1])
+            if a != b:
+                above[a] = b
+                found.append((xs[i][0], ys[j][0]))
+    return found
+
+
+def _compared(batches):
+    """Of rows in the order of cells: the links of each cell."""
     import numpy as np
     import pyarrow as pa
 
+    cell, sides = None, ([], [])
+
+    def done():
+        found = cell_links(*sides) if sides[0] and sides[1] else []
+        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
     for batch in batches:
-        keep = []
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-        yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
+        keys = list(zip(*(batch.column(k).to_pylist() for k in range(6))))
+        for key, items in zip(keys, batch.column(6)):
+            if key[:3] != cell:
+                yield done()
+                cell, sides = key[:3], ([], [])
+            sides[key[3]].append((key[4], key[5], np.frombuffer(items.as_buffer(), np.uint64).copy()))
+    yield done()
 
 
-def verified(pairs: DataFrame, whole: DataFrame) -> DataFrame:
-    """The pairs whose whole sets are similar."""
-    left = pairs.join(whole.select(F.col("uid").alias("a"), F.col("items").alias("x")), "a")
-    both = left.join(whole.select(F.col("uid").alias("b"), F.col("items").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(_similar, "a long, b long")
+def compared(cells: DataFrame, whole: DataFrame) -> DataFrame:
+    """Links (a, b) found in cells, on whole sets."""
+    rows = cells.join(whole, "uid").select(*CELL, "items").repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q")
+    return rows.mapInArrow(trimmed(_compared), "a long, b long")
 
 
 def links(lists: DataFrame, whole: DataFrame) -> DataFrame:
-    """(node, root) of all documents that links reach."""
+    """(node, root) of all documents that links reach.
+
+    Star rounds go on as long as they tie together a tenth of what lies in mixed lists; then blocks compare the rest.
+    """
     spark = lists.sparkSession
     found = roots = None
-    for turn in range(ROUNDS + 1):
+    turn, last = 0, False
+    while True:
         now = lists.withColumn("root", F.col("uid")) if roots is None else (
             lists.join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
         )
-        pairs, path = materialised(star_pairs(now, turn) if turn < ROUNDS else rest_pairs(now), "pairs")
-        new = stored(verified(pairs, whole), "links")
-        drop_table(spark, path)
+        mixed, path = materialised(mixed_lists(now, turn), "mixed")
+        new = stored(compared(block_cells(mixed) if last else star_cells(mixed), whole), "links")
         found = new if found is None else found.unionByName(new)
-        roots = stored(components(found), "roots")
-    return roots
+        n_new = new.count()
+        if n_new:
+            roots = stored(components(found), "roots")
+        n_mixed = mixed.select("uid").distinct().count()
+        drop_table(spark, path)
+        if last or not n_mixed:
+            return roots
+        turn, last = turn + 1, 10 * n_new < n_mixed
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -382,6 +485,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if whole.count() > wanted.count():  # rows that repeat an id and its text
         whole = stored(whole.dropDuplicates(["uid"]), "whole")
     roots = links(lists, whole)
+    if roots is None:
+        roots = spark.createDataFrame([], "node long, root long")
     ids = classes.select("n", "f1", "f2", "class_id", F.col("r.uid").alias("rep")).join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     ids = ids.withColumn("root", F.coalesce("root", "rep"))
     least = ids.groupBy("root").agg(F.min("class_id").alias("component_id"))

@@ -27,6 +27,7 @@ from casewatch.operators import star as S
 from casewatch.operators import statistics as A
 from casewatch.operators import summary as G
 from casewatch.operators import text_classes as M
+from casewatch.operators import vector_store as VS
 from casewatch.operators.text_features import embed, fit_tfidf, tfidf_weights
 from casewatch.plans import pipeline
 from casewatch.session import new_table_path
@@ -192,6 +193,35 @@ def _narrative_search(t: SampleTables) -> DataFrame:
     return N.template_answers(t.questions, N.retrieval_context(hits, docs))
 
 
+def _store(t: SampleTables, docs: DataFrame, **options) -> VS.Store:
+    """The corpus written as a vector store and opened again."""
+    path = new_table_path(t.spark, "vectors")
+    VS.create_store(docs, path, **options)
+    return VS.open_store(t.spark, path)
+
+
+def _store_search(t: SampleTables) -> DataFrame:
+    store = _store(t, _vectors(t, "doc_id"))
+    return VS.search(store, _vectors(t, "question_id"), exact=True, exclude_self=True)
+
+
+def _narrative_store(t: SampleTables) -> VS.Store:
+    docs = files.stored(t.narratives, "narratives")
+    return _store(t, docs, embedder=fit_tfidf(docs, "page_content", 128))
+
+
+def _store_answers(t: SampleTables) -> DataFrame:
+    store = _narrative_store(t)
+    hits = VS.ask(store, t.questions, "page_content")
+    return N.template_answers(t.questions, N.retrieval_context(hits, store.docs))
+
+
+def _bucket_neighbours(t: SampleTables) -> DataFrame:
+    """Narratives most like each narrative, by hash buckets."""
+    docs = _narrative_store(t).docs
+    return VS.bucket_topk(docs.select(F.col("doc_id").alias("question_id"), "embedding"), docs, exclude_self=True)
+
+
 def _embedded_corpus(t: SampleTables) -> DataFrame:
     docs = files.stored(t.narratives, "narratives")
     return tfidf_weights(fit_tfidf(docs, "page_content", 128), docs, "doc_id")
@@ -354,6 +384,10 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "embed_corpus": _embedded_corpus,
     "knn_topk": _knn,
     "knn_topk_blocks": lambda t: _knn(t, questions_per_block=100, docs_per_block=150),
+    "vector_store_search": _store_search,
+    "corpus_store": lambda t: _narrative_store(t).docs.select("doc_id", "page_content", "metadata"),
+    "store_answers": _store_answers,
+    "bucket_topk": _bucket_neighbours,
     "retrieval_context": lambda t: N.retrieval_context(_knn(t), _document_corpus(t)),
     "narrative_search": _narrative_search,
     "question_routes": _routes,

@@ -433,8 +433,10 @@ ORACLE: dict[str, str] = {
     "summary_narratives": _with(SUMMARY + _NARRATIVES) + "SELECT * FROM texts",
     "flag_narratives": _with(FLAGS + _FLAG_NARRATIVES) + "SELECT * FROM flag_texts",
     "corpus_table": _CORPUS + "SELECT * FROM texts UNION ALL SELECT * FROM flag_texts",
+    "corpus_store": _CORPUS + "SELECT * FROM texts UNION ALL SELECT * FROM flag_texts",
     "knn_topk": _KNN_SQL,
     "knn_topk_blocks": _KNN_SQL,
+    "vector_store_search": _KNN_SQL,
     "retrieval_context": _KNN + """ SELECT question_id, string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context,
         CAST(to_json(list({'content': text, 'bank_name': lang, 'year': 'N/A', 'source': source} ORDER BY rank)) AS VARCHAR) AS sources
         FROM ranked JOIN documents d ON d.doc_id = ranked.doc_id GROUP BY 1""",

@@ -20,27 +20,32 @@ def _flag(rule: str, when: Column, severity: Column, **places: Column) -> Column
     )
 
 
-def policy_flags(
-    fact: DataFrame,
+def policy_flags(fact: DataFrame, **rules: float) -> DataFrame:
+    """Delay, escalation and spike flags; ``rules`` are those of ``flags_of_quarters``.
+
+    One aggregate per institution and quarter carries everything the three rules read, so cases are read once, not once per rule.
+    """
+    return flags_of_quarters(fact.groupBy("bank_id", "year", "quarter").agg(
+        F.count("*").alias("total"),
+        count_status("Escalated").alias("escalated"),
+        F.avg("resolution_days").alias("avg_days"),
+    ), **rules)
+
+
+def flags_of_quarters(
+    quarters: DataFrame,
     min_n: int = 50,
     delay_days: float = 75,
     escalation_pct: float = 15,
     spike_pct: float = 25,
     high_spike_pct: float = 40,
 ) -> DataFrame:
-    """Delay, escalation and spike flags.
+    """Flags from one row per institution and quarter: total, escalated, avg_days.
 
-    One aggregate per institution and quarter carries everything the three rules read; the
-    rules are an array of optional flags per row, so cases are read once, not once per rule.
-    ``min_n`` applies to delay and escalation only. Spikes compare with the previous quarter
-    that has cases. Groups are unique per rule, so no flag can repeat.
+    The rules are an array of optional flags per row. ``min_n`` applies to delay and escalation only. Spikes compare with the previous
+    quarter that has cases. Groups are unique per rule, so no flag can repeat.
     """
     by_quarter = Window.partitionBy("bank_id").orderBy("year", "quarter")
-    quarters = fact.groupBy("bank_id", "year", "quarter").agg(
-        F.count("*").alias("total"),
-        count_status("Escalated").alias("escalated"),
-        F.avg("resolution_days").alias("avg_days"),
-    )
     measured = quarters.withColumns(
         {
             "escalation_pct": percent(F.col("escalated"), F.col("total")),

@@ -14,14 +14,18 @@ def monthly_summary(fact: DataFrame) -> DataFrame:
     Growth compares with the previous month that has cases; a first month has 0. The
     window runs over the aggregate: per institution, at most one row per calendar month.
     """
-    by_month = Window.partitionBy("bank_id").orderBy("year", "month")
-    totals = fact.groupBy("bank_id", "year", "month").agg(
+    return with_growth(fact.groupBy("bank_id", "year", "month").agg(
         F.count("*").alias("total_complaints"),
         count_status("Resolved").alias("resolved_count"),
         count_status("Pending").alias("pending_count"),
         count_status("Escalated").alias("escalated_count"),
         F.avg("resolution_days").alias("avg_resolution_days"),
-    )
+    ))
+
+
+def with_growth(totals: DataFrame) -> DataFrame:
+    """Adds ``complaint_growth_pct`` to one row per institution and month."""
+    by_month = Window.partitionBy("bank_id").orderBy("year", "month")
     growth = growth_percent(F.col("total_complaints"), F.lag("total_complaints").over(by_month))
     return totals.withColumn("complaint_growth_pct", F.coalesce(F.bround(growth, 2), F.lit(0.0)))
 

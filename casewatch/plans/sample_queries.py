@@ -20,10 +20,12 @@ from casewatch.operators import case_queries as Q
 from casewatch.operators import flags as FL
 from casewatch.operators import forecast as FC
 from casewatch.operators import quality as V
+from casewatch.operators import refresh as RF
 from casewatch.operators import reports as R
 from casewatch.operators import retrieval as N
 from casewatch.operators import risk as K
 from casewatch.operators import star as S
+from casewatch.operators import star_tables as ST
 from casewatch.operators import statistics as A
 from casewatch.operators import summary as G
 from casewatch.operators import text_classes as M
@@ -193,6 +195,23 @@ def _narrative_search(t: SampleTables) -> DataFrame:
     return N.template_answers(t.questions, N.retrieval_context(hits, docs))
 
 
+def _star(t: SampleTables) -> DataFrame:
+    """The fact with category names, joined in bucketed tables."""
+    path = new_table_path(t.spark, "star")
+    ST.save_star(t.fact, t.categories, path)
+    return ST.category_cases(ST.open_star(t.spark, path))
+
+
+def _refreshed(t: SampleTables, table: str) -> DataFrame:
+    """A table after a load of all cases but those of one month, and a refresh by these."""
+    path = new_table_path(t.spark, "refreshed")
+    fact = files.stored(t.fact, "fact")
+    late = (F.col("year") == 2000) & (F.col("month") == 3)
+    RF.refresh(fact.filter(~late), path, **FLAG_RULES)
+    RF.refresh(fact.filter(late), path, **FLAG_RULES)
+    return files.read_table(t.spark, f"{path}/{table}")
+
+
 def _store(t: SampleTables, docs: DataFrame, **options) -> VS.Store:
     """The corpus written as a vector store and opened again."""
     path = new_table_path(t.spark, "vectors")
@@ -347,7 +366,14 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "category_monthly": lambda t: Q.category_monthly(t.counted, CATEGORY),
     "category_top_states": lambda t: Q.category_top_states(t.counted, CATEGORY),
     "text_search": lambda t: Q.text_search(t.table("documents").select("doc_id", "text"), SEARCH).select("doc_id"),
+    # the star in bucketed tables
+    "star_category_trends": lambda t: Q.category_trends(_star(t)),
+    "star_state_heatmap": lambda t: Q.state_heatmap(_star(t)),
+    "star_rising_categories": lambda t: Q.rising_categories(_star(t), **RISING),
+    "star_report_top_categories": lambda t: R.report_top_categories(_star(t), *REPORT_MONTH),
     # summary, flags, risk
+    "refreshed_summary": lambda t: _refreshed(t, "monthly_summary"),
+    "refreshed_flags": lambda t: _refreshed(t, "policy_flags"),
     "monthly_summary": lambda t: t.summary,
     "high_growth_months": lambda t: G.high_growth_months(t.summary, t.banks),
     "policy_flags": lambda t: t.flags,

@@ -59,6 +59,18 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     df.write.mode(mode).partitionBy(*partition_by).parquet(path) if partition_by else df.write.mode(mode).parquet(path)
 
 
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replace the partitions that ``df`` has rows of, and leave the others."""
+    dealt = df.hint("rebalance", *partition_by)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of one's own that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)

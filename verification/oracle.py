@@ -489,3 +489,13 @@ ORACLE["flatten_results_json"] = " UNION ALL ".join(
         _melted("mann_kendall_trend_test", "series", "tau s_statistic z_score p_value", _CATEGORY_TREND),
     ]
 )
+
+# The same figures from the fact, joined to the dimension at the category's grain.
+_STAR = _with(CASES, DIM).rstrip() + """, fact AS (
+  SELECT complaint_id, category_id, state, year, month, quarter FROM cases JOIN categories ON complaint_subcategory = subcategory_name
+), grain AS (SELECT DISTINCT category_id, category_name FROM categories
+), star AS (SELECT fact.*, coalesce(category_name, 'Unknown') AS category_name FROM fact LEFT JOIN grain USING (category_id)) """
+for _name in ("category_trends", "state_heatmap", "rising_categories", "report_top_categories"):
+    ORACLE[f"star_{_name}"] = ORACLE[_name].replace(_CASES, _STAR).replace("FROM wide", "FROM star")
+ORACLE["refreshed_summary"] = ORACLE["monthly_summary"]
+ORACLE["refreshed_flags"] = ORACLE["policy_flags"]

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casewatch.functions.columns import percent
 from casewatch.functions.quantiles import exact_quantiles, weighted_quantiles
 from casewatch.schemas import REQUIRED_COLUMNS
-from casewatch.sources.files import stored
+from casewatch.sources.files import read_table, stored, write_table
 
 START, END = "2020-01-01", "2024-12-31"
 
@@ -109,12 +110,27 @@ def dq_report(
     Every figure follows from how often each outcome of the date check, status and number of days occurs, and from
     the null cells there. These counts are gathered in one scan and stored; median, moments and outliers read only them.
     """
+    counts = stored(day_counts(raw, start, end, fill), "day-counts")
+    return report_of_counts(counts, fallback_days, z)
+
+
+def day_counts(raw: DataFrame, start: str = START, end: str = END, fill: str = "Unknown") -> DataFrame:
+    """How often each outcome of the date check, status and number of days occurs, with the null cells there."""
     days = raw.select(
         in_window(parsed_date(raw), start, end).alias("kept"), F.coalesce("status", F.lit(fill)).alias("status"), "resolution_days",
         _null_cells(REQUIRED_COLUMNS).alias("null_cells"),
     )
-    counts = stored(days.groupBy("kept", "status", "resolution_days").agg(F.count("*").alias("n"), F.sum("null_cells").alias("null_cells")), "day-counts")
-    median = _or_fallback(weighted_quantiles(_usable_days(counts.filter("kept")), [], "resolution_days", {"median": 0.5}), fallback_days)
+    return days.groupBy("kept", "status", "resolution_days").agg(F.count("*").alias("n"), F.sum("null_cells").alias("null_cells"))
+
+
+def median_of_counts(counts: DataFrame) -> DataFrame:
+    """The median that repairs days, from ``day_counts``."""
+    return weighted_quantiles(_usable_days(counts.filter("kept")), [], "resolution_days", {"median": 0.5})
+
+
+def report_of_counts(counts: DataFrame, fallback_days: float = 30, z: float = 3) -> DataFrame:
+    """``dq_report`` from ``day_counts``."""
+    median = _or_fallback(median_of_counts(counts), fallback_days)
     repaired = counts.withColumn("median", median).withColumn("v", F.expr(
         f"CASE WHEN kept AND {MUST_BE_POSITIVE} THEN median WHEN kept AND status <> 'Pending' THEN resolution_days END"
     ))
@@ -147,6 +163,37 @@ def dq_report(
     )
 
 
+@dataclass
+class CleanRun:
+    """What a cleaning run leaves behind beside the cleaned file."""
+
+    cases: DataFrame
+    report: DataFrame
+    nulls: DataFrame
+
+
+def clean_to(
+    raw: DataFrame, path: str, start: str = START, end: str = END, fallback_days: float = 30, fill: str = "Unknown", z: float = 3
+) -> CleanRun:
+    """Write the cleaned case file to ``path``, with the metrics of ``dq_report`` and ``null_profile`` from the same two scans.
+
+    The first scan reads what decides the repair: it gathers ``day_counts``, while an observation counts the nulls of each column on
+    the way. The counts give the median, which the second scan, the one that writes, needs as a plain number, and all metrics of the report.
+    """
+    spark = raw.sparkSession
+    seen = Observation("nulls")
+    watched = raw.observe(seen, *[F.count_if(F.col(c).isNull()).alias(c) for c in REQUIRED_COLUMNS])
+    counts = stored(day_counts(watched, start, end, fill), "day-counts")
+    found = median_of_counts(counts).first()
+    median = float(fallback_days) if found is None or found[0] is None else found[0]
+    kept = keep_window(fill_required(raw, fill), start, end)
+    write_table(kept.withColumn("resolution_days", _repaired(F.lit(median))).select(*raw.columns), path)
+    schema = T.StructType([T.StructField(f.name, T.DateType() if f.name == "date" else f.dataType) for f in raw.schema.fields])
+    seen_nulls = dict.fromkeys(REQUIRED_COLUMNS, 0) if counts.isEmpty() else seen.get  # a plan without rows observes nothing
+    nulls = spark.createDataFrame([(c, seen_nulls[c]) for c in REQUIRED_COLUMNS], "column_name string, null_count long")
+    return CleanRun(read_table(spark, path, schema), report_of_counts(counts, fallback_days, z), nulls)
+
+
 def dq_report_text(report: DataFrame) -> DataFrame:
     """The metrics as ``line_no, line`` rows for a text log."""
     labels = {  # fixed values: report labels

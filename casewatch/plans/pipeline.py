@@ -1,7 +1,7 @@
 """The batch run: raw case file to tables, analyses, models, corpus and report tables.
 
-Steps hand over through written tables in ``out``, so a lost executor or a restart repeats
-one step, not the run, and every later step reads only the columns it needs.
+Steps hand over through written tables in ``out``, and every later step reads only the columns it needs. A step that has ended
+leaves a mark with the settings it ran under, so that a run that was stopped can be resumed at the step that had not.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from casewatch.operators import summary as G
 from casewatch.operators import text_classes as M
 from casewatch.operators.text_features import embed, fit_tfidf
 from casewatch.sources import results
-from casewatch.sources.files import write_documents_json, write_table
+from casewatch.sources.files import read_documents_json, remove, write_documents_json, write_table
 from casewatch.schemas import KEYS
 
 
@@ -99,12 +99,22 @@ def violations(fact: DataFrame, banks: DataFrame, categories: DataFrame, domains
     return dimension_violations(banks, categories).unionByName(fact_violations(fact, banks, categories, domains))
 
 
+def _mark(spark: SparkSession, marks: str, name: str) -> str | None:
+    """The settings under which a step ended, if it has."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{marks}/{name}/_SUCCESS")
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return None
+    return read_documents_json(spark, f"{marks}/{name}").first()[0]
+
+
 def run(
-    spark: SparkSession, raw: DataFrame, institutions: DataFrame, categories: DataFrame, out: str, settings: Settings | None = None
+    spark: SparkSession, raw: DataFrame, institutions: DataFrame, categories: DataFrame, out: str, settings: Settings | None = None,
+    resume: bool = False,
 ) -> DataFrame:
     """Run all steps and return their log (``step, status, seconds``).
 
-    A failing retrieval step is logged and skipped; any other failure stops the run.
+    A failing retrieval step is logged and skipped; any other failure stops the run. With ``resume`` the steps that an earlier run on
+    the same input ended in ``out`` under the same settings are kept; from the first other one on, all run.
     """
     settings = settings or Settings()
     log: list[tuple[str, str, float]] = []
@@ -118,8 +128,16 @@ def run(
     def save(name: str, df: DataFrame) -> None:
         write_table(df, path(name))
 
+    resuming = resume
+
     def step(name: str, work: Callable[[], None], may_fail: bool = False) -> None:
+        nonlocal resuming
         begin = time.monotonic()
+        resuming = resuming and _mark(spark, path("marks"), name) == repr(settings)
+        if resuming:
+            log.append((name, "kept", 0.0))
+            return
+        remove(spark, f"{path('marks')}/{name}")
         status = "ok"
         try:
             work()
@@ -127,6 +145,8 @@ def run(
             if not may_fail:
                 raise
             status = f"skipped: {type(problem).__name__}"
+        else:
+            write_documents_json(spark.createDataFrame([(repr(settings),)], "document string"), f"{path('marks')}/{name}")
         log.append((name, status, round(time.monotonic() - begin, 3)))
 
     def wide() -> DataFrame:
@@ -138,11 +158,11 @@ def run(
     def clean() -> None:
         save("raw", raw)  # the incoming file is parsed once
         landed = table("raw")
-        save("cases", V.clean_cases(landed, **settings.window))
-        save("dq_report", V.dq_report(landed, **settings.window))
+        done = V.clean_to(landed, path("cases"), **settings.window)
+        save("dq_report", done.report)
         lines = V.dq_report_text(table("dq_report")).orderBy("line_no").select("line")  # eight lines
         lines.coalesce(1).write.mode("overwrite").text(path("dq_report_text"))
-        save("null_profile", V.null_profile(landed))
+        save("null_profile", done.nulls)
 
     def load() -> None:
         save("banks", institutions)

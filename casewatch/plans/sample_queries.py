@@ -195,6 +195,11 @@ def _narrative_search(t: SampleTables) -> DataFrame:
     return N.template_answers(t.questions, N.retrieval_context(hits, docs))
 
 
+def _clean_run(t: SampleTables) -> V.CleanRun:
+    """Cleaning with its metrics, from the landed case file."""
+    return V.clean_to(files.stored(t.raw, "landed"), new_table_path(t.spark, "cleaned"), **WINDOW)
+
+
 def _star(t: SampleTables) -> DataFrame:
     """The fact with category names, joined in bucketed tables."""
     path = new_table_path(t.spark, "star")
@@ -340,6 +345,9 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "repair_days": lambda t: V.repair_days(t.kept).select("complaint_id", "status", "resolution_days"),
     "clean_cases": lambda t: t.cases,
     "dq_report": lambda t: V.dq_report(t.raw, **WINDOW),
+    "clean_run_cases": lambda t: _clean_run(t).cases,
+    "clean_run_report": lambda t: _clean_run(t).report,
+    "clean_run_nulls": lambda t: _clean_run(t).nulls,
     "zscore_outliers": lambda t: V.zscore_outliers(t.cases),
     "calendar_parts": lambda t: V.calendar_parts(t.table("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date"))),
     "dup_keys": lambda t: V.dup_keys(t.table("lineitem"), ["l_orderkey", "l_linenumber"]),

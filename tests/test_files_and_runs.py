@@ -105,6 +105,26 @@ def test_failing_step_stops_the_run(spark, sf_dir):
         pipeline.run(spark, t.raw.drop("status"), t.banks, t.categories, new_table_path(spark, "run"), P._settings())
 
 
+def test_a_stopped_run_resumes_at_its_step(spark, sf_dir, monkeypatch):
+    t, out = P.SampleTables(spark, sf_dir), new_table_path(spark, "run")
+    settings = P._settings()
+    settings.train = False
+    with monkeypatch.context() as broken:
+        broken.setattr(pipeline.A, "welch_t", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            pipeline.run(spark, t.raw, t.banks, t.categories, out, settings)
+    written = {f: spark.read.parquet(f"{out}/{f}").inputFiles() for f in ("cases", "complaints", "monthly_summary")}
+    again = {r["step"]: r["status"] for r in pipeline.run(spark, t.raw, t.banks, t.categories, out, settings, resume=True).collect()}
+    assert [s for s, status in again.items() if status == "kept"] == ["clean", "load", "aggregate"]
+    assert again["statistics"] == again["management"] == "ok"
+    assert written == {f: spark.read.parquet(f"{out}/{f}").inputFiles() for f in written}
+    settings.ref_date = "2001-01-31"  # other settings: nothing is kept
+    with monkeypatch.context() as broken:
+        broken.setattr(pipeline.V, "clean_to", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            pipeline.run(spark, t.raw, t.banks, t.categories, out, settings, resume=True)
+
+
 def test_stream_scores_equal_batch_scores(spark, sf_dir):
     t = P.SampleTables(spark, sf_dir)
     batch = P.QUERIES["score_classifier"](t).select("doc_id", "predicted_category", "confidence")

@@ -4,7 +4,10 @@ from pyspark.sql import functions as F
 from casewatch.fixed_values import CHANNELS, STATUSES
 from casewatch.operators import quality as V
 from casewatch.operators import star as S
+from casewatch.session import new_table_path
+from casewatch.sources.files import stored
 from tests.frames import raw
+from tests.test_scale import input_records
 
 
 def by_id(df, column):
@@ -53,6 +56,30 @@ def test_repair_uses_median_of_positive_days_of_non_pending(spark):
     assert V.dq_report(df).first().invalid_resolution_days_fixed == 3
 
 
+@pytest.mark.parametrize("options", [{}, {"start": "2024-03-01", "end": "2024-03-31"}, {"fallback_days": 12}])
+def test_a_cleaning_run_equals_its_parts(spark, options):
+    df = stored(raw(
+        spark,
+        {"resolution_days": 4.0}, {"resolution_days": 8.0, "status": "Escalated"}, {"resolution_days": 99.0, "status": "Pending"},
+        {"resolution_days": None}, {"resolution_days": 0.0, "date": "2020-01-01"}, {"status": None, "channel": None}, {"date": "no date"},
+        {"date": None}, {"date": "2030-01-01", "state": None}, *[{"resolution_days": float(i % 5)} for i in range(400)], {"resolution_days": 900.0},
+    ), "raw")
+    rows = lambda frame: sorted(map(tuple, frame.collect()), key=str)
+    before = input_records(spark)
+    done = V.clean_to(df, new_table_path(spark, "cleaned"), **options)
+    assert input_records(spark) - before <= 2 * df.count() + 60  # two scans, and the small table of counts
+    assert rows(done.cases) == rows(V.clean_cases(df, **options)) and done.cases.columns == df.columns
+    assert rows(done.report) == rows(V.dq_report(df, **options))
+    assert rows(done.nulls) == rows(V.null_profile(df))
+
+
+def test_a_cleaning_run_of_nothing(spark):
+    df = raw(spark, {}).limit(0)
+    done = V.clean_to(df, new_table_path(spark, "cleaned"))
+    assert done.cases.count() == 0 and done.report.first().total_records_ingested == 0
+    assert {r["null_count"] for r in done.nulls.collect()} == {0}
+
+
 def test_repair_falls_back_without_usable_days(spark):
     df = raw(spark, {"resolution_days": None}, {"resolution_days": None})
     assert set(by_id(V.clean_cases(df), "resolution_days").values()) == {30.0}

@@ -499,3 +499,4 @@ for _name in ("category_trends", "state_heatmap", "rising_categories", "report_t
     ORACLE[f"star_{_name}"] = ORACLE[_name].replace(_CASES, _STAR).replace("FROM wide", "FROM star")
 ORACLE["refreshed_summary"] = ORACLE["monthly_summary"]
 ORACLE["refreshed_flags"] = ORACLE["policy_flags"]
+ORACLE["clean_run_cases"], ORACLE["clean_run_report"], ORACLE["clean_run_nulls"] = ORACLE["clean_cases"], ORACLE["dq_report"], ORACLE["null_profile"]

@@ -29,6 +29,7 @@ from casewatch.operators import star_tables as ST
 from casewatch.operators import statistics as A
 from casewatch.operators import summary as G
 from casewatch.operators import text_classes as M
+from casewatch.operators import text_index as TI
 from casewatch.operators import vector_store as VS
 from casewatch.operators.text_features import embed, fit_tfidf, tfidf_weights
 from casewatch.plans import pipeline
@@ -195,6 +196,19 @@ def _narrative_search(t: SampleTables) -> DataFrame:
     return N.template_answers(t.questions, N.retrieval_context(hits, docs))
 
 
+def _index_search(t: SampleTables) -> DataFrame:
+    path = new_table_path(t.spark, "text-index")
+    TI.build_index(t.table("documents").select("doc_id", "text"), path)
+    return TI.index_search(t.spark, path, SEARCH).select("doc_id")
+
+
+def _by_date(t: SampleTables) -> DataFrame:
+    """One month of the cases, read from files in the order of dates."""
+    path = new_table_path(t.spark, "by-date")
+    files.write_sorted(t.cases, path, ["date"], ["complaint_id"])
+    return files.read_table(t.spark, path).filter("date BETWEEN '2000-03-01' AND '2000-03-31'")
+
+
 def _clean_run(t: SampleTables) -> V.CleanRun:
     """Cleaning with its metrics, from the landed case file."""
     return V.clean_to(files.stored(t.raw, "landed"), new_table_path(t.spark, "cleaned"), **WINDOW)
@@ -374,6 +388,8 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "category_monthly": lambda t: Q.category_monthly(t.counted, CATEGORY),
     "category_top_states": lambda t: Q.category_top_states(t.counted, CATEGORY),
     "text_search": lambda t: Q.text_search(t.table("documents").select("doc_id", "text"), SEARCH).select("doc_id"),
+    "text_index_search": _index_search,
+    "write_sorted": _by_date,
     # the star in bucketed tables
     "star_category_trends": lambda t: Q.category_trends(_star(t)),
     "star_state_heatmap": lambda t: Q.state_heatmap(_star(t)),

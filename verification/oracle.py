@@ -500,3 +500,5 @@ for _name in ("category_trends", "state_heatmap", "rising_categories", "report_t
 ORACLE["refreshed_summary"] = ORACLE["monthly_summary"]
 ORACLE["refreshed_flags"] = ORACLE["policy_flags"]
 ORACLE["clean_run_cases"], ORACLE["clean_run_report"], ORACLE["clean_run_nulls"] = ORACLE["clean_cases"], ORACLE["dq_report"], ORACLE["null_profile"]
+ORACLE["text_index_search"] = ORACLE["text_search"]
+ORACLE["write_sorted"] = ORACLE["clean_cases"] + " WHERE date BETWEEN DATE '2000-03-01' AND DATE '2000-03-31'"

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from math import comb
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewatch.llm.common import drop_table, materialised, most_frequent, stored, table, text_of, trimmed
@@ -34,6 +34,8 @@ LIGHT = 16
 FREQUENT, OFTEN, RUN = 1 << 18, 6, 1 << 21
 #: Sets on a side of a cell, and elements in them, about; words whose hashes a task remembers; characters of texts cut at a time.
 CELL_SETS, CELL_ELEMENTS, REMEMBERED, TOGETHER = 512, 1 << 20, 200_000, 1 << 20
+#: Rows of ids that are sent to all tasks at most (24 bytes each).
+SENT = 1 << 21
 #: Cost of scanning a list entry, in entries put down.
 SCAN = 2.0
 
@@ -202,7 +204,8 @@ def _sets(shared):
     return run
 
 
-ENTRIES = "h long, uid long, n int, room int, common boolean"
+#: ``size`` holds n and room in one number, n above 32 bits.
+ENTRIES = "h long, uid long, size long, common boolean"
 
 
 def _postings(boundary: int):
@@ -216,13 +219,12 @@ def _postings(boundary: int):
 
         low = least_overlap(boundary + 1)
         for batch in batches:
-            hashes, uids, sizes, rooms, common = [], [], [], [], []
+            hashes, uids, sizes, common = [], [], [], []
 
             def put(h, uid, n, room, known):
                 hashes.append(h)
                 uids.append(np.full(len(h), uid))
-                sizes.append(np.full(len(h), n))
-                rooms.append(room)
+                sizes.append(room.astype(np.int64) | n << 32)
                 common.append(known)
 
             for uid, n, common_from, head in zip(*(batch.column(i).to_pylist() for i in range(4))):
@@ -239,8 +241,8 @@ def _postings(boundary: int):
                     put(h, uid, n, n - at, at >= common_from)
             if hashes:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(uids), pa.int64()), pa.array(np.concatenate(sizes).astype(np.int32)), pa.array(np.concatenate(rooms).astype(np.int32)), pa.array(np.concatenate(common))],
-                    ["h", "uid", "n", "room", "common"],
+                    [pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(uids), pa.int64()), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(common))],
+                    ["h", "uid", "size", "common"],
                 )
 
     return run
@@ -276,10 +278,11 @@ def shared_lists(sets: DataFrame, boundary: int) -> DataFrame:
     holds two rows finds those with a neighbour.
     """
     entries = sets.select("uid", "n", "common_from", "head").mapInArrow(trimmed(_postings(boundary)), ENTRIES)
-    columns = ["h", "uid", "n", "room"]
+    columns = ["h", "uid", "size"]
     alone = entries.filter("not common").select(*columns).repartition("h").sortWithinPartitions("h")
-    found = alone.mapInArrow(_repeated, "h long, uid long, n int, room int").unionByName(entries.filter("common").select(*columns))
-    found = stored(found, "shared")
+    found = alone.mapInArrow(_repeated, "h long, uid long, size long").unionByName(entries.filter("common").select(*columns))
+    n, room = F.shiftright("size", 32).cast("int").alias("n"), F.col("size").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("room")
+    found = stored(found.select("h", "uid", n, room), "shared")
     needed = F.when(F.max("n") <= boundary, 1).otherwise(F.floor(F.ceil(F.max("n") * PERCENT / 100) / 20) + 1)
     fit = found.groupBy("uid").agg(F.count(F.lit(1)).alias("k"), needed.alias("needed")).filter("k >= needed").select("uid")
     first = F.col("room") >= F.ceil(F.col("n") * PERCENT / 100)  # one common element among the first is enough to meet
@@ -293,10 +296,16 @@ def _fits() -> Column:
 
 
 def mixed_lists(lists: DataFrame, turn: int) -> DataFrame:
-    """Entries of the lists that hold several components, with the list's centre: a member chosen anew each turn."""
+    """Entries of the lists that hold several components, with the list's centre: a member chosen anew each turn.
+
+    Entries are left out if no other one of the list has a size that allows the two to be similar.
+    """
     centre = F.min_by(F.struct("uid", "root", "n", "room"), F.xxhash64("uid", F.lit(turn))).alias("centre")
     several = lists.groupBy("h").agg(centre, F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    return lists.join(several.select("h", "centre"), "h")
+    mixed = lists.join(several.select("h", "centre"), "h")
+    by_size = Window.partitionBy("h").orderBy("n")
+    close = (100 * F.lag("n").over(by_size) >= PERCENT * F.col("n")) | (100 * F.col("n") >= PERCENT * F.lead("n").over(by_size))
+    return mixed.withColumn("close", close).filter("close").drop("close")
 
 
 def _cuts(count: Column, elements: Column) -> Column:
@@ -313,6 +322,8 @@ def _every(parts: Column) -> Column:
 
 
 CELL = ("bucket", "p", "q", "side", "uid", "root")
+#: Side of a row that stands on both.
+BOTH = 2
 
 
 def star_cells(mixed: DataFrame) -> DataFrame:
@@ -336,8 +347,10 @@ def block_cells(mixed: DataFrame) -> DataFrame:
     parts = sizes.groupBy("bucket").agg(largest["root"].alias("main"), F.sum("k").alias("k"), F.sum("m").alias("m"), largest["k"].alias("k1"), largest["m"].alias("m1"))
     parts = stored(parts.filter("k > k1").select("bucket", "main", _cuts(F.col("k") - F.col("k1"), F.col("m") - F.col("m1")).alias("ps"), _cuts(F.col("k"), F.col("m")).alias("qs")), "parts")
     every = members.join(parts, "bucket")
-    outside = every.filter("root <> main").select("bucket", _part(F.col("ps")).alias("p"), _every(F.col("qs")).alias("q"), F.lit(0).alias("side"), "uid", "root")
-    return outside.unionByName(every.select("bucket", _every(F.col("ps")).alias("p"), _part(F.col("qs")).alias("q"), F.lit(1).alias("side"), "uid", "root"))
+    alone = (F.col("ps") == 1) & (F.col("qs") == 1)  # one cell: those outside are sent once, for both sides
+    outside = every.filter((F.col("root") != F.col("main")) & ~alone).select("bucket", _part(F.col("ps")).alias("p"), _every(F.col("qs")).alias("q"), F.lit(0).alias("side"), "uid", "root")
+    side = F.when(alone & (F.col("root") != F.col("main")), F.lit(BOTH)).otherwise(F.lit(1)).alias("side")
+    return outside.unionByName(every.select("bucket", _every(F.col("ps")).alias("p"), _part(F.col("qs")).alias("q"), side, "uid", "root"))
 
 
 def _whole(batches):
@@ -428,7 +441,9 @@ def _compared(batches):
             if key[:3] != cell:
                 yield done()
                 cell, sides = key[:3], ([], [])
-            sides[key[3]].append((key[4], key[5], np.frombuffer(items.as_buffer(), np.uint64).copy()))
+            one = (key[4], key[5], np.frombuffer(items.as_buffer(), np.uint64).copy())
+            for side in (0, 1) if key[3] == BOTH else (key[3],):
+                sides[side].append(one)
     yield done()
 
 
@@ -441,7 +456,7 @@ def compared(cells: DataFrame, whole: DataFrame) -> DataFrame:
 def links(lists: DataFrame, whole: DataFrame) -> DataFrame:
     """(node, root) of all documents that links reach.
 
-    Star rounds go on as long as they tie together a tenth of what lies in mixed lists; then blocks compare the rest.
+    Star rounds go on as long as they tie together a quarter of what lies in mixed lists; then blocks compare the rest.
     """
     spark = lists.sparkSession
     found = roots = None
@@ -460,7 +475,7 @@ def links(lists: DataFrame, whole: DataFrame) -> DataFrame:
         drop_table(spark, path)
         if last or not n_mixed:
             return roots
-        turn, last = turn + 1, 10 * n_new < n_mixed
+        turn, last = turn + 1, 4 * n_new < n_mixed
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -480,6 +495,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     boundary = choose_boundary({r["n"]: r["k"] for r in each.groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect()})
     lists = shared_lists(each, boundary)
     wanted = each.join(lists.select("uid").distinct(), "uid", "left_semi").select("uid", F.col("doc_id").alias("d"), F.col("text_key").alias("t"))
+    wanted = stored(wanted, "wanted")
+    if wanted.count() <= SENT:
+        wanted = F.broadcast(wanted)  # texts stay where they are; beyond that size they are shuffled
     rows = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t"))).select("uid", "text")
     whole = stored(rows.mapInArrow(trimmed(_whole), "uid long, items binary"), "whole")
     if whole.count() > wanted.count():  # rows that repeat an id and its text

@@ -42,7 +42,7 @@ class WordTokenizer:
 
     The byte-level pre-tokeniser never joins what stands before a single space between two
     other visible characters with what follows it, so a text may be cut there. Texts with
-    longer runs of white space are encoded whole. Words of Latin letters, for which all versions of Unicode
+    longer runs of white space, or with the string of an added token, are encoded whole. Words of Latin letters, for which all versions of Unicode
     agree, are encoded by tiktoken, which runs the same merges on the same vocabulary faster.
     """
 
@@ -53,8 +53,10 @@ class WordTokenizer:
         import tiktoken
         from tokenizers import Tokenizer
 
+        self.whole = Tokenizer.from_file(path)  # as the file has it: strings of added tokens become these tokens
+        self.added = re.compile("|".join(re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()) or r"(?!)")
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # a piece of a text may look like one
         self.known: dict[str, bytes] = {}
         self.irregular = re.compile(r" \s|\s ")
         with open(path, encoding="utf-8") as f:
@@ -63,10 +65,14 @@ class WordTokenizer:
         ranks = {bytes(map(byte.__getitem__, token)): i for token, i in vocabulary.items() if all(map(byte.__contains__, token)) and token != "<|endoftext|>"}
         self.fast = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    @staticmethod
+    def _ids(tokenizer, texts: list[str]) -> list[bytes]:
         import numpy as np
 
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return self._ids(self.tokenizer, texts)
 
     def _learn(self, words: list[str]) -> None:
         """Ids of words after a space."""
@@ -85,8 +91,12 @@ class WordTokenizer:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         heads, rests, missing = [], [], set()
-        for text in texts:
-            if self.irregular.search(text) or text[:1].isspace() or text[-1:].isspace():
+        special = {i: text for i, text in enumerate(texts) if self.added.search(text)}
+        encoded = dict(zip(special, self._ids(self.whole, list(special.values()))))
+        for i, text in enumerate(texts):
+            if i in special:
+                head, rest = "", ()
+            elif self.irregular.search(text) or text[:1].isspace() or text[-1:].isspace():
                 head, rest = text, ()
             else:
                 head, *rest = text.split(" ")
@@ -95,7 +105,7 @@ class WordTokenizer:
             rests.append(rest)
         self._learn(list(missing))
         known = self.known.__getitem__
-        return [head + b"".join(map(known, rest)) for head, rest in zip(self._encode(heads), rests)]
+        return [encoded.get(i) or head + b"".join(map(known, rest)) for i, (head, rest) in enumerate(zip(self._encode(heads), rests))]
 
 
 def _shown() -> list[tuple[int, int]]:
@@ -218,6 +228,8 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAP
     pieces, _ = materialised(texts.mapInArrow(trimmed(_tokenised(tokenizer_path, capacity, with_ids)), schema), "pieces")
     shards = max(1, pieces.filter(F.col("length") < capacity).count() // SHARD)
     dealt = pieces.repartition(shards, F.xxhash64("doc_id", "start", "ids_crc32"))
+    # In a fixed order, so that a repeated task places its pieces as the first one did.
+    dealt = dealt.sortWithinPartitions(F.desc("length"), "doc_id", "start", "ids_crc32")
     return dealt.mapInPandas(_packed(capacity), schema + ", sequence_id long, offset long")
 
 

@@ -11,7 +11,6 @@ from casewatch.llm.packing import CAPACITY, WordTokenizer, assign, pack
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 PLAIN = Tokenizer.from_file(PATH)
-PLAIN.encode_special_tokens = True
 WORDS = WordTokenizer(PATH)
 
 
@@ -73,3 +72,19 @@ def test_pieces_cover_every_document_once(spark, partitions):
 
 def test_empty_table(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_the_end_tokens_string_is_the_end_token(spark):
+    text = "before <|endoftext|> after<|endoftext|>"
+    assert np.frombuffer(WORDS.encode(["x", text, "y z"])[1], "<u4").tolist() == plain_ids(text)
+    assert WordTokenizer(PATH).whole.token_to_id("<|endoftext|>") in plain_ids(text)
+
+
+def test_sequences_do_not_depend_on_the_order_of_rows(spark, monkeypatch):
+    from casewatch.llm import packing
+
+    monkeypatch.setattr(packing, "SHARD", 60)
+    rows = [(i % 150, "some words %d " % (i % 150) * (i % 37), "x") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    results = [sorted(map(tuple, pack(docs.orderBy(order).repartition(n)).collect())) for order, n in (("doc_id", 2), ("text", 5), ("source", 3))]
+    assert results[0] == results[1] == results[2]

@@ -27,6 +27,8 @@ RULES = ((ALLOW, "com/"), (BLOCK, "example.com/en/"), (ALLOW, "www.example.com/e
 SAMPLE, TREES, LEVELS = 50_000, 20, 4
 #: Labelled URLs of undecided verdict that each suffix is taken to have besides its own.
 PRIOR = 20.0
+#: Parts of the labelled hosts, for rates without a row's own labels.
+FOLDS = 5
 
 PARTS = ("host", "path")
 FEATURES = (
@@ -92,17 +94,26 @@ def lexical(parsed: DataFrame) -> DataFrame:
     })
 
 
+def _fold() -> Column:
+    return F.pmod(F.xxhash64("host"), F.lit(FOLDS)).cast("int")
+
+
 def rates(labelled: DataFrame) -> DataFrame:
-    """Stored block rates: what (suffix or segment), its value, rate; verdicts weigh the same as a whole."""
-    each = labelled.select(F.explode(F.map_from_arrays(F.array(F.lit("suffix"), F.lit("segment")), F.array("suffix", "segment"))).alias("what", "value"), "label", "weight")
-    counted = each.groupBy("what", "value").agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("label")).alias("b"))
-    return stored(counted.select("what", "value", ((F.col("b") + PRIOR / 2) / (F.col("n") + PRIOR)).alias("rate")), "rates")
+    """Stored block counts: what (suffix or segment), its value, weight n, blocked weight b, and both by fold of the host."""
+    each = labelled.select(F.explode(F.map_from_arrays(F.array(F.lit("suffix"), F.lit("segment")), F.array("suffix", "segment"))).alias("what", "value"), "label", "weight", _fold().alias("fold"))
+    counted = each.groupBy("what", "value", "fold").agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("label")).alias("b"))
+    folds = F.map_from_entries(F.collect_list(F.struct("fold", F.struct("n", "b"))))  # FOLDS entries at most
+    return stored(counted.groupBy("what", "value").agg(F.sum("n").alias("n"), F.sum("b").alias("b"), folds.alias("folds")), "rates")
 
 
-def with_rates(rows: DataFrame, known: DataFrame) -> DataFrame:
+def with_rates(rows: DataFrame, known: DataFrame, out_of_fold: bool = False) -> DataFrame:
+    """Adds suffix_rate and segment_rate; for rows to learn from, without the labels of their own host's fold, their own among them."""
     for what in ("suffix", "segment"):
-        rate = known.filter(F.col("what") == what).select(F.col("value").alias(what), F.col("rate").alias(f"{what}_rate"))
-        rows = rows.join(rate, what, "left")
+        own = F.col("folds")[_fold()] if out_of_fold else F.lit(None).cast("struct<n:double,b:double>")
+        less = lambda c: F.col(c) - F.coalesce(own[c], F.lit(0.0))  # noqa: E731, B023
+        counts = known.filter(F.col("what") == what).select(F.col("value").alias(what), "n", "b", "folds")
+        rate = ((less("b") + PRIOR / 2) / (less("n") + PRIOR)).alias(f"{what}_rate")
+        rows = rows.join(counts, what, "left").select(*rows.columns, rate)
     return rows.fillna({"suffix_rate": 0.5, "segment_rate": 0.5})
 
 
@@ -110,27 +121,35 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFra
     """``pages`` with host, path, rule, verdict, and the trees' probability ``blocked`` (null where a rule decides)."""
     kept = [c for c in pages.columns if c not in MADE]
     host, path = split_url(F.col("url"))
-    parsed = pages.select(*kept, host.alias("host"), path.alias("path"))
+    # Kept columns travel in a struct, so that they may have any names.
+    parsed = pages.select("url", F.struct(*kept).alias("_kept"), host.alias("host"), path.alias("path"))
     parsed = parsed.withColumn("found", matching_rule(F.col("host"), F.col("path"), rules))
-    shown = [*kept, *PARTS, F.col("found.rule").alias("rule")]
+    shown = [*[F.col("_kept")[c].alias(c) for c in kept], *PARTS, F.col("found.rule").alias("rule")]
 
     own = pages.select("url", host.alias("host"), path.alias("path"))
     own = own.withColumn("found", matching_rule(F.col("host"), F.col("path"), rules)).filter(F.col("found").isNotNull())
-    labelled = lexical(own.select("url", "host", "path", (F.col("found.verdict") == BLOCK).cast("double").alias("label")))
-    n, blocked = labelled.agg(F.count(F.lit(1)), F.sum("label")).first()
+    each = own.groupBy("url", "host", "path", (F.col("found.verdict") == BLOCK).cast("double").alias("label")).agg(F.count(F.lit(1)).alias("copies"))
+    labelled = stored(lexical(each), "labelled-urls")
+    totals = {r["label"]: r for r in labelled.groupBy("label").agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("urls")).collect()}
     by_rule = parsed.filter(F.col("found").isNotNull()).select(*shown, F.col("found.verdict").alias("verdict"), F.lit(None).cast("double").alias("blocked"))
     others = parsed.filter(F.col("found").isNull())
-    if not n or blocked in (0, n):
-        only = BLOCK if n and blocked == n else ALLOW
+    if len(totals) < 2:
+        only = BLOCK if 1.0 in totals else ALLOW
         return by_rule.unionByName(others.select(*shown, F.lit(only).alias("verdict"), F.lit(None).cast("double").alias("blocked")))
 
-    labelled = labelled.withColumn("weight", F.when(F.col("label") == 1, n / (2 * blocked)).otherwise(n / (2 * (n - blocked))))
+    n = sum(r["n"] for r in totals.values())
+    weight = F.col("copies") * F.when(F.col("label") == 1, n / (2 * totals[1.0]["n"])).otherwise(n / (2 * totals[0.0]["n"]))  # both verdicts weigh the same
+    labelled = labelled.withColumn("weight", weight)
     known = rates(labelled)
     vector = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
-    sample = stored(with_rates(spread_sample(labelled, F.col("url"), n, SAMPLE), known).select(*FEATURES, "label", "weight"), "labelled")
+    # Each verdict has its own half of the sample, of distinct URLs, so a rare one is there and a frequent URL counts by its weight.
+    halves = [
+        spread_sample(labelled.filter(F.col("label") == label), F.col("url"), r["urls"], SAMPLE // 2).withColumn("weight", F.col("weight") * max(1.0, 2 * r["urls"] / SAMPLE))
+        for label, r in sorted(totals.items())
+    ]
+    sample = stored(with_rates(halves[0].unionByName(halves[1]), known, out_of_fold=True).select(*FEATURES, "label", "weight"), "labelled")
     trees = GBTClassifier(featuresCol="_features", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=LEVELS, seed=1)
     model = trees.fit(vector.transform(sample))
-    # Kept columns travel in a struct, so that they may have any names.
     rows = lexical(others.select("url", *PARTS, F.struct(*shown).alias("_kept")))
     scored = model.transform(vector.transform(with_rates(rows, known)))
     share = vector_to_array("probability")[1]

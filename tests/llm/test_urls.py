@@ -60,3 +60,32 @@ def test_empty_table_unlabelled_and_long(spark):
 @pytest.mark.parametrize("text, bits", [("aaaa", 0.0), ("abab", 1.0), ("abcd", 2.0), ("", 0.0)])
 def test_entropy(spark, text, bits):
     assert spark.createDataFrame([(text,)], "t string").select(U.entropy("t")).first()[0] == pytest.approx(bits)
+
+
+def test_columns_of_any_name_are_kept(spark):
+    rows = [(i, u) for i, u in enumerate(URLS)]
+    names = ["found", "_kept", "label", "copies", "weight", "suffix", "fold", "n", "b", "folds"]
+    frame = spark.createDataFrame(rows, "page_id long, url string").selectExpr("*", *[f"'own {c}' as `{c}`" for c in names])
+    got = U.judge(frame).collect()
+    assert len(got) == len(URLS) and all(r[c] == f"own {c}" for r in got for c in names)
+
+
+def test_a_rare_verdict_and_a_frequent_url_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(U, "SAMPLE", 60)
+    rules = ((U.BLOCK, "bad.test/"), (U.ALLOW, "good.test/"))
+    rows = [(i, f"https://h{i % 300}.good.test/about/{i % 300}") for i in range(3000)] + [(9000 + i, "https://hot.good.test/") for i in range(2000)]
+    rows += [(20_000 + i, f"http://bad.test/{i}7{i}?a=1&b=2") for i in range(3)]
+    rows += [(30_000, "http://bid.tast/171?a=1&b=2"), (30_001, "https://h5.other.org/about/7")]
+    got = {r["page_id"]: r["verdict"] for r in U.judge(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    assert (got[30_000], got[30_001]) == (U.BLOCK, U.ALLOW)
+
+
+def test_rates_leave_out_the_hosts_own_fold(spark):
+    rows = [("a.x.org", 1.0), ("b.x.org", 0.0), ("c.x.org", 1.0)]
+    labelled = spark.createDataFrame([(h, "x.org", "", label, 1.0) for h, label in rows], "host string, suffix string, segment string, label double, weight double")
+    known = U.rates(labelled)
+    folds = {r["host"]: r["f"] for r in labelled.select("host", U._fold().alias("f")).collect()}
+    got = {r["host"]: r["suffix_rate"] for r in U.with_rates(labelled, known, out_of_fold=True).collect()}
+    for h, _ in rows:
+        others = [label for o, label in rows if folds[o] != folds[h]]
+        assert got[h] == pytest.approx((sum(others) + U.PRIOR / 2) / (len(others) + U.PRIOR))

@@ -2,7 +2,7 @@
 
 The index holds one row per document and distinct gram of its text (letters A to Z in lower case), dealt out and sorted by
 gram, and a copy of the texts sorted by id; so a search reads the row groups of the grams it needs, and of the documents that may match.
-From the pattern follows which grams every match must hold: runs of literals, all of them; alternatives, those of one of them. Candidates
+From the pattern follows which grams every match must hold: runs of literals, all of them; alternatives and small classes of characters, those of one of them. Candidates
 are checked by the pattern itself. A pattern without such grams, or with syntax that only the JVM knows, scans all texts.
 """
 
@@ -20,6 +20,8 @@ from casewatch.operators.case_queries import text_search
 from casewatch.sources.files import read_table, stored, write_sorted
 
 GRAM = 3
+#: Characters of a class whose members are spelled out at most; strings that a run of literals and such classes may stand for.
+SMALL_CLASS, MOST_RUNS = 8, 32
 #: Candidates that are looked up by their ids; more are found by a join.
 LOOKED_UP = 5000
 _FOLD = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -37,21 +39,39 @@ def _one_of(parts: list[Condition]) -> Condition:
     return None if any(p is None for p in parts) else parts[0] if len(parts) == 1 else ("or", parts)
 
 
+def _characters(items) -> list[str] | None:
+    """The characters of a small class, or None."""
+    found: list[str] = []
+    for kind, value in items:
+        if kind is R.LITERAL:
+            found.append(chr(value))
+        elif kind is R.RANGE and value[1] - value[0] < SMALL_CLASS:
+            found += map(chr, range(value[0], value[1] + 1))
+        else:
+            return None
+    return found if len(found) <= SMALL_CLASS else None
+
+
+def _spelled(run: str) -> Condition:
+    folded = run.translate(_FOLD)
+    return _all_of([folded[i : i + GRAM] for i in range(len(folded) - GRAM + 1)])
+
+
 def _needed(items) -> Condition:
-    parts, run = [], ""
+    parts, runs = [], [""]
 
     def flush() -> None:
-        nonlocal run
-        folded = run.translate(_FOLD)
-        parts.extend(folded[i : i + GRAM] for i in range(len(folded) - GRAM + 1))
-        run = ""
+        nonlocal runs
+        parts.append(_one_of([_spelled(run) for run in runs]))
+        runs = [""]
 
     for kind, value in items:
-        if kind is R.LITERAL:
-            run += chr(value)
-            continue
         if kind is R.AT:  # takes no characters
             continue
+        following = [chr(value)] if kind is R.LITERAL else _characters(value) if kind is R.IN else None
+        if following and len(runs) * len(following) <= MOST_RUNS:
+            runs = [run + c for run in runs for c in following]
+            continue
         flush()
         if kind is R.SUBPATTERN:
             parts.append(_needed(value[3]))
@@ -68,8 +88,7 @@ def _needed(items) -> Condition:
 def needed_grams(pattern: str, literal: bool = False) -> Condition:
     """What the text of every match must hold, in lower case."""
     if literal:
-        folded = pattern.translate(_FOLD)
-        return _all_of([folded[i : i + GRAM] for i in range(len(folded) - GRAM + 1)])
+        return _spelled(pattern)
     try:
         return _needed(_parser.parse(pattern))
     except (re.error, OverflowError, RecursionError):

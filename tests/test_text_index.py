@@ -12,7 +12,7 @@ from tests.test_scale import input_records
 WORDS = "Card card LOAN fraud Füße naïve ATM a.b (x) refund_2 pending ΣΑΣ İstanbul 50% re-open".split()
 PATTERNS = [
     "fraud", "FRAUD.*card", "(card|loan) fraud", "re-?open", "car[dt]", "(ab|frau)d", "(fraud){2}", "(?:refund|pend)(ing|_2)?", "füße", "Füße", "ΣΑΣ", "^card", r"\bloan\b",
-    "x*", "a.b", r"a\.b", r"\(x\)", r"\p{L}+ning", r"\Qa.b\E", "50%", "İstan", "(?=fraud)f", "(?!fraud)card", "zzzz", "card|x", "l(?:o(?:a(?:n)))", r"(card) \1",
+    "x*", "a.b", "f[rl]aud", "[cC]a[rst][de]", "re[-_]?fund", "[^c]ard", "ca[a-z]d", r"a\.b", r"\(x\)", r"\p{L}+ning", r"\Qa.b\E", "50%", "İstan", "(?=fraud)f", "(?!fraud)card", "zzzz", "card|x", "l(?:o(?:a(?:n)))", r"(card) \1",
 ]
 
 
@@ -50,6 +50,8 @@ def test_what_a_pattern_needs():
     assert TI.needed_grams("abcd") == ("and", ["abc", "bcd"])
     assert TI.needed_grams("(xabc|def)y") == ("or", [("and", ["xab", "abc"]), "def"])
     assert TI.needed_grams("(ABC)?") is None and TI.needed_grams("abc|x") is None and TI.needed_grams(".*") is None
+    assert TI.needed_grams("gh[po]_x") == ("or", [("and", ["ghp", "hp_", "p_x"]), ("and", ["gho", "ho_", "o_x"])])
+    assert TI.needed_grams("[^g]hp") is None and TI.needed_grams("g[a-z]p") is None
     assert TI.needed_grams(r"\Qabc\E") is None  # syntax of the JVM only
 
 

@@ -1,7 +1,7 @@
 """Secret scanning with a trigram inverted index, in Spark expressions only.
 
-Every rule's pattern gives a Boolean query: the trigrams of each literal that a match must contain,
-AND-ed within a literal and OR-ed over alternatives. ``postings`` lists, for blocks of documents, the
+Every rule's pattern is parsed on the driver and gives a Boolean query: the trigrams, in lower case, of each run of literals that a match
+must contain, AND-ed, and OR-ed over alternatives and the members of small classes. ``postings`` lists, for blocks of documents, the
 documents that contain each trigram of the queries; ``candidates`` intersects and unites the lists. Only
 candidates are searched with the pattern. A rule whose pattern has no mandatory trigram searches every text.
 
@@ -19,20 +19,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casewatch.llm.common import table, text_of
+from casewatch.llm.common import stored, table, text_of
+from casewatch.operators.text_index import needed_grams
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``literals``: each match contains one of them, in either case if ``any_case``; none: no mandatory trigram.
-
-    Matches of ``pattern`` are taken from the left without overlap; those whose ``group`` has fewer than ``least`` characters are dropped.
+    """Matches of ``pattern`` are taken from the left without overlap; those whose ``group`` has fewer than ``least`` characters are dropped.
     """
 
     kind: str
     pattern: str
-    literals: tuple[str, ...] = ()
-    any_case: bool = False
     group: int = 0
     least: int = 0
 
@@ -41,33 +38,43 @@ class Rule:
 BASE = (
     Rule(
         "assign", "((?i:password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
-        ("password", "passwd", "secret", "token", "apikey", "api_key"), True, 2, 6,
+        2, 6,
     ),
-    Rule("access", "AKIA[A-Z0-9]+", ("AKIA",), least=20),
+    Rule("access", "AKIA[A-Z0-9]+", least=20),
     Rule("hex", "[0-9a-f]+", least=24),
 )
 #: Further kinds, by the public formats of such keys.
 MORE = (
-    Rule("github", "gh[pousr]_[A-Za-z0-9]+", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), least=40),
-    Rule("slack", "xox[abprs]-[A-Za-z0-9-]+", ("xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-"), least=15),
-    Rule("jwt", "eyJ[A-Za-z0-9_-]+[.]eyJ[A-Za-z0-9_-]+[.][A-Za-z0-9_-]+", ("eyJ",), least=30),
-    Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", ("-----BEGIN ",)),
-    Rule("google", "AIza[A-Za-z0-9_-]+", ("AIza",), least=39),
-    Rule("stripe", "[sr]k_live_[A-Za-z0-9]+", ("k_live_",), least=20),
+    Rule("github", "gh[pousr]_[A-Za-z0-9]+", least=40),
+    Rule("slack", "xox[abprs]-[A-Za-z0-9-]+", least=15),
+    Rule("jwt", "eyJ[A-Za-z0-9_-]+[.]eyJ[A-Za-z0-9_-]+[.][A-Za-z0-9_-]+", least=30),
+    Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("google", "AIza[A-Za-z0-9_-]+", least=39),
+    Rule("stripe", "[sr]k_live_[A-Za-z0-9]+", least=20),
 )
 RULES = BASE + MORE
 #: Documents in a block of the index, about.
 BLOCK = 4096
 
 
+def _options(condition) -> list[list[str]]:
+    if isinstance(condition, str):
+        return [[condition]]
+    parts = [_options(part) for part in condition[1]]
+    if condition[0] == "or":
+        return list(itertools.chain(*parts))
+    return [sorted(set(itertools.chain(*chosen))) for chosen in itertools.product(*parts)]
+
+
 def trigrams(rule: Rule) -> list[list[str]]:
-    """Alternatives (OR) of trigrams (AND); in lower case where the rule takes either case."""
-    return [sorted({x.lower() if rule.any_case else x for x in (lit[i : i + 3] for i in range(len(lit) - 2))}) for lit in rule.literals]
+    """Alternatives (OR) of trigrams (AND) that the pattern's matches hold, in lower case; none: no mandatory trigram."""
+    condition = needed_grams(rule.pattern)
+    return [] if condition is None else _options(condition)
 
 
-def vocabulary(rules: tuple[Rule, ...]) -> list[tuple[str, bool]]:
-    """Trigrams of all queries, and whether they are looked for in lower-cased texts."""
-    return sorted({(t, rule.any_case) for rule in rules for t in itertools.chain(*trigrams(rule))})
+def vocabulary(rules: tuple[Rule, ...]) -> list[str]:
+    """Trigrams of all queries."""
+    return sorted({t for rule in rules for t in itertools.chain(*trigrams(rule))})
 
 
 def keyed(docs: DataFrame, blocks: int = 1) -> DataFrame:
@@ -79,11 +86,10 @@ def keyed(docs: DataFrame, blocks: int = 1) -> DataFrame:
 
 def postings(texts: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Inverted index: block, trigram, and the keys of the block's documents that contain it."""
-    # Trigrams of either case are sought in lower-cased texts; A-Z only, so that one character stays one.
-    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    low = F.array(*[F.when(F.contains("low", F.lit(t)), F.lit(f"i:{t}")) for t, any_case in vocabulary(rules) if any_case])
-    exact = F.array(*[F.when(F.contains("text", F.lit(t)), F.lit(f"x:{t}")) for t, any_case in vocabulary(rules) if not any_case])
-    there = texts.withColumn("low", lowered).select("block", "key", F.explode(F.array_compact(F.concat(low, exact))).alias("trigram"))
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")  # A-Z only, so that one character stays one
+    low = texts.select("block", "key", lowered.alias("low"))
+    held = F.array(*[F.when(F.contains("low", F.lit(t)), F.lit(t)) for t in vocabulary(rules)])
+    there = low.select("block", "key", F.explode(F.array_compact(held)).alias("trigram"))
     return there.groupBy("block", "trigram").agg(F.collect_set("key").alias("keys"))
 
 
@@ -95,8 +101,7 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     for rule in rules:
         if not trigrams(rule):
             continue
-        mark = "i" if rule.any_case else "x"
-        lists = lambda t: F.coalesce(F.element_at("lists", F.lit(f"{mark}:{t}")), nothing)  # noqa: B023, E731
+        lists = lambda t: F.coalesce(F.element_at("lists", F.lit(t)), nothing)
         options = [reduce(F.array_intersect, [lists(t) for t in option]) for option in trigrams(rule)]
         kind = F.lit(rule.kind).alias("kind")
         held.append(F.transform(reduce(F.array_union, options), lambda k: F.struct(k.alias("key"), kind)))  # noqa: B023
@@ -144,7 +149,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """doc_id, text, spans: array of (start, rank, kind, end), by start and then in the order of the rules."""
     blocks = max(1, docs.count() // BLOCK)
     texts = keyed(docs, blocks)
-    found = candidates(postings(texts, rules), rules)
+    found = stored(candidates(postings(texts, rules), rules), "candidates")  # of known size: few are sent to the texts
     joined = texts.drop("block").join(found, "key", "left")
     nothing = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>")
     spans = []

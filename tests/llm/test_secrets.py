@@ -33,16 +33,38 @@ def test_candidates_contain_every_document_with_a_match(spark):
     found = {r["key"]["doc_id"]: set(r["kinds"]) for r in S.candidates(S.postings(frame)).collect()}
     for i, t in enumerate(TEXTS):
         for rule in S.RULES:
-            if rule.literals and f"{rule.kind}:" in by_hand(t) and i != 15:
+            if S.trigrams(rule) and f"{rule.kind}:" in by_hand(t) and i != 15:
                 assert rule.kind in found[i]
     assert 8 not in found or "assign" not in found[8]  # pieces of trigrams are no whole query
 
 
 def test_queries_of_the_rules():
-    assert S.trigrams(S.RULES[1]) == [["AKI", "KIA"]]
+    assert S.trigrams(S.RULES[1]) == [["aki", "kia"]]
     assert ["eki", "ike"] not in S.trigrams(S.RULES[0]) and sorted(["pas", "ass", "ssw", "swo", "wor", "ord"]) in S.trigrams(S.RULES[0])
     assert S.trigrams(S.RULES[2]) == [] and S.quick(S.RULES[2]) == "[0-9a-f]{24,}"
 
 
+def test_a_changed_pattern_still_finds_all_its_matches(spark):
+    rules = (
+        S.Rule("phrase", "(?:open|close) (?:sesame|door)[0-9]+"), S.Rule("class", "k[ab]y-[0-9]{2,}"), S.Rule("none", "[xyz]+[0-9]{3}"),
+        S.Rule("repeat", "(?:abc){2}d?"), S.Rule("case", "(?i:magic)word"),
+    )
+    texts = ["open sesame1 close door22", "close sesame", "kay-12 kby-3 kcy-44 kby-345", "zz123", "abcabcd abc", "MaGiCword magicWORD", "", None, "opendoor1"]
+    frame = spark.createDataFrame([(i, t, "") for i, t in enumerate(texts)], SCHEMA)
+    got = {r["doc_id"]: [(x["kind"], x["start"], x["end"]) for x in r["spans"]] for r in S.scan(frame, rules).collect()}
+    for i, t in enumerate(texts):
+        want = sorted((m.start(), k, rule.kind, m.end()) for k, rule in enumerate(rules) for m in re.finditer(rule.pattern, t or "", re.ASCII))
+        assert sorted((s, e, kind) for kind, s, e in got[i]) == sorted((s, e, kind) for s, _, kind, e in want)
+    assert len(S.trigrams(rules[0])) == 4 and S.trigrams(rules[2]) == []
+
+
+def test_every_match_answers_its_query():
+    for rule in S.RULES:
+        for text in TEXTS:
+            for m in re.finditer(rule.pattern, text or "", re.ASCII):
+                options = S.trigrams(rule)
+                assert not options or any(all(t in m.group().lower() for t in option) for option in options)
+
+
 def test_empty_table(spark):
     assert S.scan(spark.createDataFrame([], SCHEMA)).count() == 0

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from casewatch.functions.columns import count_status
 from casewatch.operators.flags import flags_of_quarters
 from casewatch.operators.summary import with_growth
-from casewatch.sources.files import overwrite_partitions, read_table, remove, stored
+from casewatch.session import remove, scratch
+from casewatch.sources.files import overwrite_partitions, read_table, stored
 
 MONTH, QUARTER = ["year", "month"], ["year", "quarter"]
 
@@ -76,8 +77,12 @@ def refresh(new: DataFrame, path: str, replace: bool = False, **flag_rules) -> d
 
     Returns the periods rewritten, by table. The first call on an empty folder is the full load.
     """
+    with scratch(new.sparkSession):
+        return _refreshed(stored(new, "new-cases"), path, replace, flag_rules)
+
+
+def _refreshed(new: DataFrame, path: str, replace: bool, flag_rules: dict) -> dict[str, list[tuple]]:
     spark = new.sparkSession
-    new = stored(new, "new-cases")
     months = _periods(new, MONTH)
     if not months:
         return {"complaints": [], "monthly_summary": [], "policy_flags": []}

@@ -113,9 +113,8 @@ def build_index(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
     """Write the index of ``docs`` below ``path``; a null text matches nothing and is left out. The key identifies a document."""
     kept = docs.filter(F.col(text).isNotNull())
     folded = F.translate(F.col(text), string.ascii_uppercase, string.ascii_lowercase)
-    places = F.sequence(F.lit(1), F.greatest(F.char_length(text) - GRAM + 1, F.lit(1)))
-    grams = kept.select(F.col(key).alias("id"), folded.alias("folded"), places.alias("places"))
-    grams = grams.select("id", F.explode(F.array_distinct(F.transform("places", lambda i: F.substring("folded", i, F.lit(GRAM))))).alias("gram"))
+    each = F.regexp_extract_all("folded", F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))  # one pass; a substring by place would start anew
+    grams = kept.select(F.col(key).alias("id"), folded.alias("folded")).select("id", F.explode(F.array_distinct(each)).alias("gram"))
     write_sorted(grams.select("gram", "id"), f"{path}/grams", ["gram"], ["id"])
     write_sorted(kept, f"{path}/texts", [key])
 

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from casewatch.operators.retrieval import DOCS_PER_BLOCK, QUESTIONS_PER_BLOCK, _best, _rank_hits
 from casewatch.operators.text_features import embed
+from casewatch.session import scratch
 from casewatch.sources.files import read_documents_json, read_table, stored, write_documents_json, write_table
 
 #: Lists at most, vectors that centroids are fitted to, and lists that a search probes at first.
@@ -94,9 +95,14 @@ def create_store(docs: DataFrame, path: str, embedder: PipelineModel | None = No
 
     ``output`` names the vector column that the embedder's last stage makes.
     """
-    if embedder is not None:
-        embedder.write().overwrite().save(f"{path}/embedder")
-        docs = stored(embed(embedder, docs, output), "embedded")
+    with scratch(docs.sparkSession):
+        if embedder is not None:
+            embedder.write().overwrite().save(f"{path}/embedder")
+            docs = stored(embed(embedder, docs, output), "embedded")
+        _write_store(docs, path, lists)
+
+
+def _write_store(docs: DataFrame, path: str, lists: int | None) -> None:
     centroids = fit_centroids(docs, lists)
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(centroids)]
     write_table(docs.sparkSession.createDataFrame(rows, "list_id int, centroid array<double>"), f"{path}/centroids")

@@ -28,8 +28,9 @@ from casewatch.operators import summary as G
 from casewatch.operators import text_classes as M
 from casewatch.operators.text_features import embed, fit_tfidf
 from casewatch.sources import results
-from casewatch.sources.files import read_documents_json, remove, write_documents_json, write_table
+from casewatch.sources.files import read_documents_json, write_documents_json, write_table
 from casewatch.schemas import KEYS
+from casewatch.session import remove, scratch
 
 
 @dataclass
@@ -140,7 +141,8 @@ def run(
         remove(spark, f"{path('marks')}/{name}")
         status = "ok"
         try:
-            work()
+            with scratch(spark):
+                work()
         except Exception as problem:
             if not may_fail:
                 raise

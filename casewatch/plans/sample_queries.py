@@ -19,6 +19,7 @@ from casewatch.functions.columns import contains_any, first_match
 from casewatch.operators import case_queries as Q
 from casewatch.operators import flags as FL
 from casewatch.operators import forecast as FC
+from casewatch.operators import long_trend as LT
 from casewatch.operators import quality as V
 from casewatch.operators import refresh as RF
 from casewatch.operators import reports as R
@@ -202,6 +203,12 @@ def _index_search(t: SampleTables) -> DataFrame:
     return TI.index_search(t.spark, path, SEARCH).select("doc_id")
 
 
+def _long_trend(t: SampleTables) -> DataFrame:
+    """The prices of orders, by priority in the order of keys."""
+    points = t.table("orders").selectExpr("o_orderpriority AS series", "o_orderkey AS at", "o_totalprice AS value")
+    return LT.long_trend(points).select("series", "n", "s_statistic", "tau")
+
+
 def _by_date(t: SampleTables) -> DataFrame:
     """One month of the cases, read from files in the order of dates."""
     path = new_table_path(t.spark, "by-date")
@@ -362,6 +369,7 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "clean_run_cases": lambda t: _clean_run(t).cases,
     "clean_run_report": lambda t: _clean_run(t).report,
     "clean_run_nulls": lambda t: _clean_run(t).nulls,
+    "flag_outliers": lambda t: V.flag_outliers(t.cases).select("complaint_id", "resolution_days", "is_outlier"),
     "zscore_outliers": lambda t: V.zscore_outliers(t.cases),
     "calendar_parts": lambda t: V.calendar_parts(t.table("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date"))),
     "dup_keys": lambda t: V.dup_keys(t.table("lineitem"), ["l_orderkey", "l_linenumber"]),
@@ -379,6 +387,7 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "kpi_cards": lambda t: Q.kpi_cards(t.timed, KPI_YEARS, ["ASIA", "EUROPE"]),
     "monthly_trend": lambda t: Q.monthly_trend(t.plain),
     "value_counts": lambda t: Q.value_counts_of_all(t.counted, ["category_name", "channel", "customer_segment", "bank_name"]),
+    "distinct_values": lambda t: Q.distinct_values(t.plain, "bank_name"),
     "status_share": lambda t: Q.value_share(t.plain),
     "quarter_category_volumes": lambda t: Q.quarter_category_volumes(Q.drill_down(t.counted, bank="NATION_7", search="order .*1")),
     "top_subcategories": lambda t: Q.top_subcategories(t.counted),
@@ -412,6 +421,7 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "ols_days": lambda t: A.ols_days(t.wide, BASELINES),
     "ols_simple": lambda t: A.ols_simple(t.timed.filter("resolution_days IS NOT NULL"), "resolution_days", "month", "bank_type"),
     "mann_kendall": lambda t: A.mann_kendall(A.monthly_count_series(t.plain, "bank_name")),
+    "long_trend": _long_trend,
     # series and forecasts
     "monthly_series": lambda t: G.monthly_series(t.plain),
     "series_arrays": lambda t: G.series_arrays(G.monthly_series(t.plain, "bank_name")),

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -47,6 +50,36 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_SCOPES: list[list[str]] = []
+
+
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, so that no run overwrites another one's table."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of one's own that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the intermediate tables that were made within: for work whose results are written elsewhere, or used up by then.
+
+    Frames that still read such tables must not be used afterwards.
+    """
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        for path in made:
+            remove(spark, path)
+        gc.collect()
+        spark._jvm.System.gc()  # Spark frees the shuffle files of plans that nothing refers to any more

@@ -79,12 +79,6 @@ def write_sorted(
     ranged.sortWithinPartitions(*order).write.mode(mode).option("parquet.block.size", str(group_bytes)).parquet(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder of one's own that nothing reads any more."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)

@@ -8,7 +8,7 @@ import __spark_entry__ as entry_point
 from casewatch.operators import quality as V
 from casewatch.plans import pipeline
 from casewatch.plans import sample_queries as P
-from casewatch.session import new_table_path, shared_dir
+from casewatch.session import new_table_path, scratch, shared_dir
 from casewatch.sources import files
 from tests.frames import raw
 from tools.compare import compare, connect
@@ -77,6 +77,19 @@ class FakeSession:
         getCheckpointDir = staticmethod(lambda: None)
 
 
+def test_scratch_deletes_what_was_made_within(spark):
+    kept = new_table_path(spark, "kept")
+    with scratch(spark):
+        files.write_table(spark.range(3), kept)
+        with scratch(spark):
+            inner = files.stored(spark.range(5), "inner").inputFiles()
+        assert not any(os.path.exists(f.removeprefix("file://")) for f in inner)
+        outer = files.stored(spark.range(7), "outer")
+        assert outer.count() == 7
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in outer.inputFiles())
+    assert spark.read.parquet(kept).count() == 3
+
+
 def test_a_cluster_without_a_shared_dir_is_an_error():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(FakeSession())

@@ -502,3 +502,11 @@ ORACLE["refreshed_flags"] = ORACLE["policy_flags"]
 ORACLE["clean_run_cases"], ORACLE["clean_run_report"], ORACLE["clean_run_nulls"] = ORACLE["clean_cases"], ORACLE["dq_report"], ORACLE["null_profile"]
 ORACLE["text_index_search"] = ORACLE["text_search"]
 ORACLE["write_sorted"] = ORACLE["clean_cases"] + " WHERE date BETWEEN DATE '2000-03-01' AND DATE '2000-03-31'"
+ORACLE["flag_outliers"] = _CASES + """SELECT complaint_id, round(resolution_days, 6) AS resolution_days, coalesce(abs((resolution_days - a) / s) > 3, false) AS is_outlier
+    FROM cases, (SELECT avg(resolution_days) AS a, stddev_samp(resolution_days) AS s FROM cases)"""
+ORACLE["distinct_values"] = _CASES + "SELECT DISTINCT bank_name FROM wide"
+# All pairs: for small tables only.
+ORACLE["long_trend"] = """WITH o AS (SELECT o_orderpriority AS series, o_orderkey AS at, CAST(o_totalprice AS DOUBLE) AS value FROM orders)
+    SELECT a.series, any_value(n) AS n, CAST(sum(sign(b.value - a.value)) AS BIGINT) AS s_statistic,
+      round(sum(sign(b.value - a.value)) / (any_value(n) * (any_value(n) - 1) / 2.0), 6) AS tau
+    FROM o a JOIN o b ON a.series = b.series AND a.at < b.at JOIN (SELECT series, count(*) AS n FROM o GROUP BY 1) c ON c.series = a.series GROUP BY a.series"""

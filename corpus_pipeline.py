@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewatch.llm import decontam, langid, line_dedup, ngram_join, packing
-from casewatch.llm.common import WORD, materialised, table
+from casewatch.llm.common import WORD, table
+from casewatch.session import new_table_path, remove, scratch
+from casewatch.sources.files import read_table, write_table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -68,7 +70,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages in their order. What a stage made on its way, and what it read from the stage before, goes when its result is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs, _ = materialised(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = new_table_path(spark, f"stage-{name}")
+        with scratch(spark):
+            made = stage(spark, docs, sf_dir)
+            write_table(made, path)
+            docs = read_table(spark, path, made.schema)
+            del made
+        if before:
+            remove(spark, before)
+        before = path
     return docs

@@ -79,7 +79,25 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _SCOPES.pop()
-        for path in made:
-            remove(spark, path)
-        gc.collect()
-        spark._jvm.System.gc()  # Spark frees the shuffle files of plans that nothing refers to any more
+        discard(spark, made)
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables, and let Spark free the shuffle files of plans that nothing refers to any more."""
+    for path in paths:
+        remove(spark, path)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths of intermediate tables that are made within; an outer scope knows them as well."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield made
+    finally:
+        _SCOPES.pop()
+        if _SCOPES:
+            _SCOPES[-1].extend(made)

@@ -6,12 +6,14 @@ and read again. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewatch.llm import decontam, langid, line_dedup, ngram_join, packing
 from casewatch.llm.common import WORD, table
-from casewatch.session import new_table_path, remove, scratch
+from casewatch.session import discard, new_table_path, recorded, remove, scratch
 from casewatch.sources.files import read_table, write_table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -57,12 +59,36 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
+_LEFT: dict[str, list[str]] = {}
+
+
+def _tidy(stage):
+    """The stage, which begins by deleting the tables that the stage before made on its way.
+
+    The result of that one is written and read again by then. If the given documents still read such a table, it stays.
+    """
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        session = spark.sparkContext.applicationId
+        left = _LEFT.get(session, [])
+        files = docs.inputFiles() if left else []
+        if not any(path in file for path in left for file in files):
+            discard(spark, left)
+        with recorded() as made:
+            result = stage(spark, docs, sf_dir)
+        _LEFT[session] = made
+        return result
+
+    return run_stage
+
+
 STAGES = [
-    ("language_id", language_id),
-    ("line_dedup", without_repeated_lines),
-    ("ngram_join", one_of_near_duplicates),
-    ("decontamination", without_benchmarks),
-    ("packing", packed),
+    ("language_id", _tidy(language_id)),
+    ("line_dedup", _tidy(without_repeated_lines)),
+    ("ngram_join", _tidy(one_of_near_duplicates)),
+    ("decontamination", _tidy(without_benchmarks)),
+    ("packing", _tidy(packed)),
 ]
 
 #: Language models and tokens are not expressible in SQL.

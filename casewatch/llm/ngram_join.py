@@ -19,21 +19,25 @@ they reach an id; an empty table gives no rows. Further columns are ignored.
 
 from __future__ import annotations
 
+from functools import cache
 from math import comb
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casewatch.llm.common import drop_table, materialised, most_frequent, stored, table, text_of, trimmed
+from casewatch.llm.common import materialised, most_frequent, stored, table, text_of, trimmed
 from casewatch.llm.components import components
+from casewatch.session import discard, recorded
 
 WORDS, PERCENT = 5, 80
 #: Most elements of a light set.
 LIGHT = 16
 #: Shingles known as frequent at most, and how often one is found within a run of ``RUN`` shingles to be one.
 FREQUENT, OFTEN, RUN = 1 << 18, 6, 1 << 21
-#: Sets on a side of a cell, and elements in them, about; words whose hashes a task remembers; characters of texts cut at a time.
-CELL_SETS, CELL_ELEMENTS, REMEMBERED, TOGETHER = 512, 1 << 20, 200_000, 1 << 20
+#: Sets on a side of a cell, and elements in them, about; characters of texts cut at a time.
+CELL_SETS, CELL_ELEMENTS, TOGETHER = 512, 1 << 20, 1 << 20
+#: Letters of words hashed at a time, about; words longer than ``LONG_WORD`` bytes are hashed one by one.
+LETTERS, LONG_WORD = 1 << 16, 512
 #: Rows of ids that are sent to all tasks at most (24 bytes each).
 SENT = 1 << 21
 #: Cost of scanning a list entry, in entries put down.
@@ -75,39 +79,60 @@ def choose_boundary(sizes: dict[int, int]) -> int:
     return min(range(LIGHT + 1), key=lambda b: (cost(b), b))
 
 
-class Shingler:
-    """Sorted distinct shingle hashes of texts."""
-
-    def __init__(self):
-        import xxhash
+@cache
+def _letters():
+    """Codes of bytes (A-Z as a-z), which bytes are white space, and powers of an odd number."""
+    import numpy as np
+    import xxhash
 
-        class Hashes(dict):
-            def __missing__(self, word):
-                self[word] = h = xxhash.xxh64_intdigest(word)
-                return h
+    codes = np.array([xxhash.xxh64_intdigest(bytes([b]).lower()) for b in range(256)], np.uint64)
+    white = np.isin(np.arange(256), [32, *range(9, 14)])
+    powers = np.cumprod(np.array([1] + [0x9E3779B97F4A7C15] * (LONG_WORD - 1), np.uint64))
+    return codes, white, powers
 
-        self.hashes = Hashes()
 
-    def sets(self, texts: list[str]) -> list:
-        import numpy as np
+def word_hashes(data) -> tuple:
+    """Where the words of the bytes begin, and their hashes: sums of codes of bytes times powers by place."""
+    import numpy as np
+    import xxhash
+
+    codes, white, powers = _letters()
+    edges = np.flatnonzero(np.diff(white[data], prepend=True, append=True))
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    hashes = np.empty(len(starts), np.uint64)
+    at, last = 0, np.cumsum(np.minimum(lengths, LONG_WORD))
+    while at < len(starts):
+        end = max(at + 1, int(np.searchsorted(last, (last[at - 1] if at else 0) + LETTERS, "right")))
+        n = np.minimum(lengths[at:end], LONG_WORD)
+        first = np.cumsum(n) - n
+        place = np.arange(int(n.sum())) - np.repeat(first, n)
+        hashes[at:end] = np.add.reduceat(codes[data[np.repeat(starts[at:end], n) + place]] * powers[place], first)
+        at = end
+    for i in np.flatnonzero(lengths > LONG_WORD).tolist():
+        hashes[i] = xxhash.xxh64_intdigest(data[starts[i] : starts[i] + lengths[i]].tobytes().lower())
+    return starts, hashes
+
+
+def shingle_sets(texts: list[str]) -> list:
+    """Sorted distinct shingle hashes of each text."""
+    import numpy as np
 
-        if len(self.hashes) > REMEMBERED:
-            self.hashes.clear()
-        words = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
-        lengths = np.array([len(w) for w in words], np.int64)
-        flat = np.fromiter((h for w in words for h in map(self.hashes.__getitem__, w)), np.uint64, int(lengths.sum()))
-        m = max(0, len(flat) - WORDS + 1)
-        rolled = _combined([flat[k : k + m] for k in range(WORDS)], WORDS) if m else flat[:0]
-        out, begin = [], 0
-        for n in lengths.tolist():
-            if n >= WORDS:
-                out.append(np.unique(rolled[begin : begin + n - WORDS + 1]))
-            elif n:
-                out.append(_combined([flat[begin + k : begin + k + 1] for k in range(n)], n))
-            else:
-                out.append(flat[:0])
-            begin += n
-        return out
+    encoded = [t.encode("utf-8", "surrogatepass") for t in texts]
+    starts, flat = word_hashes(np.frombuffer(b"\n".join(encoded), np.uint8))
+    begins = np.searchsorted(starts, np.cumsum([0] + [len(e) + 1 for e in encoded])).tolist()
+    m = max(0, len(flat) - WORDS + 1)
+    rolled = _combined([flat[k : k + m] for k in range(WORDS)], WORDS) if m else flat[:0]
+    out = []
+    for begin, end in zip(begins, begins[1:]):
+        n = end - begin
+        if n >= WORDS:
+            one = np.sort(rolled[begin : end - WORDS + 1])
+            out.append(one[np.concatenate(([True], one[1:] != one[:-1]))])
+        elif n:
+            out.append(_combined([flat[begin + k : begin + k + 1] for k in range(n)], n))
+        else:
+            out.append(flat[:0])
+    return out
 
 
 def _combined(columns: list, n: int):
@@ -134,7 +159,7 @@ def _frequent(batches):
     import numpy as np
     import pyarrow as pa
 
-    shingler, held, size = Shingler(), [], 0
+    held, size = [], 0
 
     def flush():
         values, n = np.unique(np.concatenate(held), return_counts=True)
@@ -143,7 +168,7 @@ def _frequent(batches):
 
     for batch in batches:
         for _, texts in runs(batch.column(0).to_pylist()):
-            for s in shingler.sets(texts):
+            for s in shingle_sets(texts):
                 held.append(s)
                 size += len(s)
             if size >= RUN:
@@ -175,12 +200,12 @@ def _sets(shared):
         common = shared.value.view(np.uint64)
         by_hash = np.argsort(common)
         ordered = common[by_hash]
-        shingler, uid = Shingler(), TaskContext.get().partitionId() << 33
+        uid = TaskContext.get().partitionId() << 33
         for batch in batches:
             ids, keys, texts = (c.to_pylist() for c in batch.columns)
             for begin, part in runs(texts):
                 rows = []
-                for s in shingler.sets(part):
+                for s in shingle_sets(part):
                     n = len(s)
                     head, own = s, n
                     if n and len(ordered):
@@ -282,11 +307,14 @@ def shared_lists(sets: DataFrame, boundary: int) -> DataFrame:
     alone = entries.filter("not common").select(*columns).repartition("h").sortWithinPartitions("h")
     found = alone.mapInArrow(_repeated, "h long, uid long, size long").unionByName(entries.filter("common").select(*columns))
     n, room = F.shiftright("size", 32).cast("int").alias("n"), F.col("size").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("room")
-    found = stored(found.select("h", "uid", n, room), "shared")
+    found, path = materialised(found.select("h", "uid", n, room), "shared")
+    discard(found.sparkSession, [])  # the sorted entries
     needed = F.when(F.max("n") <= boundary, 1).otherwise(F.floor(F.ceil(F.max("n") * PERCENT / 100) / 20) + 1)
     fit = found.groupBy("uid").agg(F.count(F.lit(1)).alias("k"), needed.alias("needed")).filter("k >= needed").select("uid")
     first = F.col("room") >= F.ceil(F.col("n") * PERCENT / 100)  # one common element among the first is enough to meet
-    return stored(found.filter(first).join(fit, "uid", "left_semi"), "lists")
+    lists = stored(found.filter(first).join(fit, "uid", "left_semi"), "lists")
+    discard(found.sparkSession, [path])
+    return lists
 
 
 def _fits() -> Column:
@@ -301,6 +329,7 @@ def mixed_lists(lists: DataFrame, turn: int) -> DataFrame:
     Entries are left out if no other one of the list has a size that allows the two to be similar.
     """
     centre = F.min_by(F.struct("uid", "root", "n", "room"), F.xxhash64("uid", F.lit(turn))).alias("centre")
+    lists = lists.repartition("h")  # once, for the groups and for the join with them
     several = lists.groupBy("h").agg(centre, F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
     mixed = lists.join(several.select("h", "centre"), "h")
     by_size = Window.partitionBy("h").orderBy("n")
@@ -356,12 +385,11 @@ def block_cells(mixed: DataFrame) -> DataFrame:
 def _whole(batches):
     import pyarrow as pa
 
-    shingler = Shingler()
     for batch in batches:
         uids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for begin, part in runs(texts):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(uids[begin : begin + len(part)], pa.int64()), pa.array([s.tobytes() for s in shingler.sets(part)], pa.binary())], ["uid", "items"]
+                [pa.array(uids[begin : begin + len(part)], pa.int64()), pa.array([s.tobytes() for s in shingle_sets(part)], pa.binary())], ["uid", "items"]
             )
 
 
@@ -449,7 +477,7 @@ def _compared(batches):
 
 def compared(cells: DataFrame, whole: DataFrame) -> DataFrame:
     """Links (a, b) found in cells, on whole sets."""
-    rows = cells.join(whole, "uid").select(*CELL, "items").repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q")
+    rows = whole.join(cells, "uid").select(*CELL, "items").repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q")
     return rows.mapInArrow(trimmed(_compared), "a long, b long")
 
 
@@ -466,18 +494,25 @@ def links(lists: DataFrame, whole: DataFrame) -> DataFrame:
             lists.join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
         )
         mixed, path = materialised(mixed_lists(now, turn), "mixed")
-        new = stored(compared(block_cells(mixed) if last else star_cells(mixed), whole), "links")
+        with recorded() as made:  # stored before the join, so that whole sets need not move to meet few cells
+            cells = stored(block_cells(mixed) if last else star_cells(mixed), "cells")
+        new = stored(compared(cells, whole), "links")
         found = new if found is None else found.unionByName(new)
         n_new = new.count()
         if n_new:
             roots = stored(components(found), "roots")
         n_mixed = mixed.select("uid").distinct().count()
-        drop_table(spark, path)
+        discard(spark, [path, *made])
         if last or not n_mixed:
             return roots
         turn, last = turn + 1, 4 * n_new < n_mixed
 
 
+def _sent(ids: DataFrame) -> DataFrame:
+    """Ids for a join: sent to all tasks if they are no more than ``SENT``, shuffled beyond that."""
+    return F.broadcast(ids) if ids.count() <= SENT else ids
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, n_shingles, class_id (smallest id of equal sets), component_id, component, for each row of ``docs``.
 
@@ -486,19 +521,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_key"), text_of().alias("text"))
     common = spark.sparkContext.broadcast(frequent_shingles(texts))
-    sets = stored(texts.mapInArrow(trimmed(_sets(common)), SETS), "sets")
+    heads, heads_path = materialised(texts.mapInArrow(trimmed(_sets(common)), SETS), "sets")
+    sets = stored(heads.drop("head", "common_from"), "keys")
     classes = stored(
-        sets.filter("n > 0").groupBy("n", "f1", "f2").agg(F.min(F.struct("uid", "text_key", "common_from", "head", F.col("doc_id").alias("own"))).alias("r"), F.min("doc_id").alias("class_id")),
+        sets.filter("n > 0").groupBy("n", "f1", "f2").agg(F.min(F.struct("uid", "text_key", F.col("doc_id").alias("own"))).alias("r"), F.min("doc_id").alias("class_id")),
         "classes",
     )
-    each = classes.select(F.col("r.uid").alias("uid"), F.col("r.text_key").alias("text_key"), F.col("r.own").alias("doc_id"), "n", F.col("r.common_from").alias("common_from"), F.col("r.head").alias("head"))
-    boundary = choose_boundary({r["n"]: r["k"] for r in each.groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect()})
-    lists = shared_lists(each, boundary)
-    wanted = each.join(lists.select("uid").distinct(), "uid", "left_semi").select("uid", F.col("doc_id").alias("d"), F.col("text_key").alias("t"))
-    wanted = stored(wanted, "wanted")
-    if wanted.count() <= SENT:
-        wanted = F.broadcast(wanted)  # texts stay where they are; beyond that size they are shuffled
-    rows = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t"))).select("uid", "text")
+    boundary = choose_boundary({r["n"]: r["k"] for r in classes.groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect()})
+    first = stored(classes.select("r.uid"), "representatives")
+    lists = shared_lists(heads.join(_sent(first), "uid", "left_semi"), boundary)
+    discard(spark, [heads_path])
+    each = classes.select(F.col("r.uid").alias("uid"), F.col("r.text_key").alias("t"), F.col("r.own").alias("d"))
+    wanted = stored(each.join(lists.select("uid").distinct(), "uid", "left_semi"), "wanted")
+    # Texts stay where they are while the ids can be sent; beyond that they are shuffled.
+    rows = texts.join(_sent(wanted), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t"))).select("uid", "text")
     whole = stored(rows.mapInArrow(trimmed(_whole), "uid long, items binary"), "whole")
     if whole.count() > wanted.count():  # rows that repeat an id and its text
         whole = stored(whole.dropDuplicates(["uid"]), "whole")
@@ -509,7 +545,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ids = ids.withColumn("root", F.coalesce("root", "rep"))
     least = ids.groupBy("root").agg(F.min("class_id").alias("component_id"))
     ids = stored(ids.join(least, "root").select("n", "f1", "f2", F.col("root").alias("component"), "class_id", "component_id"), "components")
-    joined = sets.drop("head", "common_from").join(ids, ["n", "f1", "f2"], "left")
+    joined = sets.join(ids, ["n", "f1", "f2"], "left")
     own = F.col("n") == 0
     return joined.select(
         "doc_id", "text_key", F.col("n").cast("long").alias("n_shingles"),

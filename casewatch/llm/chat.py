@@ -38,7 +38,10 @@ def unescape(text: Column) -> Column:
 
 
 def format_chat(turns: DataFrame, learned_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
-    """conv_id, formatted, pieces: the formatted text in pieces, each under the loss mask or not."""
+    """conv_id, formatted, pieces (the text in pieces, each under the loss mask or not) and loss_mask.
+
+    The mask says where in ``formatted`` the learned texts lie: start, from 0, and length in characters.
+    """
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     grouped = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     starts = F.filter(
@@ -63,7 +66,20 @@ def format_chat(turns: DataFrame, learned_roles: tuple[str, ...] = ("assistant",
 
     blocks = grouped.select("conv_id", F.transform("starts", block).alias("blocks"))
     made = blocks.select("conv_id", F.flatten(F.transform("blocks", pieces)).alias("pieces"))
-    return made.select("conv_id", F.array_join(F.transform("pieces", lambda p: p["text"]), "").alias("formatted"), "pieces")
+    nothing = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
+
+    def put(so_far: Column, piece: Column) -> Column:
+        length = F.char_length(piece["text"])
+        span = F.array(F.struct(so_far["end"].alias("start"), length.alias("length")))
+        return F.struct((so_far["end"] + length).alias("end"), F.when(piece["loss"], F.concat(so_far["spans"], span)).otherwise(so_far["spans"]).alias("spans"))
+
+    mask = F.aggregate("pieces", nothing, put, lambda done: done["spans"])
+    return made.select("conv_id", F.array_join(F.transform("pieces", lambda p: p["text"]), "").alias("formatted"), "pieces", mask.alias("loss_mask"))
+
+
+def learned_text(formatted: Column, loss_mask: Column) -> Column:
+    """The unescaped text under the mask, cut from the formatted text."""
+    return F.array_join(F.transform(loss_mask, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["length"]))), "")
 
 
 def parse_chat(formatted: Column) -> Column:
@@ -89,7 +105,7 @@ def op10(spark, sf_dir: str) -> DataFrame:
     done = format_chat(table(spark, sf_dir, "conversations").select(extra.columns).unionByName(extra))
     done = done.withColumn("turns", parse_chat(F.col("formatted")))
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    learned = F.array_join(F.transform(F.filter("pieces", lambda p: p["loss"]), lambda p: unescape(p["text"])), "")
+    learned = learned_text(F.col("formatted"), F.col("loss_mask"))
     return done.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),

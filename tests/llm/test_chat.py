@@ -3,7 +3,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from casewatch.llm.chat import CONTROL, format_chat, parse_chat, unescape
+from casewatch.llm.chat import CONTROL, format_chat, learned_text, parse_chat, unescape
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 
@@ -52,3 +52,12 @@ def test_empty_table_and_long_text(spark):
 def test_unescape_inverts_only_what_was_added(spark):
     frame = spark.createDataFrame([("<\\s>\\\\",)], "x string")
     assert frame.select(unescape(F.col("x"))).first()[0] == "<s>\\"
+
+
+def test_loss_mask_lies_in_the_formatted_text(spark):
+    rows = [(1, 0, "user", "<s>"), (1, 1, "assistant", "ü😀<s>"), (1, 2, "assistant", ""), (1, 3, "assistant", "\\b"), (2, 0, "user", "a"), (3, 0, "assistant", None)]
+    done = format_chat(spark.createDataFrame(rows, SCHEMA)).withColumn("learned", learned_text(F.col("formatted"), F.col("loss_mask")))
+    got = {r["conv_id"]: r for r in done.collect()}
+    assert {k: r["learned"] for k, r in got.items()} == {1: "ü😀<s>\\b", 2: "", 3: ""}
+    cut = ["".join(r["formatted"][s : s + n] for s, n in r["loss_mask"]) for r in (got[1], got[2], got[3])]
+    assert cut == ["ü😀<\\s>\\\\b", "", ""]

@@ -38,7 +38,7 @@ FREQUENT, OFTEN, RUN = 1 << 18, 6, 1 << 21
 CELL_SETS, CELL_ELEMENTS, TOGETHER = 512, 1 << 20, 1 << 20
 #: Letters of words hashed at a time, about; words longer than ``LONG_WORD`` bytes are hashed one by one.
 LETTERS, LONG_WORD = 1 << 16, 512
-#: Rows of ids that are sent to all tasks at most (24 bytes each).
+#: Rows of ids that are sent to all tasks at most (24 bytes each; half as many rows of cells, 48 bytes each).
 SENT = 1 << 21
 #: Cost of scanning a list entry, in entries put down.
 SCAN = 2.0
@@ -475,9 +475,14 @@ def _compared(batches):
     yield done()
 
 
+def _sent(ids: DataFrame, most: int = SENT) -> DataFrame:
+    """Ids for a join: sent to all tasks if they are no more than ``most``, shuffled beyond that."""
+    return F.broadcast(ids) if ids.count() <= most else ids
+
+
 def compared(cells: DataFrame, whole: DataFrame) -> DataFrame:
     """Links (a, b) found in cells, on whole sets."""
-    rows = whole.join(cells, "uid").select(*CELL, "items").repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q")
+    rows = whole.join(_sent(cells, SENT // 2), "uid").select(*CELL, "items").repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q")
     return rows.mapInArrow(trimmed(_compared), "a long, b long")
 
 
@@ -508,11 +513,6 @@ def links(lists: DataFrame, whole: DataFrame) -> DataFrame:
         turn, last = turn + 1, 4 * n_new < n_mixed
 
 
-def _sent(ids: DataFrame) -> DataFrame:
-    """Ids for a join: sent to all tasks if they are no more than ``SENT``, shuffled beyond that."""
-    return F.broadcast(ids) if ids.count() <= SENT else ids
-
-
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, n_shingles, class_id (smallest id of equal sets), component_id, component, for each row of ``docs``.
 

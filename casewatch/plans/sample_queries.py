@@ -289,7 +289,7 @@ def _forecast_rows(t: SampleTables) -> DataFrame:
 def _stream(t: SampleTables) -> DataFrame:
     path, checkpoint = new_table_path(t.spark, "scores"), new_table_path(t.spark, "scores-checkpoint")
     schema = t.table("documents").schema
-    texts = scoring.read_text_stream(t.spark, t.sf_dir, schema, "documents.parquet").withColumnsRenamed({"source": "channel"})
+    texts = scoring.read_table_stream(t.spark, f"{t.sf_dir.rstrip('/')}/documents.parquet", schema).withColumnsRenamed({"source": "channel"})
     scoring.write_scores(scoring.score_stream(t.model, texts.select("doc_id", "text", "channel")), path, checkpoint).awaitTermination()
     return files.read_table(t.spark, path).select("doc_id", "predicted_category", "confidence")
 

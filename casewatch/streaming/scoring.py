@@ -19,6 +19,14 @@ def read_text_stream(spark: SparkSession, folder: str, schema: T.StructType, glo
     )
 
 
+def read_table_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
+    """A table as a stream, be it a single file or a folder of part files."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory():
+        return read_text_stream(spark, path, schema, "*", files_per_batch)
+    return read_text_stream(spark, where.getParent().toString(), schema, where.getName(), files_per_batch)
+
+
 def score_stream(model: PipelineModel, texts: DataFrame) -> DataFrame:
     """Row by row, without state, so no watermark is needed."""
     return score(model, texts)

@@ -10,6 +10,7 @@ from casewatch.plans import pipeline
 from casewatch.plans import sample_queries as P
 from casewatch.session import new_table_path, scratch, shared_dir
 from casewatch.sources import files
+from casewatch.streaming import scoring
 from tests.frames import raw
 from tools.compare import compare, connect
 
@@ -147,6 +148,20 @@ def test_stream_scores_equal_batch_scores(spark, sf_dir):
     assert report["accuracy"].f1 > 0.8
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_a_table_streams_from_a_file_or_a_folder(spark, tmp_path, parts):
+    folder = str(tmp_path / "documents.parquet")
+    spark.range(0, 30, 1, parts).selectExpr("id AS doc_id", "concat('text ', id) AS text").write.parquet(folder)
+    if parts == 1:  # the one file lies beside others, as a table of the samples does
+        spark.range(5).write.parquet(str(tmp_path / "flat" / "other.parquet"))
+        (found,) = (tmp_path / "documents.parquet").glob("*.parquet")
+        folder = str(tmp_path / "flat" / "documents.parquet")
+        os.link(found, folder)
+    texts = scoring.read_table_stream(spark, folder, spark.read.parquet(folder).schema)
+    scoring.write_scores(texts, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
+    assert sorted(r.doc_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(30))
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
 

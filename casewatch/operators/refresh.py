@@ -103,6 +103,12 @@ def _refreshed(new: DataFrame, path: str, replace: bool, flag_rules: dict) -> di
     return {"complaints": months, "monthly_summary": touched, "policy_flags": quarters}
 
 
+def refreshed(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """``monthly_summary`` or ``policy_flags`` below ``path``; its columns follow from the partial aggregates, as a table without rows has no files."""
+    made = {"monthly_summary": summary_of_parts, "policy_flags": flags_of_parts}[table]
+    return read_table(spark, f"{path}/{table}", made(read_table(spark, f"{path}/month_parts")).schema)
+
+
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     """The institutions' months so far, kept apart from the files that are about to be rewritten."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -235,7 +235,7 @@ def _refreshed(t: SampleTables, table: str) -> DataFrame:
     late = (F.col("year") == 2000) & (F.col("month") == 3)
     RF.refresh(fact.filter(~late), path, **FLAG_RULES)
     RF.refresh(fact.filter(late), path, **FLAG_RULES)
-    return files.read_table(t.spark, f"{path}/{table}")
+    return RF.refreshed(t.spark, path, table)
 
 
 def _store(t: SampleTables, docs: DataFrame, **options) -> VS.Store:

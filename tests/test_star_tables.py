@@ -147,3 +147,17 @@ def test_refresh_can_be_repeated_when_it_replaces(spark):
     RF.refresh(fact.filter("month = 4"), path, replace=True, **RULES)
     RF.refresh(fact.filter("month = 4"), path, replace=True, **RULES)
     assert tables(spark, path) == rebuilt(fact)
+
+
+def test_a_refresh_without_any_flag_leaves_an_empty_table(spark):
+    path = new_table_path(spark, "refresh")
+    fact = cases(spark, [(i, 1, 1, 2023, m, "Resolved", 1.0) for i in range(40) for m in (1, 2, 3, 4)])
+    RF.refresh(fact.filter("month < 4"), path, **RULES)
+    assert rounded(RF.refreshed(spark, path, "policy_flags")) == []
+    RF.refresh(fact.filter("month = 4"), path, **RULES)
+    found = RF.refreshed(spark, path, "policy_flags"), RF.refreshed(spark, path, "monthly_summary")
+    assert (rounded(found[1]), rounded(found[0])) == rebuilt(fact)
+    late = cases(spark, [(900 + i, 1, 1, 2023, 7, "Escalated", 1.0) for i in range(40)])
+    RF.refresh(late, path, **RULES)
+    assert rounded(RF.refreshed(spark, path, "policy_flags")) == rebuilt(fact.unionByName(late))[1] != []
+    assert sorted(RF.refreshed(spark, path, "policy_flags").dtypes) == sorted(spark.read.parquet(f"{path}/policy_flags").dtypes)

@@ -76,32 +76,54 @@ def narrative_corpus(summary: DataFrame, flags: DataFrame, institutions: DataFra
 QUESTIONS_PER_BLOCK = 4096
 DOCS_PER_BLOCK = 20_000
 TOGETHER = 256  # questions multiplied with a block of documents at a time
+MEASURED = 8192  # pairs whose distance is measured again at a time
 
 
-def _best(question_ids: np.ndarray, questions: np.ndarray, doc_ids: np.ndarray, docs: np.ndarray, k: int, same: bool) -> pd.DataFrame:
+def _best(question_ids: np.ndarray, questions: np.ndarray, doc_ids: np.ndarray, docs: np.ndarray, k: int, same: bool,
+          questions_together: int = TOGETHER, docs_together: int = DOCS_PER_BLOCK) -> pd.DataFrame:
     """The k nearest of these documents for each question, exact, ties by id.
 
-    Squared distances come from one matrix product per group of questions; what it leaves within
-    rounding of the k-th is measured again directly. Vectors with a value that is not finite have no distance.
+    Squared distances come from matrix products of a group of questions and a group of documents; the k least so far of a question
+    bound what a later group may add. What is left within rounding of the k-th is measured again directly. Vectors with a value that is
+    not finite have no distance.
     """
     fine_docs, fine = np.isfinite(docs).all(axis=1), np.isfinite(questions).all(axis=1)
     doc_ids, docs, question_ids, questions = doc_ids[fine_docs], docs[fine_docs], question_ids[fine], questions[fine]
     out: list[tuple] = []
     size = np.einsum("ij,ij->i", docs, docs)
-    for begin in range(0, len(questions) if len(docs) else 0, TOGETHER):
-        part = questions[begin : begin + TOGETHER]
+    for begin in range(0, len(questions) if len(docs) else 0, questions_together):
+        part = questions[begin : begin + questions_together]
+        part_ids = question_ids[begin : begin + questions_together]
         own = np.einsum("ij,ij->i", part, part)
-        square = own[:, None] + size - 2 * part @ docs.T
-        if same:
-            square[doc_ids == question_ids[begin : begin + TOGETHER, None]] = np.inf
         slack = 1e-12 * docs.shape[1] * (own + size.max())
-        edge = (np.partition(square, k - 1, axis=1)[:, k - 1] if square.shape[1] > k else square.max(axis=1)) + slack
-        for row in range(len(part)):
-            near = np.flatnonzero((square[row] <= edge[row]) & np.isfinite(square[row]))
-            gap = docs[near] - part[row]
-            distance = np.sqrt(np.einsum("ij,ij->i", gap, gap))
-            order = np.lexsort((doc_ids[near], distance))[:k]
-            out.append((np.full(len(order), question_ids[begin + row]), doc_ids[near[order]], distance[order]))
+        least = np.full((len(part), k), np.inf)
+        found: list[tuple] = []
+        for at in range(0, len(docs), docs_together):
+            to = at + docs_together
+            square = own[:, None] + size[at:to] - 2 * part @ docs[at:to].T
+            square[~np.isfinite(square)] = np.inf
+            if same:
+                square[doc_ids[at:to] == part_ids[:, None]] = np.inf
+            nearer = np.flatnonzero(square.min(axis=1) <= np.minimum(least.max(axis=1) + slack, np.finfo(np.float64).max))
+            if not len(nearer):
+                continue
+            square = square[nearer]
+            least[nearer] = np.partition(np.concatenate([least[nearer], square], axis=1), k - 1, axis=1)[:, :k]
+            row, col = np.nonzero((square <= (least.max(axis=1) + slack)[nearer, None]) & (square < np.inf))
+            found.append((nearer[row], col + at, square[row, col]))
+        if not found:
+            continue
+        row, col, square = map(np.concatenate, zip(*found))
+        near = square <= (least.max(axis=1) + slack)[row]
+        row, col = row[near], col[near]
+        distance = np.zeros(len(row))
+        for i in range(0, len(row), MEASURED):
+            gap = docs[col[i : i + MEASURED]] - part[row[i : i + MEASURED]]
+            distance[i : i + MEASURED] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+        order = np.lexsort((doc_ids[col], distance, row))
+        row, col, distance = row[order], col[order], distance[order]
+        first = np.arange(len(row)) - np.searchsorted(row, row) < k
+        out.append((part_ids[row[first]], doc_ids[col[first]], distance[first]))
     if not out:
         return pd.DataFrame({"question_id": question_ids[:0], "doc_id": doc_ids[:0], "distance": np.zeros(0)})
     ids, hits, distances = map(np.concatenate, zip(*out))
@@ -113,12 +135,13 @@ def knn_topk(questions: DataFrame, corpus: DataFrame, k: int = 5, exclude_self:
     """The k nearest documents (L2) of every question: ``question_id, doc_id, rank, distance``.
 
     ``questions`` has ``question_id, embedding``; ``corpus`` has ``doc_id, embedding``. The
-    result is exact. Questions and documents are cut into blocks of a bounded size, at every number of them, and each
-    block of questions meets each block of documents: at most k hits of a question leave such a pair.
+    result is exact. Questions and documents are cut into tiles of a bounded size, at every number of them, and each tile of
+    questions meets each tile of documents in one task: at most k hits of a question leave such a pair. ``questions_per_block`` and
+    ``docs_per_block`` are what is multiplied at a time; a tile holds as many blocks as make up the default sizes, or one larger block,
+    so that small blocks do not multiply the copies of a vector.
     Vectors that are null or hold a value that is not finite are neighbours of nothing.
     """
-    known = questions.select("question_id", F.col("embedding").cast("array<double>").alias("embedding")).filter(F.col("embedding").isNotNull())
-    docs = corpus.select("doc_id", F.col("embedding").cast("array<double>").alias("embedding")).filter(F.col("embedding").isNotNull())
+    known, docs = _vectors(questions, "question_id"), _vectors(corpus, "doc_id")
     schema = T.StructType(
         [
             T.StructField("question_id", known.schema["question_id"].dataType),
@@ -126,31 +149,40 @@ def knn_topk(questions: DataFrame, corpus: DataFrame, k: int = 5, exclude_self:
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    return _rank_hits(_knn_by_blocks(known, docs, k, exclude_self, questions_per_block, docs_per_block, schema), k)
+    return _rank_hits(_knn_by_tiles(known, docs, k, exclude_self, questions_per_block, docs_per_block, schema), k)
 
 
-def _block(key: str, per_block: int, frame: DataFrame) -> tuple[Column, Column]:
-    """(block number of a row, number of blocks) for blocks of about ``per_block`` rows."""
-    blocks = F.greatest(F.ceil(frame.agg(F.count("*")).scalar() / per_block), F.lit(1)).cast("int")
-    return F.pmod(F.xxhash64(key), blocks).cast("int"), blocks
+def _vectors(frame: DataFrame, key: str) -> DataFrame:
+    """``key, embedding`` of rows with a vector; single precision is widened in the tasks, other numbers here."""
+    single = frame.schema["embedding"].dataType in (T.ArrayType(T.FloatType()), T.ArrayType(T.FloatType(), False))
+    vector = F.col("embedding") if single else F.col("embedding").cast("array<double>")
+    return frame.select(key, vector.alias("embedding")).filter(F.col("embedding").isNotNull())
 
 
-def _knn_by_blocks(questions, docs, k, exclude_self, per_question_block, per_doc_block, schema) -> DataFrame:
-    question_block, question_blocks = _block("question_id", per_question_block, questions)
-    doc_block, doc_blocks = _block("doc_id", per_doc_block, docs)
+def _tile(key: str, per_tile: int, frame: DataFrame) -> tuple[Column, Column]:
+    """(tile number of a row, number of tiles) for tiles of about ``per_tile`` rows."""
+    tiles = F.greatest(F.ceil(frame.agg(F.count("*")).scalar() / per_tile), F.lit(1)).cast("int")
+    return F.pmod(F.xxhash64(key), tiles).cast("int"), tiles
+
+
+def _knn_by_tiles(questions, docs, k, exclude_self, per_question_block, per_doc_block, schema) -> DataFrame:
+    question_tile, question_tiles = _tile("question_id", max(per_question_block, QUESTIONS_PER_BLOCK), questions)
+    doc_tile, doc_tiles = _tile("doc_id", max(per_doc_block, DOCS_PER_BLOCK), docs)
+    together = min(per_question_block, TOGETHER)
 
     def every(count: Column) -> Column:
         return F.explode(F.sequence(F.lit(0), count - 1))
 
-    left = questions.withColumn("qb", question_block).select("*", every(doc_blocks).alias("db"))
-    right = docs.withColumn("db", doc_block).select("*", every(question_blocks).alias("qb"))
+    left = questions.withColumn("qt", question_tile).select("*", every(doc_tiles).alias("dt"))
+    right = docs.withColumn("dt", doc_tile).select("*", every(question_tiles).alias("qt"))
 
     def match(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
         if q.empty or d.empty:
             return pd.DataFrame({"question_id": q["question_id"].iloc[:0], "doc_id": d["doc_id"].iloc[:0], "distance": np.zeros(0)})
-        return _best(q["question_id"].to_numpy(), np.vstack(q["embedding"]), d["doc_id"].to_numpy(), np.vstack(d["embedding"]), k, exclude_self)
+        wide = [np.vstack(x["embedding"]).astype(np.float64, copy=False) for x in (q, d)]
+        return _best(q["question_id"].to_numpy(), wide[0], d["doc_id"].to_numpy(), wide[1], k, exclude_self, together, per_doc_block)
 
-    return left.groupBy("qb", "db").cogroup(right.groupBy("qb", "db")).applyInPandas(match, schema)
+    return left.groupBy("qt", "dt").cogroup(right.groupBy("qt", "dt")).applyInPandas(match, schema)
 
 
 def _rank_hits(local: DataFrame, k: int) -> DataFrame:

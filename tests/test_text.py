@@ -130,6 +130,16 @@ def test_knn_is_exact_with_many_equal_distances(spark, options, same):
         assert all(r.distance == 0 for r in hits if r["rank"] == 1)
 
 
+def test_small_blocks_do_not_multiply_copies_or_hits(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(np.random.default_rng(3).standard_normal((200, 4)))], "doc_id long, embedding array<float>")
+    questions, local, rank = docs.withColumnRenamed("doc_id", "question_id"), [], N._rank_hits
+    wanted = sorted(map(tuple, N.knn_topk(questions, docs, exclude_self=True).collect()))
+    monkeypatch.setattr(N, "_rank_hits", lambda found, k: local.append(found) or rank(found, k))
+    small = N.knn_topk(questions, docs, exclude_self=True, questions_per_block=20, docs_per_block=30)
+    assert sorted(map(tuple, small.collect())) == wanted
+    assert local[0].count() == 200 * 5  # not as many again for each block of documents
+
+
 def test_knn_passes_over_values_that_are_not_finite(spark):
     nan = float("nan")
     docs = spark.createDataFrame([(1, [1.0, 0.0])] + [(i, [nan, 0.0]) for i in range(2, 6)] + [(7, [float("inf"), 0.0])], "doc_id long, embedding array<double>")

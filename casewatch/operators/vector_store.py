@@ -11,6 +11,7 @@ many. At most k hits of a question leave a cell.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +31,7 @@ from casewatch.sources.files import read_documents_json, read_table, stored, wri
 #: Lists at most, vectors that centroids are fitted to, and lists that a search probes at first.
 LISTS, SAMPLE, PROBES = 1024, 65_536, 8
 NO_LIST = -1
+ASKED = 1024  # vectors whose distances to all centroids are held at a time
 
 
 @dataclass
@@ -81,8 +83,7 @@ def with_lists(docs: DataFrame, centroids: np.ndarray) -> DataFrame:
         known = vectors.notna().to_numpy()
         if known.any() and len(centroids):
             part = np.vstack(vectors[known].to_list())
-            d = _distances(part, centroids)
-            best = d.argmin(axis=1)
+            best = np.concatenate([_distances(part[at : at + ASKED], centroids).argmin(axis=1) for at in range(0, len(part), ASKED)])
             out.loc[known, "list_id"] = best.astype(np.int32)
             out.loc[known, "centre_distance"] = np.sqrt(((part - centroids[best]) ** 2).sum(axis=1))
         return out
@@ -165,16 +166,32 @@ def search(
     asked = questions.select("question_id", _vector().alias("embedding")).filter("embedding is not null")
     docs = store.docs.filter(F.col("list_id") != NO_LIST)
     filled = {r["list_id"]: r["radius"] for r in docs.groupBy("list_id").agg(F.max("centre_distance").alias("radius")).collect()}
-    there = np.array(sorted(filled), np.int64)
+    there = np.array(sorted(filled), np.int32)
     radius = np.array([filled[i] for i in there.tolist()])
 
-    @F.pandas_udf("array<struct<list_id:int,least:double>>")
-    def near(vectors: pd.Series) -> pd.Series:
-        d = _distances(np.vstack(vectors.to_list()), centroids[there]) if len(there) else np.zeros((len(vectors), 0))
-        order = np.argsort(d, axis=1, kind="stable")
-        return pd.Series([[{"list_id": int(there[j]), "least": float(row[j] - radius[j])} for j in at] for row, at in zip(d, order)])
-
-    asked = stored(asked.withColumn("near", near("embedding")), "asked")
+    def by_distance(vectors: pd.Series) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Distances to the centroids and their order, for ``ASKED`` vectors at a time."""
+        for at in range(0, len(vectors), ASKED):
+            part = vectors.iloc[at : at + ASKED]
+            d = _distances(np.vstack(part.to_list()), centroids[there]) if len(there) else np.zeros((len(part), 0))
+            yield d, np.argsort(d, axis=1, kind="stable")
+
+    @F.pandas_udf("array<int>")
+    def nearest(vectors: pd.Series) -> pd.Series:
+        return pd.Series([there[row[:probes]] for _, order in by_distance(vectors) for row in order], dtype=object)
+
+    @F.pandas_udf("array<int>")
+    def within(vectors: pd.Series, worst: pd.Series) -> pd.Series:
+        """Further lists that may hold a document nearer than ``worst``; all of them if it is not known."""
+        reach, out, at = worst.fillna(np.inf).to_numpy() * (1 + 1e-9) + 1e-9, [], 0
+        for d, order in by_distance(vectors):
+            far = reach[at : at + len(d), None]
+            held = (d - radius <= far) | np.isinf(far)
+            out += [there[row[probes:][kept[row[probes:]]]] for row, kept in zip(order, held)]
+            at += len(d)
+        return pd.Series(out, dtype=object)
+
+    asked = stored(asked, "asked")
 
     def probed(rows: DataFrame) -> DataFrame:
         rows = stored(rows, "probes")
@@ -182,14 +199,12 @@ def search(
         read = docs.filter(F.col("list_id").isin(wanted)).select(F.col("list_id").alias("cell"), "doc_id", "embedding")
         return stored(_within_cells(rows, read, k, exclude_self, docs_per_cell, questions_per_cell), "hits")
 
-    first = asked.select("question_id", "embedding", F.inline(F.slice("near", 1, probes))).select("question_id", "embedding", F.col("list_id").alias("cell"))
-    hits = probed(first)
+    hits = probed(asked.select("question_id", "embedding", F.explode(nearest("embedding")).alias("cell")))
     if exact:
         worst = hits.withColumn("rank", F.row_number().over(Window.partitionBy("question_id").orderBy("distance"))).filter(F.col("rank") == k)
         worst = worst.select("question_id", F.col("distance").alias("worst"))
-        rest = asked.withColumn("near", F.slice("near", F.lit(probes + 1), F.size("near"))).join(worst, "question_id", "left")
-        rest = rest.select("question_id", "embedding", "worst", F.inline("near")).filter("worst is null or least <= worst * (1 + 1e-9) + 1e-9")
-        hits = hits.unionByName(probed(rest.select("question_id", "embedding", F.col("list_id").alias("cell"))))
+        rest = asked.join(worst, "question_id", "left").select("question_id", "embedding", F.explode(within("embedding", "worst")).alias("cell"))
+        hits = hits.unionByName(probed(rest))
     return _rank_hits(hits, k)
 
 

@@ -64,6 +64,14 @@ def test_exact_search_equals_comparing_all(spark, data):
     assert hits(VS.search(store, questions, probes=2, exact=True, docs_per_cell=50, questions_per_cell=30)) == wanted
 
 
+def test_no_question_carries_an_entry_for_every_list(spark, data, monkeypatch):
+    docs, questions, wanted = data
+    store, kept, real = VS.open_store(spark, written(spark, docs, lists=20)), {}, VS.stored
+    monkeypatch.setattr(VS, "stored", lambda df, name: kept.setdefault(name, real(df, name)) if name == "asked" else real(df, name))
+    assert hits(VS.search(store, questions, exact=True)) == wanted
+    assert kept["asked"].columns == ["question_id", "embedding"]
+
+
 def test_exact_search_on_vectors_without_structure(spark):
     rng = np.random.default_rng(4)
     docs = frame(spark, rng.standard_normal((400, 8)))

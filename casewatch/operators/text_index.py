@@ -1,7 +1,7 @@
 """Regular-expression search through a stored index of three-character strings.
 
-The index holds one row per document and distinct gram of its text (letters A to Z in lower case), dealt out and sorted by
-gram, and a copy of the texts sorted by id; so a search reads the row groups of the grams it needs, and of the documents that may match.
+The index holds one row per document and distinct gram of its text (letters A to Z in lower case; a gram is one number, 21 bits a
+character), dealt out and sorted by gram, and a copy of the texts sorted by id; so a search reads the row groups of the grams it needs, and of the documents that may match.
 From the pattern follows which grams every match must hold: runs of literals, all of them; alternatives and small classes of characters, those of one of them. Candidates
 are checked by the pattern itself. A pattern without such grams, or with syntax that only the JVM knows, scans all texts.
 """
@@ -13,6 +13,8 @@ import string
 from re import _constants as R
 from re import _parser
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,8 @@ GRAM = 3
 SMALL_CLASS, MOST_RUNS = 8, 32
 #: Candidates that are looked up by their ids; more are found by a join.
 LOOKED_UP = 5000
+#: Characters of a text whose grams are numbered at a time.
+SLICE = 1 << 20
 _FOLD = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
 #: A condition: a gram, ("and" or "or", conditions), or None, which nothing restricts.
@@ -101,7 +105,7 @@ def _grams_of(condition: Condition) -> set[str]:
 
 def _holds(condition: Condition, grams: Column) -> Column:
     if isinstance(condition, str):
-        return F.array_contains(grams, condition)
+        return F.array_contains(grams, int(gram_numbers(condition.encode())[0]))
     out = None
     for part in condition[1]:
         held = _holds(part, grams)
@@ -109,19 +113,37 @@ def _holds(condition: Condition, grams: Column) -> Column:
     return out
 
 
+def _distinct(numbers: np.ndarray) -> np.ndarray:
+    ordered = np.sort(numbers)  # faster than np.unique, which hashes
+    return ordered[np.concatenate([np.ones(min(len(ordered), 1), bool), ordered[1:] != ordered[:-1]])]
+
+
+def gram_numbers(text: bytes) -> np.ndarray:
+    """The distinct grams of a text in UTF-8, A to Z in lower case, as numbers."""
+    c = np.frombuffer(text.lower().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    found = []
+    for at in range(0, len(c) - GRAM + 1, SLICE):
+        part = c[at : at + SLICE + GRAM - 1].astype(np.int64)
+        found.append(_distinct((part[:-2] << 42) | (part[1:-1] << 21) | part[2:]))
+    return found[0] if len(found) == 1 else _distinct(np.concatenate([np.zeros(0, np.int64), *found]))
+
+
 def build_index(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> None:
     """Write the index of ``docs`` below ``path``; a null text matches nothing and is left out. The key identifies a document."""
     kept = docs.filter(F.col(text).isNotNull())
-    folded = F.translate(F.col(text), string.ascii_uppercase, string.ascii_lowercase)
-    each = F.regexp_extract_all("folded", F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))  # one pass; a substring by place would start anew
-    grams = kept.select(F.col(key).alias("id"), folded.alias("folded")).select("id", F.explode(F.array_distinct(each)).alias("gram"))
+
+    @F.pandas_udf("array<long>")
+    def grams_of(texts: pd.Series) -> pd.Series:
+        return pd.Series([gram_numbers(t) for t in texts], dtype=object)
+
+    grams = kept.select(F.col(key).alias("id"), F.explode(grams_of(F.col(text).cast("string").cast("binary"))).alias("gram"))
     write_sorted(grams.select("gram", "id"), f"{path}/grams", ["gram"], ["id"])
     write_sorted(kept, f"{path}/texts", [key])
 
 
 def candidates(spark: SparkSession, path: str, condition: Condition) -> DataFrame:
     """Ids of the documents whose grams satisfy a condition."""
-    wanted = sorted(_grams_of(condition))
+    wanted = [int(gram_numbers(g.encode())[0]) for g in sorted(_grams_of(condition))]
     found = read_table(spark, f"{path}/grams").filter(F.col("gram").isin(wanted))
     return found.groupBy("id").agg(F.collect_set("gram").alias("grams")).filter(_holds(condition, F.col("grams"))).select("id")
 

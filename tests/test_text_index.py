@@ -55,6 +55,19 @@ def test_what_a_pattern_needs():
     assert TI.needed_grams(r"\Qabc\E") is None  # syntax of the JVM only
 
 
+@pytest.mark.parametrize("text", ["", "ab", "abc", "ABCabc", "Füße ΣΑΣ", "a\n\n\x00b", "\U0001f600\U0010ffff!\U0001f600\U0010ffff!", "xyz" * 50])
+def test_grams_are_numbered_without_a_string_each(monkeypatch, text):
+    folded = text.translate(TI._FOLD)
+    wanted = sorted({(ord(a) << 42) | (ord(b) << 21) | ord(c) for a, b, c in zip(folded, folded[1:], folded[2:])})
+    assert TI.gram_numbers(text.encode()).tolist() == wanted
+    monkeypatch.setattr(TI, "SLICE", 4)
+    assert TI.gram_numbers(text.encode()).tolist() == wanted
+
+
+def test_the_index_keeps_a_number_for_a_gram(spark, index):
+    assert dict(spark.read.parquet(f"{index[1]}/grams").dtypes)["gram"] == "bigint"
+
+
 def test_a_rare_word_reads_few_rows(spark):
     rng = random.Random(2)
     texts = [(i, " ".join(f"word{rng.randrange(3000)}" for _ in range(30))) for i in range(20_000)] + [(50_000, "here is the needle")]

@@ -34,7 +34,7 @@ def term_statistics(docs: DataFrame, text: str = "text", stop: Sequence[str] | N
     """``term, term_count, doc_count`` over all documents, in one pass.
 
     Occurrences and per-document first occurrences are exploded side by side and combine on
-    the map side, so a term that is in every document is no hot key.
+    the map side, so a term that is in every document is no hot key. A text that repeats no token gives one entry a token for both.
     """
     def entries(array: Column, term: int, doc: int) -> Column:
         return F.transform(
@@ -42,8 +42,9 @@ def term_statistics(docs: DataFrame, text: str = "text", stop: Sequence[str] | N
             lambda w: F.struct(w.alias("term"), F.lit(term).alias("term_n"), F.lit(doc).alias("doc_n")),
         )
 
-    tokens = docs.select(token_array(text).alias("t"))
-    both = F.concat(entries(F.col("t"), 1, 0), entries(F.array_distinct("t"), 0, 1))
+    tokens = docs.select(token_array(text).alias("t")).select("t", F.array_distinct("t").alias("d"))
+    apart = F.concat(entries(F.col("t"), 1, 0), entries(F.col("d"), 0, 1))
+    both = F.when(F.size("t") == F.size("d"), entries(F.col("d"), 1, 1)).otherwise(apart)
     return (
         tokens.select(F.inline(both))
         .filter(~F.col("term").isin(list(stop_words() if stop is None else stop)))

@@ -159,3 +159,8 @@ def test_quantiles_of_close_values_and_odd_names(spark):
     for r in got:
         values = sorted(v for g, v in rows if g == r["bank type"])
         assert abs(r["the median"] - float(np.quantile(values, 0.5))) < 1e-12 and abs(r["q"] - float(np.quantile(values, 0.25))) < 1e-12
+
+
+def test_a_tail_is_found_where_rounding_outweighs_the_last_terms():
+    a, x = 3988972.5, 0.9999975344829451  # a coefficient over eight million rows
+    assert incomplete_beta(a, 0.5, x) == pytest.approx(math.erfc(math.sqrt(a * (1 - x) / x)), rel=1e-4)

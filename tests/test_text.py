@@ -205,3 +205,11 @@ def test_split_is_the_same_whatever_one_task_may_order(spark, monkeypatch, rows_
         mine = sorted((r for r in split if r["label"] == label), key=order)
         n_test = len(mine) - math.floor(len(mine) * 0.8 + 1e-9)
         assert [r["is_train"] for r in mine] == [False] * n_test + [True] * (len(mine) - n_test)
+
+
+def test_a_text_that_repeats_no_token_gives_one_entry_a_token(spark):
+    docs = spark.createDataFrame([("red green blue",), ("red red blue the",), ("", ), (None,), ("the and",)], "text string")
+    found = term_statistics(docs)
+    assert {tuple(r) for r in found.collect()} == {("red", 3, 2), ("green", 1, 1), ("blue", 2, 2)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN (size(" in plan

@@ -11,6 +11,8 @@ A list is not turned into pairs. In star rounds each member is compared with one
 is linked by then is one component. At last, the members of lists with one centre that lie outside their largest component are compared
 with all others: cells of two blocks of bounded size are dealt out, and a task counts the elements that their whole sets share
 by products of matrices. Only links leave a cell, no more than there are components in it. Thus every component is that of all links.
+Cells first get the sets in brief, two bytes an element: from these a task knows how much two sets can share at most,
+and whole sets move only to cells in which that allows a link.
 
 Cases: null texts and texts without words have empty sets and link with nothing; a text of fewer words
 than a shingle has one element; repeated rows are one class; rows without id have a null component unless
@@ -388,11 +390,25 @@ def _whole(batches):
     for batch in batches:
         uids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for begin, part in runs(texts):
+            sets = shingle_sets(part)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(uids[begin : begin + len(part)], pa.int64()), pa.array([s.tobytes() for s in shingle_sets(part)], pa.binary())], ["uid", "items"]
+                [
+                    pa.array(uids[begin : begin + len(part)], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array([len(s) for s in sets], pa.int32()), pa.array([in_brief(s).tobytes() for s in sets], pa.binary()),
+                ],
+                ["uid", "items", "n", "brief"],
             )
 
 
+def in_brief(items):
+    """The distinct values of the elements' last 16 bits, sorted."""
+    import numpy as np
+
+    there = np.zeros(1 << 16, bool)
+    there[items & np.uint64(0xFFFF)] = True
+    return np.flatnonzero(there).astype(np.uint16)
+
+
 def shared_elements(xs: list, ys: list):
     """Matrix of the numbers of elements that the sorted sets xs and ys share."""
     import numpy as np
@@ -452,27 +468,66 @@ def cell_links(xs: list[tuple], ys: list[tuple]) -> list[tuple[int, int]]:
     return found
 
 
+def possible_links(xs: list[tuple], ys: list[tuple]):
+    """Matrix of the pairs of sets (n, root, elements in brief) of two sides that may be links.
+
+    Two sets share no more elements than values in brief, and those that one of them loses there because values coincide.
+    """
+    import numpy as np
+
+    sizes = [np.array([x[0] for x in side]) for side in (xs, ys)]
+    lost = [n - np.array([len(x[2]) for x in side]) for n, side in zip(sizes, (xs, ys))]
+    both = shared_elements([x[2] for x in xs], [y[2] for y in ys]) + np.minimum(lost[0][:, None], lost[1][None])
+    total = sizes[0][:, None] + sizes[1][None]
+    roots = [np.array([x[1] for x in side]) for side in (xs, ys)]
+    return (100 * both >= PERCENT * (total - both)) & (roots[0][:, None] != roots[1][None])
+
+
+def _each_cell(batches):
+    """Of rows in the order of cells: the rows of each cell, as lists of their values."""
+    cell, held = None, []
+    for batch in batches:
+        columns = [batch.column(k).to_pylist() for k in range(len(CELL))]
+        for row in zip(*columns, *batch.columns[len(CELL) :]):
+            if row[:3] != cell and held:
+                yield held
+                held = []
+            cell = row[:3]
+            held.append(row)
+    if held:
+        yield held
+
+
+def _on_sides(rows: list[tuple], ones: list) -> tuple[list, list]:
+    """What stands for the rows of a cell, on side 0 and on side 1."""
+    return tuple([one for row, one in zip(rows, ones) if row[3] in (side, BOTH)] for side in (0, 1))
+
+
+def _possible(batches):
+    """The rows of cells that may have a link there."""
+    import numpy as np
+    import pyarrow as pa
+
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+    for rows in _each_cell(batches):
+        xs, ys = _on_sides(rows, [(r[6].as_py(), r[5], np.frombuffer(r[7].as_buffer(), np.uint16)) for r in rows])
+        if xs and ys:
+            maybe = possible_links(xs, ys)
+            places = _on_sides(rows, list(range(len(rows))))
+            kept = sorted({places[0][i] for i in np.flatnonzero(maybe.any(axis=1))} | {places[1][j] for j in np.flatnonzero(maybe.any(axis=0))})
+            if kept:
+                yield pa.RecordBatch.from_arrays([pa.array([rows[i][k] for i in kept], kind) for k, kind in enumerate(kinds)], list(CELL))
+
+
 def _compared(batches):
     """Of rows in the order of cells: the links of each cell."""
     import numpy as np
     import pyarrow as pa
 
-    cell, sides = None, ([], [])
-
-    def done():
+    for rows in _each_cell(batches):
+        sides = _on_sides(rows, [(r[4], r[5], np.frombuffer(r[6].as_buffer(), np.uint64)) for r in rows])
         found = cell_links(*sides) if sides[0] and sides[1] else []
-        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
-
-    for batch in batches:
-        keys = list(zip(*(batch.column(k).to_pylist() for k in range(6))))
-        for key, items in zip(keys, batch.column(6)):
-            if key[:3] != cell:
-                yield done()
-                cell, sides = key[:3], ([], [])
-            one = (key[4], key[5], np.frombuffer(items.as_buffer(), np.uint64).copy())
-            for side in (0, 1) if key[3] == BOTH else (key[3],):
-                sides[side].append(one)
-    yield done()
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
 def _sent(ids: DataFrame, most: int = SENT) -> DataFrame:
@@ -480,10 +535,21 @@ def _sent(ids: DataFrame, most: int = SENT) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= most else ids
 
 
+def _in_cells(cells: DataFrame, sets: DataFrame) -> DataFrame:
+    """The sets of each cell, in the order of cells."""
+    rows = sets.join(_sent(cells, SENT // 2), "uid").select(*CELL, *[c for c in sets.columns if c != "uid"])
+    return rows.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q")
+
+
+def possible_cells(cells: DataFrame, whole: DataFrame) -> DataFrame:
+    """Stored rows of the cells whose sets may be linked there, as far as sets in brief tell."""
+    schema = "bucket long, p int, q int, side int, uid long, root long"
+    return stored(_in_cells(cells, whole.select("uid", "n", "brief")).mapInArrow(trimmed(_possible), schema), "possible")
+
+
 def compared(cells: DataFrame, whole: DataFrame) -> DataFrame:
     """Links (a, b) found in cells, on whole sets."""
-    rows = whole.join(_sent(cells, SENT // 2), "uid").select(*CELL, "items").repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q")
-    return rows.mapInArrow(trimmed(_compared), "a long, b long")
+    return _in_cells(possible_cells(cells, whole), whole.select("uid", "items")).mapInArrow(trimmed(_compared), "a long, b long")
 
 
 def links(lists: DataFrame, whole: DataFrame) -> DataFrame:
@@ -501,7 +567,8 @@ def links(lists: DataFrame, whole: DataFrame) -> DataFrame:
         mixed, path = materialised(mixed_lists(now, turn), "mixed")
         with recorded() as made:  # stored before the join, so that whole sets need not move to meet few cells
             cells = stored(block_cells(mixed) if last else star_cells(mixed), "cells")
-        new = stored(compared(cells, whole), "links")
+            met = compared(cells, whole)
+        new = stored(met, "links")
         found = new if found is None else found.unionByName(new)
         n_new = new.count()
         if n_new:
@@ -535,7 +602,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wanted = stored(each.join(lists.select("uid").distinct(), "uid", "left_semi"), "wanted")
     # Texts stay where they are while the ids can be sent; beyond that they are shuffled.
     rows = texts.join(_sent(wanted), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t"))).select("uid", "text")
-    whole = stored(rows.mapInArrow(trimmed(_whole), "uid long, items binary"), "whole")
+    whole = stored(rows.mapInArrow(trimmed(_whole), "uid long, items binary, n int, brief binary"), "whole")
     if whole.count() > wanted.count():  # rows that repeat an id and its text
         whole = stored(whole.dropDuplicates(["uid"]), "whole")
     roots = links(lists, whole)

@@ -112,3 +112,32 @@ def test_links_when_shingles_are_known_as_frequent(spark, monkeypatch):
     base, other = [f"w{i}" for i in range(90)], [f"v{i}" for i in range(90)]
     rows = [(i, changed(rng, base, rng.randrange(4))) for i in range(25)] + [(50 + i, " ".join(base[:45] + other[i : i + 45])) for i in range(25)]
     assert joined(spark, rows) == brute_force(rows)
+
+
+@pytest.mark.parametrize("spread", [40, 1 << 40])
+def test_sets_in_brief_lose_no_link(spread):
+    import numpy as np
+
+    rng = random.Random(spread)
+    sets = []
+    for uid in range(12):  # the same last 16 bits for many elements, or for few
+        base = rng.sample(range(spread), 30) if uid % 3 == 0 else base
+        high = [b + (rng.choice([0, 0, 0, 0, 0, 0, 0, 0, 1, 2]) << 45) for b in base]
+        sets.append((uid, uid, np.unique(np.array(high + [1 << 16, 1 << 17], np.uint64))))
+    brief = [(len(s), root, J.in_brief(s)) for _, root, s in sets]
+    maybe = J.possible_links(brief, brief)
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            both = len(np.intersect1d(x[2], y[2]))
+            assert maybe[i, j] or i == j or 100 * both < 80 * (len(x[2]) + len(y[2]) - both)
+
+
+def test_only_sets_that_may_be_linked_move_whole(spark):
+    rng = random.Random(3)
+    text = " ".join(f"w{i}" for i in range(150))
+    texts = [text, text + " end"] + [" ".join(f"w{i}" for i in range(60)) + " " + " ".join(f"v{rng.randrange(9999)}" for _ in range(90)) for _ in range(20)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "uid long, text string")
+    whole = frame.mapInArrow(J._whole, "uid long, items binary, n int, brief binary")
+    cells = spark.createDataFrame([(7, 0, 0, J.BOTH if i else 1, i, i) for i in range(22)], "bucket long, p int, q int, side int, uid long, root long")
+    assert sorted(r["uid"] for r in J.possible_cells(cells, whole).collect()) == [0, 1]
+    assert [tuple(sorted(r)) for r in J.compared(cells, whole).collect()] == [(0, 1)]

@@ -13,8 +13,9 @@ Cases: a null or empty text is one end token; repeated rows are packed once each
 from __future__ import annotations
 
 import heapq
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import filterfalse
+from itertools import compress, count, islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,13 +44,14 @@ class WordTokenizer:
     The byte-level pre-tokeniser never joins what stands before a single space between two
     other visible characters with what follows it, so a text may be cut there. Texts with
     longer runs of white space, or with the string of an added token, are encoded whole. Words of Latin letters, for which all versions of Unicode
-    agree, are encoded by tiktoken, which runs the same merges on the same vocabulary faster.
+    agree, are encoded by tiktoken, all new ones of a batch at once; it runs the same merges on the same vocabulary faster.
     """
 
     def __init__(self, path: str):
         import json
         import re
 
+        import numpy as np
         import tiktoken
         from tokenizers import Tokenizer
 
@@ -57,12 +59,14 @@ class WordTokenizer:
         self.added = re.compile("|".join(re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()) or r"(?!)")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # a piece of a text may look like one
-        self.known: dict[str, bytes] = {}
+        self._forget()
         self.irregular = re.compile(r" \s|\s ")
         with open(path, encoding="utf-8") as f:
             vocabulary = json.load(f)["model"]["vocab"]
         byte = {chr(b if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174 else 256 + i): b for i, b in _shown()}
         ranks = {bytes(map(byte.__getitem__, token)): i for token, i in vocabulary.items() if all(map(byte.__contains__, token)) and token != "<|endoftext|>"}
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaced[[i for token, i in ranks.items() if token.startswith(b" ")]] = True
         self.fast = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     @staticmethod
@@ -74,25 +78,40 @@ class WordTokenizer:
     def _encode(self, texts: list[str]) -> list[bytes]:
         return self._ids(self.tokenizer, texts)
 
-    def _learn(self, words: list[str]) -> None:
-        """Ids of words after a space."""
-        from array import array
+    def _forget(self) -> None:
+        """Number of each known word, in their order; where its ids begin, and how many they are."""
+        import numpy as np
+
+        self.known = defaultdict(count().__next__)  # a new word gets the next number
+        self.ids, self.begins, self.sizes = np.empty(0, "<u4"), np.empty(0, np.int64), np.empty(0, np.int64)
 
-        fast, other = self.fast.encode_ordinary, []
-        for word in words:
-            if max(word) < LATIN_END:
-                self.known[word] = array("I", fast(" " + word)).tobytes()
-            else:
-                other.append(word)
-        self.known.update(zip(other, self._encode([" " + w for w in other])))
+    def _learn(self) -> None:
+        """Ids of new words after a space: many together, as only the first token of each begins with a space."""
+        import numpy as np
+
+        words = list(islice(self.known, len(self.sizes), None))
+        is_latin = np.array([w.isascii() or max(w) < LATIN_END for w in words], bool)
+        latin, other = list(compress(words, is_latin)), list(compress(words, ~is_latin))
+        ids = self.fast.encode_to_numpy(" " + " ".join(latin)).astype("<u4") if latin else self.ids[:0]
+        begins, sizes = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        begins[is_latin] = first = np.flatnonzero(self.spaced[ids])
+        sizes[is_latin] = np.diff(first, append=len(ids))
+        rest = [np.frombuffer(x, "<u4") for x in self._encode([" " + w for w in other])]
+        sizes[~is_latin] = [len(x) for x in rest]
+        begins[~is_latin] = len(ids) + np.cumsum(sizes[~is_latin]) - sizes[~is_latin]
+        self.begins, self.sizes = np.concatenate([self.begins, len(self.ids) + begins]), np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, ids, *rest])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
+        import numpy as np
+
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        heads, rests, missing = [], [], set()
+            self._forget()
+        heads, rests = [], []
         special = {i: text for i, text in enumerate(texts) if self.added.search(text)}
         encoded = dict(zip(special, self._ids(self.whole, list(special.values()))))
+        number = self.known.__getitem__
         for i, text in enumerate(texts):
             if i in special:
                 head, rest = "", ()
@@ -100,12 +119,16 @@ class WordTokenizer:
                 head, rest = text, ()
             else:
                 head, *rest = text.split(" ")
-                missing.update(filterfalse(self.known.__contains__, rest))
             heads.append(head)
-            rests.append(rest)
-        self._learn(list(missing))
-        known = self.known.__getitem__
-        return [encoded.get(i) or head + b"".join(map(known, rest)) for i, (head, rest) in enumerate(zip(self._encode(heads), rests))]
+            rests.append(np.fromiter(map(number, rest), np.int64, len(rest)))
+        self._learn()
+        out = []
+        for i, (head, rest) in enumerate(zip(self._encode(heads), rests)):
+            sizes = self.sizes[rest]
+            ends = np.cumsum(sizes)
+            at = np.repeat(self.begins[rest] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+            out.append(encoded.get(i) or head + self.ids[at].tobytes())
+        return out
 
 
 def _shown() -> list[tuple[int, int]]:

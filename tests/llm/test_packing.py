@@ -88,3 +88,14 @@ def test_sequences_do_not_depend_on_the_order_of_rows(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     results = [sorted(map(tuple, pack(docs.orderBy(order).repartition(n)).collect())) for order, n in (("doc_id", 2), ("text", 5), ("source", 3))]
     assert results[0] == results[1] == results[2]
+
+
+def test_new_words_are_encoded_together(monkeypatch):
+    words, calls = WordTokenizer(PATH), []
+    for name in ("encode_ordinary", "encode_to_numpy"):
+        method = getattr(words.fast, name)
+        monkeypatch.setattr(words.fast, name, lambda *a, method=method, **k: calls.append(a) or method(*a, **k))
+    text = " ".join(["one", *(f"word{i}" for i in range(50)), "it's 's ... a\nb\tc d\n\ne \u00e9t\u00e9 \u4e2d\u6587 ß&&& 12,5 x\x1c! <tag>", "end"])
+    for _ in range(2):
+        assert np.frombuffer(words.encode([text, "x"])[0], "<u4").tolist() == plain_ids(text)
+    assert len(calls) == 1

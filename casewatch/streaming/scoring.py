@@ -20,11 +20,15 @@ def read_text_stream(spark: SparkSession, folder: str, schema: T.StructType, glo
 
 
 def read_table_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
-    """A table as a stream, be it a single file or a folder of part files."""
+    """A table as a stream, be it a single file or a folder of part files.
+
+    A file is named by a pattern that only it fits: Spark then lists nothing else, while a folder given
+    in its place is listed with all that lies beside the file, such as the partitions of other tables.
+    """
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory():
-        return read_text_stream(spark, path, schema, "*", files_per_batch)
-    return read_text_stream(spark, where.getParent().toString(), schema, where.getName(), files_per_batch)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory():
+        path = f"{path[:-1]}[{path[-1]}]"
+    return read_text_stream(spark, path, schema, "*", files_per_batch)
 
 
 def score_stream(model: PipelineModel, texts: DataFrame) -> DataFrame:

@@ -162,6 +162,20 @@ def test_a_table_streams_from_a_file_or_a_folder(spark, tmp_path, parts):
     assert sorted(r.doc_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(30))
 
 
+def test_a_single_file_streams_beside_folders_of_other_tables(spark, tmp_path):
+    spark.range(0, 30, 1, 1).selectExpr("id AS doc_id", "concat('text ', id) AS text").write.parquet(str(tmp_path / "made"))
+    (found,) = (tmp_path / "made").glob("*.parquet")
+    for folder in ("flat", "flat/sub"):  # what lies in a folder below is another table
+        (tmp_path / folder).mkdir()
+        os.link(found, tmp_path / folder / "documents.parquet")
+    for name in ("events", "orders"):
+        spark.range(6).selectExpr("id", "id % 2 AS part").write.partitionBy("part").parquet(str(tmp_path / "flat" / f"{name}.parquet"))
+    path = str(tmp_path / "flat" / "documents.parquet")
+    texts = scoring.read_table_stream(spark, path, spark.read.parquet(path).schema)
+    scoring.write_scores(texts, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
+    assert sorted(r.doc_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == list(range(30))
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewatch.session import new_table_path
-from casewatch.sources.files import read_table, stored, write_table
+from casewatch.sources.files import gathered, read_table, stored, write_table
 
 __all__ = ["drop_table", "fold", "materialised", "most_frequent", "read_table", "spread_sample", "stored", "table", "text_of", "trimmed", "write_table"]
 
@@ -27,10 +27,10 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def materialised(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """The frame written below the shared folder and read back, and where it lies."""
+def materialised(df: DataFrame, name: str, rows: int | None = None) -> tuple[DataFrame, str]:
+    """The frame written below the shared folder and read back, and where it lies; ``rows`` as for ``stored``."""
     path = new_table_path(df.sparkSession, name)
-    write_table(df, path)
+    write_table(gathered(df, rows), path)
     return read_table(df.sparkSession, path, df.schema), path
 
 

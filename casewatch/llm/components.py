@@ -28,13 +28,16 @@ def _small(edges: DataFrame) -> DataFrame:
     return tied.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``edges`` (a, b): the smallest node that links reach. Each step is written."""
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
+    """(node, root) for every node of ``edges`` (a, b): the smallest node that links reach. Each step is written.
+
+    ``rows``: how many edges there are at most, if known; no step has more than the one before.
+    """
     spark = edges.sparkSession
-    edges, path = materialised(edges.select("a", "b").filter("a <> b").distinct(), "edges")
+    edges, path = materialised(edges.select("a", "b").filter("a <> b").distinct(), "edges", rows)
     state = None
     while True:
-        stepped, new_path = materialised(_small(_large(edges)), "edges")
+        stepped, new_path = materialised(_small(_large(edges)), "edges", rows)
         now = stepped.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.shiftright(F.xxhash64("a", "b"), 20))).first()
         drop_table(spark, path)
         edges, path = stepped, new_path

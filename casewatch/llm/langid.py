@@ -143,7 +143,7 @@ def count_ngrams(rows: DataFrame) -> DataFrame:
     return stored(parts.groupBy("lang", "held", "key").agg(F.sum("n").alias("n")), "ngrams")
 
 
-def kneser_ney(counts: DataFrame) -> list[DataFrame]:
+def kneser_ney(counts: DataFrame, rows: int | None = None) -> list[DataFrame]:
     """For each order from 1: lang, key, p, context, passed (weight of the next lower order after the context)."""
     orders, grams = [], counts
     for m in range(ORDER, 0, -1):
@@ -158,7 +158,7 @@ def kneser_ney(counts: DataFrame) -> list[DataFrame]:
         )
         if m > 1:
             low = F.col("key").bitwiseAND(F.lit((1 << 16 * (m - 1)) - 1))
-            grams = stored(grams.select("lang", low.alias("key")).groupBy("lang", "key").agg(F.count(F.lit(1)).alias("n")), f"grams{m - 1}")
+            grams = stored(grams.select("lang", low.alias("key")).groupBy("lang", "key").agg(F.count(F.lit(1)).alias("n")), f"grams{m - 1}", rows)
     done = []
     for m, grams in enumerate(reversed(orders), 1):
         if m == 1:
@@ -167,7 +167,7 @@ def kneser_ney(counts: DataFrame) -> list[DataFrame]:
             lower = done[-1].select("lang", F.col("key").alias("suffix"), F.col("p").alias("lower_p"))
             p = grams.withColumn("suffix", F.col("key").bitwiseAND(F.lit((1 << 16 * (m - 1)) - 1))).join(lower, ["lang", "suffix"])
             p = p.withColumn("p", F.col("own") + F.col("passed") * F.col("lower_p"))
-        done.append(stored(p.select("lang", "key", "p", "context", "passed", "kinds"), f"order{m}"))  # else each order would repeat the lower ones
+        done.append(stored(p.select("lang", "key", "p", "context", "passed", "kinds"), f"order{m}", rows))  # else each order would repeat the lower ones
     return done
 
 
@@ -180,7 +180,7 @@ def build_model(counts: DataFrame) -> dict:
     if not langs:
         return model
     number = F.array_position(F.array(*map(F.lit, langs)), F.col("lang")).cast("int") - 1
-    for m, grams in enumerate(kneser_ney(counts), 1):
+    for m, grams in enumerate(kneser_ney(counts, counts.count()), 1):
         values = grams.select(number.alias("lang"), "key", F.log2("p").cast("float").alias("v"))
         passed = grams.groupBy(number.alias("lang"), F.col("context").alias("key")).agg(F.log2(F.max("passed")).cast("float").alias("v"))
         for what, rows in (("p", values), ("passed", passed)):
@@ -367,7 +367,7 @@ def train(rows: DataFrame) -> tuple[dict, dict]:
     # Both models come from one pass over the types, as if the languages of each were different ones.
     fitted = counts.filter(~F.col("held")).select(F.concat(F.lit("fit/"), "lang").alias("lang"), "key", "n")
     whole = counts.groupBy("lang", "key").agg(F.sum("n").alias("n")).select(F.concat(F.lit("all/"), "lang").alias("lang"), "key", "n")
-    both = build_model(stored(fitted.unionByName(whole), "counts"))
+    both = build_model(stored(fitted.unionByName(whole), "counts", 2 * counts.count()))
     return part_of(both, "all/"), calibrate(part_of(both, "fit/"), rows.filter("held"))
 
 

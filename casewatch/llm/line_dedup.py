@@ -53,16 +53,20 @@ def _lines(batches):
             begin, size = i + 1, 0
 
 
-def ranked(pairs: DataFrame, *keys: str) -> DataFrame:
-    """Distinct keys that occur twice or more, with a rank in their order: numbers of a sorted table ascend."""
+def ranked(pairs: DataFrame, *keys: str, rows: int | None = None) -> DataFrame:
+    """Distinct keys that occur twice or more, with a rank in their order: numbers of a sorted table ascend.
+
+    ``rows``: how many pairs there are at most, if known.
+    """
     repeated = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select(*keys)
-    return stored(repeated.orderBy(*keys).withColumn("rank", F.monotonically_increasing_id()), "ranks")
+    return stored(repeated.orderBy(*keys).withColumn("rank", F.monotonically_increasing_id()), "ranks", rows and rows // 2)
 
 
 def stretches(rows: DataFrame, min_words: int) -> DataFrame:
     """Stored (uid, start, ranks, words): runs of lines that all occur twice or more, with enough words."""
     lines = stored(rows.mapInArrow(trimmed(_lines), LINE), "lines")
-    known = lines.join(ranked(lines, "high", "low"), ["high", "low"]).select("uid", "line", "rank", "words")
+    n = lines.count()
+    known = lines.join(ranked(lines, "high", "low", rows=n), ["high", "low"]).select("uid", "line", "rank", "words")
     per_text = known.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("line", "rank", "words"))).alias("lines"))
     breaks = F.filter(
         F.sequence(F.lit(0), F.size("lines")),
@@ -71,7 +75,7 @@ def stretches(rows: DataFrame, min_words: int) -> DataFrame:
     cut = F.transform(F.slice("breaks", F.lit(1), F.size("breaks") - 1), lambda b, j: F.slice("lines", b + 1, F.get("breaks", j + 1) - b))
     each = per_text.withColumn("breaks", breaks).select("uid", F.explode(cut).alias("part"))
     each = each.select("uid", F.get("part", F.lit(0))["line"].alias("start"), F.transform("part", lambda x: x["rank"]).alias("ranks"), F.transform("part", lambda x: x["words"]).alias("words"))
-    return stored(each.filter(F.aggregate("words", F.lit(0), lambda a, x: a + x) >= min_words), "stretches")
+    return stored(each.filter(F.aggregate("words", F.lit(0), lambda a, x: a + x) >= min_words), "stretches", n)
 
 
 def _windows(min_words: int):
@@ -98,21 +102,21 @@ def _windows(min_words: int):
     return windows
 
 
-def doubled(levels: DataFrame, step: int) -> DataFrame:
-    """(uid, start, i, rank) of the runs of twice ``step`` lines that occur twice or more."""
+def doubled(levels: DataFrame, step: int, rows: int | None = None) -> DataFrame:
+    """(uid, start, i, rank) of the runs of twice ``step`` lines that occur twice or more; ``rows``: lines in all stretches."""
     pairs = levels.select("uid", "start", F.posexplode(F.zip_with(
         "ranks", F.slice("ranks", step + 1, F.size("ranks")), lambda a, b: F.struct(a.alias("a"), b.alias("b"))
     )).alias("i", "p")).filter("p.a is not null and p.b is not null").select("uid", "start", "i", "p.a", "p.b")
-    return pairs.join(ranked(pairs, "a", "b"), ["a", "b"]).select("uid", "start", "i", "rank")
+    return pairs.join(ranked(pairs, "a", "b", rows=rows), ["a", "b"]).select("uid", "start", "i", "rank")
 
 
 def later_copies(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(uid, first, size): runs of lines that occur earlier, for rows of (uid, doc_id, text)."""
     parts = stretches(rows.select("uid", "text"), min_words)
     parts = stored(parts.withColumn("windows", _windows(min_words)("words")), "windows")
-    longest = parts.agg(F.max(F.array_max(F.transform("windows", lambda w: w["size"])))).first()[0] or 0
+    longest, n = (x or 0 for x in parts.agg(F.max(F.array_max(F.transform("windows", lambda w: w["size"]))), F.sum(F.size("ranks"))).first())
     spark, found, k = rows.sparkSession, None, 0
-    levels, path = materialised(parts.select("uid", "start", "ranks"), "level0")
+    levels, path = materialised(parts.select("uid", "start", "ranks"), "level0", n)
     while longest >> k:
         # The interval of a run of 2**k to 2**(k+1) - 1 lines: ranks of its first and its last 2**k lines.
         at = parts.select("uid", "start", "windows").join(levels, ["uid", "start"])
@@ -126,9 +130,9 @@ def later_copies(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         k += 1
         if not longest >> k:
             break
-        up = doubled(levels, 1 << (k - 1)).groupBy("uid", "start").agg(F.max("i").alias("last"), F.map_from_entries(F.collect_list(F.struct("i", "rank"))).alias("by"))
+        up = doubled(levels, 1 << (k - 1), n).groupBy("uid", "start").agg(F.max("i").alias("last"), F.map_from_entries(F.collect_list(F.struct("i", "rank"))).alias("by"))
         up = up.select("uid", "start", F.transform(F.sequence(F.lit(0), F.col("last")), lambda i: F.try_element_at("by", i)).alias("ranks"))
-        levels, new_path = materialised(up, f"level{k}")
+        levels, new_path = materialised(up, f"level{k}", n)
         drop_table(spark, path)
         path = new_path
     if found is None:

@@ -314,7 +314,7 @@ def shared_lists(sets: DataFrame, boundary: int) -> DataFrame:
     needed = F.when(F.max("n") <= boundary, 1).otherwise(F.floor(F.ceil(F.max("n") * PERCENT / 100) / 20) + 1)
     fit = found.groupBy("uid").agg(F.count(F.lit(1)).alias("k"), needed.alias("needed")).filter("k >= needed").select("uid")
     first = F.col("room") >= F.ceil(F.col("n") * PERCENT / 100)  # one common element among the first is enough to meet
-    lists = stored(found.filter(first).join(fit, "uid", "left_semi"), "lists")
+    lists = stored(found.filter(first).join(fit, "uid", "left_semi"), "lists", found.count())
     discard(found.sparkSession, [path])
     return lists
 
@@ -372,11 +372,11 @@ def block_cells(mixed: DataFrame) -> DataFrame:
 
     Lists with the same centre have mostly the same members, so these come together once and not once for each list.
     """
-    members = stored(mixed.select(F.col("centre.uid").alias("bucket"), "uid", "root", "n").distinct(), "members")
+    members = stored(mixed.select(F.col("centre.uid").alias("bucket"), "uid", "root", "n").distinct(), "members", mixed.count())
     sizes = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("m"))
     largest = F.max(F.struct("k", "root", "m"))
     parts = sizes.groupBy("bucket").agg(largest["root"].alias("main"), F.sum("k").alias("k"), F.sum("m").alias("m"), largest["k"].alias("k1"), largest["m"].alias("m1"))
-    parts = stored(parts.filter("k > k1").select("bucket", "main", _cuts(F.col("k") - F.col("k1"), F.col("m") - F.col("m1")).alias("ps"), _cuts(F.col("k"), F.col("m")).alias("qs")), "parts")
+    parts = stored(parts.filter("k > k1").select("bucket", "main", _cuts(F.col("k") - F.col("k1"), F.col("m") - F.col("m1")).alias("ps"), _cuts(F.col("k"), F.col("m")).alias("qs")), "parts", members.count())
     every = members.join(parts, "bucket")
     alone = (F.col("ps") == 1) & (F.col("qs") == 1)  # one cell: those outside are sent once, for both sides
     outside = every.filter((F.col("root") != F.col("main")) & ~alone).select("bucket", _part(F.col("ps")).alias("p"), _every(F.col("qs")).alias("q"), F.lit(0).alias("side"), "uid", "root")
@@ -544,11 +544,11 @@ def _in_cells(cells: DataFrame, sets: DataFrame) -> DataFrame:
 def possible_cells(cells: DataFrame, whole: DataFrame) -> DataFrame:
     """Stored rows of the cells whose sets may be linked there, as far as sets in brief tell."""
     schema = "bucket long, p int, q int, side int, uid long, root long"
-    return stored(_in_cells(cells, whole.select("uid", "n", "brief")).mapInArrow(trimmed(_possible), schema), "possible")
+    return stored(_in_cells(cells, whole.select("uid", "n", "brief")).mapInArrow(trimmed(_possible), schema), "possible", cells.count())
 
 
 def compared(cells: DataFrame, whole: DataFrame) -> DataFrame:
-    """Links (a, b) found in cells, on whole sets."""
+    """Links (a, b) found in cells, on whole sets: no more than rows of cells."""
     return _in_cells(possible_cells(cells, whole), whole.select("uid", "items")).mapInArrow(trimmed(_compared), "a long, b long")
 
 
@@ -559,20 +559,21 @@ def links(lists: DataFrame, whole: DataFrame) -> DataFrame:
     """
     spark = lists.sparkSession
     found = roots = None
-    turn, last = 0, False
+    turn, last, n_lists, n_found = 0, False, lists.count(), 0
     while True:
         now = lists.withColumn("root", F.col("uid")) if roots is None else (
             lists.join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
         )
-        mixed, path = materialised(mixed_lists(now, turn), "mixed")
+        mixed, path = materialised(mixed_lists(now, turn), "mixed", n_lists)
         with recorded() as made:  # stored before the join, so that whole sets need not move to meet few cells
-            cells = stored(block_cells(mixed) if last else star_cells(mixed), "cells")
+            cells = stored(block_cells(mixed), "cells") if last else stored(star_cells(mixed), "cells", 2 * mixed.count())
             met = compared(cells, whole)
-        new = stored(met, "links")
+        new = stored(met, "links", cells.count())
         found = new if found is None else found.unionByName(new)
         n_new = new.count()
+        n_found += n_new
         if n_new:
-            roots = stored(components(found), "roots")
+            roots = stored(components(found, n_found), "roots", 2 * n_found)
         n_mixed = mixed.select("uid").distinct().count()
         discard(spark, [path, *made])
         if last or not n_mixed:
@@ -592,14 +593,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = stored(heads.drop("head", "common_from"), "keys")
     classes = stored(
         sets.filter("n > 0").groupBy("n", "f1", "f2").agg(F.min(F.struct("uid", "text_key", F.col("doc_id").alias("own"))).alias("r"), F.min("doc_id").alias("class_id")),
-        "classes",
+        "classes", sets.count(),
     )
     boundary = choose_boundary({r["n"]: r["k"] for r in classes.groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect()})
-    first = stored(classes.select("r.uid"), "representatives")
+    n_classes = classes.count()
+    first = stored(classes.select("r.uid"), "representatives", n_classes)
     lists = shared_lists(heads.join(_sent(first), "uid", "left_semi"), boundary)
     discard(spark, [heads_path])
     each = classes.select(F.col("r.uid").alias("uid"), F.col("r.text_key").alias("t"), F.col("r.own").alias("d"))
-    wanted = stored(each.join(lists.select("uid").distinct(), "uid", "left_semi"), "wanted")
+    wanted = stored(each.join(lists.select("uid").distinct(), "uid", "left_semi"), "wanted", n_classes)
     # Texts stay where they are while the ids can be sent; beyond that they are shuffled.
     rows = texts.join(_sent(wanted), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t"))).select("uid", "text")
     whole = stored(rows.mapInArrow(trimmed(_whole), "uid long, items binary, n int, brief binary"), "whole")
@@ -611,7 +613,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ids = classes.select("n", "f1", "f2", "class_id", F.col("r.uid").alias("rep")).join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     ids = ids.withColumn("root", F.coalesce("root", "rep"))
     least = ids.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    ids = stored(ids.join(least, "root").select("n", "f1", "f2", F.col("root").alias("component"), "class_id", "component_id"), "components")
+    ids = stored(ids.join(least, "root").select("n", "f1", "f2", F.col("root").alias("component"), "class_id", "component_id"), "components", n_classes)
     joined = sets.join(ids, ["n", "f1", "f2"], "left")
     own = F.col("n") == 0
     return joined.select(

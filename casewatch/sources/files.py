@@ -12,6 +12,8 @@ from casewatch.schemas import RAW_CASES
 from casewatch.session import new_table_path
 
 CORRUPT = "_corrupt_record"
+#: Rows up to which an intermediate table is small, and the files that a small one gets.
+SMALL, FILES = 1 << 19, 8
 
 
 def read_cases_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CASES, multi_line: bool = False) -> DataFrame:
@@ -84,15 +86,24 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The frame written below the shared folder and read back.
+def gathered(df: DataFrame, rows: int | None) -> DataFrame:
+    """The frame, dealt out for writing to few files if it has no more than ``rows`` rows and these make a small table.
+
+    The tasks that make the rows stay as many as they are. On a local or mounted file system Hadoop starts processes for
+    each file, to set its permissions and those of its folder, and each of them begins as a copy of the executor.
+    """
+    return df if rows is None or rows > SMALL else df.repartition(FILES)
+
+
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """The frame written below the shared folder and read back; ``rows``: how many it has at most, if known.
 
     Runs the plan now, cuts the lineage, and gives Spark the true size: a join with the
     result is a broadcast one if it fits ``autoBroadcastJoinThreshold`` and a shuffled one
     with skew handling if not.
     """
     path = new_table_path(df.sparkSession, name)
-    write_table(df, path)
+    write_table(gathered(df, rows), path)
     return read_table(df.sparkSession, path, df.schema)
 
 

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casewatch.llm.common import materialised, table, text_of, trimmed
+from casewatch.llm.common import materialised, small_batches, table, text_of, trimmed
 
 WINDOW = 13
 #: Tokens laid out in one segment, unless a single text is longer.
@@ -69,14 +69,17 @@ def _postings(segment_tokens: int):
             ], schema=schema)
             if terms:
                 flat = np.concatenate(ids)
-                places = np.repeat(np.cumsum([0, *lengths[:-1]]) + GAP * np.arange(len(lengths)), lengths) + _within(np.array(lengths))
-                order = np.argsort(flat, kind="stable")
+                ids.clear()
                 ends = np.concatenate([[0], np.cumsum(np.bincount(flat, minlength=len(terms)))]) * 4
-                data = places[order].astype("<i4").tobytes()
+                order = np.argsort(flat, kind="stable")
+                del flat
+                places = np.arange(sum(lengths), dtype="<i4") + np.repeat(GAP * np.arange(len(lengths), dtype="<i4"), lengths)
+                data = places[order].data.cast("B")
+                del places, order
                 names, step = list(terms), 50_000
                 for a in range(0, len(names), step):
                     b = min(len(names), a + step)
-                    lists = pa.array([data[x:y] for x, y in zip(ends[a:b].tolist(), ends[a + 1 : b + 1].tolist())], pa.binary())
+                    lists = pa.array([bytes(data[x:y]) for x, y in zip(ends[a:b].tolist(), ends[a + 1 : b + 1].tolist())], pa.binary())
                     nothing = [pa.nulls(b - a, t.type) for t in list(schema)[3:]]
                     yield pa.RecordBatch.from_arrays([pa.array([number] * (b - a)), pa.array(names[a:b], pa.binary()), lists, *nothing], schema=schema)
             number += 1
@@ -101,19 +104,13 @@ def _postings(segment_tokens: int):
     return run
 
 
-def _within(lengths):
-    """0, 1, ... for each of the lengths, one after the other."""
-    import numpy as np
-
-    return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-
-
 def build_index(docs: DataFrame, segment_tokens: int = SEGMENT) -> DataFrame:
     """Stored postings of all tokens of ``docs``; a row without term lists a segment's documents."""
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_key"), text_of().alias("text")
     )
-    return materialised(texts.mapInArrow(trimmed(_postings(segment_tokens)), INDEX), "postings")[0]
+    with small_batches(docs.sparkSession):
+        return materialised(texts.mapInArrow(trimmed(_postings(segment_tokens)), INDEX), "postings")[0]
 
 
 def windows(items: DataFrame, size: int = WINDOW) -> Iterator[tuple[str, tuple[bytes, ...]]]:
@@ -200,11 +197,14 @@ def search(index: DataFrame, phrases: Iterator[tuple[str, tuple[bytes, ...]]], s
     ``slop`` 0 finds exact phrases; otherwise each term may be so many words off its place (fewer than the gap
     between documents), which finds reordered and loosely quoted passages.
     """
+    import pyarrow as pa
+
     if not 0 <= slop < GAP // 2:
         raise ValueError("slop must be smaller than half the gap between documents")
     spark, found = index.sparkSession, None
     for block in blocks(phrases):
-        vocabulary = spark.createDataFrame([(bytearray(t),) for t in sorted({t for p in block for t in p})], "term binary")
+        # An Arrow table is read in the JVM; rows in a list would start Python workers of their own on the executors.
+        vocabulary = spark.createDataFrame(pa.table({"term": pa.array(sorted({t for p in block for t in p}), pa.binary())}))
         # A block has a bounded number of words, so its vocabulary may go to every task.
         needed = index.join(F.broadcast(vocabulary), "term", "left_semi").unionByName(index.filter(F.col("term").isNull()))
         needed = needed.select("segment", "term", "offsets", "lengths")

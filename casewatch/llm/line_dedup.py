@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casewatch.llm.common import drop_table, materialised, stored, table, trimmed
+from casewatch.llm.common import drop_table, materialised, small_batches, stored, table, trimmed
 
 #: Words of a run from which on its later copies are deleted.
 MIN_WORDS = 51
@@ -64,7 +64,8 @@ def ranked(pairs: DataFrame, *keys: str, rows: int | None = None) -> DataFrame:
 
 def stretches(rows: DataFrame, min_words: int) -> DataFrame:
     """Stored (uid, start, ranks, words): runs of lines that all occur twice or more, with enough words."""
-    lines = stored(rows.mapInArrow(trimmed(_lines), LINE), "lines")
+    with small_batches(rows.sparkSession):
+        lines = stored(rows.mapInArrow(trimmed(_lines), LINE), "lines")
     n = lines.count()
     known = lines.join(ranked(lines, "high", "low", rows=n), ["high", "low"]).select("uid", "line", "rank", "words")
     per_text = known.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("line", "rank", "words"))).alias("lines"))

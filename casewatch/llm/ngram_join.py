@@ -27,7 +27,7 @@ from math import comb
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casewatch.llm.common import materialised, most_frequent, stored, table, text_of, trimmed
+from casewatch.llm.common import materialised, most_frequent, small_batches, stored, table, text_of, trimmed
 from casewatch.llm.components import components
 from casewatch.session import discard, recorded
 
@@ -186,7 +186,9 @@ def frequent_shingles(texts: DataFrame):
     They only decide the order of shingles, and any order gives the same links.
     """
     found = texts.select("text").mapInArrow(trimmed(_frequent), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    top = most_frequent(stored(found, "frequent"), FREQUENT).toPandas().sort_values(["n", "h"])
+    with small_batches(texts.sparkSession):
+        found = stored(found, "frequent")
+    top = most_frequent(found, FREQUENT).toPandas().sort_values(["n", "h"])
     return top["h"].to_numpy(dtype="int64").copy()
 
 
@@ -589,7 +591,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_key"), text_of().alias("text"))
     common = spark.sparkContext.broadcast(frequent_shingles(texts))
-    heads, heads_path = materialised(texts.mapInArrow(trimmed(_sets(common)), SETS), "sets")
+    with small_batches(spark):
+        heads, heads_path = materialised(texts.mapInArrow(trimmed(_sets(common)), SETS), "sets")
     sets = stored(heads.drop("head", "common_from"), "keys")
     classes = stored(
         sets.filter("n > 0").groupBy("n", "f1", "f2").agg(F.min(F.struct("uid", "text_key", F.col("doc_id").alias("own"))).alias("r"), F.min("doc_id").alias("class_id")),
@@ -604,10 +607,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wanted = stored(each.join(lists.select("uid").distinct(), "uid", "left_semi"), "wanted", n_classes)
     # Texts stay where they are while the ids can be sent; beyond that they are shuffled.
     rows = texts.join(_sent(wanted), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t"))).select("uid", "text")
-    whole = stored(rows.mapInArrow(trimmed(_whole), "uid long, items binary, n int, brief binary"), "whole")
+    with small_batches(spark):
+        whole = stored(rows.mapInArrow(trimmed(_whole), "uid long, items binary, n int, brief binary"), "whole")
     if whole.count() > wanted.count():  # rows that repeat an id and its text
         whole = stored(whole.dropDuplicates(["uid"]), "whole")
-    roots = links(lists, whole)
+    with small_batches(spark):
+        roots = links(lists, whole)
     if roots is None:
         roots = spark.createDataFrame([], "node long, root long")
     ids = classes.select("n", "f1", "f2", "class_id", F.col("r.uid").alias("rep")).join(roots.withColumnRenamed("node", "rep"), "rep", "left")

@@ -20,7 +20,7 @@ from itertools import compress, count, islice
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casewatch.llm.common import materialised, text_of, trimmed
+from casewatch.llm.common import materialised, small_batches, text_of, trimmed
 
 CAPACITY = 1024
 END_ID = 0
@@ -248,7 +248,8 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAP
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     schema = PIECE + (", ids binary" if with_ids else "")
-    pieces, _ = materialised(texts.mapInArrow(trimmed(_tokenised(tokenizer_path, capacity, with_ids)), schema), "pieces")
+    with small_batches(docs.sparkSession):
+        pieces, _ = materialised(texts.mapInArrow(trimmed(_tokenised(tokenizer_path, capacity, with_ids)), schema), "pieces")
     shards = max(1, pieces.filter(F.col("length") < capacity).count() // SHARD)
     dealt = pieces.repartition(shards, F.xxhash64("doc_id", "start", "ids_crc32"))
     # In a fixed order, so that a repeated task places its pieces as the first one did.

@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewatch.session import new_table_path
+from casewatch.session import BATCH_BYTES, BATCH_SETTING, new_table_path, small_batches  # noqa: F401
 from casewatch.sources.files import gathered, read_table, stored, write_table
 
 __all__ = ["drop_table", "fold", "materialised", "most_frequent", "read_table", "small_batches", "spread_sample", "stored", "table", "text_of", "trimmed", "write_table"]
 
 #: Java form of "runs of characters other than ASCII white space".
 WORD = r"[^\x20\x09-\x0D]+"
-#: Setting for the most bytes of a batch that goes to a Python worker, and what they are within ``small_batches``.
-BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,23 +60,6 @@ def spread_sample(rows: DataFrame, key: Column, n: int, most: int) -> DataFrame:
     return rows if n <= most else rows.filter(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.lit(int(most / n * (1 << 30))))
 
 
-@contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Frames that are written within send rows to Python workers about ``BATCH_BYTES`` at a time.
-
-    Else a batch has as many rows as Spark's settings allow, however long their texts are, and the executor and the worker each
-    hold such batches. If the session has a setting of its own, it stays. Work on batches must not depend on where they end.
-    """
-    if spark.conf.get(BATCH_SETTING, None) is not None:
-        yield
-        return
-    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
-    try:
-        yield
-    finally:
-        spark.conf.unset(BATCH_SETTING)
-
-
 def trimmed(work):
     """The batch function, giving its memory back to the system when a task ends.
 

@@ -21,6 +21,9 @@ SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",  # no Python stack capture per call
 }
 
+#: Setting for the most bytes of a batch that goes to a Python worker, and what they are within ``small_batches``.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 20
+
 
 def build_session(app_name: str = "casewatch", master: str | None = None, **conf: str) -> SparkSession:
     """Return a session with the library's settings; ``conf`` keys use ``_`` for ``.``."""
@@ -101,3 +104,20 @@ def recorded() -> Iterator[list[str]]:
         _SCOPES.pop()
         if _SCOPES:
             _SCOPES[-1].extend(made)
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Frames that are written within send rows to Python workers about ``BATCH_BYTES`` at a time.
+
+    Else a batch has as many rows as Spark's settings allow, however long their texts are, and the executor and the worker each
+    hold such batches. If the session has a setting of its own, it stays. Work on batches must not depend on where they end.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is not None:
+        yield
+        return
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_SETTING)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from casewatch.operators import retrieval as N
 from casewatch.operators import vector_store as VS
 from casewatch.operators.text_features import fit_tfidf
-from casewatch.session import new_table_path
+from casewatch.session import new_table_path, recorded
 
 VECTORS = "doc_id long, embedding array<double>"
 
@@ -80,6 +80,50 @@ def test_exact_search_on_vectors_without_structure(spark):
     assert hits(VS.search(store, questions, exact=True, exclude_self=True)) == hits(N.knn_topk(questions, docs, exclude_self=True))
 
 
+def test_exact_search_writes_no_question_for_each_list_it_has_to_go_to(spark):
+    rng = np.random.default_rng(6)
+    docs = frame(spark, rng.standard_normal((600, 24)))  # no list can be ruled out
+    questions = docs.withColumnRenamed("doc_id", "question_id")
+    store = VS.open_store(spark, written(spark, docs, lists=30))
+    with recorded() as made:
+        found = hits(VS.search(store, questions, exact=True, exclude_self=True, docs_per_cell=64, questions_per_cell=100))
+    tables = [spark.read.parquet(path) for path in made]
+    assert sum(t.count() for t in tables if "embedding" in t.columns) <= 2 * 600
+    blocks = {t.columns[0]: t for t in tables if "embedding" not in t.columns}
+    assert blocks["lists"].agg(F.sum(F.octet_length("docs"))).first()[0] == blocks["block"].agg(F.sum(F.octet_length("questions"))).first()[0] == 600 * 24 * 8
+    assert blocks["lists"].agg(F.max(F.size("doc_ids"))).first()[0] <= 64 and blocks["block"].agg(F.max(F.size("question_ids"))).first()[0] <= 100
+    assert found == hits(N.knn_topk(questions, docs, exclude_self=True))
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_exact_search_with_copies_repeated_and_null_ids(spark, kind):
+    rng = np.random.default_rng(8)
+    near = clustered(150, groups=5, dim=6)
+    rows = [(i, near[i]) for i in range(150)] + [(200 + i, near[0]) for i in range(90)] + [(200, near[0])] * 7 + [(3, near[3])] * 2
+    rows += [(None, near[7])] * (kind == "long") + [(1000 + i, x) for i, x in enumerate(rng.standard_normal((20, 6)) * 1e8)] + [(2000, near[0] * 1e200)]
+    docs = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], VECTORS).selectExpr(f"cast(doc_id AS {kind}) AS doc_id", "embedding")
+    questions = docs.withColumnRenamed("doc_id", "question_id").unionByName(spark.createDataFrame([(None, [0.0] * 6)], "question_id long, embedding array<double>").selectExpr(f"cast(question_id AS {kind}) AS question_id", "embedding"))
+    store = VS.open_store(spark, written(spark, docs, lists=12))
+    rows = lambda df: sorted(str((r.question_id, r["rank"], r.doc_id, round(r.distance, 9))) for r in df.collect())
+    for same in (True, False):
+        found = VS.search(store, questions, k=4, probes=2, exact=True, exclude_self=same, docs_per_cell=40, questions_per_cell=30)
+        assert rows(found) == rows(N.knn_topk(questions, docs, k=4, exclude_self=same))
+
+
+def test_copies_left_out_are_nobodys_neighbours():
+    vectors = np.array([[1.0, 0.0]] * 12 + [[0.0, 1.0]] * 3)
+    ids = np.array([9, 1, 1, 1, 2, 3, 4, 5, 6, 7, 8, 0, 1, 1, 1])
+    assert VS._keep_few_copies(ids, vectors, 2).tolist() == [1, 2, 4, 11, 12, 13]
+    assert VS._keep_few_copies(ids, vectors, 6).tolist() == list(range(15))
+
+
+def test_a_list_around_the_vector_itself_is_within_reach():
+    vectors = np.random.default_rng(2).standard_normal((200, 64)) * 1000
+    assert VS._within_reach(vectors, np.zeros(200), vectors, np.zeros(200)).diagonal().all()
+    far = VS._within_reach(vectors, np.ones(200), vectors, np.ones(200))
+    assert far.diagonal().all() and far.sum() == 200
+
+
 def test_only_probed_lists_are_read(spark, data):
     docs, questions, _ = data
     store = VS.open_store(spark, written(spark, docs, lists=30))
